@@ -95,6 +95,17 @@ def with_silver(body: str, *extra: str) -> str:
     return f"WITH {ctes}\n{body}"
 
 
+def snapshot(date: str, where: str = "") -> str:
+    return (f"SELECT *, '{date}' AS _dt_ingestao, 'batch' AS _fonte, DATE '{date}' AS dt_ingestao"
+            f" FROM ({INDICATOR}) i {where}")
+
+
+MARTS_ROWS = """
+SELECT 'gold_indicador_por_municipio' AS mart, COUNT(*) AS rows FROM silver
+UNION ALL SELECT 'gold_meta_vs_resultado', COUNT(*) FROM silver
+UNION ALL SELECT 'gold_evolucao_temporal_uf', COUNT(*)
+  FROM (SELECT DISTINCT sigla_uf, nome_uf, ano FROM silver) g"""
+
 ORACLE: dict[str, str] = {
     "bronze_weighted_indicator": INDICATOR,
     "silver_goals_long": with_silver("SELECT * FROM goals_long"),
@@ -105,4 +116,38 @@ ORACLE: dict[str, str] = {
     "gold_goal_vs_result": with_silver("SELECT * FROM gold_goal", GOLD_GOAL),
     "gold_region_evolution": with_silver(
         "SELECT * FROM gold_region ORDER BY sigla_uf, ano", GOLD_REGION),
+    "bronze_snapshot_audit": f"""
+SELECT DATE '2024-01-01' AS dt_ingestao, '2024-01-01' AS _dt_ingestao, 'batch' AS _fonte,
+       COUNT(*) AS rows, 'indicador' AS tabela FROM ({INDICATOR}) a
+UNION ALL SELECT DATE '2024-01-01', '2024-01-01', 'batch', COUNT(*), 'municipio' FROM ({DIMENSION}) b
+UNION ALL SELECT DATE '2024-01-01', '2024-01-01', 'batch', COUNT(*), 'meta_municipio' FROM ({GOALS_WIDE}) c""",
+    "bronze_same_day_rerun": f"""
+SELECT DATE '2024-01-01' AS dt_ingestao, COUNT(*) AS rows FROM ({INDICATOR}) a
+UNION ALL SELECT DATE '2024-01-02', COUNT(*) FROM ({INDICATOR}) b WHERE ano >= 1997""",
+    "silver_latest_snapshot": snapshot("2024-01-02", "WHERE ano >= 1997"),
+    "silver_dedup_clean": f"""
+WITH ind AS ({INDICATOR}),
+raw AS (SELECT * FROM ind UNION ALL SELECT * FROM ind
+        UNION ALL SELECT NULL, NULL, proficiencia_media, percentual_alfabetizado FROM ind
+        UNION ALL SELECT NULL, ano, proficiencia_media, percentual_alfabetizado FROM ind)
+SELECT DISTINCT * FROM raw WHERE id_municipio IS NOT NULL OR ano IS NOT NULL""",
+    "silver_normalize_keys": """
+SELECT l_orderkey, l_linenumber, CAST(l_suppkey AS VARCHAR) AS id_municipio,
+       upper(trim('  ' || lower(l_returnflag) || ' ')) AS sigla_uf,
+       TRY_CAST(strftime(l_shipdate, '%Y') AS INTEGER) AS ano
+FROM lineitem""",
+    "silver_missing_flags": f"""
+WITH raw AS (
+  SELECT id_municipio, ano, CAST(proficiencia_media AS VARCHAR) AS proficiencia_media,
+         CASE WHEN percentual_alfabetizado < 30.0 THEN 'n/a'
+              ELSE CAST(percentual_alfabetizado AS VARCHAR) END AS percentual_alfabetizado
+  FROM ({INDICATOR}) i)
+SELECT id_municipio, ano,
+       TRY_CAST(proficiencia_media AS DOUBLE) AS proficiencia_media,
+       TRY_CAST(proficiencia_media AS DOUBLE) IS NULL AS proficiencia_media_era_nulo,
+       TRY_CAST(percentual_alfabetizado AS DOUBLE) AS percentual_alfabetizado,
+       TRY_CAST(percentual_alfabetizado AS DOUBLE) IS NULL AS percentual_alfabetizado_era_nulo
+FROM raw""",
+    "silver_partition_roundtrip": with_silver("SELECT * FROM silver"),
+    "gold_marts_roundtrip": with_silver(MARTS_ROWS),
 }

@@ -58,3 +58,146 @@ def gold_goal_vs_result(spark, sf_dir):
 @register
 def gold_region_evolution(spark, sf_dir):
     return marts.region_evolution(silver(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- bronze / silver I/O
+
+# Fixed values of the snapshot scenarios: two ingestion dates; the later
+# extract only carries periods from LATER_FROM_PERIOD on.
+EARLY_DATE = "2024-01-01"
+LATE_DATE = "2024-01-02"
+LATER_FROM_PERIOD = 1997
+
+
+def _snapshots(spark, sf_dir):
+    """Bronze indicator table with a full snapshot on the early date and a
+    partial one on the late date; the late one is written first."""
+    from pyspark.sql import functions as F
+
+    from stratum.session import scratch_path
+    from stratum.sources.bronze import write_snapshot
+
+    base = scratch_path(spark, "bronze")
+    ind = tb.indicator(spark, sf_dir)
+    write_snapshot(ind.filter(F.col(S.period) >= LATER_FROM_PERIOD), base, "indicador", LATE_DATE, "batch")
+    write_snapshot(ind, base, "indicador", EARLY_DATE, "batch")
+    return base
+
+
+@register
+def bronze_snapshot_audit(spark, sf_dir):
+    """Ingest every registered source for one date; rows per table read back."""
+    from functools import reduce
+
+    from pyspark.sql import functions as F
+
+    from stratum.plans.ingest import ingest
+    from stratum.session import scratch_path
+    from stratum.sources.bronze import read_bronze
+
+    base = scratch_path(spark, "bronze")
+    reg = tb.registry(sf_dir)
+    ingest(spark, reg, "all", base, EARLY_DATE)
+    parts = [read_bronze(spark, base, k).groupBy(S.ingest_partition, S.audit_date, S.audit_source)
+             .agg(F.count(F.lit(1)).alias("rows")).withColumn("tabela", F.lit(k))
+             for k in reg.select("all")]
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+@register
+def bronze_same_day_rerun(spark, sf_dir):
+    """The late date is written twice; its row count does not double."""
+    from pyspark.sql import functions as F
+
+    from stratum.sources.bronze import read_bronze, write_snapshot
+
+    base = _snapshots(spark, sf_dir)
+    ind = tb.indicator(spark, sf_dir)
+    write_snapshot(ind.filter(F.col(S.period) >= LATER_FROM_PERIOD), base, "indicador", LATE_DATE, "batch")
+    return (read_bronze(spark, base, "indicador", latest=False)
+            .groupBy(S.ingest_partition).agg(F.count(F.lit(1)).alias("rows")))
+
+
+@register
+def silver_latest_snapshot(spark, sf_dir):
+    from stratum.sources.bronze import read_bronze
+
+    return read_bronze(spark, _snapshots(spark, sf_dir), "indicador")
+
+
+@register
+def silver_dedup_clean(spark, sf_dir):
+    """Exact copies collapse; a row with one NULL key stays, all-NULL keys go."""
+    from pyspark.sql import functions as F
+
+    from stratum.operators.cleaning import clean
+
+    ind = tb.indicator(spark, sf_dir)
+    no_keys = ind.withColumns({S.entity: F.lit(None).cast("string"), S.period: F.lit(None).cast("int")})
+    no_entity = ind.withColumn(S.entity, F.lit(None).cast("string"))
+    return clean(ind.unionByName(ind).unionByName(no_keys).unionByName(no_entity), S.cleaning_keys)
+
+
+@register
+def silver_normalize_keys(spark, sf_dir):
+    """Raw keys with the wrong types and padded lower-case codes."""
+    from pyspark.sql import functions as F
+
+    from stratum.operators.cleaning import normalize_keys
+
+    raw = tb.table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber",
+        F.col("l_suppkey").alias(S.entity),
+        F.concat(F.lit("  "), F.lower("l_returnflag"), F.lit(" ")).alias(S.region),
+        F.date_format("l_shipdate", "yyyy").alias(S.period))
+    return normalize_keys(raw, entity=S.entity, region=S.region, period=S.period)
+
+
+# Fixed value of the missing-metric scenario: rates below this arrive as text
+# that is not a number.
+UNPARSEABLE_BELOW = 30.0
+
+
+@register
+def silver_missing_flags(spark, sf_dir):
+    from pyspark.sql import functions as F
+
+    from stratum.operators.cleaning import flag_missing
+
+    ind = tb.indicator(spark, sf_dir)
+    raw = ind.select(
+        S.entity, S.period,
+        F.col(S.score).cast("string").alias(S.score),
+        F.when(F.col(S.rate) < UNPARSEABLE_BELOW, F.lit("n/a"))
+         .otherwise(F.col(S.rate).cast("string")).alias(S.rate))
+    return flag_missing(raw, S.metrics, S.null_flag_suffix)
+
+
+@register
+def silver_partition_roundtrip(spark, sf_dir):
+    """Silver written partitioned by (period, region) and read back; entities
+    without a dimension row come back with a NULL region."""
+    from stratum.session import scratch_path
+    from stratum.sources.layers import read_silver, write_silver
+
+    path = write_silver(silver(spark, sf_dir), scratch_path(spark, "silver"))
+    return read_silver(spark, path, processed_at=False)
+
+
+@register
+def gold_marts_roundtrip(spark, sf_dir):
+    """All marts built from one written Silver; rows per mart read back."""
+    from functools import reduce
+
+    from pyspark.sql import functions as F
+
+    from stratum.plans.gold import build_gold, read_marts
+    from stratum.session import scratch_path
+    from stratum.sources.layers import write_silver
+
+    silver_path = write_silver(silver(spark, sf_dir), scratch_path(spark, "silver"))
+    gold_base = scratch_path(spark, "gold")
+    build_gold(spark, silver_path, gold_base, processed_at=False)
+    parts = [df.agg(F.count(F.lit(1)).alias("rows")).withColumn("mart", F.lit(name))
+             for name, df in read_marts(spark, gold_base).items()]
+    return reduce(lambda a, b: a.unionByName(b), parts)

@@ -75,3 +75,13 @@ def goals_wide(spark: SparkSession, sf_dir: str, spec: IndicatorSpec = DEFAULT_S
     return li.groupBy(F.col("l_suppkey").cast("string").alias(s.entity),
                       F.col("l_linestatus").alias(NETWORK)).agg(
         *[share_pct(yes, year == F.lit(y - 1), 2).alias(f"{s.goal_prefix}{y}") for y in GOAL_YEARS])
+
+
+def registry(sf_dir: str, spec: IndicatorSpec = DEFAULT_SPEC):
+    """Logical sources of the pipeline over the test tables."""
+    from stratum.sources.registry import SourceRegistry
+    return SourceRegistry({
+        "indicador": lambda spark: indicator(spark, sf_dir, spec),
+        "municipio": lambda spark: dimension(spark, sf_dir, spec),
+        "meta_municipio": lambda spark: goals_wide(spark, sf_dir, spec),
+    })
