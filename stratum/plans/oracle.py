@@ -90,6 +90,16 @@ gold_region AS (
   FROM silver GROUP BY sigla_uf, nome_uf, ano)"""
 
 
+ORPHANS = f"""
+orphans AS (
+  SELECT c.id_municipio FROM (SELECT DISTINCT id_municipio FROM silver) c
+  WHERE NOT EXISTS (SELECT 1 FROM ({DIMENSION}) d WHERE d.id_municipio = c.id_municipio))"""
+
+
+def _pct(nulls: str, total: str = "t") -> str:
+    return f"ROUND(COALESCE({nulls} / NULLIF({total}, 0) * 100, 0.0), 2)"
+
+
 def with_silver(body: str, *extra: str) -> str:
     ctes = ",".join([SILVER_CTES, *extra])
     return f"WITH {ctes}\n{body}"
@@ -150,4 +160,90 @@ SELECT id_municipio, ano,
 FROM raw""",
     "silver_partition_roundtrip": with_silver("SELECT * FROM silver"),
     "gold_marts_roundtrip": with_silver(MARTS_ROWS),
+    "dq_duplicates": """
+SELECT 'verificacao_duplicidade' AS check_name, SUM(n) - COUNT(*) = 0 AS passed,
+       CAST(SUM(n) AS BIGINT) AS total, CAST(SUM(n) - COUNT(*) AS BIGINT) AS duplicados
+FROM (SELECT l_orderkey, l_linenumber, COUNT(*) AS n FROM lineitem GROUP BY l_orderkey, l_linenumber) k""",
+    "dq_missing": with_silver(f"""
+SELECT column_name, nulls, pct, pct <= 5.0 AS passed FROM (
+  SELECT 'proficiencia_media' AS column_name, a AS nulls, {_pct('a')} AS pct FROM agg
+  UNION ALL SELECT 'percentual_alfabetizado', b, {_pct('b')} FROM agg
+  UNION ALL SELECT 'meta_percentual', c, {_pct('c')} FROM agg) x""", """
+agg AS (SELECT COUNT(*) AS t,
+               COUNT(*) FILTER (WHERE proficiencia_media IS NULL) AS a,
+               COUNT(*) FILTER (WHERE percentual_alfabetizado IS NULL) AS b,
+               COUNT(*) FILTER (WHERE meta_percentual IS NULL) AS c FROM silver)"""),
+    "dq_orphans": with_silver("""
+SELECT 'validacao_chave_relacionamento' AS check_name, COUNT(*) = 0 AS passed, COUNT(*) AS orfaos
+FROM orphans""", ORPHANS),
+    "dq_range": """
+SELECT 'consistencia_pct_preco' AS check_name, COUNT(*) FILTER (WHERE x < -0.000001 OR x > 100.000001) = 0 AS passed,
+       COUNT(*) FILTER (WHERE x < -0.000001 OR x > 100.000001) AS invalidos
+FROM (SELECT l_extendedprice / 1000.0 AS x FROM lineitem) p""",
+    "dq_report": with_silver(f"""
+SELECT 'verificacao_duplicidade' AS check_name, dup = 0 AS passed, true AS critical,
+       CASE WHEN dup = 0 THEN 'pass' ELSE 'fail' END AS status FROM agg
+UNION ALL SELECT 'deteccao_valores_ausentes', ok, false, CASE WHEN ok THEN 'pass' ELSE 'warn' END
+  FROM (SELECT {_pct('n0')} <= 5.0 AND {_pct('n1')} <= 5.0 AS ok FROM agg) m
+UNION ALL SELECT 'consistencia_percentual_alfabetizado', bad = 0, true,
+       CASE WHEN bad = 0 THEN 'pass' ELSE 'fail' END FROM agg
+UNION ALL SELECT 'validacao_chave_relacionamento', n = 0, true, CASE WHEN n = 0 THEN 'pass' ELSE 'fail' END
+  FROM (SELECT COUNT(*) AS n FROM orphans) o""", """
+per_key AS (
+  SELECT id_municipio, ano, COUNT(*) AS n,
+         COUNT(*) FILTER (WHERE proficiencia_media IS NULL) AS n0,
+         COUNT(*) FILTER (WHERE percentual_alfabetizado IS NULL) AS n1,
+         COUNT(*) FILTER (WHERE percentual_alfabetizado < -0.000001 OR percentual_alfabetizado > 100.000001) AS bad
+  FROM silver GROUP BY id_municipio, ano),
+agg AS (SELECT SUM(n) AS t, SUM(n) - COUNT(*) AS dup, SUM(n0) AS n0, SUM(n1) AS n1, SUM(bad) AS bad FROM per_key)""",
+        ORPHANS),
+    "kpi_coverage": with_silver("""
+SELECT COUNT(DISTINCT id_municipio) AS total_municipios, MIN(ano) AS primeiro_ano, MAX(ano) AS ultimo_ano,
+       CAST(MIN(ano) AS VARCHAR) || '–' || CAST(MAX(ano) AS VARCHAR) AS anos_cobertos
+FROM silver"""),
+    "kpi_national_mean": with_silver("""
+SELECT MAX(ano) AS ultimo_ano, AVG(percentual_alfabetizado) AS percentual_medio_nacional,
+       AVG(proficiencia_media) AS proficiencia_media_nacional
+FROM silver WHERE ano = (SELECT MAX(ano) FROM silver)"""),
+    "kpi_hit_share": with_silver("""
+SELECT MAX(ano) AS ultimo_ano, 100.0 * AVG(CAST(atingiu_meta AS INTEGER)) AS pct_municipios_atingiu_meta
+FROM gold_goal WHERE ano = (SELECT MAX(ano) FROM gold_goal)""", GOLD_GOAL),
+    "kpi_summary": with_silver("""
+SELECT COUNT(DISTINCT id_municipio) AS total_municipios,
+       CAST(MIN(ano) AS VARCHAR) || '–' || CAST(MAX(ano) AS VARCHAR) AS anos_cobertos,
+       AVG(CASE WHEN ano = (SELECT MAX(ano) FROM silver) THEN percentual_alfabetizado END) AS percentual_medio_nacional,
+       AVG(CASE WHEN ano = (SELECT MAX(ano) FROM silver) THEN proficiencia_media END) AS proficiencia_media_nacional,
+       100.0 * AVG(CASE WHEN ano = (SELECT MAX(ano) FROM silver)
+                        THEN CAST(COALESCE(percentual_alfabetizado - meta_percentual >= 0, false) AS INTEGER) END)
+         AS pct_municipios_atingiu_meta,
+       MAX(ano) AS ultimo_ano
+FROM silver"""),
+    "kpi_region_vs_mean": with_silver("""
+SELECT sigla_uf, nome_uf, ano, percentual_alfabetizado_medio,
+       (SELECT AVG(percentual_alfabetizado_medio) FROM now) AS media_nacional,
+       COALESCE(percentual_alfabetizado_medio >= (SELECT AVG(percentual_alfabetizado_medio) FROM now), false)
+         AS acima_media
+FROM now ORDER BY percentual_alfabetizado_medio ASC NULLS LAST, sigla_uf ASC NULLS LAST""", GOLD_REGION, """
+now AS (SELECT * FROM gold_region WHERE ano = (SELECT MAX(ano) FROM gold_region))"""),
+    "kpi_national_evolution": with_silver("""
+SELECT ano, AVG(percentual_alfabetizado_medio) AS percentual_alfabetizado_medio
+FROM gold_region GROUP BY ano ORDER BY ano""", GOLD_REGION),
+    "kpi_distribution": with_silver("""
+SELECT g.bin, lo_e + (g.bin - 1) * (hi_e - lo_e) / 24 AS bin_start, lo_e + g.bin * (hi_e - lo_e) / 24 AS bin_end,
+       CAST(COALESCE(c.n, 0) AS BIGINT) AS count, mean
+FROM grid g LEFT JOIN counts c ON g.bin = c.bin CROSS JOIN edges""", """
+vals AS (SELECT percentual_alfabetizado AS v FROM silver
+         WHERE ano = (SELECT MAX(ano) FROM silver) AND percentual_alfabetizado IS NOT NULL),
+bounds AS (SELECT MIN(v) AS lo, MAX(v) AS hi, AVG(v) AS mean FROM vals),
+edges AS (SELECT CASE WHEN lo = hi THEN lo - 0.5 ELSE lo END AS lo_e,
+                 CASE WHEN lo = hi THEN hi + 0.5 ELSE hi END AS hi_e, mean FROM bounds),
+counts AS (SELECT CAST(LEAST(FLOOR((v - lo_e) * 24 / (hi_e - lo_e)) + 1, 24) AS INTEGER) AS bin, COUNT(*) AS n
+           FROM vals CROSS JOIN edges GROUP BY 1),
+grid AS (SELECT CAST(range AS INTEGER) AS bin FROM range(1, 25))"""),
+    "kpi_worst_gap_topk": with_silver("""
+SELECT id_municipio, nome_municipio, sigla_uf, ano, gap_para_meta,
+       COALESCE(nome_municipio, id_municipio) || ' (' || sigla_uf || ')' AS rotulo
+FROM gold_goal
+WHERE ano = (SELECT MAX(ano) FROM gold_goal) AND gap_para_meta IS NOT NULL
+ORDER BY gap_para_meta, id_municipio LIMIT 10""", GOLD_GOAL),
 }

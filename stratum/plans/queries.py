@@ -201,3 +201,131 @@ def gold_marts_roundtrip(spark, sf_dir):
     parts = [df.agg(F.count(F.lit(1)).alias("rows")).withColumn("mart", F.lit(name))
              for name, df in read_marts(spark, gold_base).items()]
     return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+# ---------------------------------------------------------------- quality
+
+# Fixed values of the quality scenarios over the test tables.
+LINE_KEYS = ["l_orderkey", "l_linenumber"]
+PRICE_PCT = "pct_preco"          # extended price as % of 1000 currency units
+PRICE_PCT_UNIT = 1000.0
+
+
+@register
+def dq_duplicates(spark, sf_dir):
+    from pyspark.sql import functions as F
+
+    from stratum.operators import quality as dq
+
+    li = tb.table(spark, sf_dir, "lineitem")
+    return dq.duplicate_check(li, LINE_KEYS).select(
+        "check_name", "passed",
+        F.col("metrics")[dq.M_TOTAL].cast("long").alias(dq.M_TOTAL),
+        F.col("metrics")[dq.M_DUPLICATES].cast("long").alias(dq.M_DUPLICATES))
+
+
+@register
+def dq_missing(spark, sf_dir):
+    from stratum.operators import quality as dq
+
+    return dq.missing_by_column(silver(spark, sf_dir), [S.score, S.rate, S.goal], S.missing_limit_pct)
+
+
+@register
+def dq_orphans(spark, sf_dir):
+    from pyspark.sql import functions as F
+
+    from stratum.operators import quality as dq
+
+    return dq.orphan_check(silver(spark, sf_dir), tb.dimension(spark, sf_dir), [S.entity]).select(
+        "check_name", "passed", F.col("metrics")[dq.M_ORPHANS].cast("long").alias(dq.M_ORPHANS))
+
+
+@register
+def dq_range(spark, sf_dir):
+    from pyspark.sql import functions as F
+
+    from stratum.operators import quality as dq
+
+    li = tb.table(spark, sf_dir, "lineitem").select(
+        (F.col("l_extendedprice") / PRICE_PCT_UNIT).alias(PRICE_PCT))
+    return dq.range_check(li, PRICE_PCT, S.range_low, S.range_high, S.range_tolerance).select(
+        "check_name", "passed", F.col("metrics")[dq.M_INVALID].cast("long").alias(dq.M_INVALID))
+
+
+def _silver_checks(spark, sf_dir):
+    from stratum.operators import quality as dq
+
+    return dq.table_checks(
+        silver(spark, sf_dir), tb.dimension(spark, sf_dir), keys=[S.entity, S.period],
+        missing_cols=list(S.metrics), range_col=S.rate, orphan_keys_cols=[S.entity],
+        missing_limit=S.missing_limit_pct, low=S.range_low, high=S.range_high,
+        tolerance=S.range_tolerance)
+
+
+@register
+def dq_report(spark, sf_dir):
+    return _silver_checks(spark, sf_dir).select("check_name", "passed", "critical", "status")
+
+
+# ---------------------------------------------------------------- reporting
+
+def _evolution(spark, sf_dir):
+    return marts.region_evolution(silver(spark, sf_dir), ordered=False)
+
+
+@register
+def kpi_coverage(spark, sf_dir):
+    from stratum.operators import reporting as rp
+
+    return rp.coverage(marts.indicator_by_entity(silver(spark, sf_dir), ordered=False))
+
+
+@register
+def kpi_national_mean(spark, sf_dir):
+    from stratum.operators import reporting as rp
+
+    return rp.national_means(marts.indicator_by_entity(silver(spark, sf_dir), ordered=False))
+
+
+@register
+def kpi_hit_share(spark, sf_dir):
+    from stratum.operators import reporting as rp
+
+    return rp.hit_share(marts.goal_vs_result(silver(spark, sf_dir)))
+
+
+@register
+def kpi_summary(spark, sf_dir):
+    from stratum.operators import reporting as rp
+
+    return rp.kpi_summary(silver(spark, sf_dir))
+
+
+@register
+def kpi_region_vs_mean(spark, sf_dir):
+    from stratum.operators import reporting as rp
+
+    return rp.region_vs_mean(_evolution(spark, sf_dir))
+
+
+@register
+def kpi_national_evolution(spark, sf_dir):
+    from stratum.operators import reporting as rp
+
+    return rp.national_evolution(_evolution(spark, sf_dir))
+
+
+@register
+def kpi_distribution(spark, sf_dir):
+    from stratum.operators import reporting as rp
+
+    ind = marts.indicator_by_entity(silver(spark, sf_dir), ordered=False)
+    return rp.histogram(spark, ind, S.rate, S.period, bins=24)
+
+
+@register
+def kpi_worst_gap_topk(spark, sf_dir):
+    from stratum.operators import reporting as rp
+
+    return rp.worst_gap_topk(marts.goal_vs_result(silver(spark, sf_dir)), k=10)
