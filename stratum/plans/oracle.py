@@ -246,4 +246,13 @@ SELECT id_municipio, nome_municipio, sigla_uf, ano, gap_para_meta,
 FROM gold_goal
 WHERE ano = (SELECT MAX(ano) FROM gold_goal) AND gap_para_meta IS NOT NULL
 ORDER BY gap_para_meta, id_municipio LIMIT 10""", GOLD_GOAL),
+    "stream_ingest_bronze": """
+SELECT event_type, COUNT(*) AS events, COUNT(DISTINCT user_id) AS users, ROUND(SUM(value), 2) AS value_sum
+FROM events GROUP BY event_type""",
+    "stream_quarantine": """
+SELECT '{"event_id": ' || CAST(event_id AS VARCHAR) || ', broken' AS _raw FROM events WHERE event_type = 'error'""",
+    "stream_rerun_idempotent": """
+SELECT 1 AS run, COUNT(*) FILTER (WHERE ts < TIMESTAMP '2024-01-16') AS rows FROM events
+UNION ALL SELECT 2, COUNT(*) FROM events
+UNION ALL SELECT 3, COUNT(*) FROM events""",
 }

@@ -329,3 +329,75 @@ def kpi_worst_gap_topk(spark, sf_dir):
     from stratum.operators import reporting as rp
 
     return rp.worst_gap_topk(marts.goal_vs_result(silver(spark, sf_dir)), k=10)
+
+
+# ---------------------------------------------------------------- streaming
+
+# Fixed values of the stream scenarios: events of this type are also sent as
+# a broken message; events before SECOND_WAVE_FROM land in a first batch.
+BROKEN_TYPE = "error"
+SECOND_WAVE_FROM = "2024-01-16"
+
+
+def _stream_cfg(spark):
+    from stratum.session import scratch_path
+    from stratum.streaming.events import StreamConfig
+
+    base = scratch_path(spark, "stream")
+    return StreamConfig(landing=f"{base}/landing", bronze=f"{base}/bronze",
+                        quarantine=f"{base}/quarantine", checkpoint=f"{base}/checkpoint")
+
+
+def _broken_messages(events):
+    from pyspark.sql import functions as F
+
+    return events.filter(F.col("event_type") == BROKEN_TYPE).select(
+        F.concat(F.lit('{"event_id": '), F.col("event_id").cast("string"), F.lit(", broken")).alias("value"))
+
+
+@register
+def stream_ingest_bronze(spark, sf_dir):
+    """Replay ``events`` as JSON files, drain the stream into Bronze and
+    summarise what landed per event type."""
+    from pyspark.sql import functions as F
+
+    from stratum.streaming.events import drain, events_as_json, land
+
+    cfg = _stream_cfg(spark)
+    land(events_as_json(tb.table(spark, sf_dir, "events")), cfg.landing, "batch-1")
+    drain(spark, cfg)
+    return (spark.read.parquet(cfg.bronze).groupBy("event_type")
+            .agg(F.count(F.lit(1)).alias("events"), F.count_distinct("user_id").alias("users"),
+                 F.round(F.sum("value"), 2).alias("value_sum")))
+
+
+@register
+def stream_quarantine(spark, sf_dir):
+    """Broken messages keep their raw text in the quarantine table."""
+    from stratum.streaming.events import RAW, drain, events_as_json, land
+
+    cfg = _stream_cfg(spark)
+    events = tb.table(spark, sf_dir, "events")
+    land(events_as_json(events).unionByName(_broken_messages(events)), cfg.landing, "batch-1")
+    drain(spark, cfg)
+    return spark.read.parquet(cfg.quarantine).select(RAW)
+
+
+@register
+def stream_rerun_idempotent(spark, sf_dir):
+    """Two landing waves and a rerun without new files: Bronze row count
+    after each drain (the rerun adds nothing)."""
+    from pyspark.sql import functions as F
+
+    from stratum.streaming.events import drain, events_as_json, land
+
+    cfg = _stream_cfg(spark)
+    events = tb.table(spark, sf_dir, "events")
+    early = F.col("ts") < F.lit(SECOND_WAVE_FROM).cast("timestamp_ntz")
+    counts = []
+    for run, wave in ((1, events.filter(early)), (2, events.filter(~early)), (3, None)):
+        if wave is not None:
+            land(events_as_json(wave), cfg.landing, f"batch-{run}")
+        drain(spark, cfg)
+        counts.append((run, spark.read.parquet(cfg.bronze).count()))
+    return spark.createDataFrame(counts, "run int, rows long")
