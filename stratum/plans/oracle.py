@@ -32,6 +32,8 @@ JOIN nation ON s_nationkey = n_nationkey
 JOIN region ON n_regionkey = r_regionkey
 WHERE s_acctbal >= 0"""
 
+DIMENSION_ALL = DIMENSION.replace("WHERE s_acctbal >= 0", "")
+
 _GOAL_COLS = ",\n       ".join(
     f"ROUND(CAST(100 AS DOUBLE) * COUNT(*) FILTER (WHERE year(l_shipdate) = {y - 1} AND l_returnflag = 'N')"
     f" / NULLIF(COUNT(*) FILTER (WHERE year(l_shipdate) = {y - 1}), 0), 2) AS meta_alfabetizacao_{y}"
@@ -105,6 +107,12 @@ def with_silver(body: str, *extra: str) -> str:
     return f"WITH {ctes}\n{body}"
 
 
+def with_silver_all(body: str, *extra: str) -> str:
+    """Silver over the dimension of every supplier."""
+    ctes = ",".join([SILVER_CTES.replace(f"({DIMENSION})", f"({DIMENSION_ALL})"), *extra])
+    return f"WITH {ctes}\n{body}"
+
+
 def snapshot(date: str, where: str = "") -> str:
     return (f"SELECT *, '{date}' AS _dt_ingestao, 'batch' AS _fonte, DATE '{date}' AS dt_ingestao"
             f" FROM ({INDICATOR}) i {where}")
@@ -255,4 +263,25 @@ SELECT '{"event_id": ' || CAST(event_id AS VARCHAR) || ', broken' AS _raw FROM e
 SELECT 1 AS run, COUNT(*) FILTER (WHERE ts < TIMESTAMP '2024-01-16') AS rows FROM events
 UNION ALL SELECT 2, COUNT(*) FROM events
 UNION ALL SELECT 3, COUNT(*) FROM events""",
+    "pipeline_gate": f"""
+WITH full_dim AS ({DIMENSION_ALL}), reg_dim AS ({DIMENSION}),
+ids AS (SELECT DISTINCT CAST(l_suppkey AS VARCHAR) AS id_municipio FROM lineitem),
+o AS (SELECT COUNT(*) FILTER (WHERE NOT EXISTS (SELECT 1 FROM full_dim d WHERE d.id_municipio = ids.id_municipio)) AS n_all,
+             COUNT(*) FILTER (WHERE NOT EXISTS (SELECT 1 FROM reg_dim d WHERE d.id_municipio = ids.id_municipio)) AS n_reg
+      FROM ids)
+SELECT 'all_suppliers' AS scenario, n_all = 0 AS gate_passed, n_all = 0 AS gold_written,
+       CASE WHEN n_all = 0 THEN '' ELSE 'validacao_chave_relacionamento' END AS failed_checks FROM o
+UNION ALL
+SELECT 'registered_suppliers', n_reg = 0, n_reg = 0,
+       CASE WHEN n_reg = 0 THEN '' ELSE 'validacao_chave_relacionamento' END FROM o""",
+    "run_metrics": with_silver_all(f"""
+SELECT 'ingest_batch_indicador' AS job, 'bronze' AS layer, COUNT(*) AS rows_processed FROM ({INDICATOR}) a
+UNION ALL SELECT 'ingest_batch_municipio', 'bronze', COUNT(*) FROM ({DIMENSION_ALL}) b
+UNION ALL SELECT 'ingest_batch_meta_municipio', 'bronze', COUNT(*) FROM ({GOALS_WIDE}) c
+UNION ALL SELECT 'transform_silver', 'silver', COUNT(*) FROM silver
+UNION ALL SELECT 'build_gold_indicador_por_municipio', 'gold', COUNT(*) FROM silver
+UNION ALL SELECT 'build_gold_meta_vs_resultado', 'gold', COUNT(*) FROM silver
+UNION ALL SELECT 'build_gold_evolucao_temporal_uf', 'gold', COUNT(*)
+  FROM (SELECT DISTINCT sigla_uf, nome_uf, ano FROM silver) g
+UNION ALL SELECT 'ingest_streaming', 'bronze', COUNT(*) FROM events"""),
 }

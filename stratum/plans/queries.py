@@ -401,3 +401,51 @@ def stream_rerun_idempotent(spark, sf_dir):
         drain(spark, cfg)
         counts.append((run, spark.read.parquet(cfg.bronze).count()))
     return spark.createDataFrame(counts, "run int, rows long")
+
+
+# ---------------------------------------------------------------- pipeline
+
+@register
+def pipeline_gate(spark, sf_dir):
+    """Whole pipeline twice: with every supplier registered the gate passes
+    and Gold is written; with only registered suppliers the orphan check
+    fails and Gold is not built.  Gold presence is read from storage."""
+    from pyspark.sql.utils import AnalysisException
+
+    from stratum.plans.gold import MARTS, mart_path
+    from stratum.plans.pipeline import run_pipeline
+    from stratum.session import scratch_path
+
+    rows = []
+    for scenario, registered_only in (("all_suppliers", False), ("registered_suppliers", True)):
+        res = run_pipeline(spark, tb.registry(sf_dir, registered_only=registered_only),
+                           scratch_path(spark, "pipeline"), EARLY_DATE, raise_on_gate=False,
+                           report=lambda _msg: None)
+        written = 0
+        for name in MARTS:
+            try:
+                spark.read.parquet(mart_path(res.layout.gold, name)).schema
+                written += 1
+            except AnalysisException:
+                pass
+        rows.append((scenario, res.gate_passed, written == len(MARTS), ",".join(res.failed_checks)))
+    return spark.createDataFrame(rows, "scenario string, gate_passed boolean, gold_written boolean,"
+                                       " failed_checks string")
+
+
+@register
+def run_metrics(spark, sf_dir):
+    """Rows counted by each job of a full run (plus a stream drain), read
+    back from the metrics table."""
+    from stratum.plans.pipeline import run_pipeline
+    from stratum.session import scratch_path
+    from stratum.sources.metrics import RunMetric, append_metrics
+    from stratum.streaming.events import drain, events_as_json, land
+
+    res = run_pipeline(spark, tb.registry(sf_dir, registered_only=False),
+                       scratch_path(spark, "pipeline"), EARLY_DATE, report=lambda _msg: None)
+    cfg = _stream_cfg(spark)
+    land(events_as_json(tb.table(spark, sf_dir, "events")), cfg.landing, "batch-1")
+    d = drain(spark, cfg)
+    append_metrics(spark, [RunMetric("ingest_streaming", "bronze", d.rows_in, 0.0, "")], res.layout.metrics)
+    return spark.read.parquet(res.layout.metrics).select("job", "layer", "rows_processed")

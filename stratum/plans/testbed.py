@@ -53,9 +53,13 @@ def indicator(spark: SparkSession, sf_dir: str, spec: IndicatorSpec = DEFAULT_SP
                               flag_yes=s.flag_yes, rate_decimals=s.rate_decimals)
 
 
-def dimension(spark: SparkSession, sf_dir: str, spec: IndicatorSpec = DEFAULT_SPEC) -> DataFrame:
+def dimension(spark: SparkSession, sf_dir: str, spec: IndicatorSpec = DEFAULT_SPEC, *,
+              registered_only: bool = True) -> DataFrame:
+    """Entity dimension; ``registered_only=False`` keeps every supplier."""
     s = spec
-    sup = table(spark, sf_dir, "supplier").filter(F.col("s_acctbal") >= 0)
+    sup = table(spark, sf_dir, "supplier")
+    if registered_only:
+        sup = sup.filter(F.col("s_acctbal") >= 0)
     nat = table(spark, sf_dir, "nation")
     reg = table(spark, sf_dir, "region")
     return (sup.join(nat, sup.s_nationkey == nat.n_nationkey)
@@ -77,11 +81,11 @@ def goals_wide(spark: SparkSession, sf_dir: str, spec: IndicatorSpec = DEFAULT_S
         *[share_pct(yes, year == F.lit(y - 1), 2).alias(f"{s.goal_prefix}{y}") for y in GOAL_YEARS])
 
 
-def registry(sf_dir: str, spec: IndicatorSpec = DEFAULT_SPEC):
+def registry(sf_dir: str, spec: IndicatorSpec = DEFAULT_SPEC, *, registered_only: bool = True):
     """Logical sources of the pipeline over the test tables."""
     from stratum.sources.registry import SourceRegistry
     return SourceRegistry({
         "indicador": lambda spark: indicator(spark, sf_dir, spec),
-        "municipio": lambda spark: dimension(spark, sf_dir, spec),
+        "municipio": lambda spark: dimension(spark, sf_dir, spec, registered_only=registered_only),
         "meta_municipio": lambda spark: goals_wide(spark, sf_dir, spec),
     })
