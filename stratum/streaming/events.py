@@ -94,6 +94,7 @@ def start(spark: SparkSession, cfg: StreamConfig, *, available_now: bool = True)
     queries = []
     for name, frame, path in (("bronze", valid_events(parsed, cfg), cfg.bronze),
                               ("quarantine", malformed_events(parsed, cfg), cfg.quarantine)):
+        frame = frame.observe(f"{name}_rows", F.count(F.lit(1)).alias("rows"))
         writer = (frame.writeStream.format("parquet")
                   .option("checkpointLocation", f"{cfg.checkpoint.rstrip('/')}/{name}")
                   .partitionBy(cfg.partition)
@@ -127,10 +128,17 @@ def drain(spark: SparkSession, cfg: StreamConfig, timeout_s: float = 600.0) -> D
             if q.isActive:
                 q.stop()
     bronze_q, quarantine_q = queries
-    out_rows = [sum(int(p.get("sink", {}).get("numOutputRows", 0) or 0) for p in q.recentProgress)
-                for q in queries]
-    rows_in = sum(int(p.get("numInputRows", 0) or 0) for p in bronze_q.recentProgress)
-    return DrainResult(rows_in, out_rows[0], out_rows[1])
+    rows_in = sum(int(p.numInputRows or 0) for p in bronze_q.recentProgress)
+    return DrainResult(rows_in, _observed_rows(bronze_q, "bronze_rows"),
+                       _observed_rows(quarantine_q, "quarantine_rows"))
+
+
+def _observed_rows(query, name: str) -> int:
+    total = 0
+    for p in query.recentProgress:
+        row = (p.observedMetrics or {}).get(name)
+        total += int(row["rows"]) if row is not None and row["rows"] is not None else 0
+    return total
 
 
 def events_as_json(events: DataFrame, schema: T.StructType = EVENT_SCHEMA) -> DataFrame:
