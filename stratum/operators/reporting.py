@@ -107,21 +107,32 @@ def national_evolution(evolution: DataFrame, spec: IndicatorSpec = DEFAULT_SPEC,
                      .orderBy(s.period))
 
 
+def latest_stats(ind: DataFrame, value: str, period: str) -> DataFrame:
+    """One row: the latest period with min / max / mean of ``value`` in it
+    (NULLs skipped).  Per-period partial aggregates, then ``max_by`` over the
+    handful of periods -- one pass, whatever the row count."""
+    per_period = ind.groupBy(period).agg(F.min(value).alias("lo"), F.max(value).alias("hi"),
+                                         F.avg(value).alias("mean"))
+    latest = per_period.agg(F.max_by(F.struct(period, "lo", "hi", "mean"), period).alias("s"))
+    return latest.select("s.*")
+
+
 def histogram(spark: SparkSession, ind: DataFrame, value: str, period: str, bins: int = 24) -> DataFrame:
     """Equal-width histogram of the latest period's non-NULL values.
 
     Edges span [min, max] (widened by 0.5 each side when min == max); a value
     on an inner edge goes to the upper bin and the last bin is closed.  Every
     bin is returned, empty ones with count 0, plus the mean of the values.
-    Bounds come from (merged) scalar subqueries; counting is one partial
-    aggregate; the bin list is a ``range`` of ``bins`` rows.
+    Period and bounds come from one aggregate (its four scalar subqueries are
+    merged by the optimizer); counting is one partial aggregate; the bin list
+    is a ``range`` of ``bins`` rows.
     """
-    vals = at_latest(ind, period).filter(F.col(value).isNotNull())
-    lo, hi = vals.select(F.min(value)).scalar(), vals.select(F.max(value)).scalar()
-    mean = vals.select(F.avg(value)).scalar()
+    stats = latest_stats(ind, value, period)
+    latest, lo, hi, mean = (stats.select(c).scalar() for c in (period, "lo", "hi", "mean"))
     lo_e = F.when(lo == hi, lo - F.lit(0.5)).otherwise(lo)
     hi_e = F.when(lo == hi, hi + F.lit(0.5)).otherwise(hi)
     width = hi_e - lo_e
+    vals = ind.filter((F.col(period) == latest) & F.col(value).isNotNull())
     binned = vals.select(F.least(F.floor((F.col(value) - lo_e) * F.lit(bins) / width) + 1,
                                  F.lit(bins)).cast("int").alias("bin"))
     counts = binned.groupBy("bin").agg(F.count(F.lit(1)).alias("count"))
