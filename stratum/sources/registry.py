@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -42,3 +43,12 @@ class SourceRegistry:
 
     def read_many(self, spark: SparkSession, keys: Iterable[str]) -> dict[str, DataFrame]:
         return {k: self.read(spark, k) for k in keys}
+
+    def read_union(self, spark: SparkSession, keys: Iterable[str], *,
+                   allow_missing_columns: bool = False) -> DataFrame:
+        """Several sources of the same table as one DataFrame (UNION ALL by
+        column name; no shuffle)."""
+        frames = [self.read(spark, k) for k in keys]
+        if not frames:
+            raise ValueError("no sources to union")
+        return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=allow_missing_columns), frames)

@@ -205,3 +205,26 @@ def test_normalize_keys_types(spark):
     out = normalize_keys(df, entity=S.entity, region=S.region, period=S.period)
     assert dict(out.dtypes) == {"id_municipio": "string", "sigla_uf": "string", "ano": "int"}
     assert rows(out) == [("1", "RJ", None), ("35", "SP", 2024)]
+
+
+def test_registry_select_and_union(spark):
+    reg = SourceRegistry({"a": lambda s: s.createDataFrame([("1", 1)], "k string, v int"),
+                          "b": lambda s: s.createDataFrame([(2, "2")], "v int, k string")})
+    assert reg.select("all") == ["a", "b"] and reg.select("a") == ["a"]
+    with pytest.raises(KeyError):
+        reg.select("zzz")
+    assert rows(reg.read_union(spark, ["a", "b"])) == [("1", 1), ("2", 2)]
+
+
+def test_stream_continuous_run_resumes_from_checkpoint(spark):
+    from stratum.streaming.events import StreamConfig, drain, land, run_for
+
+    base = scratch_path(spark, "cont")
+    cfg = StreamConfig(landing=f"{base}/in", bronze=f"{base}/b", quarantine=f"{base}/q",
+                       checkpoint=f"{base}/c", trigger_interval="1 second")
+    land(spark.createDataFrame([('{"event_id": 1}',), ('{"event_id": 2}',)], "value string"), cfg.landing, "b1")
+    run_for(spark, cfg, 8)
+    assert spark.read.parquet(cfg.bronze).count() == 2
+    land(spark.createDataFrame([('{"event_id": 3}',)], "value string"), cfg.landing, "b2")
+    assert drain(spark, cfg).bronze_rows == 1
+    assert spark.read.parquet(cfg.bronze).count() == 3
