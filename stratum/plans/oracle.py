@@ -263,7 +263,7 @@ SELECT '{"event_id": ' || CAST(event_id AS VARCHAR) || ', broken' AS _raw FROM e
 SELECT 1 AS run, COUNT(*) FILTER (WHERE ts < TIMESTAMP '2024-01-16') AS rows FROM events
 UNION ALL SELECT 2, COUNT(*) FROM events
 UNION ALL SELECT 3, COUNT(*) FROM events""",
-    "pipeline_gate": f"""
+    "quality_gate_run": f"""
 WITH full_dim AS ({DIMENSION_ALL}), reg_dim AS ({DIMENSION}),
 ids AS (SELECT DISTINCT CAST(l_suppkey AS VARCHAR) AS id_municipio FROM lineitem),
 o AS (SELECT COUNT(*) FILTER (WHERE NOT EXISTS (SELECT 1 FROM full_dim d WHERE d.id_municipio = ids.id_municipio)) AS n_all,

@@ -406,7 +406,7 @@ def stream_rerun_idempotent(spark, sf_dir):
 # ---------------------------------------------------------------- pipeline
 
 @register
-def pipeline_gate(spark, sf_dir):
+def quality_gate_run(spark, sf_dir):
     """Whole pipeline twice: with every supplier registered the gate passes
     and Gold is written; with only registered suppliers the orphan check
     fails and Gold is not built.  Gold presence is read from storage."""
