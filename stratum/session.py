@@ -41,7 +41,13 @@ def shared_dir(spark: SparkSession) -> str:
     Uses the session's checkpoint directory (``spark.checkpoint.dir``).  Only
     when none is configured -- local tests -- a fresh one is created.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - e.g. a Spark Connect session has no SparkContext
+        sc = None
+    if sc is None:
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        return (configured or tempfile.mkdtemp(prefix="stratum-ckpt-")).rstrip("/")
     current = sc.getCheckpointDir()
     if current is None:
         configured = sc.getConf().get("spark.checkpoint.dir", None)
