@@ -89,13 +89,17 @@ def kpi_summary(silver: DataFrame, spec: IndicatorSpec = DEFAULT_SPEC) -> DataFr
 def region_vs_mean(evolution: DataFrame, spec: IndicatorSpec = DEFAULT_SPEC,
                    rate: str = REGION_RATE) -> DataFrame:
     """Latest-period regions, ascending by mean (NULLs last), with the mean of
-    the region means and whether each region is at or above it."""
+    the region means and whether each region is at or above it.
+
+    The mean is a one-row aggregate attached by an equi-join on the period
+    (a broadcast of exactly one row), not a scalar subquery per use.
+    """
     s = spec
     now = at_latest(evolution, s.period)
-    mean = now.select(F.avg(rate)).scalar()
-    return (now.select(s.region, s.region_name, s.period, rate,
-                       mean.alias(MEAN_OF_REGIONS),
-                       F.coalesce(F.col(rate) >= mean, F.lit(False)).alias(ABOVE_MEAN))
+    mean = now.groupBy(s.period).agg(F.avg(rate).alias(MEAN_OF_REGIONS))
+    return (now.join(F.broadcast(mean), s.period)
+               .select(s.region, s.region_name, s.period, rate, MEAN_OF_REGIONS,
+                       F.coalesce(F.col(rate) >= F.col(MEAN_OF_REGIONS), F.lit(False)).alias(ABOVE_MEAN))
                .orderBy(F.asc_nulls_last(rate), F.asc_nulls_last(s.region)))
 
 
@@ -123,26 +127,33 @@ def histogram(spark: SparkSession, ind: DataFrame, value: str, period: str, bins
     Edges span [min, max] (widened by 0.5 each side when min == max); a value
     on an inner edge goes to the upper bin and the last bin is closed.  Every
     bin is returned, empty ones with count 0, plus the mean of the values.
-    Period and bounds come from one aggregate (its four scalar subqueries are
-    merged by the optimizer); counting is one partial aggregate; the bin list
-    is a ``range`` of ``bins`` rows.
+
+    Plan: the latest period is a scalar-subquery filter (a partition filter
+    on a table partitioned by period); one aggregate over those rows gives
+    the bounds (exactly one row), attached to the values by an equi-join on
+    the period against a broadcast of that row; a partial aggregate counts
+    per bin; the bin list is the same row exploded into ``bins`` rows.
     """
-    stats = latest_stats(ind, value, period)
-    latest, lo, hi, mean = (stats.select(c).scalar() for c in (period, "lo", "hi", "mean"))
-    lo_e = F.when(lo == hi, lo - F.lit(0.5)).otherwise(lo)
-    hi_e = F.when(lo == hi, hi + F.lit(0.5)).otherwise(hi)
-    width = hi_e - lo_e
-    vals = ind.filter((F.col(period) == latest) & F.col(value).isNotNull())
-    binned = vals.select(F.least(F.floor((F.col(value) - lo_e) * F.lit(bins) / width) + 1,
-                                 F.lit(bins)).cast("int").alias("bin"))
-    counts = binned.groupBy("bin").agg(F.count(F.lit(1)).alias("count"))
-    grid = spark.range(1, bins + 1).select(F.col("id").cast("int").alias("bin"))
+    now = at_latest(ind, period)
+    stats = latest_stats(now, value, period)
+    same = F.col("lo") == F.col("hi")
+    edges = stats.select(period,
+                         F.when(same, F.col("lo") - F.lit(0.5)).otherwise(F.col("lo")).alias("_lo"),
+                         F.when(same, F.col("hi") + F.lit(0.5)).otherwise(F.col("hi")).alias("_hi"),
+                         "mean")
+    width = F.col("_hi") - F.col("_lo")
+    vals = now.select(period, value).filter(F.col(value).isNotNull()) \
+        .join(F.broadcast(edges.select(period, "_lo", "_hi")), period)
+    counts = (vals.select(F.least(F.floor((F.col(value) - F.col("_lo")) * F.lit(bins) / width) + 1,
+                                  F.lit(bins)).cast("int").alias("bin"))
+                  .groupBy("bin").agg(F.count(F.lit(1)).alias("count")))
+    grid = edges.select(F.explode(F.sequence(F.lit(1), F.lit(bins))).alias("bin"), "_lo", "_hi", "mean")
     return (grid.join(counts, "bin", "left")
                 .select("bin",
-                        (lo_e + (F.col("bin") - 1) * width / F.lit(bins)).alias("bin_start"),
-                        (lo_e + F.col("bin") * width / F.lit(bins)).alias("bin_end"),
+                        (F.col("_lo") + (F.col("bin") - 1) * width / F.lit(bins)).alias("bin_start"),
+                        (F.col("_lo") + F.col("bin") * width / F.lit(bins)).alias("bin_end"),
                         F.coalesce(F.col("count"), F.lit(0)).cast("long").alias("count"),
-                        mean.alias("mean")))
+                        "mean"))
 
 
 def worst_gap_topk(goal_vs: DataFrame, spec: IndicatorSpec = DEFAULT_SPEC, k: int = 10) -> DataFrame:
