@@ -2,6 +2,7 @@
 
 from stratum.functions.columns import (
     entity_label,
+    exact_mean,
     goal_hit,
     normalized_region,
     out_of_range,
@@ -13,6 +14,7 @@ from stratum.functions.columns import (
 
 __all__ = [
     "entity_label",
+    "exact_mean",
     "goal_hit",
     "normalized_region",
     "out_of_range",

@@ -47,6 +47,20 @@ def share_pct(condition: Column, denominator_condition: Column | None = None,
     return F.round(F.try_divide(F.lit(100.0) * num, den), decimals)
 
 
+def exact_mean(c: str | Column, scale: int) -> Column:
+    """Aggregate: mean of a column whose values have at most ``scale``
+    decimals (e.g. rates already rounded to 4).
+
+    The sum is exact (decimal), so the result does not depend on how rows
+    are split over partitions or in what order partial sums merge -- reruns
+    give the same bits.  One division, as double; NULLs are skipped, no
+    rows gives NULL.
+    """
+    v = _col(c)
+    total = F.sum(v.cast(f"decimal(38,{scale})")).cast("double")
+    return F.try_divide(total, F.count(v))
+
+
 def goal_hit(gap: str | Column) -> Column:
     """``gap >= 0``, with a NULL gap counted as a miss (False, not NULL)."""
     return F.coalesce(_col(gap) >= F.lit(0), F.lit(False))

@@ -29,6 +29,7 @@ def goal_vs_result(silver: DataFrame, spec: IndicatorSpec = DEFAULT_SPEC) -> Dat
 REGION_RATE = "percentual_alfabetizado_medio"
 REGION_SCORE = "proficiencia_media_uf"
 REGION_COUNT = "qtd_municipios"
+REGION_DECIMALS = 2
 
 
 def region_evolution(silver: DataFrame, spec: IndicatorSpec = DEFAULT_SPEC, *,
@@ -37,8 +38,8 @@ def region_evolution(silver: DataFrame, spec: IndicatorSpec = DEFAULT_SPEC, *,
     the number of non-NULL entity rows."""
     s = spec
     out = silver.groupBy(s.region, s.region_name, s.period).agg(
-        F.round(F.avg(s.rate), 2).alias(REGION_RATE),
-        F.round(F.avg(s.score), 2).alias(REGION_SCORE),
+        F.round(F.avg(s.rate), REGION_DECIMALS).alias(REGION_RATE),
+        F.round(F.avg(s.score), REGION_DECIMALS).alias(REGION_SCORE),
         F.count(s.entity).alias(REGION_COUNT),
     )
     return out.orderBy(s.region, s.period) if ordered else out

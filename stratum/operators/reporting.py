@@ -11,8 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratum.functions import entity_label
-from stratum.operators.marts import REGION_RATE
+from stratum.functions import entity_label, exact_mean
+from stratum.operators.marts import REGION_DECIMALS, REGION_RATE
 from stratum.spec import DEFAULT_SPEC, IndicatorSpec
 
 # KPI and report column names of the reference's dashboard.
@@ -56,7 +56,7 @@ def national_means(ind: DataFrame, spec: IndicatorSpec = DEFAULT_SPEC) -> DataFr
     s = spec
     return at_latest(ind, s.period).agg(
         F.max(s.period).alias(LATEST),
-        F.avg(s.rate).alias(NATIONAL_RATE),
+        exact_mean(s.rate, s.rate_decimals).alias(NATIONAL_RATE),
         F.avg(s.score).alias(NATIONAL_SCORE))
 
 
@@ -80,7 +80,7 @@ def kpi_summary(silver: DataFrame, spec: IndicatorSpec = DEFAULT_SPEC) -> DataFr
         F.count_distinct(s.entity).alias(TOTAL_ENTITIES),
         F.concat_ws(RANGE_SEPARATOR, F.min(s.period).cast("string"),
                     F.max(s.period).cast("string")).alias(PERIOD_RANGE),
-        F.avg(F.when(now, F.col(s.rate))).alias(NATIONAL_RATE),
+        exact_mean(F.when(now, F.col(s.rate)), s.rate_decimals).alias(NATIONAL_RATE),
         F.avg(F.when(now, F.col(s.score))).alias(NATIONAL_SCORE),
         (F.lit(100.0) * F.avg(F.when(now, hit))).alias(HIT_SHARE),
         F.max(s.period).alias(LATEST))
@@ -96,7 +96,7 @@ def region_vs_mean(evolution: DataFrame, spec: IndicatorSpec = DEFAULT_SPEC,
     """
     s = spec
     now = at_latest(evolution, s.period)
-    mean = now.groupBy(s.period).agg(F.avg(rate).alias(MEAN_OF_REGIONS))
+    mean = now.groupBy(s.period).agg(exact_mean(rate, REGION_DECIMALS).alias(MEAN_OF_REGIONS))
     return (now.join(F.broadcast(mean), s.period)
                .select(s.region, s.region_name, s.period, rate, MEAN_OF_REGIONS,
                        F.coalesce(F.col(rate) >= F.col(MEAN_OF_REGIONS), F.lit(False)).alias(ABOVE_MEAN))
@@ -107,21 +107,24 @@ def national_evolution(evolution: DataFrame, spec: IndicatorSpec = DEFAULT_SPEC,
                        rate: str = REGION_RATE) -> DataFrame:
     """Per period: mean of the (already rounded) region means."""
     s = spec
-    return (evolution.groupBy(s.period).agg(F.avg(rate).alias(rate))
+    return (evolution.groupBy(s.period).agg(exact_mean(rate, REGION_DECIMALS).alias(rate))
                      .orderBy(s.period))
 
 
-def latest_stats(ind: DataFrame, value: str, period: str) -> DataFrame:
+def latest_stats(ind: DataFrame, value: str, period: str, mean_scale: int | None = None) -> DataFrame:
     """One row: the latest period with min / max / mean of ``value`` in it
     (NULLs skipped).  Per-period partial aggregates, then ``max_by`` over the
-    handful of periods -- one pass, whatever the row count."""
+    handful of periods -- one pass, whatever the row count.  With
+    ``mean_scale`` the mean is exact (see ``exact_mean``)."""
+    mean = F.avg(value) if mean_scale is None else exact_mean(value, mean_scale)
     per_period = ind.groupBy(period).agg(F.min(value).alias("lo"), F.max(value).alias("hi"),
-                                         F.avg(value).alias("mean"))
+                                         mean.alias("mean"))
     latest = per_period.agg(F.max_by(F.struct(period, "lo", "hi", "mean"), period).alias("s"))
     return latest.select("s.*")
 
 
-def histogram(spark: SparkSession, ind: DataFrame, value: str, period: str, bins: int = 24) -> DataFrame:
+def histogram(spark: SparkSession, ind: DataFrame, value: str, period: str, bins: int = 24,
+              mean_scale: int | None = None) -> DataFrame:
     """Equal-width histogram of the latest period's non-NULL values.
 
     Edges span [min, max] (widened by 0.5 each side when min == max); a value
@@ -135,7 +138,7 @@ def histogram(spark: SparkSession, ind: DataFrame, value: str, period: str, bins
     per bin; the bin list is the same row exploded into ``bins`` rows.
     """
     now = at_latest(ind, period)
-    stats = latest_stats(now, value, period)
+    stats = latest_stats(now, value, period, mean_scale)
     same = F.col("lo") == F.col("hi")
     edges = stats.select(period,
                          F.when(same, F.col("lo") - F.lit(0.5)).otherwise(F.col("lo")).alias("_lo"),

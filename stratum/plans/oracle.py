@@ -98,6 +98,12 @@ orphans AS (
   WHERE NOT EXISTS (SELECT 1 FROM ({DIMENSION}) d WHERE d.id_municipio = c.id_municipio))"""
 
 
+def exact_mean(expr: str, scale: int) -> str:
+    """Mean from an exact decimal sum and one division (see
+    ``stratum.functions.exact_mean``)."""
+    return f"CAST(SUM(CAST({expr} AS DECIMAL(38,{scale}))) AS DOUBLE) / NULLIF(COUNT({expr}), 0)"
+
+
 def _pct(nulls: str, total: str = "t") -> str:
     return f"ROUND(COALESCE({nulls} / NULLIF({total}, 0) * 100, 0.0), 2)"
 
@@ -209,40 +215,41 @@ agg AS (SELECT SUM(n) AS t, SUM(n) - COUNT(*) AS dup, SUM(n0) AS n0, SUM(n1) AS
 SELECT COUNT(DISTINCT id_municipio) AS total_municipios, MIN(ano) AS primeiro_ano, MAX(ano) AS ultimo_ano,
        CAST(MIN(ano) AS VARCHAR) || '–' || CAST(MAX(ano) AS VARCHAR) AS anos_cobertos
 FROM silver"""),
-    "kpi_national_mean": with_silver("""
-SELECT MAX(ano) AS ultimo_ano, AVG(percentual_alfabetizado) AS percentual_medio_nacional,
+    "kpi_national_mean": with_silver(f"""
+SELECT MAX(ano) AS ultimo_ano, {exact_mean('percentual_alfabetizado', 4)} AS percentual_medio_nacional,
        AVG(proficiencia_media) AS proficiencia_media_nacional
 FROM silver WHERE ano = (SELECT MAX(ano) FROM silver)"""),
     "kpi_hit_share": with_silver("""
 SELECT MAX(ano) AS ultimo_ano, 100.0 * AVG(CAST(atingiu_meta AS INTEGER)) AS pct_municipios_atingiu_meta
 FROM gold_goal WHERE ano = (SELECT MAX(ano) FROM gold_goal)""", GOLD_GOAL),
-    "kpi_summary": with_silver("""
+    "kpi_summary": with_silver(f"""
 SELECT COUNT(DISTINCT id_municipio) AS total_municipios,
        CAST(MIN(ano) AS VARCHAR) || '–' || CAST(MAX(ano) AS VARCHAR) AS anos_cobertos,
-       AVG(CASE WHEN ano = (SELECT MAX(ano) FROM silver) THEN percentual_alfabetizado END) AS percentual_medio_nacional,
+       {exact_mean('CASE WHEN ano = (SELECT MAX(ano) FROM silver) THEN percentual_alfabetizado END', 4)}
+         AS percentual_medio_nacional,
        AVG(CASE WHEN ano = (SELECT MAX(ano) FROM silver) THEN proficiencia_media END) AS proficiencia_media_nacional,
        100.0 * AVG(CASE WHEN ano = (SELECT MAX(ano) FROM silver)
                         THEN CAST(COALESCE(percentual_alfabetizado - meta_percentual >= 0, false) AS INTEGER) END)
          AS pct_municipios_atingiu_meta,
        MAX(ano) AS ultimo_ano
 FROM silver"""),
-    "kpi_region_vs_mean": with_silver("""
+    "kpi_region_vs_mean": with_silver(f"""
 SELECT sigla_uf, nome_uf, ano, percentual_alfabetizado_medio,
-       (SELECT AVG(percentual_alfabetizado_medio) FROM now) AS media_nacional,
-       COALESCE(percentual_alfabetizado_medio >= (SELECT AVG(percentual_alfabetizado_medio) FROM now), false)
-         AS acima_media
+       (SELECT {exact_mean('percentual_alfabetizado_medio', 2)} FROM now) AS media_nacional,
+       COALESCE(percentual_alfabetizado_medio >= (SELECT {exact_mean('percentual_alfabetizado_medio', 2)} FROM now),
+                false) AS acima_media
 FROM now ORDER BY percentual_alfabetizado_medio ASC NULLS LAST, sigla_uf ASC NULLS LAST""", GOLD_REGION, """
 now AS (SELECT * FROM gold_region WHERE ano = (SELECT MAX(ano) FROM gold_region))"""),
-    "kpi_national_evolution": with_silver("""
-SELECT ano, AVG(percentual_alfabetizado_medio) AS percentual_alfabetizado_medio
+    "kpi_national_evolution": with_silver(f"""
+SELECT ano, {exact_mean('percentual_alfabetizado_medio', 2)} AS percentual_alfabetizado_medio
 FROM gold_region GROUP BY ano ORDER BY ano""", GOLD_REGION),
-    "kpi_distribution": with_silver("""
+    "kpi_distribution": with_silver(f"""
 SELECT g.bin, lo_e + (g.bin - 1) * (hi_e - lo_e) / 24 AS bin_start, lo_e + g.bin * (hi_e - lo_e) / 24 AS bin_end,
        CAST(COALESCE(c.n, 0) AS BIGINT) AS count, mean
-FROM grid g LEFT JOIN counts c ON g.bin = c.bin CROSS JOIN edges""", """
+FROM grid g LEFT JOIN counts c ON g.bin = c.bin CROSS JOIN edges""", f"""
 vals AS (SELECT percentual_alfabetizado AS v FROM silver
          WHERE ano = (SELECT MAX(ano) FROM silver) AND percentual_alfabetizado IS NOT NULL),
-bounds AS (SELECT MIN(v) AS lo, MAX(v) AS hi, AVG(v) AS mean FROM vals),
+bounds AS (SELECT MIN(v) AS lo, MAX(v) AS hi, {exact_mean('v', 4)} AS mean FROM vals),
 edges AS (SELECT CASE WHEN lo = hi THEN lo - 0.5 ELSE lo END AS lo_e,
                  CASE WHEN lo = hi THEN hi + 0.5 ELSE hi END AS hi_e, mean FROM bounds),
 counts AS (SELECT CAST(LEAST(FLOOR((v - lo_e) * 24 / (hi_e - lo_e)) + 1, 24) AS INTEGER) AS bin, COUNT(*) AS n

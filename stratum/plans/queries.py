@@ -321,7 +321,7 @@ def kpi_distribution(spark, sf_dir):
     from stratum.operators import reporting as rp
 
     ind = marts.indicator_by_entity(silver(spark, sf_dir), ordered=False)
-    return rp.histogram(spark, ind, S.rate, S.period, bins=24)
+    return rp.histogram(spark, ind, S.rate, S.period, bins=24, mean_scale=S.rate_decimals)
 
 
 @register
