@@ -73,8 +73,8 @@ def run_checks(spark: SparkSession, layout: Layout, spec: IndicatorSpec = DEFAUL
     return table_checks(
         read_silver(spark, layout.silver, s),
         read_bronze(spark, layout.bronze, DIMENSION, latest=False, spec=s),
-        keys=[s.entity, s.period], missing_cols=list(s.metrics), range_col=s.rate,
-        orphan_keys_cols=[s.entity], missing_limit=s.missing_limit_pct,
+        keys=s.keys_of("silver"), missing_cols=list(s.metrics), range_col=s.rate,
+        orphan_keys_cols=s.keys_of("municipio"), missing_limit=s.missing_limit_pct,
         low=s.range_low, high=s.range_high, tolerance=s.range_tolerance)
 
 

@@ -257,8 +257,8 @@ def _silver_checks(spark, sf_dir):
     from stratum.operators import quality as dq
 
     return dq.table_checks(
-        silver(spark, sf_dir), tb.dimension(spark, sf_dir), keys=[S.entity, S.period],
-        missing_cols=list(S.metrics), range_col=S.rate, orphan_keys_cols=[S.entity],
+        silver(spark, sf_dir), tb.dimension(spark, sf_dir), keys=S.keys_of("silver"),
+        missing_cols=list(S.metrics), range_col=S.rate, orphan_keys_cols=S.keys_of("municipio"),
         missing_limit=S.missing_limit_pct, low=S.range_low, high=S.range_high,
         tolerance=S.range_tolerance)
 

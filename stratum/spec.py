@@ -49,6 +49,7 @@ class IndicatorSpec:
         "indicador": ("id_municipio", "ano"),
         "municipio": ("id_municipio",),
         "meta_municipio": ("id_municipio",),
+        "silver": ("id_municipio", "ano"),
     })
 
     @property
@@ -60,6 +61,10 @@ class IndicatorSpec:
         """Keys whose all-NULL rows are dropped by cleaning (T3)."""
         return (self.entity, self.period)
 
+    def keys_of(self, table: str) -> list[str]:
+        """Natural key of a logical table (drives the duplicate check)."""
+        return list(self.natural_keys[table])
+
     def null_flag(self, metric: str) -> str:
         return f"{metric}{self.null_flag_suffix}"
 
