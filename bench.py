@@ -36,7 +36,8 @@ HEADLINE = [
 ]
 
 
-def run_once(spark, name: str, sf_dir: str) -> float:
+def run_once(spark, name: str, sf_dir: str, tag: str = "") -> float:
+    spark.sparkContext.setJobGroup(f"{name}{tag}", name)
     t0 = time.perf_counter()
     Q.REGISTRY[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
     return time.perf_counter() - t0
@@ -47,15 +48,20 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     repeats = int(os.environ.get("BENCH_REPEATS", "3"))
     names = os.environ.get("BENCH_QUERIES", ",".join(HEADLINE)).split(",")
-    spark = get_session(f"local[{cpus}]", app="stratum-bench", conf={
+    conf = {
         "spark.sql.shuffle.partitions": cpus,
         "spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g"),
-    })
+    }
+    event_dir = os.environ.get("BENCH_EVENT_LOG_DIR")
+    if event_dir:  # per-stage times and shuffle bytes: scripts/stage_report.py
+        conf.update({"spark.eventLog.enabled": "true", "spark.eventLog.dir": event_dir})
+    spark = get_session(f"local[{cpus}]", app="stratum-bench", conf=conf)
     for name in names:
-        run_once(spark, name, sf_dir)
+        run_once(spark, name, sf_dir, ":warmup")
     per_query = {}
     for name in names:
-        per_query[name] = round(statistics.median(run_once(spark, name, sf_dir) for _ in range(repeats)), 3)
+        per_query[name] = round(statistics.median(run_once(spark, name, sf_dir, f":{i}")
+                                                  for i in range(repeats)), 3)
     spark.stop()
     sf = Path(sf_dir).name.removeprefix("sf")
     print(json.dumps({"metric": "sum_of_median_query_seconds", "value": round(sum(per_query.values()), 3),

@@ -29,6 +29,20 @@ def silver(spark: SparkSession, sf_dir: str, processed_at: bool = False) -> Data
                         tb.goals_wide(spark, sf_dir), S, processed_at=processed_at)
 
 
+def silver_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver computed once and checkpointed to the shared checkpoint folder.
+
+    Report queries read Silver more than once (the latest-period scalar
+    subquery plus the main pass); without this each pass would re-run the
+    aggregation over the full microdata.  The checkpoint is reliable storage
+    (survives executor loss) and holds the aggregated table only.
+    """
+    from stratum.session import shared_dir
+
+    shared_dir(spark)
+    return silver(spark, sf_dir).checkpoint(eager=True)
+
+
 @register
 def bronze_weighted_indicator(spark, sf_dir):
     return tb.indicator(spark, sf_dir)
@@ -270,8 +284,9 @@ def dq_report(spark, sf_dir):
 
 # ---------------------------------------------------------------- reporting
 
-def _evolution(spark, sf_dir):
-    return marts.region_evolution(silver(spark, sf_dir), ordered=False)
+def _evolution(spark, sf_dir, once=False):
+    base = silver_once(spark, sf_dir) if once else silver(spark, sf_dir)
+    return marts.region_evolution(base, ordered=False)
 
 
 @register
@@ -285,28 +300,28 @@ def kpi_coverage(spark, sf_dir):
 def kpi_national_mean(spark, sf_dir):
     from stratum.operators import reporting as rp
 
-    return rp.national_means(marts.indicator_by_entity(silver(spark, sf_dir), ordered=False))
+    return rp.national_means(marts.indicator_by_entity(silver_once(spark, sf_dir), ordered=False))
 
 
 @register
 def kpi_hit_share(spark, sf_dir):
     from stratum.operators import reporting as rp
 
-    return rp.hit_share(marts.goal_vs_result(silver(spark, sf_dir)))
+    return rp.hit_share(marts.goal_vs_result(silver_once(spark, sf_dir)))
 
 
 @register
 def kpi_summary(spark, sf_dir):
     from stratum.operators import reporting as rp
 
-    return rp.kpi_summary(silver(spark, sf_dir))
+    return rp.kpi_summary(silver_once(spark, sf_dir))
 
 
 @register
 def kpi_region_vs_mean(spark, sf_dir):
     from stratum.operators import reporting as rp
 
-    return rp.region_vs_mean(_evolution(spark, sf_dir))
+    return rp.region_vs_mean(_evolution(spark, sf_dir, once=True))
 
 
 @register
@@ -320,7 +335,7 @@ def kpi_national_evolution(spark, sf_dir):
 def kpi_distribution(spark, sf_dir):
     from stratum.operators import reporting as rp
 
-    ind = marts.indicator_by_entity(silver(spark, sf_dir), ordered=False)
+    ind = marts.indicator_by_entity(silver_once(spark, sf_dir), ordered=False)
     return rp.histogram(spark, ind, S.rate, S.period, bins=24, mean_scale=S.rate_decimals)
 
 
@@ -328,7 +343,7 @@ def kpi_distribution(spark, sf_dir):
 def kpi_worst_gap_topk(spark, sf_dir):
     from stratum.operators import reporting as rp
 
-    return rp.worst_gap_topk(marts.goal_vs_result(silver(spark, sf_dir)), k=10)
+    return rp.worst_gap_topk(marts.goal_vs_result(silver_once(spark, sf_dir)), k=10)
 
 
 # ---------------------------------------------------------------- streaming

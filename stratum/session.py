@@ -15,6 +15,8 @@ DEFAULT_CONF = {
     "spark.sql.parquet.compression.codec": "snappy",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # remove checkpoint files once their DataFrame is garbage-collected
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
