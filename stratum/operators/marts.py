@@ -26,6 +26,8 @@ def goal_vs_result(silver: DataFrame, spec: IndicatorSpec = DEFAULT_SPEC) -> Dat
     )
 
 
+# Output columns of the regional-evolution mart and the
+# rounding of its means.
 REGION_RATE = "percentual_alfabetizado_medio"
 REGION_SCORE = "proficiencia_media_uf"
 REGION_COUNT = "qtd_municipios"

@@ -11,6 +11,7 @@ from stratum.sources.layers import read_silver, write_gold
 from stratum.sources.metrics import RunMetric, observed_write
 from stratum.spec import DEFAULT_SPEC, IndicatorSpec
 
+# Names of the three marts.
 MARTS: dict[str, Callable[[DataFrame, IndicatorSpec], DataFrame]] = {
     "gold_indicador_por_municipio": marts.indicator_by_entity,
     "gold_meta_vs_resultado": marts.goal_vs_result,

@@ -12,6 +12,9 @@ from dataclasses import dataclass, field
 
 @dataclass(frozen=True)
 class IndicatorSpec:
+    # The column names below are those of the reproduced
+    # pipeline's tables, so that its Silver, Gold and check outputs keep
+    # their schemas.  Other deployments override them.
     entity: str = "id_municipio"
     period: str = "ano"
     region: str = "sigla_uf"
