@@ -36,7 +36,15 @@ def test_cli_stages(spark, tmp_path):
     dim = tb.dimension(spark, SF, registered_only=False)
     dim.filter(dim.id_municipio != "0").write.parquet(sources["municipio"]["path"])
     cfg.write_text(json.dumps(sources))
+    base2 = scratch_path(spark, "cli2")
     with contextlib.redirect_stdout(io.StringIO()):
-        code = main(["run", "--base", scratch_path(spark, "cli2"), "--sources", str(cfg),
-                     "--date", "2024-01-01"], spark=spark)
+        code = main(["run", "--base", base2, "--sources", str(cfg), "--date", "2024-01-01"], spark=spark)
     assert code == 2
+    # T22: the gate sits after the Silver write -- Silver is there, Gold is not
+    from stratum.plans.pipeline import Layout
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(base2) \
+        .select("path").collect()
+    paths = [r.path for r in files if r.path.endswith(".parquet")]
+    layout = Layout(base2)
+    assert any(layout.silver in p for p in paths)
+    assert not any(layout.gold in p for p in paths)

@@ -228,3 +228,24 @@ def test_stream_continuous_run_resumes_from_checkpoint(spark):
     land(spark.createDataFrame([('{"event_id": 3}',)], "value string"), cfg.landing, "b2")
     assert drain(spark, cfg).bronze_rows == 1
     assert spark.read.parquet(cfg.bronze).count() == 3
+
+
+def test_t19_orphan_check_sees_every_ingestion_date(spark):
+    from stratum.plans.pipeline import Layout, run_checks
+    from stratum.operators.quality import collect_results, ORPHANS
+
+    layout = Layout(scratch_path(spark, "t19"))
+    dim = "id_municipio string, nome string, sigla_uf string, nome_uf string"
+    write_snapshot(spark.createDataFrame([("x", "X", "sp", "S"), ("y", "Y", "rj", "R")], dim),
+                   layout.bronze, "municipio", "2024-01-01", "b")
+    write_snapshot(spark.createDataFrame([("y", "Y", "rj", "R")], dim),
+                   layout.bronze, "municipio", "2024-01-02", "b")
+    ind, _, wide = _silver_inputs(spark)
+    silver = build_silver(ind.filter(F.col("id_municipio").isin("1", "2")).replace({"1": "x", "2": "y"}),
+                          read_bronze(spark, layout.bronze, "municipio"), wide)
+    write_silver(silver, layout.silver)
+    res = {r.name: r for r in collect_results(run_checks(spark, layout))}
+    # "x" is only in the older snapshot: Silver has no name for it, yet it is no orphan
+    assert res[ORPHANS].metrics["orfaos"] == 0
+    names = {r.id_municipio: r.nome_municipio for r in read_silver(spark, layout.silver).collect()}
+    assert names == {"x": None, "y": "Y"}
