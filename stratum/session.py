@@ -37,6 +37,28 @@ def get_session(master: str | None = None, app: str = "stratum",
     return spark
 
 
+def scale_conf(input_bytes: int, total_cores: int, *, shuffle_fraction: float = 0.3,
+               target_partition_bytes: int = 256 * 1024 ** 2) -> dict[str, str]:
+    """Shuffle and split sizing for a run over ``input_bytes`` of Parquet.
+
+    ``shuffle_fraction`` is the expected shuffle volume relative to the
+    input (the unclustered microdata aggregate is the worst case: roughly
+    the projected columns).  The initial shuffle partition count targets
+    ``target_partition_bytes`` per partition -- never fewer than 3 waves of
+    the cores -- and AQE coalesces small ones afterwards; skewed partitions
+    are split by the skew-join and rebalance rules.
+    """
+    shuffle_bytes = max(int(input_bytes * shuffle_fraction), 1)
+    partitions = max(3 * total_cores, -(-shuffle_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes // 2),
+        "spark.sql.files.maxPartitionBytes": str(256 * 1024 ** 2),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(2 * target_partition_bytes),
+    }
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-wide folder for written intermediates.
 

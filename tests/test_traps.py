@@ -249,3 +249,12 @@ def test_t19_orphan_check_sees_every_ingestion_date(spark):
     assert res[ORPHANS].metrics["orfaos"] == 0
     names = {r.id_municipio: r.nome_municipio for r in read_silver(spark, layout.silver).collect()}
     assert names == {"x": None, "y": "Y"}
+
+
+def test_scale_conf_sizes_partitions():
+    from stratum.session import scale_conf
+
+    big = scale_conf(100 * 1024 ** 4, 8000)
+    assert int(big["spark.sql.shuffle.partitions"]) == 122880  # 30 TB / 256 MB
+    small = scale_conf(10 * 1024 ** 2, 8)
+    assert int(small["spark.sql.shuffle.partitions"]) == 24     # 3 waves of 8 cores
