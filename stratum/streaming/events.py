@@ -7,23 +7,31 @@ a Kafka-format source is the drop-in replacement at deployment -- only
 schema keep their raw text and go to the quarantine table instead of being
 dropped or redelivered forever.
 
-Both outputs are checkpointed file sinks, so each message lands exactly once
-even when a run is killed and restarted; a rerun with no new input adds
-nothing.  Micro-batches are bounded by ``max_files_per_trigger`` (or, on
-Kafka, ``maxOffsetsPerTrigger``) and driven by a processing-time trigger;
-``available_now`` drains what is there and stops.
+One streaming query reads and parses each message once; per micro-batch,
+``foreachBatch`` persists the parsed rows and writes both outputs.  Each
+output is partitioned by ingestion date and micro-batch id and written with
+dynamic partition overwrite, so a micro-batch replayed after a failure
+replaces its own files instead of adding a second copy; with the offsets in
+the checkpoint every message lands exactly once, and a rerun with no new
+input adds nothing.  The ingestion timestamp is the micro-batch timestamp,
+which the checkpoint also keeps, so a replay lands in the same partition.
+Micro-batches are bounded by ``max_files_per_trigger`` (Kafka:
+``minOffsetsPerTrigger`` + ``maxTriggerDelay``) and driven by a
+processing-time trigger; ``available_now`` drains what is there and stops.
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 CORRUPT = "_corrupt_record"
 RAW = "_raw"
+BATCH = "_lote"
 
 EVENT_SCHEMA = T.StructType([
     T.StructField("event_id", T.LongType()),
@@ -94,32 +102,58 @@ def _audit(cfg: StreamConfig) -> dict[str, Column]:
             cfg.partition: F.to_date(now)}
 
 
+def with_audit(parsed: DataFrame, cfg: StreamConfig) -> DataFrame:
+    """Audit columns on the stream itself: ``current_timestamp`` in a
+    streaming plan is the micro-batch timestamp."""
+    return parsed.withColumns(_audit(cfg))
+
+
+def _audit_cols(cfg: StreamConfig) -> list[str]:
+    return [cfg.audit_date, cfg.audit_source, cfg.partition]
+
+
 def valid_events(parsed: DataFrame, cfg: StreamConfig) -> DataFrame:
     fields = [f.name for f in cfg.schema.fields]
-    return parsed.filter(F.col(CORRUPT).isNull()).select(*fields).withColumns(_audit(cfg))
+    return parsed.filter(F.col(CORRUPT).isNull()).select(*fields, *_audit_cols(cfg))
 
 
 def malformed_events(parsed: DataFrame, cfg: StreamConfig) -> DataFrame:
-    return parsed.filter(F.col(CORRUPT).isNotNull()).select(RAW).withColumns(_audit(cfg))
+    return parsed.filter(F.col(CORRUPT).isNotNull()).select(RAW, *_audit_cols(cfg))
+
+
+def _write_idempotent(frame: DataFrame, path: str, cfg: StreamConfig, batch_id: int) -> int:
+    obs = Observation(f"rows_{uuid.uuid4().hex}")
+    (frame.withColumn(BATCH, F.lit(batch_id).cast("long"))
+          .observe(obs, F.count(F.lit(1)).alias("rows"))
+          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+          .partitionBy(cfg.partition, BATCH).parquet(path))
+    return int(obs.get.get("rows", 0) or 0)
+
+
+def _batch_writer(cfg: StreamConfig, counts: dict[int, tuple[int, int]]):
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            counts[batch_id] = (_write_idempotent(valid_events(batch, cfg), cfg.bronze, cfg, batch_id),
+                                _write_idempotent(malformed_events(batch, cfg), cfg.quarantine, cfg, batch_id))
+        finally:
+            batch.unpersist()
+    return write
 
 
 def _trigger(writer, available_now: bool, interval: str):
     return writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=interval)
 
 
-def start(spark: SparkSession, cfg: StreamConfig, *, available_now: bool = True):
-    """Start the Bronze and quarantine queries; returns both handles."""
-    parsed = parse(read_messages(spark, cfg), cfg.schema)
-    queries = []
-    for name, frame, path in (("bronze", valid_events(parsed, cfg), cfg.bronze),
-                              ("quarantine", malformed_events(parsed, cfg), cfg.quarantine)):
-        frame = frame.observe(f"{name}_rows", F.count(F.lit(1)).alias("rows"))
-        writer = (frame.writeStream.format("parquet")
-                  .option("checkpointLocation", f"{cfg.checkpoint.rstrip('/')}/{name}")
-                  .partitionBy(cfg.partition)
-                  .outputMode("append"))
-        queries.append(_trigger(writer, available_now, cfg.trigger_interval).start(path))
-    return queries
+def start(spark: SparkSession, cfg: StreamConfig, *, available_now: bool = True,
+          counts: dict[int, tuple[int, int]] | None = None):
+    """Start the ingest query.  ``counts`` (if given) receives, per
+    micro-batch id, the rows written to Bronze and to quarantine."""
+    stream = with_audit(parse(read_messages(spark, cfg), cfg.schema), cfg)
+    writer = (stream.writeStream
+              .option("checkpointLocation", f"{cfg.checkpoint.rstrip('/')}/events")
+              .foreachBatch(_batch_writer(cfg, counts if counts is not None else {})))
+    return _trigger(writer, available_now, cfg.trigger_interval).start()
 
 
 @dataclass
@@ -132,44 +166,32 @@ class DrainResult:
 def drain(spark: SparkSession, cfg: StreamConfig, timeout_s: float = 600.0) -> DrainResult:
     """Process everything that has landed, then stop (bounded run).
 
-    The processed-row counts come from the queries' progress reports, not
-    from re-reading the output.
+    Row counts are taken while writing (one ``Observation`` per output and
+    micro-batch) and from the query's progress, not by re-reading output.
     """
-    queries = start(spark, cfg, available_now=True)
+    counts: dict[int, tuple[int, int]] = {}
+    q = start(spark, cfg, available_now=True, counts=counts)
     try:
-        for q in queries:
-            if not q.awaitTermination(timeout_s):
-                raise TimeoutError(f"stream {q.name or q.id} still running after {timeout_s}s")
-            if q.exception() is not None:
-                raise RuntimeError(f"stream failed: {q.exception()}")
+        if not q.awaitTermination(timeout_s):
+            raise TimeoutError(f"stream {q.id} still running after {timeout_s}s")
+        if q.exception() is not None:
+            raise RuntimeError(f"stream failed: {q.exception()}")
     finally:
-        for q in queries:
-            if q.isActive:
-                q.stop()
-    bronze_q, quarantine_q = queries
-    rows_in = sum(int(p.numInputRows or 0) for p in bronze_q.recentProgress)
-    return DrainResult(rows_in, _observed_rows(bronze_q, "bronze_rows"),
-                       _observed_rows(quarantine_q, "quarantine_rows"))
-
-
-def _observed_rows(query, name: str) -> int:
-    total = 0
-    for p in query.recentProgress:
-        row = (p.observedMetrics or {}).get(name)
-        total += int(row["rows"]) if row is not None and row["rows"] is not None else 0
-    return total
+        if q.isActive:
+            q.stop()
+    rows_in = sum(int(p.numInputRows or 0) for p in q.recentProgress)
+    return DrainResult(rows_in, sum(c[0] for c in counts.values()), sum(c[1] for c in counts.values()))
 
 
 def run_for(spark: SparkSession, cfg: StreamConfig, seconds: float) -> None:
     """Continuous ingest on the processing-time trigger for at most
     ``seconds``, then a clean stop (the checkpoint keeps the position; the
     next run resumes from it)."""
-    queries = start(spark, cfg, available_now=False)
+    q = start(spark, cfg, available_now=False)
     try:
-        queries[0].awaitTermination(seconds)
+        q.awaitTermination(seconds)
     finally:
-        for q in queries:
-            q.stop()
+        q.stop()
 
 
 def events_as_json(events: DataFrame, schema: T.StructType = EVENT_SCHEMA) -> DataFrame:
