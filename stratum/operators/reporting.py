@@ -123,6 +123,26 @@ def latest_stats(ind: DataFrame, value: str, period: str, mean_scale: int | None
     return latest.select("s.*")
 
 
+def _edge(i: Column, lo: Column, hi: Column, bins: int) -> Column:
+    """Edge ``i`` of ``bins`` equal-width bins over [lo, hi]: ``i * step + lo``,
+    the last one exactly ``hi`` (the usual ``linspace`` construction)."""
+    step = (hi - lo) / F.lit(float(bins))
+    return F.when(i == F.lit(bins), hi).otherwise(i.cast("double") * step + lo)
+
+
+def bin_index(v: Column, lo: Column, hi: Column, bins: int) -> Column:
+    """1-based bin of ``v`` in [lo, hi]: scaled floor, then corrected against
+    the edges so that a value on an inner edge goes to the upper bin and the
+    last bin is closed -- the same result as the common array-library
+    histogram, also where floating-point scaling lands just off an edge."""
+    norm = F.lit(float(bins)) / (hi - lo)
+    i0 = F.floor((v - lo) * norm).cast("int")
+    i0 = F.when(i0 == F.lit(bins), F.lit(bins - 1)).otherwise(i0)
+    i1 = F.when(v < _edge(i0, lo, hi, bins), i0 - 1).otherwise(i0)
+    i2 = F.when((v >= _edge(i1 + 1, lo, hi, bins)) & (i1 != F.lit(bins - 1)), i1 + 1).otherwise(i1)
+    return i2 + 1
+
+
 def histogram(spark: SparkSession, ind: DataFrame, value: str, period: str, bins: int = 24,
               mean_scale: int | None = None) -> DataFrame:
     """Equal-width histogram of the latest period's non-NULL values.
@@ -144,17 +164,16 @@ def histogram(spark: SparkSession, ind: DataFrame, value: str, period: str, bins
                          F.when(same, F.col("lo") - F.lit(0.5)).otherwise(F.col("lo")).alias("_lo"),
                          F.when(same, F.col("hi") + F.lit(0.5)).otherwise(F.col("hi")).alias("_hi"),
                          "mean")
-    width = F.col("_hi") - F.col("_lo")
+    lo, hi = F.col("_lo"), F.col("_hi")
     vals = now.select(period, value).filter(F.col(value).isNotNull()) \
         .join(F.broadcast(edges.select(period, "_lo", "_hi")), period)
-    counts = (vals.select(F.least(F.floor((F.col(value) - F.col("_lo")) * F.lit(bins) / width) + 1,
-                                  F.lit(bins)).cast("int").alias("bin"))
+    counts = (vals.select(bin_index(F.col(value), lo, hi, bins).alias("bin"))
                   .groupBy("bin").agg(F.count(F.lit(1)).alias("count")))
     grid = edges.select(F.explode(F.sequence(F.lit(1), F.lit(bins))).alias("bin"), "_lo", "_hi", "mean")
     return (grid.join(counts, "bin", "left")
                 .select("bin",
-                        (F.col("_lo") + (F.col("bin") - 1) * width / F.lit(bins)).alias("bin_start"),
-                        (F.col("_lo") + F.col("bin") * width / F.lit(bins)).alias("bin_end"),
+                        _edge(F.col("bin") - 1, lo, hi, bins).alias("bin_start"),
+                        _edge(F.col("bin"), lo, hi, bins).alias("bin_end"),
                         F.coalesce(F.col("count"), F.lit(0)).cast("long").alias("count"),
                         "mean"))
 

@@ -104,6 +104,12 @@ def exact_mean(expr: str, scale: int) -> str:
     return f"CAST(SUM(CAST({expr} AS DECIMAL(38,{scale}))) AS DOUBLE) / NULLIF(COUNT({expr}), 0)"
 
 
+def _edge(i: str, bins: int = 24) -> str:
+    """Edge ``i`` of equal-width bins over [lo_e, hi_e], last edge exact."""
+    return (f"(CASE WHEN ({i}) = {bins} THEN hi_e"
+            f" ELSE CAST({i} AS DOUBLE) * ((hi_e - lo_e) / CAST({bins} AS DOUBLE)) + lo_e END)")
+
+
 def _pct(nulls: str, total: str = "t") -> str:
     return f"ROUND(COALESCE({nulls} / NULLIF({total}, 0) * 100, 0.0), 2)"
 
@@ -244,7 +250,7 @@ now AS (SELECT * FROM gold_region WHERE ano = (SELECT MAX(ano) FROM gold_region)
 SELECT ano, {exact_mean('percentual_alfabetizado_medio', 2)} AS percentual_alfabetizado_medio
 FROM gold_region GROUP BY ano ORDER BY ano""", GOLD_REGION),
     "kpi_distribution": with_silver(f"""
-SELECT g.bin, lo_e + (g.bin - 1) * (hi_e - lo_e) / 24 AS bin_start, lo_e + g.bin * (hi_e - lo_e) / 24 AS bin_end,
+SELECT g.bin, {_edge('g.bin - 1')} AS bin_start, {_edge('g.bin')} AS bin_end,
        CAST(COALESCE(c.n, 0) AS BIGINT) AS count, mean
 FROM grid g LEFT JOIN counts c ON g.bin = c.bin CROSS JOIN edges""", f"""
 vals AS (SELECT percentual_alfabetizado AS v FROM silver
@@ -252,8 +258,12 @@ vals AS (SELECT percentual_alfabetizado AS v FROM silver
 bounds AS (SELECT MIN(v) AS lo, MAX(v) AS hi, {exact_mean('v', 4)} AS mean FROM vals),
 edges AS (SELECT CASE WHEN lo = hi THEN lo - 0.5 ELSE lo END AS lo_e,
                  CASE WHEN lo = hi THEN hi + 0.5 ELSE hi END AS hi_e, mean FROM bounds),
-counts AS (SELECT CAST(LEAST(FLOOR((v - lo_e) * 24 / (hi_e - lo_e)) + 1, 24) AS INTEGER) AS bin, COUNT(*) AS n
-           FROM vals CROSS JOIN edges GROUP BY 1),
+i0 AS (SELECT v, lo_e, hi_e,
+              LEAST(CAST(FLOOR((v - lo_e) * (CAST(24 AS DOUBLE) / (hi_e - lo_e))) AS INTEGER), 23) AS i
+       FROM vals CROSS JOIN edges),
+i1 AS (SELECT v, lo_e, hi_e, CASE WHEN v < {_edge('i')} THEN i - 1 ELSE i END AS i FROM i0),
+i2 AS (SELECT CASE WHEN v >= {_edge('i + 1')} AND i <> 23 THEN i + 1 ELSE i END + 1 AS bin FROM i1),
+counts AS (SELECT bin, COUNT(*) AS n FROM i2 GROUP BY bin),
 grid AS (SELECT CAST(range AS INTEGER) AS bin FROM range(1, 25))"""),
     "kpi_worst_gap_topk": with_silver("""
 SELECT id_municipio, nome_municipio, sigla_uf, ano, gap_para_meta,

@@ -111,3 +111,22 @@ def test_goals_long_brute_force(spark, data):
             want[(k, year)] = sum(present) / len(present) if present else None
     assert got == want
     assert Counter(k for k, _ in got) == Counter(k for k, _ in want)
+
+
+vals = st.lists(st.sampled_from([0.0, 0.1, 0.2, 0.3, 0.35, 1.0, 1.7, 2.4, 33.3333, 50.0, 100.0]),
+                min_size=1, max_size=30)
+
+
+@SETTINGS
+@given(vals)
+def test_histogram_matches_array_library(spark, data):
+    import numpy as np
+
+    from stratum.operators.reporting import histogram
+
+    ind = spark.createDataFrame([(2024, v) for v in data] + [(2023, 999.0)], "ano int, v double")
+    got = sorted((r.bin, r["count"], r.bin_start, r.bin_end) for r in histogram(spark, ind, "v", "ano").collect())
+    counts, edges = np.histogram(np.array(data), bins=24)
+    assert [c for _, c, _, _ in got] == counts.tolist()
+    assert [s for _, _, s, _ in got] == edges[:-1].tolist()
+    assert [e for _, _, _, e in got] == edges[1:].tolist()
