@@ -97,7 +97,7 @@ def parse(messages: DataFrame, schema: T.StructType) -> DataFrame:
 
 def _audit(cfg: StreamConfig) -> dict[str, Column]:
     now = F.current_timestamp()
-    return {cfg.audit_date: F.date_format(now, "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"),
+    return {cfg.audit_date: F.date_format(now, "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx"),
             cfg.audit_source: F.lit(cfg.source_tag),
             cfg.partition: F.to_date(now)}
 
