@@ -2,8 +2,10 @@
 evolution, distribution histogram and the worst-gap top-k.
 
 "Latest period" is always the table-wide max period, applied as a scalar
-subquery (no eager action; several scalar subqueries over the same input are
-merged by the optimizer into one).
+subquery filter (no eager action; on a table partitioned by period it is a
+partition filter).  One-row aggregates that rows need (a mean, histogram
+bounds) are attached by an equi-join on the period against a broadcast of
+that single row.
 """
 
 from __future__ import annotations
