@@ -125,14 +125,22 @@ def missing_by_column(df: DataFrame, cols: Iterable[str], limit_pct: float = 5.0
                .withColumn("passed", F.col("pct") <= F.lit(limit_pct)))
 
 
+_MATCH = "_has_parent"
+
+
 def orphan_keys(child: DataFrame, parent: DataFrame, keys: list[str]) -> DataFrame:
     """Distinct child key tuples with no parent.  A NULL child key never
     matches, so it is an orphan even when the parent has a NULL key.
 
     Both sides are reduced to distinct keys first (partial aggregation on the
-    map side), so the anti join sees each key once however skewed the child.
+    map side), so the join sees each key once however skewed the child.  It
+    is a LEFT join + ``IS NULL`` rather than a LEFT ANTI join because the
+    optimizer pushes an anti join below the child's DISTINCT, which would
+    shuffle raw child rows whenever the parent is too large to broadcast.
     """
-    return child.select(*keys).distinct().join(parent.select(*keys).distinct(), keys, "left_anti")
+    marked = parent.select(*keys).distinct().withColumn(_MATCH, F.lit(True))
+    return (child.select(*keys).distinct().join(marked, keys, "left")
+                 .filter(F.col(_MATCH).isNull()).select(*keys))
 
 
 def _orphan_row(n: Column, keys: list[str]) -> Column:
