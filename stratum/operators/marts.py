@@ -11,9 +11,15 @@ from stratum.spec import DEFAULT_SPEC, IndicatorSpec
 
 def indicator_by_entity(silver: DataFrame, spec: IndicatorSpec = DEFAULT_SPEC, *,
                         ordered: bool = True) -> DataFrame:
+    """Per-entity indicator, ordered by (period, region, name).
+
+    The entity id closes the sort key: it only orders ties, but it keeps the
+    range partitioning of the global sort from putting every entity without
+    a dimension row (NULL region and name) into a single task.
+    """
     s = spec
     out = silver.select(s.entity, s.entity_name, s.region, s.region_name, s.period, s.score, s.rate)
-    return out.orderBy(s.period, s.region, s.entity_name) if ordered else out
+    return out.orderBy(s.period, s.region, s.entity_name, s.entity) if ordered else out
 
 
 def goal_vs_result(silver: DataFrame, spec: IndicatorSpec = DEFAULT_SPEC) -> DataFrame:
