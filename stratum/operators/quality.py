@@ -1,7 +1,7 @@
 """Data-quality checks that can stop a run.
 
-Each check is a lazy DataFrame with one row per check in ``CHECK_SCHEMA``
-(name, passed, critical, status, details, metrics map).  :func:`silver_checks`
+Each check is a lazy DataFrame with one row per check (columns ``CHECK_COLUMNS``:
+name, passed, critical, status, details, metrics map).  :func:`table_checks`
 fuses the duplicate, missing-value and range checks into one grouped pass and
 adds the orphan check as a second job; :func:`run_gate` collects the few
 result rows and raises when a critical check failed, after reporting all.
@@ -175,8 +175,9 @@ def table_checks(df: DataFrame, parent: DataFrame, *, keys: list[str], missing_c
     """All four checks in two jobs instead of one per check and column.
 
     Job 1 groups by the duplicate keys and carries the NULL and out-of-range
-    counts through the same partial aggregate; job 2 is the orphan anti
-    join.  The results are unioned (no join between the one-row results).
+    counts through the same partial aggregate; job 2 is the orphan-key join
+    between distinct keys.  The results are unioned (no join between the
+    one-row results).
     """
     per_key = df.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("_n"),
