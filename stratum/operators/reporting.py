@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratum.functions import entity_label, exact_mean
+from stratum.functions import entity_label, exact_mean, goal_hit
 from stratum.operators.marts import REGION_DECIMALS, REGION_RATE
 from stratum.spec import DEFAULT_SPEC, IndicatorSpec
 
@@ -77,7 +77,7 @@ def kpi_summary(silver: DataFrame, spec: IndicatorSpec = DEFAULT_SPEC) -> DataFr
     s = spec
     latest = latest_period(silver, s.period)
     now = F.col(s.period) == latest
-    hit = F.coalesce(F.col(s.rate) - F.col(s.goal) >= 0, F.lit(False)).cast("int")
+    hit = goal_hit(F.col(s.rate) - F.col(s.goal)).cast("int")
     return silver.agg(
         F.count_distinct(s.entity).alias(TOTAL_ENTITIES),
         F.concat_ws(RANGE_SEPARATOR, F.min(s.period).cast("string"),
