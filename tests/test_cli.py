@@ -48,3 +48,36 @@ def test_cli_stages(spark, tmp_path):
     layout = Layout(base2)
     assert any(layout.silver in p for p in paths)
     assert not any(layout.gold in p for p in paths)
+
+
+def test_cli_individual_stages(spark, tmp_path):
+    from stratum.streaming.events import events_as_json, land
+
+    raw = scratch_path(spark, "cli-raw3")
+    sources = {}
+    for key, df in (("indicador", tb.indicator(spark, SF)),
+                    ("municipio", tb.dimension(spark, SF, registered_only=False)),
+                    ("meta_municipio", tb.goals_wide(spark, SF))):
+        df.write.parquet(f"{raw}/{key}")
+        sources[key] = {"path": f"{raw}/{key}"}
+    cfg = tmp_path / "sources.json"
+    cfg.write_text(json.dumps(sources))
+    base = scratch_path(spark, "cli3")
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        assert main(["ingest", "--base", base, "--sources", str(cfg), "--date", "2024-01-01",
+                     "--table", "indicador"], spark=spark) == 0
+        assert main(["ingest", "--base", base, "--sources", str(cfg), "--date", "2024-01-01",
+                     "--table", "all"], spark=spark) == 0
+        assert main(["silver", "--base", base], spark=spark) == 0
+        assert main(["quality", "--base", base], spark=spark) == 0
+        assert main(["gold", "--base", base], spark=spark) == 0
+        landing = scratch_path(spark, "cli3-in")
+        land(events_as_json(tb.table(spark, SF, "events")), landing, "b1")
+        assert main(["stream", "--base", base, "--landing", landing], spark=spark) == 0
+    metrics = [json.loads(line) for line in out.getvalue().splitlines() if line.startswith("{")]
+    jobs = [m.get("job") for m in metrics if "job" in m]
+    assert jobs.count("ingest_batch_indicador") == 2 and "transform_silver" in jobs
+    assert sum(1 for j in jobs if j and j.startswith("build_gold")) == 3
+    drained = [m for m in metrics if "bronze_rows" in m][0]
+    assert drained["bronze_rows"] == tb.table(spark, SF, "events").count()
