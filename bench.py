@@ -33,6 +33,7 @@ HEADLINE = [
     "kpi_worst_gap_topk",
     "silver_partition_roundtrip",
     "stream_ingest_bronze",
+    "run_metrics",  # end to end: ingest, Silver, gate, Gold, stream drain
 ]
 
 
