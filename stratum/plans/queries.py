@@ -7,14 +7,27 @@ same name in :mod:`stratum.plans.oracle`.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from stratum.operators import marts
+from stratum.operators import quality as dq
+from stratum.operators import reporting as rp
+from stratum.operators.cleaning import clean, flag_missing, normalize_keys
 from stratum.operators.reshape import goals_long
 from stratum.plans import testbed as tb
+from stratum.plans.gold import MARTS, build_gold, read_marts
+from stratum.plans.ingest import ingest
+from stratum.plans.pipeline import run_pipeline
 from stratum.plans.silver import build_silver, prepare
+from stratum.session import scratch_path, shared_dir
+from stratum.sources.bronze import read_bronze, write_snapshot
+from stratum.sources.layers import read_silver, write_silver
+from stratum.sources.metrics import RunMetric, append_metrics
 from stratum.spec import DEFAULT_SPEC as S
+from stratum.streaming.events import RAW, StreamConfig, drain, events_as_json, land
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -37,8 +50,6 @@ def silver_once(spark: SparkSession, sf_dir: str) -> DataFrame:
     aggregation over the full microdata.  The checkpoint is reliable storage
     (survives executor loss) and holds the aggregated table only.
     """
-    from stratum.session import shared_dir
-
     shared_dir(spark)
     return silver(spark, sf_dir).checkpoint(eager=True)
 
@@ -86,11 +97,6 @@ LATER_FROM_PERIOD = 1997
 def _snapshots(spark, sf_dir):
     """Bronze indicator table with a full snapshot on the early date and a
     partial one on the late date; the late one is written first."""
-    from pyspark.sql import functions as F
-
-    from stratum.session import scratch_path
-    from stratum.sources.bronze import write_snapshot
-
     base = scratch_path(spark, "bronze")
     ind = tb.indicator(spark, sf_dir)
     write_snapshot(ind.filter(F.col(S.period) >= LATER_FROM_PERIOD), base, "indicador", LATE_DATE, "batch")
@@ -101,14 +107,6 @@ def _snapshots(spark, sf_dir):
 @register
 def bronze_snapshot_audit(spark, sf_dir):
     """Ingest every registered source for one date; rows per table read back."""
-    from functools import reduce
-
-    from pyspark.sql import functions as F
-
-    from stratum.plans.ingest import ingest
-    from stratum.session import scratch_path
-    from stratum.sources.bronze import read_bronze
-
     base = scratch_path(spark, "bronze")
     reg = tb.registry(sf_dir)
     ingest(spark, reg, "all", base, EARLY_DATE)
@@ -121,10 +119,6 @@ def bronze_snapshot_audit(spark, sf_dir):
 @register
 def bronze_same_day_rerun(spark, sf_dir):
     """The late date is written twice; its row count does not double."""
-    from pyspark.sql import functions as F
-
-    from stratum.sources.bronze import read_bronze, write_snapshot
-
     base = _snapshots(spark, sf_dir)
     ind = tb.indicator(spark, sf_dir)
     write_snapshot(ind.filter(F.col(S.period) >= LATER_FROM_PERIOD), base, "indicador", LATE_DATE, "batch")
@@ -134,18 +128,12 @@ def bronze_same_day_rerun(spark, sf_dir):
 
 @register
 def silver_latest_snapshot(spark, sf_dir):
-    from stratum.sources.bronze import read_bronze
-
     return read_bronze(spark, _snapshots(spark, sf_dir), "indicador")
 
 
 @register
 def silver_dedup_clean(spark, sf_dir):
     """Exact copies collapse; a row with one NULL key stays, all-NULL keys go."""
-    from pyspark.sql import functions as F
-
-    from stratum.operators.cleaning import clean
-
     ind = tb.indicator(spark, sf_dir)
     no_keys = ind.withColumns({S.entity: F.lit(None).cast("string"), S.period: F.lit(None).cast("int")})
     no_entity = ind.withColumn(S.entity, F.lit(None).cast("string"))
@@ -155,10 +143,6 @@ def silver_dedup_clean(spark, sf_dir):
 @register
 def silver_normalize_keys(spark, sf_dir):
     """Raw keys with the wrong types and padded lower-case codes."""
-    from pyspark.sql import functions as F
-
-    from stratum.operators.cleaning import normalize_keys
-
     raw = tb.table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber",
         F.col("l_suppkey").alias(S.entity),
@@ -174,10 +158,6 @@ UNPARSEABLE_BELOW = 30.0
 
 @register
 def silver_missing_flags(spark, sf_dir):
-    from pyspark.sql import functions as F
-
-    from stratum.operators.cleaning import flag_missing
-
     ind = tb.indicator(spark, sf_dir)
     raw = ind.select(
         S.entity, S.period,
@@ -191,9 +171,6 @@ def silver_missing_flags(spark, sf_dir):
 def silver_partition_roundtrip(spark, sf_dir):
     """Silver written partitioned by (period, region) and read back; entities
     without a dimension row come back with a NULL region."""
-    from stratum.session import scratch_path
-    from stratum.sources.layers import read_silver, write_silver
-
     path = write_silver(silver(spark, sf_dir), scratch_path(spark, "silver"))
     return read_silver(spark, path, processed_at=False)
 
@@ -201,14 +178,6 @@ def silver_partition_roundtrip(spark, sf_dir):
 @register
 def gold_marts_roundtrip(spark, sf_dir):
     """All marts built from one written Silver; rows per mart read back."""
-    from functools import reduce
-
-    from pyspark.sql import functions as F
-
-    from stratum.plans.gold import build_gold, read_marts
-    from stratum.session import scratch_path
-    from stratum.sources.layers import write_silver
-
     silver_path = write_silver(silver(spark, sf_dir), scratch_path(spark, "silver"))
     gold_base = scratch_path(spark, "gold")
     build_gold(spark, silver_path, gold_base, processed_at=False)
@@ -227,10 +196,6 @@ PRICE_PCT_UNIT = 1000.0
 
 @register
 def dq_duplicates(spark, sf_dir):
-    from pyspark.sql import functions as F
-
-    from stratum.operators import quality as dq
-
     li = tb.table(spark, sf_dir, "lineitem")
     return dq.duplicate_check(li, LINE_KEYS).select(
         "check_name", "passed",
@@ -240,27 +205,17 @@ def dq_duplicates(spark, sf_dir):
 
 @register
 def dq_missing(spark, sf_dir):
-    from stratum.operators import quality as dq
-
     return dq.missing_by_column(silver(spark, sf_dir), [S.score, S.rate, S.goal], S.missing_limit_pct)
 
 
 @register
 def dq_orphans(spark, sf_dir):
-    from pyspark.sql import functions as F
-
-    from stratum.operators import quality as dq
-
     return dq.orphan_check(silver(spark, sf_dir), tb.dimension(spark, sf_dir), [S.entity]).select(
         "check_name", "passed", F.col("metrics")[dq.M_ORPHANS].cast("long").alias(dq.M_ORPHANS))
 
 
 @register
 def dq_range(spark, sf_dir):
-    from pyspark.sql import functions as F
-
-    from stratum.operators import quality as dq
-
     li = tb.table(spark, sf_dir, "lineitem").select(
         (F.col("l_extendedprice") / PRICE_PCT_UNIT).alias(PRICE_PCT))
     return dq.range_check(li, PRICE_PCT, S.range_low, S.range_high, S.range_tolerance).select(
@@ -268,8 +223,6 @@ def dq_range(spark, sf_dir):
 
 
 def _silver_checks(spark, sf_dir):
-    from stratum.operators import quality as dq
-
     return dq.table_checks(
         silver(spark, sf_dir), tb.dimension(spark, sf_dir), keys=S.keys_of("silver"),
         missing_cols=list(S.metrics), range_col=S.rate, orphan_keys_cols=S.keys_of("municipio"),
@@ -291,58 +244,42 @@ def _evolution(spark, sf_dir, once=False):
 
 @register
 def kpi_coverage(spark, sf_dir):
-    from stratum.operators import reporting as rp
-
     return rp.coverage(marts.indicator_by_entity(silver(spark, sf_dir), ordered=False))
 
 
 @register
 def kpi_national_mean(spark, sf_dir):
-    from stratum.operators import reporting as rp
-
     return rp.national_means(marts.indicator_by_entity(silver_once(spark, sf_dir), ordered=False))
 
 
 @register
 def kpi_hit_share(spark, sf_dir):
-    from stratum.operators import reporting as rp
-
     return rp.hit_share(marts.goal_vs_result(silver_once(spark, sf_dir)))
 
 
 @register
 def kpi_summary(spark, sf_dir):
-    from stratum.operators import reporting as rp
-
     return rp.kpi_summary(silver_once(spark, sf_dir))
 
 
 @register
 def kpi_region_vs_mean(spark, sf_dir):
-    from stratum.operators import reporting as rp
-
     return rp.region_vs_mean(_evolution(spark, sf_dir, once=True))
 
 
 @register
 def kpi_national_evolution(spark, sf_dir):
-    from stratum.operators import reporting as rp
-
     return rp.national_evolution(_evolution(spark, sf_dir))
 
 
 @register
 def kpi_distribution(spark, sf_dir):
-    from stratum.operators import reporting as rp
-
     ind = marts.indicator_by_entity(silver_once(spark, sf_dir), ordered=False)
     return rp.histogram(spark, ind, S.rate, S.period, bins=24, mean_scale=S.rate_decimals)
 
 
 @register
 def kpi_worst_gap_topk(spark, sf_dir):
-    from stratum.operators import reporting as rp
-
     return rp.worst_gap_topk(marts.goal_vs_result(silver_once(spark, sf_dir)), k=10)
 
 
@@ -355,17 +292,12 @@ SECOND_WAVE_FROM = "2024-01-16"
 
 
 def _stream_cfg(spark):
-    from stratum.session import scratch_path
-    from stratum.streaming.events import StreamConfig
-
     base = scratch_path(spark, "stream")
     return StreamConfig(landing=f"{base}/landing", bronze=f"{base}/bronze",
                         quarantine=f"{base}/quarantine", checkpoint=f"{base}/checkpoint")
 
 
 def _broken_messages(events):
-    from pyspark.sql import functions as F
-
     return events.filter(F.col("event_type") == BROKEN_TYPE).select(
         F.concat(F.lit('{"event_id": '), F.col("event_id").cast("string"), F.lit(", broken")).alias("value"))
 
@@ -374,10 +306,6 @@ def _broken_messages(events):
 def stream_ingest_bronze(spark, sf_dir):
     """Replay ``events`` as JSON files, drain the stream into Bronze and
     summarise what landed per event type."""
-    from pyspark.sql import functions as F
-
-    from stratum.streaming.events import drain, events_as_json, land
-
     cfg = _stream_cfg(spark)
     land(events_as_json(tb.table(spark, sf_dir, "events")), cfg.landing, "batch-1")
     drain(spark, cfg)
@@ -389,8 +317,6 @@ def stream_ingest_bronze(spark, sf_dir):
 @register
 def stream_quarantine(spark, sf_dir):
     """Broken messages keep their raw text in the quarantine table."""
-    from stratum.streaming.events import RAW, drain, events_as_json, land
-
     cfg = _stream_cfg(spark)
     events = tb.table(spark, sf_dir, "events")
     land(events_as_json(events).unionByName(_broken_messages(events)), cfg.landing, "batch-1")
@@ -402,10 +328,6 @@ def stream_quarantine(spark, sf_dir):
 def stream_rerun_idempotent(spark, sf_dir):
     """Two landing waves and a rerun without new files: Bronze row count
     after each drain (the rerun adds nothing)."""
-    from pyspark.sql import functions as F
-
-    from stratum.streaming.events import drain, events_as_json, land
-
     cfg = _stream_cfg(spark)
     events = tb.table(spark, sf_dir, "events")
     early = F.col("ts") < F.lit(SECOND_WAVE_FROM).cast("timestamp_ntz")
@@ -426,12 +348,6 @@ def quality_gate_run(spark, sf_dir):
     and Gold is written; with only registered suppliers the orphan check
     fails and Gold is not built.  Gold presence is read from storage (a
     listing of the run folder)."""
-    from pyspark.sql import functions as F
-
-    from stratum.plans.gold import MARTS
-    from stratum.plans.pipeline import run_pipeline
-    from stratum.session import scratch_path
-
     rows = []
     for scenario, registered_only in (("all_suppliers", False), ("registered_suppliers", True)):
         res = run_pipeline(spark, tb.registry(sf_dir, registered_only=registered_only),
@@ -451,11 +367,6 @@ def quality_gate_run(spark, sf_dir):
 def run_metrics(spark, sf_dir):
     """Rows counted by each job of a full run (plus a stream drain), read
     back from the metrics table."""
-    from stratum.plans.pipeline import run_pipeline
-    from stratum.session import scratch_path
-    from stratum.sources.metrics import RunMetric, append_metrics
-    from stratum.streaming.events import drain, events_as_json, land
-
     res = run_pipeline(spark, tb.registry(sf_dir, registered_only=False),
                        scratch_path(spark, "pipeline"), EARLY_DATE, report=lambda _msg: None)
     cfg = _stream_cfg(spark)
