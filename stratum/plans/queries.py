@@ -42,16 +42,18 @@ def silver(spark: SparkSession, sf_dir: str, processed_at: bool = False) -> Data
                         tb.goals_wide(spark, sf_dir), S, processed_at=processed_at)
 
 
-def silver_once(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Silver computed once and checkpointed to the shared checkpoint folder.
+def silver_once(spark: SparkSession, sf_dir: str, columns: list[str]) -> DataFrame:
+    """The Silver columns a report needs, computed once and checkpointed to
+    the shared checkpoint folder.
 
     Report queries read Silver more than once (the latest-period scalar
     subquery plus the main pass); without this each pass would re-run the
     aggregation over the full microdata.  The checkpoint is reliable storage
-    (survives executor loss) and holds the aggregated table only.
+    (survives executor loss), holds only aggregated rows and only the listed
+    columns, and the plan behind it is pruned to them.
     """
     shared_dir(spark)
-    return silver(spark, sf_dir).checkpoint(eager=True)
+    return silver(spark, sf_dir).select(*columns).checkpoint(eager=True)
 
 
 @register
@@ -237,8 +239,12 @@ def dq_report(spark, sf_dir):
 
 # ---------------------------------------------------------------- reporting
 
+EVOLUTION_COLS = [S.entity, S.region, S.region_name, S.period, S.rate, S.score]
+GOAL_COLS = [S.entity, S.entity_name, S.region, S.period, S.rate, S.goal]
+
+
 def _evolution(spark, sf_dir, once=False):
-    base = silver_once(spark, sf_dir) if once else silver(spark, sf_dir)
+    base = silver_once(spark, sf_dir, EVOLUTION_COLS) if once else silver(spark, sf_dir)
     return marts.region_evolution(base, ordered=False)
 
 
@@ -249,17 +255,17 @@ def kpi_coverage(spark, sf_dir):
 
 @register
 def kpi_national_mean(spark, sf_dir):
-    return rp.national_means(marts.indicator_by_entity(silver_once(spark, sf_dir), ordered=False))
+    return rp.national_means(silver_once(spark, sf_dir, [S.period, S.rate, S.score]))
 
 
 @register
 def kpi_hit_share(spark, sf_dir):
-    return rp.hit_share(marts.goal_vs_result(silver_once(spark, sf_dir)))
+    return rp.hit_share(marts.goal_vs_result(silver_once(spark, sf_dir, GOAL_COLS)))
 
 
 @register
 def kpi_summary(spark, sf_dir):
-    return rp.kpi_summary(silver_once(spark, sf_dir))
+    return rp.kpi_summary(silver_once(spark, sf_dir, [S.entity, S.period, S.rate, S.score, S.goal]))
 
 
 @register
@@ -274,13 +280,13 @@ def kpi_national_evolution(spark, sf_dir):
 
 @register
 def kpi_distribution(spark, sf_dir):
-    ind = marts.indicator_by_entity(silver_once(spark, sf_dir), ordered=False)
-    return rp.histogram(spark, ind, S.rate, S.period, bins=24, mean_scale=S.rate_decimals)
+    return rp.histogram(spark, silver_once(spark, sf_dir, [S.period, S.rate]), S.rate, S.period,
+                        bins=24, mean_scale=S.rate_decimals)
 
 
 @register
 def kpi_worst_gap_topk(spark, sf_dir):
-    return rp.worst_gap_topk(marts.goal_vs_result(silver_once(spark, sf_dir)), k=10)
+    return rp.worst_gap_topk(marts.goal_vs_result(silver_once(spark, sf_dir, GOAL_COLS)), k=10)
 
 
 # ---------------------------------------------------------------- streaming
