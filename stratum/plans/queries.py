@@ -225,8 +225,10 @@ def dq_range(spark, sf_dir):
 
 
 def _silver_checks(spark, sf_dir):
+    # two jobs (fused aggregate, orphan keys) read Silver: compute it once
+    checked = silver_once(spark, sf_dir, [S.entity, S.period, *S.metrics])
     return dq.table_checks(
-        silver(spark, sf_dir), tb.dimension(spark, sf_dir), keys=S.keys_of("silver"),
+        checked, tb.dimension(spark, sf_dir), keys=S.keys_of("silver"),
         missing_cols=list(S.metrics), range_col=S.rate, orphan_keys_cols=S.keys_of("municipio"),
         missing_limit=S.missing_limit_pct, low=S.range_low, high=S.range_high,
         tolerance=S.range_tolerance)
