@@ -167,11 +167,11 @@ def histogram(spark: SparkSession, ind: DataFrame, value: str, period: str, bins
                          F.when(same, F.col("hi") + F.lit(0.5)).otherwise(F.col("hi")).alias("_hi"),
                          "mean")
     lo, hi = F.col("_lo"), F.col("_hi")
-    vals = now.select(period, value).filter(F.col(value).isNotNull()) \
-        .join(F.broadcast(edges.select(period, "_lo", "_hi")), period)
+    # the same one-row frame feeds both sides, so it is computed once
+    vals = now.select(period, value).filter(F.col(value).isNotNull()).join(F.broadcast(edges), period)
     counts = (vals.select(bin_index(F.col(value), lo, hi, bins).alias("bin"))
                   .groupBy("bin").agg(F.count(F.lit(1)).alias("count")))
-    grid = edges.select(F.explode(F.sequence(F.lit(1), F.lit(bins))).alias("bin"), "_lo", "_hi", "mean")
+    grid = edges.select(F.explode(F.sequence(F.lit(1), F.lit(bins))).alias("bin"), period, "_lo", "_hi", "mean")
     return (grid.join(counts, "bin", "left")
                 .select("bin",
                         _edge(F.col("bin") - 1, lo, hi, bins).alias("bin_start"),
