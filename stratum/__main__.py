@@ -3,7 +3,7 @@
 Stages: ``ingest`` (one source or all, for a date), ``silver``, ``quality``
 (gate; exit code 2 on a critical failure), ``gold``, ``run`` (all of them in
 order, Gold only if the gate passes), ``stream`` (drain or run the event
-ingest), ``report`` (report rows from Silver as JSON lines).
+ingest), ``report`` (report rows from the stored Gold marts as JSON lines).
 
 Sources come from a JSON file: ``{"indicador": {"path": "...", "format":
 "parquet", "options": {}}, "municipio": {...}, "meta_municipio": {...}}``.
@@ -85,18 +85,19 @@ def main(argv: list[str] | None = None, spark=None) -> int:
         else:
             print(json.dumps(drain(spark, cfg).__dict__))
     elif a.stage == "report":
-        from stratum.operators import marts
+        # like the reference's dashboard: everything from the stored Gold marts
         from stratum.operators import reporting as rp
-        from stratum.sources.layers import read_silver
+        from stratum.plans.gold import read_marts
         from stratum.spec import DEFAULT_SPEC as S
-        silver = read_silver(spark, layout.silver)
-        evolution = marts.region_evolution(silver, ordered=False)
-        _print_rows("kpis", rp.kpi_summary(silver))
+        gold = read_marts(spark, layout.gold)
+        ind = gold["gold_indicador_por_municipio"]
+        goal_vs = gold["gold_meta_vs_resultado"]
+        evolution = gold["gold_evolucao_temporal_uf"]
+        _print_rows("kpis", rp.kpi_summary_from_marts(ind, goal_vs))
         _print_rows("regions_latest", rp.region_vs_mean(evolution))
         _print_rows("national_evolution", rp.national_evolution(evolution))
-        _print_rows("distribution", rp.histogram(spark, marts.indicator_by_entity(silver, ordered=False),
-                                                 S.rate, S.period, mean_scale=S.rate_decimals))
-        _print_rows("worst_gaps", rp.worst_gap_topk(marts.goal_vs_result(silver)))
+        _print_rows("distribution", rp.histogram(spark, ind, S.rate, S.period, mean_scale=S.rate_decimals))
+        _print_rows("worst_gaps", rp.worst_gap_topk(goal_vs))
     return 0
 
 

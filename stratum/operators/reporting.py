@@ -88,6 +88,28 @@ def kpi_summary(silver: DataFrame, spec: IndicatorSpec = DEFAULT_SPEC) -> DataFr
         F.max(s.period).alias(LATEST))
 
 
+def kpi_summary_from_marts(ind: DataFrame, goal_vs: DataFrame,
+                           spec: IndicatorSpec = DEFAULT_SPEC) -> DataFrame:
+    """The same six values from the stored marts (per-entity indicator and
+    goal vs result), as a dashboard reading Gold computes them: one aggregate
+    per mart, the two one-row results joined on the latest period."""
+    s = spec
+    latest = latest_period(ind, s.period)
+    now = F.col(s.period) == latest
+    left = ind.agg(
+        F.count_distinct(s.entity).alias(TOTAL_ENTITIES),
+        F.concat_ws(RANGE_SEPARATOR, F.min(s.period).cast("string"),
+                    F.max(s.period).cast("string")).alias(PERIOD_RANGE),
+        exact_mean(F.when(now, F.col(s.rate)), s.rate_decimals).alias(NATIONAL_RATE),
+        F.avg(F.when(now, F.col(s.score))).alias(NATIONAL_SCORE),
+        F.max(s.period).alias(LATEST))
+    right = goal_vs.filter(now).agg(
+        (F.lit(100.0) * F.avg(F.col(s.hit).cast("int"))).alias(HIT_SHARE),
+        latest.alias(LATEST))
+    return left.join(right, LATEST, "left").select(
+        TOTAL_ENTITIES, PERIOD_RANGE, NATIONAL_RATE, NATIONAL_SCORE, HIT_SHARE, LATEST)
+
+
 def region_vs_mean(evolution: DataFrame, spec: IndicatorSpec = DEFAULT_SPEC,
                    rate: str = REGION_RATE) -> DataFrame:
     """Latest-period regions, ascending by mean (NULLs last), with the mean of

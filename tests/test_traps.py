@@ -275,3 +275,16 @@ def test_stream_microbatch_replay_is_idempotent(spark):
     assert counts[7] == (2, 1) and counts[8] == (2, 1)
     assert spark.read.parquet(cfg.bronze).count() == 4
     assert spark.read.parquet(cfg.quarantine).count() == 2
+
+
+def test_kpi_summary_from_marts_equals_silver_summary(spark):
+    from stratum.plans import queries as Q
+
+    sf = "/root/testdata/sf0.001"
+    silver = Q.silver(spark, sf)
+    a = reporting.kpi_summary(silver).collect()[0].asDict()
+    b = reporting.kpi_summary_from_marts(marts.indicator_by_entity(silver, ordered=False),
+                                         marts.goal_vs_result(silver)).collect()[0].asDict()
+    assert a.keys() == b.keys()
+    for k in a:
+        assert a[k] == pytest.approx(b[k]) if isinstance(a[k], float) else a[k] == b[k]
