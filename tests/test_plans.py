@@ -88,3 +88,13 @@ def test_hot_entity_with_a_third_of_rows(spark):
     assert len(out) == 601 and out["hot"].r == 100.0 and out["hot"].s == 10.0 and out["e5"].r == 0.0
     dup = dq.collect_results(dq.duplicate_check(micro, ["id", "ano"]))[0]
     assert dup.metrics[dq.M_DUPLICATES] == 299
+
+
+def test_latest_period_prunes_stored_silver(spark):
+    from stratum.plans import queries as Q
+    from stratum.session import scratch_path
+    from stratum.sources.layers import read_silver, write_silver
+
+    path = write_silver(Q.silver(spark, SF, processed_at=True), scratch_path(spark, "prune"))
+    p = plan(rp.at_latest(read_silver(spark, path), S.period))
+    assert re.search(r"PartitionFilters: \[isnotnull\(ano#\d+\), \(ano#\d+ = Subquery subquery#", p)
