@@ -4,6 +4,8 @@ one job per check vs the fused checks.  Prints one JSON line."""
 
 from __future__ import annotations
 
+import contextlib
+import io
 import json
 import os
 import statistics
@@ -38,6 +40,14 @@ def _once(fn):
     return time.perf_counter() - t0
 
 
+def scans(df: DataFrame) -> int:
+    """Number of file scans in the physical plan (from ``explain``)."""
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain()
+    return buf.getvalue().count("FileScan")
+
+
 def union_goals(wide: DataFrame) -> DataFrame:
     parts = [wide.select(S.entity, F.lit(y).alias(S.period), F.col(f"{S.goal_prefix}{y}").cast("double").alias(S.goal))
              for y in tb.GOAL_YEARS]
@@ -76,9 +86,8 @@ def main():
     out["goals_union_7_scans"] = timed(lambda: union_goals(wide).write.format("noop").mode("overwrite").save(), repeats)
     out["goals_unpivot"] = timed(lambda: goals_long(wide, S.entity, S.goal_prefix, period=S.period, value=S.goal)
                                  .write.format("noop").mode("overwrite").save(), repeats)
-    out["goals_union_file_scans"] = union_goals(wide)._jdf.queryExecution().executedPlan().toString().count("FileScan")
-    out["goals_unpivot_file_scans"] = goals_long(wide, S.entity, S.goal_prefix, period=S.period, value=S.goal) \
-        ._jdf.queryExecution().executedPlan().toString().count("FileScan")
+    out["goals_union_file_scans"] = scans(union_goals(wide))
+    out["goals_unpivot_file_scans"] = scans(goals_long(wide, S.entity, S.goal_prefix, period=S.period, value=S.goal))
 
     path = write_silver(silver, scratch_path(spark, "cmp"))
     written = read_silver(spark, path)
