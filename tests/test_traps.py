@@ -223,7 +223,7 @@ def test_stream_continuous_run_resumes_from_checkpoint(spark):
     cfg = StreamConfig(landing=f"{base}/in", bronze=f"{base}/b", quarantine=f"{base}/q",
                        checkpoint=f"{base}/c", trigger_interval="1 second")
     land(spark.createDataFrame([('{"event_id": 1}',), ('{"event_id": 2}',)], "value string"), cfg.landing, "b1")
-    run_for(spark, cfg, 8)
+    run_for(spark, cfg, 20)
     assert spark.read.parquet(cfg.bronze).count() == 2
     land(spark.createDataFrame([('{"event_id": 3}',)], "value string"), cfg.landing, "b2")
     assert drain(spark, cfg).bronze_rows == 1
