@@ -60,6 +60,10 @@ class StreamConfig:
     trigger_interval: str = "60 seconds"
     # Kafka-format source (deployment): set ``kafka_servers`` and ``topic``;
     # a batch closes at 500 messages or after 60 s, whichever comes first.
+    # file source housekeeping: "archive" (to ``archive_dir``) or "delete"
+    # processed files, so listing the landing folder stays cheap over time
+    clean_source: str | None = None
+    archive_dir: str | None = None
     kafka_servers: str | None = None
     topic: str | None = None
     min_offsets_per_trigger: int = 500
@@ -81,11 +85,14 @@ def read_messages(spark: SparkSession, cfg: StreamConfig) -> DataFrame:
                 .option("maxTriggerDelay", cfg.max_trigger_delay)
                 .load()
                 .select(F.col("value").cast("string").alias(RAW)))
-    return (spark.readStream.format("text")
-            .option("maxFilesPerTrigger", cfg.max_files_per_trigger)
-            .option("recursiveFileLookup", "true")
-            .load(cfg.landing)
-            .select(F.col("value").alias(RAW)))
+    reader = (spark.readStream.format("text")
+              .option("maxFilesPerTrigger", cfg.max_files_per_trigger)
+              .option("recursiveFileLookup", "true"))
+    if cfg.clean_source:
+        reader = reader.option("cleanSource", cfg.clean_source)
+        if cfg.archive_dir:
+            reader = reader.option("sourceArchiveDir", cfg.archive_dir)
+    return reader.load(cfg.landing).select(F.col("value").alias(RAW))
 
 
 def parse(messages: DataFrame, schema: T.StructType) -> DataFrame:
