@@ -57,17 +57,25 @@ def main() -> None:
     if event_dir:  # per-stage times and shuffle bytes: scripts/stage_report.py
         conf.update({"spark.eventLog.enabled": "true", "spark.eventLog.dir": event_dir})
     spark = get_session(f"local[{cpus}]", app="stratum-bench", conf=conf)
+    errors = {}
     for name in names:
-        run_once(spark, name, sf_dir, ":warmup")
+        try:
+            run_once(spark, name, sf_dir, ":warmup")
+        except Exception as exc:  # noqa: BLE001 - report and keep benchmarking the rest
+            errors[name] = f"{type(exc).__name__}: {str(exc)[:200]}"
     per_query = {}
     for name in names:
+        if name in errors:
+            continue
         per_query[name] = round(statistics.median(run_once(spark, name, sf_dir, f":{i}")
                                                   for i in range(repeats)), 3)
     spark.stop()
     sf = Path(sf_dir).name.removeprefix("sf")
-    print(json.dumps({"metric": "sum_of_median_query_seconds", "value": round(sum(per_query.values()), 3),
-                      "unit": "sec", "queries": per_query, "sf": sf, "cpus": int(cpus),
-                      "repeats": repeats}))
+    out = {"metric": "sum_of_median_query_seconds", "value": round(sum(per_query.values()), 3),
+           "unit": "sec", "queries": per_query, "sf": sf, "cpus": int(cpus), "repeats": repeats}
+    if errors:
+        out["errors"] = errors
+    print(json.dumps(out))
 
 
 if __name__ == "__main__":
