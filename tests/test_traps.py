@@ -288,3 +288,30 @@ def test_kpi_summary_from_marts_equals_silver_summary(spark):
     assert a.keys() == b.keys()
     for k in a:
         assert a[k] == pytest.approx(b[k]) if isinstance(a[k], float) else a[k] == b[k]
+
+
+def test_operators_follow_a_different_spec(spark):
+    from stratum.operators import quality as dq
+    from stratum.spec import IndicatorSpec
+
+    spec = IndicatorSpec(entity="store", period="yr", region="zone", region_name="zone_name",
+                         dim_name="label", entity_name="store_name", score_raw="score", flag_raw="ok",
+                         weight_raw="w", score="avg_score", rate="ok_pct", goal_prefix="target_",
+                         goal="target", gap="gap", hit="hit", null_flag_suffix="_missing",
+                         natural_keys={"silver": ("store", "yr"), "municipio": ("store",)})
+    micro = spark.createDataFrame([("s1", 2024, 10.0, "1", 1.0), ("s1", 2024, 20.0, "0", 1.0),
+                                   ("s2", 2024, 30.0, "1", 2.0)], "store string, yr int, score double, ok string, w double")
+    ind = weighted_indicator(micro, ["store", "yr"], "score", "ok", "w", score_out="avg_score", rate_out="ok_pct")
+    dim = spark.createDataFrame([("s1", "One", " north ", "North")], "store string, label string, zone string, zone_name string")
+    wide = spark.createDataFrame([("s1", 40.0), ("s2", 120.0)], "store string, target_2024 double")
+    silver = build_silver(ind, dim, wide, spec, processed_at=False)
+    assert silver.columns == ["store", "store_name", "zone", "zone_name", "yr", "avg_score", "ok_pct", "target",
+                              "avg_score_missing", "ok_pct_missing"]
+    g = {r.store: r for r in marts.goal_vs_result(silver, spec).collect()}
+    assert g["s1"].hit is True and g["s1"].gap == 10.0 and g["s2"].hit is False and g["s1"].zone == "NORTH"
+    checks = {r.name: r for r in dq.collect_results(dq.table_checks(
+        silver, dim, keys=spec.keys_of("silver"), missing_cols=list(spec.metrics), range_col=spec.rate,
+        orphan_keys_cols=spec.keys_of("municipio")))}
+    assert checks[dq.ORPHANS].metrics[dq.M_ORPHANS] == 1 and checks[dq.DUPLICATES].passed
+    evo = marts.region_evolution(silver, spec).collect()
+    assert {(r.zone, r[marts.REGION_COUNT]) for r in evo} == {("NORTH", 1), (None, 1)}
