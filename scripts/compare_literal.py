@@ -19,6 +19,9 @@ from pyspark.sql import DataFrame  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 from stratum.operators import quality as dq  # noqa: E402
+from stratum.operators.cleaning import flag_missing  # noqa: E402
+from stratum.operators.integrate import attach_dimension, attach_goals  # noqa: E402
+from stratum.plans.silver import silver_columns  # noqa: E402
 from stratum.operators.reshape import goals_long  # noqa: E402
 from stratum.plans import queries as Q  # noqa: E402
 from stratum.plans import testbed as tb  # noqa: E402
@@ -48,6 +51,26 @@ def scans(df: DataFrame) -> int:
     return buf.getvalue().count("FileScan")
 
 
+def silver_in_order(spark, sf_dir, order: str) -> DataFrame:
+    """Silver with the two LEFT joins in the given order (same result)."""
+    fact = flag_missing(prepare(tb.indicator(spark, sf_dir)), S.metrics, S.null_flag_suffix)
+    dim = prepare(tb.dimension(spark, sf_dir))
+    goals = goals_long(prepare(tb.goals_wide(spark, sf_dir)), S.entity, S.goal_prefix, period=S.period, value=S.goal)
+    cols = {S.region: S.region, S.region_name: S.region_name, S.dim_name: S.entity_name}
+    if order == "dimension_first":
+        joined = attach_goals(attach_dimension(fact, dim, S.entity, columns=cols), goals, [S.entity, S.period])
+    else:
+        joined = attach_dimension(attach_goals(fact, goals, [S.entity, S.period]), dim, S.entity, columns=cols)
+    return joined.select(*silver_columns(S))
+
+
+def hash_exchanges(df: DataFrame) -> int:
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain()
+    return buf.getvalue().count("Exchange hashpartitioning")
+
+
 def union_goals(wide: DataFrame) -> DataFrame:
     parts = [wide.select(S.entity, F.lit(y).alias(S.period), F.col(f"{S.goal_prefix}{y}").cast("double").alias(S.goal))
              for y in tb.GOAL_YEARS]
@@ -96,6 +119,12 @@ def main():
     out["checks_fused"] = timed(lambda: dq.collect_results(dq.table_checks(
         written, parent, keys=[S.entity, S.period], missing_cols=list(S.metrics), range_col=S.rate,
         orphan_keys_cols=[S.entity])), repeats)
+    # join order with a dimension too large to broadcast (broadcasts disabled)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    for order in ("dimension_first", "goals_first"):
+        out[f"silver_{order}"] = timed(lambda o=order: silver_in_order(spark, sf_dir, o)
+                                       .write.format("noop").mode("overwrite").save(), repeats)
+        out[f"silver_{order}_hash_exchanges"] = hash_exchanges(silver_in_order(spark, sf_dir, order))
     spark.stop()
     print(json.dumps({"sf_dir": sf_dir, "cpus": int(cpus), "repeats": repeats, "seconds": out}))
 
