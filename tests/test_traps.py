@@ -315,3 +315,32 @@ def test_operators_follow_a_different_spec(spark):
     assert checks[dq.ORPHANS].metrics[dq.M_ORPHANS] == 1 and checks[dq.DUPLICATES].passed
     evo = marts.region_evolution(silver, spec).collect()
     assert {(r.zone, r[marts.REGION_COUNT]) for r in evo} == {("NORTH", 1), (None, 1)}
+
+
+def test_stream_crash_mid_batch_then_restart_is_exactly_once(spark, monkeypatch):
+    from stratum.streaming import events as ev
+
+    base = scratch_path(spark, "crash")
+    cfg = ev.StreamConfig(landing=f"{base}/in", bronze=f"{base}/b", quarantine=f"{base}/q",
+                          checkpoint=f"{base}/c")
+    lines = ['{"event_id": 1}', '{"event_id": 2}', "broken"]
+    ev.land(spark.createDataFrame([(x,) for x in lines], "value string"), cfg.landing, "b1")
+
+    real = ev._write_idempotent
+    calls = {"n": 0}
+
+    def crash_on_quarantine(frame, path, cfg_, batch_id):
+        calls["n"] += 1
+        if path == cfg.quarantine and calls["n"] <= 2:   # Bronze written, then the "executor dies"
+            raise RuntimeError("simulated loss")
+        return real(frame, path, cfg_, batch_id)
+
+    monkeypatch.setattr(ev, "_write_idempotent", crash_on_quarantine)
+    with pytest.raises(Exception):
+        ev.drain(spark, cfg)
+    assert spark.read.parquet(cfg.bronze).count() == 2      # partial batch output is visible...
+    result = ev.drain(spark, cfg)                           # ...restart replays the same micro-batch
+    assert (result.bronze_rows, result.quarantine_rows) == (2, 1)
+    assert spark.read.parquet(cfg.bronze).count() == 2      # replaced, not duplicated
+    assert spark.read.parquet(cfg.quarantine).count() == 1
+    assert ev.drain(spark, cfg).bronze_rows == 0            # nothing left to do
