@@ -57,33 +57,33 @@ def silver_once(spark: SparkSession, sf_dir: str, columns: list[str]) -> DataFra
 
 
 @register
-def bronze_weighted_indicator(spark, sf_dir):
+def bronze_weighted_indicator(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tb.indicator(spark, sf_dir)
 
 
 @register
-def silver_goals_long(spark, sf_dir):
+def silver_goals_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     return goals_long(prepare(tb.goals_wide(spark, sf_dir)), S.entity, S.goal_prefix,
                       period=S.period, value=S.goal)
 
 
 @register
-def silver_integrated(spark, sf_dir):
+def silver_integrated(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver(spark, sf_dir)
 
 
 @register
-def gold_indicator_by_entity(spark, sf_dir):
+def gold_indicator_by_entity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marts.indicator_by_entity(silver(spark, sf_dir))
 
 
 @register
-def gold_goal_vs_result(spark, sf_dir):
+def gold_goal_vs_result(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marts.goal_vs_result(silver(spark, sf_dir))
 
 
 @register
-def gold_region_evolution(spark, sf_dir):
+def gold_region_evolution(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marts.region_evolution(silver(spark, sf_dir))
 
 
@@ -96,7 +96,7 @@ LATE_DATE = "2024-01-02"
 LATER_FROM_PERIOD = 1997
 
 
-def _snapshots(spark, sf_dir):
+def _snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze indicator table with a full snapshot on the early date and a
     partial one on the late date; the late one is written first."""
     base = scratch_path(spark, "bronze")
@@ -107,7 +107,7 @@ def _snapshots(spark, sf_dir):
 
 
 @register
-def bronze_snapshot_audit(spark, sf_dir):
+def bronze_snapshot_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ingest every registered source for one date; rows per table read back."""
     base = scratch_path(spark, "bronze")
     reg = tb.registry(sf_dir)
@@ -119,7 +119,7 @@ def bronze_snapshot_audit(spark, sf_dir):
 
 
 @register
-def bronze_same_day_rerun(spark, sf_dir):
+def bronze_same_day_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The late date is written twice; its row count does not double."""
     base = _snapshots(spark, sf_dir)
     ind = tb.indicator(spark, sf_dir)
@@ -129,12 +129,12 @@ def bronze_same_day_rerun(spark, sf_dir):
 
 
 @register
-def silver_latest_snapshot(spark, sf_dir):
+def silver_latest_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_bronze(spark, _snapshots(spark, sf_dir), "indicador")
 
 
 @register
-def silver_dedup_clean(spark, sf_dir):
+def silver_dedup_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact copies collapse; a row with one NULL key stays, all-NULL keys go."""
     ind = tb.indicator(spark, sf_dir)
     no_keys = ind.withColumns({S.entity: F.lit(None).cast("string"), S.period: F.lit(None).cast("int")})
@@ -143,7 +143,7 @@ def silver_dedup_clean(spark, sf_dir):
 
 
 @register
-def silver_normalize_keys(spark, sf_dir):
+def silver_normalize_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw keys with the wrong types and padded lower-case codes."""
     raw = tb.table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber",
@@ -159,7 +159,7 @@ UNPARSEABLE_BELOW = 30.0
 
 
 @register
-def silver_missing_flags(spark, sf_dir):
+def silver_missing_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     ind = tb.indicator(spark, sf_dir)
     raw = ind.select(
         S.entity, S.period,
@@ -170,7 +170,7 @@ def silver_missing_flags(spark, sf_dir):
 
 
 @register
-def silver_partition_roundtrip(spark, sf_dir):
+def silver_partition_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Silver written partitioned by (period, region) and read back; entities
     without a dimension row come back with a NULL region."""
     path = write_silver(silver(spark, sf_dir), scratch_path(spark, "silver"))
@@ -178,7 +178,7 @@ def silver_partition_roundtrip(spark, sf_dir):
 
 
 @register
-def gold_marts_roundtrip(spark, sf_dir):
+def gold_marts_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All marts built from one written Silver; rows per mart read back."""
     silver_path = write_silver(silver(spark, sf_dir), scratch_path(spark, "silver"))
     gold_base = scratch_path(spark, "gold")
@@ -197,7 +197,7 @@ PRICE_PCT_UNIT = 1000.0
 
 
 @register
-def dq_duplicates(spark, sf_dir):
+def dq_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = tb.table(spark, sf_dir, "lineitem")
     return dq.duplicate_check(li, LINE_KEYS).select(
         "check_name", "passed",
@@ -206,25 +206,25 @@ def dq_duplicates(spark, sf_dir):
 
 
 @register
-def dq_missing(spark, sf_dir):
+def dq_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dq.missing_by_column(silver(spark, sf_dir), [S.score, S.rate, S.goal], S.missing_limit_pct)
 
 
 @register
-def dq_orphans(spark, sf_dir):
+def dq_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dq.orphan_check(silver(spark, sf_dir), tb.dimension(spark, sf_dir), [S.entity]).select(
         "check_name", "passed", F.col("metrics")[dq.M_ORPHANS].cast("long").alias(dq.M_ORPHANS))
 
 
 @register
-def dq_range(spark, sf_dir):
+def dq_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = tb.table(spark, sf_dir, "lineitem").select(
         (F.col("l_extendedprice") / PRICE_PCT_UNIT).alias(PRICE_PCT))
     return dq.range_check(li, PRICE_PCT, S.range_low, S.range_high, S.range_tolerance).select(
         "check_name", "passed", F.col("metrics")[dq.M_INVALID].cast("long").alias(dq.M_INVALID))
 
 
-def _silver_checks(spark, sf_dir):
+def _silver_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     # two jobs (fused aggregate, orphan keys) read Silver: compute it once
     checked = silver_once(spark, sf_dir, [S.entity, S.period, *S.metrics])
     return dq.table_checks(
@@ -235,7 +235,7 @@ def _silver_checks(spark, sf_dir):
 
 
 @register
-def dq_report(spark, sf_dir):
+def dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _silver_checks(spark, sf_dir).select("check_name", "passed", "critical", "status")
 
 
@@ -251,43 +251,43 @@ def _evolution(spark, sf_dir, once=False):
 
 
 @register
-def kpi_coverage(spark, sf_dir):
+def kpi_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rp.coverage(marts.indicator_by_entity(silver(spark, sf_dir), ordered=False))
 
 
 @register
-def kpi_national_mean(spark, sf_dir):
+def kpi_national_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rp.national_means(silver_once(spark, sf_dir, [S.period, S.rate, S.score]))
 
 
 @register
-def kpi_hit_share(spark, sf_dir):
+def kpi_hit_share(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rp.hit_share(marts.goal_vs_result(silver_once(spark, sf_dir, GOAL_COLS)))
 
 
 @register
-def kpi_summary(spark, sf_dir):
+def kpi_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rp.kpi_summary(silver_once(spark, sf_dir, [S.entity, S.period, S.rate, S.score, S.goal]))
 
 
 @register
-def kpi_region_vs_mean(spark, sf_dir):
+def kpi_region_vs_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rp.region_vs_mean(_evolution(spark, sf_dir, once=True))
 
 
 @register
-def kpi_national_evolution(spark, sf_dir):
+def kpi_national_evolution(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rp.national_evolution(_evolution(spark, sf_dir))
 
 
 @register
-def kpi_distribution(spark, sf_dir):
+def kpi_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rp.histogram(spark, silver_once(spark, sf_dir, [S.period, S.rate]), S.rate, S.period,
                         bins=24, mean_scale=S.rate_decimals)
 
 
 @register
-def kpi_worst_gap_topk(spark, sf_dir):
+def kpi_worst_gap_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rp.worst_gap_topk(marts.goal_vs_result(silver_once(spark, sf_dir, GOAL_COLS)), k=10)
 
 
@@ -311,7 +311,7 @@ def _broken_messages(events):
 
 
 @register
-def stream_ingest_bronze(spark, sf_dir):
+def stream_ingest_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Replay ``events`` as JSON files, drain the stream into Bronze and
     summarise what landed per event type."""
     cfg = _stream_cfg(spark)
@@ -323,7 +323,7 @@ def stream_ingest_bronze(spark, sf_dir):
 
 
 @register
-def stream_quarantine(spark, sf_dir):
+def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Broken messages keep their raw text in the quarantine table."""
     cfg = _stream_cfg(spark)
     events = tb.table(spark, sf_dir, "events")
@@ -333,7 +333,7 @@ def stream_quarantine(spark, sf_dir):
 
 
 @register
-def stream_rerun_idempotent(spark, sf_dir):
+def stream_rerun_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two landing waves and a rerun without new files: Bronze row count
     after each drain (the rerun adds nothing)."""
     cfg = _stream_cfg(spark)
@@ -351,7 +351,7 @@ def stream_rerun_idempotent(spark, sf_dir):
 # ---------------------------------------------------------------- pipeline
 
 @register
-def quality_gate_run(spark, sf_dir):
+def quality_gate_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole pipeline twice: with every supplier registered the gate passes
     and Gold is written; with only registered suppliers the orphan check
     fails and Gold is not built.  Gold presence is read from storage (a
@@ -372,7 +372,7 @@ def quality_gate_run(spark, sf_dir):
 
 
 @register
-def run_metrics(spark, sf_dir):
+def run_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows counted by each job of a full run (plus a stream drain), read
     back from the metrics table."""
     res = run_pipeline(spark, tb.registry(sf_dir, registered_only=False),
