@@ -126,3 +126,17 @@ def test_results_do_not_depend_on_the_physical_strategy(spark):
                     spark.conf.unset(k)
                 else:
                     spark.conf.set(k, v)
+
+
+def test_silver_join_order_saves_a_fact_shuffle(spark):
+    """With a dimension too large to broadcast, goals-first costs 10 hash
+    exchanges; the dimension-first order would re-shuffle the fact (11)."""
+    from stratum.plans import queries as Q
+
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert plan(Q.silver(spark, SF)).count("Exchange (") == 10
+        assert tree(Q.silver(spark, SF)).count("SortMergeJoin LeftOuter") == 2
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
