@@ -14,6 +14,8 @@ from stratum.plans import queries as Q  # noqa: E402
 from stratum.session import get_session, scratch_path  # noqa: E402
 from stratum.sources.bronze import read_bronze, write_snapshot  # noqa: E402
 from stratum.plans import testbed as tb  # noqa: E402
+from stratum.operators import quality as dq  # noqa: E402
+from stratum.spec import DEFAULT_SPEC as S  # noqa: E402
 
 NOTES = {
     "silver_integrated": "Fact side: one exchange (the weighted aggregate); the full-row dedup reuses its "
@@ -26,6 +28,10 @@ NOTES = {
                         "equi-join on the period (broadcast of one row); partial aggregate per bin.",
     "latest_snapshot": "Scalar subquery on max(dt_ingestao) becomes a partition filter; the subquery reads "
                        "directory metadata only (empty ReadSchema).",
+    "dq_orphans_large_parent": "Orphan keys with a parent too large to broadcast: both sides are reduced to "
+                               "distinct keys by a partial aggregate before their exchange, and the join "
+                               "reuses that partitioning (a LEFT ANTI join would be pushed below the child's "
+                               "DISTINCT and shuffle raw child rows).",
 }
 
 
@@ -49,6 +55,8 @@ def main(sf_dir="/root/testdata/sf0.1"):
         "dq_report": Q.dq_report(spark, sf_dir),
         "kpi_distribution": Q.kpi_distribution(spark, sf_dir),
         "latest_snapshot": read_bronze(spark, base, "indicador"),
+        "dq_orphans_large_parent": dq.orphan_keys(Q.silver(spark, sf_dir),
+                                                  tb.dimension(spark, sf_dir).hint("shuffle_merge"), [S.entity]),
     }
     out = ["# Physical plans", "",
            f"Generated by `scripts/dump_plans.py` at `{sf_dir}` before execution (AQE may still switch "
