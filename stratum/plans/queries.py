@@ -22,7 +22,7 @@ from stratum.plans.gold import MARTS, build_gold, read_marts
 from stratum.plans.ingest import ingest
 from stratum.plans.pipeline import run_pipeline
 from stratum.plans.silver import build_silver, prepare
-from stratum.session import scratch_path, shared_dir
+from stratum.session import scratch_path
 from stratum.sources.bronze import read_bronze, write_snapshot
 from stratum.sources.layers import read_silver, write_silver
 from stratum.sources.metrics import RunMetric, append_metrics
@@ -43,17 +43,20 @@ def silver(spark: SparkSession, sf_dir: str, processed_at: bool = False) -> Data
 
 
 def silver_once(spark: SparkSession, sf_dir: str, columns: list[str]) -> DataFrame:
-    """The Silver columns a report needs, computed once and checkpointed to
-    the shared checkpoint folder.
+    """The Silver columns a report needs, computed once and written as a
+    Parquet table in the shared folder (``spark.checkpoint.dir``).
 
     Report queries read Silver more than once (the latest-period scalar
     subquery plus the main pass); without this each pass would re-run the
-    aggregation over the full microdata.  The checkpoint is reliable storage
-    (survives executor loss), holds only aggregated rows and only the listed
-    columns, and the plan behind it is pruned to them.
+    aggregation over the full microdata.  The table cuts the lineage like a
+    checkpoint (it survives executor loss) but is columnar and compressed,
+    holds only aggregated rows and only the listed columns, and the plan
+    that produces it is pruned to them.
     """
-    shared_dir(spark)
-    return silver(spark, sf_dir).select(*columns).checkpoint(eager=True)
+    df = silver(spark, sf_dir).select(*columns)
+    path = scratch_path(spark, "silver-once")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 @register
