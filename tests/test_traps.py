@@ -344,3 +344,17 @@ def test_stream_crash_mid_batch_then_restart_is_exactly_once(spark, monkeypatch)
     assert spark.read.parquet(cfg.bronze).count() == 2      # replaced, not duplicated
     assert spark.read.parquet(cfg.quarantine).count() == 1
     assert ev.drain(spark, cfg).bronze_rows == 0            # nothing left to do
+
+
+def test_t2_near_duplicate_dimension_rows_fan_out_and_are_caught(spark):
+    from stratum.operators import quality as dq
+
+    ind = spark.createDataFrame([("1", 2024, 500.0, 60.0)], "id_municipio string, ano int,"
+                                " proficiencia_media double, percentual_alfabetizado double")
+    dim = spark.createDataFrame([("1", "A", "sp", "S"), ("1", "A", " SP ", "S")],
+                                "id_municipio string, nome string, sigla_uf string, nome_uf string")
+    wide = spark.createDataFrame([("1", 50.0)], "id_municipio string, meta_alfabetizacao_2024 double")
+    silver = build_silver(ind, dim, wide, processed_at=False)
+    assert silver.count() == 2                      # both normalise to SP after dedup ran
+    r = dq.collect_results(dq.duplicate_check(silver, ["id_municipio", "ano"]))[0]
+    assert not r.passed and r.metrics[dq.M_DUPLICATES] == 1
