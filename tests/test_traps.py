@@ -358,3 +358,17 @@ def test_t2_near_duplicate_dimension_rows_fan_out_and_are_caught(spark):
     assert silver.count() == 2                      # both normalise to SP after dedup ran
     r = dq.collect_results(dq.duplicate_check(silver, ["id_municipio", "ano"]))[0]
     assert not r.passed and r.metrics[dq.M_DUPLICATES] == 1
+
+
+def test_t15_zero_weight_rate_is_flagged_missing_in_silver(spark):
+    micro = spark.createDataFrame([("1", 2024, 10.0, "1", 0.0), ("1", 2024, 20.0, "0", 0.0)],
+                                  "id_municipio string, ano int, proficiencia double, alfabetizado string,"
+                                  " peso_aluno double")
+    ind = weighted_indicator(micro, ["id_municipio", "ano"], "proficiencia", "alfabetizado", "peso_aluno",
+                             score_out=S.score, rate_out=S.rate)
+    dim = spark.createDataFrame([("1", "A", "sp", "S")], "id_municipio string, nome string, sigla_uf string,"
+                                " nome_uf string")
+    wide = spark.createDataFrame([("1", 50.0)], "id_municipio string, meta_alfabetizacao_2024 double")
+    row = build_silver(ind, dim, wide, processed_at=False).collect()[0]
+    assert row.percentual_alfabetizado is None and row.percentual_alfabetizado_era_nulo is True
+    assert row.proficiencia_media == 15.0 and row.proficiencia_media_era_nulo is False
