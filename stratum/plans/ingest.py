@@ -3,6 +3,8 @@ write it as the partition of the ingestion date."""
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import SparkSession
 
 from stratum.operators.bronze import EmptySourceError
@@ -31,6 +33,18 @@ def ingest_table(spark: SparkSession, registry: SourceRegistry, key: str, base:
 
 
 def ingest(spark: SparkSession, registry: SourceRegistry, which: str, base: str,
-           ingest_date: str, **kw) -> list[RunMetric]:
-    """``which`` is one logical key or ``"all"``; the date is a parameter."""
-    return [ingest_table(spark, registry, k, base, ingest_date, **kw) for k in registry.select(which)]
+           ingest_date: str, *, parallel: bool = True, **kw) -> list[RunMetric]:
+    """``which`` is one logical key or ``"all"``; the date is a parameter.
+
+    The sources are independent, so their jobs are submitted concurrently
+    from driver threads (Spark schedules them side by side): a small table
+    does not wait behind a large one.  Every source is attempted; the first
+    failure is raised after all have finished.
+    """
+    keys = registry.select(which)
+    run = lambda k: ingest_table(spark, registry, k, base, ingest_date, **kw)
+    if not parallel or len(keys) == 1:
+        return [run(k) for k in keys]
+    with ThreadPoolExecutor(max_workers=len(keys)) as pool:
+        futures = [pool.submit(run, k) for k in keys]
+    return [f.result() for f in futures]
