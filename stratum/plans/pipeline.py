@@ -23,6 +23,9 @@ from stratum.spec import DEFAULT_SPEC, IndicatorSpec
 
 # Logical keys of the three sources Silver is built from.
 FACT, DIMENSION, GOALS = "indicador", "municipio", "meta_municipio"
+# Run-metric job names -- "ingest_batch_<key>", "transform_silver",
+# "build_<mart>", "ingest_streaming" -- and layers "bronze", "silver", "gold".
+SILVER_JOB = "transform_silver"
 
 
 @dataclass
@@ -63,7 +66,7 @@ def run_silver(spark: SparkSession, layout: Layout, spec: IndicatorSpec = DEFAUL
                           read_bronze(spark, layout.bronze, DIMENSION, spec=spec),
                           read_bronze(spark, layout.bronze, GOALS, spec=spec), spec)
     return observed_write(silver, lambda d: write_silver(d, layout.silver, spec),
-                          job="transform_silver", layer="silver")
+                          job=SILVER_JOB, layer="silver")
 
 
 def run_checks(spark: SparkSession, layout: Layout, spec: IndicatorSpec = DEFAULT_SPEC):
