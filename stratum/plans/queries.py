@@ -99,7 +99,7 @@ LATE_DATE = "2024-01-02"
 LATER_FROM_PERIOD = 1997
 
 
-def _snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _snapshots(spark: SparkSession, sf_dir: str) -> str:
     """Bronze indicator table with a full snapshot on the early date and a
     partial one on the late date; the late one is written first."""
     base = scratch_path(spark, "bronze")
