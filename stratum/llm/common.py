@@ -12,6 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -54,12 +55,18 @@ def binaries(column: pa.Array) -> list[bytes | None]:
     return column.cast(kind).to_pylist()
 
 
-def slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
-    """Arrow batches cut to at most ``rows`` rows, so that a task holds few
-    texts as Python objects at a time."""
+def slices(batches: Iterator[pa.RecordBatch], text: int, size: int = 2_000_000) -> Iterator[pa.RecordBatch]:
+    """Arrow batches cut so that column ``text`` holds about ``size`` bytes in
+    each (a longer text stands alone): a task holds few texts as Python
+    objects at a time."""
     for b in batches:
-        for at in range(0, b.num_rows, rows):
-            yield b.slice(at, rows)
+        if not b.num_rows:
+            continue
+        n = pc.fill_null(pc.binary_length(b.column(text)), 0).to_numpy(zero_copy_only=False).astype(np.int64) + 200
+        part = (np.cumsum(n) - n) // size
+        cuts = np.flatnonzero(np.r_[True, part[1:] != part[:-1], True])
+        for at, end in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+            yield b.slice(at, end - at)
 
 
 # --- files in the shared folder -------------------------------------------

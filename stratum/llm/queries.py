@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from stratum.llm import simhash
-from stratum.llm.common import table
+from stratum.llm import simhash, toxicity
+from stratum.llm.common import fold, table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 #: DuckDB SQL of the queries that SQL can express.
@@ -19,6 +20,17 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
     return fn
 
 
+@query
+def op2_crf_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trained on the folds other than 1 of ``crc32(doc_id) mod 3``."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = fold("doc_id", 3) == 1
+    model = toxicity.train(spark, docs.where(~held_out), table(spark, sf_dir, "labels"))
+    return toxicity.with_scores(docs, model).select(
+        "doc_id", held_out.alias("held_out"), "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"), "offsets")
+
+
 @query
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(spark, table(spark, sf_dir, "documents"))

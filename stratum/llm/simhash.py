@@ -54,7 +54,7 @@ def with_fingerprint(df: DataFrame, shingle: int = SHINGLE, text: str = "text",
     at = df.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches):
+        for b in slices(batches, at):
             fps = np.array([fingerprint(t, shingle) for t in binaries(b.column(at))], np.uint64)
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(fps.view(np.int64))], [*b.schema.names, name])
 
