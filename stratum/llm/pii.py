@@ -8,8 +8,9 @@ state for card numbers.  A surrogate that equals another entity's, or a real
 value of the corpus, is drawn again, so different entities stay different.
 
 Kinds: EMAIL, SECRET (the value after ``password=``, ``token = `` and the like),
-PHONE, CARD, SSN, IPV4, IBAN (without recomputed check digits), PERSON_M and
-PERSON_F (names after a title).
+KEY (access keys known by their prefix, which stays), PHONE, CARD, SSN, IPV4,
+IBAN (without recomputed check digits), PERSON_M and PERSON_F (names after a
+title).
 """
 
 from __future__ import annotations
@@ -42,6 +43,8 @@ LETTERS = {"latin": ("aeiou", "bcdfghklmnprstvz"), "cyrillic": ("аеиоу", "
 _NAME = r"\p{Lu}[\p{L}'’-]{1,30}"
 SECRET = (r"(?i:(?<![a-z0-9])(?:password|passwd|pwd|token|secret|api[_-]?key|access[_-]?key))"
           r"\s{0,3}[=:]\s{0,3}[\"']?[A-Za-z0-9+/_-]{8,200}[\"']?")
+KEYS = (r"(?<![A-Za-z0-9])(?:(?:AKIA|ASIA)[A-Z0-9]{16}|gh[opsru]_[A-Za-z0-9]{20,80}|sk-[A-Za-z0-9_-]{20,80})"
+        r"(?![A-Za-z0-9])")
 EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){1,8}"
 IPV4 = r"(?<![\d.])\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?!\.?\d)"
 SSN = r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"
@@ -50,7 +53,7 @@ PHONE = (r"(?<![\w+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,4}){1,4
          r"|(?<![\w(])\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\d)|(?<![\d.-])\d{3}[.-]\d{3}[.-]\d{4}(?![\d-])")
 IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
 PERSON = rf"(?<!\p{{L}})(?:{TITLES_M}|{TITLES_F})\.? {_NAME}(?: {_NAME}){{0,2}}"
-PATTERN = "|".join([SECRET, EMAIL, IPV4, SSN, CARD, PHONE, IBAN, PERSON])
+PATTERN = "|".join([SECRET, KEYS, EMAIL, IPV4, SSN, CARD, PHONE, IBAN, PERSON])
 
 
 def _lit(text: str) -> str:
@@ -69,6 +72,7 @@ def _parts(hit: Column) -> Column:
             .when(hit.rlike(rf"^(?:{TITLES_M})\.? "), "PERSON_M")
             .when(hit.rlike(rf"^(?:{TITLES_F})\.? "), "PERSON_F")
             .when(hit.rlike(f"^(?:{SECRET})$"), "SECRET")
+            .when(hit.rlike(f"^(?:{KEYS})$"), "KEY")
             .when(hit.rlike(f"^(?:{IPV4})$"), "IPV4")
             .when(hit.rlike(f"^(?:{SSN})$"), "SSN")
             .when(hit.rlike(f"^(?:{CARD})$"), "CARD")
@@ -140,13 +144,12 @@ def _surrogate(round_no: int, key: str) -> Column:
     again = "''" if round_no == 0 else f"concat('|', norm, '|', '{round_no}')"  # else one family, one surrogate
     family = "element_at(split(norm, ' '), -1)"
     person = "concat_ws(' ', transform(slice(split(norm, ' '), 1, size(split(norm, ' ')) - 1), g -> {0}), {1})"
-    last = f"concat({_lit(key)}, '|family|', {family}, {again})"
+    last = f"concat({_lit(key)}, '|family|', lower({family}), {again})"
     names = {g: person.format(_given(g).replace("seed0", seed0), _family(family, last)) for g in "MF"}
     hexa = "array_join(transform(split(norm, ''), (c, i) -> {0}), '')".format(
         _from("0123456789abcdef", _number(seed, "i")))
-    domain = "substring_index(substring_index(norm, '@', -1), '.', size(split(norm, '[.]')) - 1)"
     top = "regexp_extract(norm, '([.][^.@]*)$', 1)"
-    host = f"regexp_replace(substring_index(norm, '@', -1), '[.][^.]*$', '')"
+    host = "regexp_replace(substring_index(norm, '@', -1), '[.][^.]*$', '')"
     email = (f"concat({_classes(chr(39).join(['substring_index(norm, ', '@', ', 1)']), seed)}, '@', "
              f"{_classes(host, f'concat({seed0}, {chr(39)}|{chr(39)}, {host})')}, {top})")
     body = f"concat(substr(norm, 1, 1), {_classes('substr(norm, 2, length(norm) - 2)', seed)})"
@@ -159,6 +162,7 @@ def _surrogate(round_no: int, key: str) -> Column:
         WHEN 'CARD' THEN {card}
         WHEN 'IPV4' THEN {ip}
         WHEN 'PHONE' THEN concat(substr(norm, 1, 1), {_classes("substr(norm, 2)", seed)})
+        WHEN 'KEY' THEN concat(substr(norm, 1, 4), {_classes("substr(norm, 5)", seed)})
         WHEN 'IBAN' THEN concat(substr(norm, 1, 2), {_classes("substr(norm, 3)", seed)})
         WHEN 'PERSON_M' THEN {names["M"]}
         WHEN 'PERSON_F' THEN {names["F"]}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratum.llm import simhash, toxicity
+from stratum.llm import mixing, packing, pii, simhash, toxicity
 from stratum.llm.common import fold, table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,6 +31,24 @@ def op2_crf_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"), "offsets")
 
 
+@query
+def op4_histogram_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(spark, table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document, its personal data replaced, and how many entities that were."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.replace(spark, docs, count="n_entities")
+
+
+@query
+def op7_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row for each use of a document in the mixture."""
+    return mixing.mix(spark, table(spark, sf_dir, "documents"), details=True)
+
+
 @query
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(spark, table(spark, sf_dir, "documents"))

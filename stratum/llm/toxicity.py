@@ -4,7 +4,7 @@ The tags are 0 (clean) and 1 (toxic).  Labels exist for documents only, so the
 training tokens are labelled first: within toxic training documents, tokens
 whose word, or prefix, is found in a much larger share of toxic than of clean
 ones are toxic; all other tokens are clean.  The field has weights for
-transitions and for each token's word, prefixes and suffix, and is fitted by
+transitions and for each token's word and prefixes, and is fitted by
 gradient ascent on the likelihood, whose expectations are forward-backward
 marginals.  Scoring runs forward-backward over whole documents; the tokens'
 marginals give the offending offsets and, through a logistic link on their sum
@@ -42,8 +42,8 @@ def words_of(text: str | None) -> list[bytes]:
 
 
 def features(word: bytes) -> tuple[bytes, ...]:
-    """The word, its prefixes of 4 to 6 bytes and its last 4."""
-    return (b"w" + word, b"4" + word[:4], b"5" + word[:5], b"6" + word[:6], b"-" + word[-4:])
+    """The word and its prefixes of 4 to 6 bytes."""
+    return (b"w" + word, b"4" + word[:4], b"5" + word[:5], b"6" + word[:6])
 
 
 @dataclass
@@ -148,16 +148,16 @@ def marginals(emit: np.ndarray, lengths: np.ndarray, start: np.ndarray, moves: n
     return (out, expected, out[token_first[lengths > 0]]) if pairs else out
 
 
-def _toxic_features(docs: list[list[bytes]], labels: np.ndarray, least: int = 4) -> set[bytes]:
-    """Words, and prefixes of 5 and 6 bytes, that are found in at least
-    ``least`` toxic training documents and, as a smoothed share, 20 times as
-    often in toxic as in clean ones."""
+def _toxic_features(docs: list[list[bytes]], labels: np.ndarray, least: int = 3, share: float = 0.015) -> set[bytes]:
+    """Words and prefixes that are found in at least ``least`` different toxic
+    documents and ``share`` of them and, as a smoothed share, 20 times as often
+    in toxic as in clean ones."""
     seen = (Counter(), Counter())
-    for d, y in zip(docs, labels):
-        seen[int(y)].update({f for w in set(d) for f in features(w) if f[:1] in b"w56"})
+    for d, y in {(tuple(d), int(y)) for d, y in zip(docs, labels)}:
+        seen[y].update({f for w in set(d) for f in features(w)})
     n0, n1 = max(1, int((labels == 0).sum())), max(1, int((labels == 1).sum()))
     return {f for f, k in seen[1].items()
-            if k >= least and k / n1 > 20 * (seen[0][f] + 0.5) / n0}
+            if k >= max(least, share * n1) and k / n1 > 20 * (seen[0][f] + 0.5) / n0}
 
 
 def _link_inputs(post: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -172,7 +172,7 @@ def _link_inputs(post: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return x
 
 
-def fit(texts: list[str | None], labels: list[int], prior: float | None = None, steps: int = 40) -> Model:
+def fit(texts: list[str | None], labels: list[int], prior: float | None = None, steps: int = 20) -> Model:
     """Fit on whole texts with document labels 0 and 1 (``prior``: share of 1
     where the texts come from; else that among them).  With one class only
     the model scores every text by the smoothed prior."""
@@ -190,7 +190,7 @@ def fit(texts: list[str | None], labels: list[int], prior: float | None = None,
     for w, k in Counter(tokens).items():
         counts.update({f: k for f in features(w)})
     index = {f: i for i, f in enumerate(f for f, k in counts.items() if k >= 3)}
-    of_word = np.full((len(vocab), 5), len(index))
+    of_word = np.full((len(vocab), 4), len(index))
     hit = np.zeros(len(vocab), bool)
     for w, i in vocab.items():
         fs = features(w)
@@ -209,16 +209,18 @@ def fit(texts: list[str | None], labels: list[int], prior: float | None = None,
     weights, power = np.zeros(len(index) + 1), np.full(len(index) + 1, 1e-3)
     on_word = np.bincount(token_word, target, len(vocab))
     for step in range(steps):  # AdaGrad on the mean penalised log-likelihood
-        post, expected, head = marginals(weights[of_word].sum(axis=1)[token_word], lengths, start, moves, True)
+        emit = weights[of_word].sum(axis=1)[token_word]
+        if step % 5 == 4:
+            _, expected, head = marginals(emit, lengths, start, moves, True)
+            moves = moves + 0.2 * (np.log(seen + 0.5) - np.log(expected + 0.5))
+            start = start + 0.2 * np.log([((~firsts).sum() + 0.5) / (len(head) - head.sum() + 0.5),
+                                          (firsts.sum() + 0.5) / (head.sum() + 0.5)])
+        post = marginals(emit, lengths, start, moves)
         by_word = on_word - np.bincount(token_word, post, len(vocab))
-        grad = np.bincount(of_word.ravel(), np.repeat(by_word, 5), len(index) + 1) - 0.05 * weights
+        grad = np.bincount(of_word.ravel(), np.repeat(by_word, 4), len(index) + 1) - 0.2 * weights
         grad[-1] = 0
         power += grad * grad
         weights += grad / np.sqrt(power)
-        if step % 5 == 4:
-            moves += 0.2 * (np.log(seen + 0.5) - np.log(expected + 0.5))
-            start += 0.2 * np.log([((~firsts).sum() + 0.5) / (len(head) - head.sum() + 0.5),
-                                   (firsts.sum() + 0.5) / (head.sum() + 0.5)])
     post = marginals(weights[of_word].sum(axis=1)[token_word], lengths, start, moves)
     x = _link_inputs(post, lengths)
     rate = np.where(y == 1, share / max(y.mean(), 1e-9), (1 - share) / max(1 - y.mean(), 1e-9))
