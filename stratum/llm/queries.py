@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratum.llm import balltree, mixing, packing, pii, projections, simhash, toxicity
+from stratum.llm import balltree, mixing, packing, pii, projections, simhash, toxicity, warc
 from stratum.llm.common import fold, table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -20,6 +20,11 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
     return fn
 
 
+@query
+def op1_warc_capture_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(spark, table(spark, sf_dir, "pages")).drop("payload")
+
+
 @query
 def op2_crf_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trained on the folds other than 1 of ``crc32(doc_id) mod 3``."""
@@ -79,3 +84,16 @@ SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM p)
 WHERE rank <= 20
 """
+
+ORACLE["op1_warc_capture_index"] = """
+WITH p AS (
+  SELECT page_id, url, encode(coalesce(html, '')) AS payload FROM pages),
+d AS (
+  SELECT page_id, url, octet_length(payload) AS n, sha1(payload) AS digest FROM p),
+o AS (
+  SELECT digest, max(page_id) AS original FROM d WHERE n >= 1000 GROUP BY digest)
+SELECT d.page_id, n::BIGINT AS payload_bytes, digest AS payload_digest,
+       CASE WHEN original <> d.page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN original <> d.page_id THEN original END AS refers_to, coalesce(url, '') AS target_uri
+FROM d LEFT JOIN o USING (digest)
+"""
