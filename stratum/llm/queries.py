@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratum.llm import balltree, mixing, packing, pii, projections, simhash, toxicity, warc
+from stratum.llm import balltree, lm, mixing, packing, pii, projections, simhash, toxicity, warc
 from stratum.llm.common import fold, table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,6 +36,13 @@ def op2_crf_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"), "offsets")
 
 
+@query
+def op3_ngram_trie_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trained on the folds other than 0 of ``crc32(doc_id) mod 10``."""
+    docs = table(spark, sf_dir, "documents")
+    return lm.train_and_score(spark, docs, fold("doc_id", 10) == 0)
+
+
 @query
 def op4_histogram_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(spark, table(spark, sf_dir, "documents"))
