@@ -10,9 +10,9 @@ length.
 
 from __future__ import annotations
 
+import functools
 import itertools
 import os
-import re
 import zlib
 from collections.abc import Iterator
 
@@ -28,74 +28,91 @@ LENGTH = 2048
 END_ID = 1
 TOKENIZER = "byte_bpe_50k.json"
 
-_CACHED = 300_000
+#: Chunks a worker process remembers.
+_CACHED = 400_000
 
 
 class Encoder:
-    """Ids of whole texts by the tokenizer, remembering the ids of chunks.
+    """Ids of whole texts by the tokenizer, remembering the ids of words.
 
-    A chunk starts at a single space between two other characters that are no
-    white space: the tokenizer's own pattern always splits there, so chunks are
-    encoded on their own with the same result.
+    The tokenizer's own pattern always splits before a single space or line
+    feed that stands between other characters that are no white space.  So in
+    texts with single ones only, a word is encoded on its own with the same
+    result: with the space before it, or (key with a NUL) without, after a
+    line feed.  Other texts are encoded whole.
     """
 
-    _cut = re.compile(r"(?<=\S) (?=\S)")
-    _spaces = re.compile(r"\s\s|^\s|\s$")
-
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self._tok = Tokenizer.from_file(path)
         self._tok.encode_special_tokens = True
-        self._of: dict[str, int] = {}
-        self._clear()
-
-    def _clear(self):
-        self._of.clear()
-        self._ids, self._end = np.zeros(1 << 20, np.uint32), 0
-        self._first, self._size = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
-
-    def _encode(self, chunks: list[str]) -> list[list[int]]:
-        return [e.ids for e in self._tok.encode_batch_fast(chunks, add_special_tokens=False)]
-
-    def _learn(self, chunks: list[str]):
-        encoded = self._encode(chunks)
-        sizes = np.fromiter(map(len, encoded), np.int64, len(encoded))
-        at, end = len(self._of), self._end + int(sizes.sum())
+        self._feed = self._encode(["\n"])[0][0]
+        self._of: dict[str, int] = {"\n": 0}
+        self._ids, self._end = np.full(1 << 20, self._feed, np.uint32), 1
+        self._first, self._size = np.zeros(1 << 14, np.int64), np.ones(1 << 14, np.int64)
+
+    def _encode(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, np.uint32) for e in self._tok.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn(self, keys: list[str]):
+        """Words are encoded many at a time, a line feed between them."""
+        lines = [k[1:] if k[0] == "\0" else " " + k for k in keys]
+        joined = ["\n".join(lines[i:i + 1000]) + "\n" for i in range(0, len(lines), 1000)]
+        ids = np.concatenate(self._encode(joined))
+        feeds = np.flatnonzero(ids == self._feed)
+        sizes = np.diff(feeds, prepend=-1) - 1
+        kept = ids[ids != self._feed]
+        at, end = len(self._of), self._end + len(kept)
         while end > len(self._ids):
             self._ids = np.concatenate([self._ids, np.zeros_like(self._ids)])
         while at + len(sizes) > len(self._size):
             self._first, self._size = (np.concatenate([x, np.zeros_like(x)]) for x in (self._first, self._size))
-        self._ids[self._end:end] = list(itertools.chain.from_iterable(encoded))
+        self._ids[self._end:end] = kept
         self._first[at:at + len(sizes)] = self._end + np.cumsum(sizes) - sizes
         self._size[at:at + len(sizes)] = sizes
         self._end = end
-        self._of.update(zip(chunks, range(at, at + len(sizes))))
+        self._of.update(zip(keys, range(at, at + len(sizes))))
 
     def ids(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text."""
-        split = [self._chunks(t) for t in texts]
-        words = dict.fromkeys(itertools.chain.from_iterable(c for c, short in split if short))
-        if len(self._of) + len(words) > _CACHED:
-            self._clear()
-        if new := [c for c in words if c not in self._of]:
-            self._learn(new)
-        return [self._joined(c) if short else
-                np.array(list(itertools.chain.from_iterable(self._encode(c))), np.uint32) for c, short in split]
-
-    def _chunks(self, text: str) -> tuple[list[str], bool]:
-        """The chunks, and whether they are short enough to be remembered."""
-        if not text:
-            return [], True
-        plain = not self._spaces.search(text)
-        parts = text.split(" ") if plain else self._cut.split(text)
-        chunks = [parts[0], *[" " + p for p in parts[1:]]]
-        return chunks, max(map(len, chunks)) <= 200
-
-    def _joined(self, chunks: list[str]) -> np.ndarray:
-        which = np.fromiter(map(self._of.__getitem__, chunks), np.int64, len(chunks))
-        size = self._size[which]
-        first = np.cumsum(size) - size
-        return self._ids[np.arange(size.sum()) + np.repeat(self._first[which] - first, size)]
+        out: list = [None] * len(texts)
+        words, found, new, end = {}, {}, {}, self._end
+        for i, text in enumerate(texts):
+            if "\0" in text or not text or len(" ".join(text.split())) != len(text):
+                continue
+            words[i] = ("\0" + text.replace("\n", " \n \0")).split(" ")
+            found[i] = list(map(self._of.get, words[i]))
+            if None in found[i]:
+                missing = [w for w, k in zip(words[i], found[i]) if k is None]
+                if max(map(len, missing)) > 200:  # not worth remembering
+                    del words[i], found[i]
+                else:
+                    new.update(dict.fromkeys(missing))
+        if new:
+            self._learn(list(new))
+            for i, f in found.items():
+                if None in f:
+                    found[i] = [self._of[w] if k is None else k for w, k in zip(words[i], f)]
+        for i, f in found.items():
+            which = np.array(f, np.int64)
+            size = self._size[which]
+            first = np.cumsum(size) - size
+            out[i] = self._ids[np.arange(size.sum()) + np.repeat(self._first[which] - first, size)]
+        if len(self._of) > _CACHED:  # forget what is new; what came early is frequent
+            for w in new:
+                del self._of[w]
+            self._end = end
+        rest = [i for i in range(len(texts)) if out[i] is None]
+        for i, ids in zip(rest, self._encode([texts[i] for i in rest])):
+            out[i] = ids
+        return out
+
+
+@functools.lru_cache(maxsize=1)
+def _encoder(path: str) -> Encoder:
+    """One for all tasks of a worker process."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks are the parallelism
+    return Encoder(path)
 
 
 _PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, task long, nth long"
@@ -106,12 +123,11 @@ def pieces(docs: DataFrame, length: int = LENGTH, tokenizer: str | None = None,
     left.  ``task`` and ``nth``: the task and how many pieces of this length it
     made before; write the rows before using these."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks are the parallelism
         path = tokenizer
         if path is None:
             import public_tokenizers
             path = public_tokenizers.path(TOKENIZER)
-        encoder, made, task = Encoder(str(path)), np.zeros(length + 1, np.int64), TaskContext.get().partitionId()
+        encoder, made, task = _encoder(str(path)), np.zeros(length + 1, np.int64), TaskContext.get().partitionId()
         for b in slices(batches, 1):
             rows = []
             for doc_id, ids in zip(b.column(0).to_pylist(), encoder.ids([t or "" for t in b.column(1).to_pylist()])):

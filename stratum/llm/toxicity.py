@@ -13,12 +13,14 @@ and maximum, the document's score.
 
 from __future__ import annotations
 
+import pickle
 import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,7 +30,7 @@ from stratum.llm.common import fresh, slices
 THRESHOLD = 0.7
 #: Bounds of the training sample, per class: documents, and bytes of text.
 SAMPLE_DOCS = 1500
-SAMPLE_BYTES = 12_000_000
+SAMPLE_BYTES = 5_000_000
 
 #: ASCII letters, digits and all bytes beyond ASCII belong to words.
 _TABLE = bytes(c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
@@ -172,6 +174,19 @@ def _link_inputs(post: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return x
 
 
+def _groups(lengths: np.ndarray, tokens: int = 100_000) -> list[tuple[int, int, int, int]]:
+    """Documents cut to groups of about so many tokens: first and last
+    document, first and last token."""
+    ends = np.r_[0, np.cumsum(lengths)]
+    part = ends[:-1] // tokens
+    cuts = np.flatnonzero(np.r_[True, part[1:] != part[:-1], True])
+    return [(int(i), int(j), int(ends[i]), int(ends[j])) for i, j in zip(cuts[:-1], cuts[1:])]
+
+
+def _by_group(emit, lengths, groups, start, moves) -> np.ndarray:
+    return np.concatenate([marginals(emit[a:b], lengths[i:j], start, moves) for i, j, a, b in groups])
+
+
 def fit(texts: list[str | None], labels: list[int], prior: float | None = None, steps: int = 20) -> Model:
     """Fit on whole texts with document labels 0 and 1 (``prior``: share of 1
     where the texts come from; else that among them).  With one class only
@@ -208,20 +223,22 @@ def fit(texts: list[str | None], labels: list[int], prior: float | None = None,
     moves = np.log((seen + 0.5) / (seen + 0.5).sum(axis=1, keepdims=True))
     weights, power = np.zeros(len(index) + 1), np.full(len(index) + 1, 1e-3)
     on_word = np.bincount(token_word, target, len(vocab))
+    groups = _groups(lengths)
     for step in range(steps):  # AdaGrad on the mean penalised log-likelihood
         emit = weights[of_word].sum(axis=1)[token_word]
         if step % 5 == 4:
-            _, expected, head = marginals(emit, lengths, start, moves, True)
+            parts = [marginals(emit[a:b], lengths[i:j], start, moves, True)[1:] for i, j, a, b in groups]
+            expected, head = sum(e for e, _ in parts), np.concatenate([h for _, h in parts])
             moves = moves + 0.2 * (np.log(seen + 0.5) - np.log(expected + 0.5))
             start = start + 0.2 * np.log([((~firsts).sum() + 0.5) / (len(head) - head.sum() + 0.5),
                                           (firsts.sum() + 0.5) / (head.sum() + 0.5)])
-        post = marginals(emit, lengths, start, moves)
+        post = _by_group(emit, lengths, groups, start, moves)
         by_word = on_word - np.bincount(token_word, post, len(vocab))
         grad = np.bincount(of_word.ravel(), np.repeat(by_word, 4), len(index) + 1) - 0.2 * weights
         grad[-1] = 0
         power += grad * grad
         weights += grad / np.sqrt(power)
-    post = marginals(weights[of_word].sum(axis=1)[token_word], lengths, start, moves)
+    post = _by_group(weights[of_word].sum(axis=1)[token_word], lengths, groups, start, moves)
     x = _link_inputs(post, lengths)
     rate = np.where(y == 1, share / max(y.mean(), 1e-9), (1 - share) / max(1 - y.mean(), 1e-9))
     link = np.zeros(3)
@@ -294,9 +311,16 @@ def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, sample_docs:
                 left -= r.n
                 picked.append((r.doc_id, y))
     ids = F.broadcast(spark.createDataFrame(sorted(set(picked)), "doc_id long, toxic int"))  # at most 2 * sample_docs
-    rows = docs.select("doc_id", "text").join(ids, "doc_id").limit(4 * sample_docs).collect()
-    rows = sorted({(r.doc_id, r.toxic, r.text or "") for r in rows})
-    return fit([r[2] for r in rows], [r[1] for r in rows], prior=n[1] / sum(n.values()))
+    prior = n[1] / sum(n.values())
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows = sorted({(r.doc_id, r.toxic, r.text or "") for f in frames for r in f.itertuples()})
+        model = fit([r[2] for r in rows], [r[1] for r in rows], prior)
+        yield pd.DataFrame({"model": [pickle.dumps(model)]})
+
+    # the sample is bounded, so one task can fit it; the driver sees weights only
+    rows = docs.select("doc_id", "text").join(ids, "doc_id").limit(4 * sample_docs).repartition(1)
+    return pickle.loads(rows.mapInPandas(run, "model binary").first().model)
 
 
 def with_scores(df: DataFrame, model: Model, text: str = "text", score: str = "score",
