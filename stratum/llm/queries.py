@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratum.llm import balltree, lm, mixing, packing, pii, projections, simhash, toxicity, warc
+from stratum.llm import balltree, lm, mixing, packing, pii, projections, simhash, spans, toxicity, warc
 from stratum.llm.common import fold, table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -48,6 +48,13 @@ def op4_histogram_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(spark, table(spark, sf_dir, "documents"))
 
 
+@query
+def op5_sentence_span_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without sentences of repeated runs, and how many those were."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return spans.remove_repeats(spark, docs, count="n_removed")
+
+
 @query
 def op6_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document, its personal data replaced, and how many entities that were."""
