@@ -6,7 +6,12 @@ order, Gold only if the gate passes), ``stream`` (drain or run the event
 ingest), ``report`` (report rows from the stored Gold marts as JSON lines).
 
 Sources come from a JSON file: ``{"indicador": {"path": "...", "format":
-"parquet", "options": {}}, "municipio": {...}, "meta_municipio": {...}}``.
+"parquet", "options": {}}, "municipio": {...}, "meta_municipio": {...}}``.  A
+source with ``"microdata": true`` holds single observations: the weighted
+indicator is built from it while it is ingested.
+
+Every stage that writes adds a record per job to the run metrics
+(``<base>/metrics``) as the job ends.
 """
 
 from __future__ import annotations
@@ -25,7 +30,8 @@ def load_registry(path: str) -> SourceRegistry:
         spec = json.load(f)
     reg = SourceRegistry()
     for key, src in spec.items():
-        reg.add_path(key, src["path"], src.get("format", "parquet"), **src.get("options", {}))
+        add = reg.add_microdata if src.get("microdata") else reg.add_path
+        add(key, src["path"], src.get("format", "parquet"), **src.get("options", {}))
     return reg
 
 
@@ -34,6 +40,11 @@ def _print_rows(name: str, df) -> None:
         print(json.dumps({"report": name, **row.asDict()}, default=str))
 
 
+def _done(metrics) -> None:
+    for m in metrics:
+        print(json.dumps(m.__dict__))
+
+
 def main(argv: list[str] | None = None, spark=None) -> int:
     p = argparse.ArgumentParser(prog="stratum")
     p.add_argument("stage", choices=["ingest", "silver", "quality", "gold", "run", "stream", "report"])
@@ -42,23 +53,25 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     p.add_argument("--table", default="all", help="ingest: one logical key or 'all'")
     p.add_argument("--date", help="ingestion date YYYY-MM-DD (ingest, run)")
     p.add_argument("--landing", help="stream: folder of incoming JSON lines")
+    p.add_argument("--schema", help="stream: fields of an event as DDL (default: any JSON object, fields as a map)")
+    p.add_argument("--input-bytes", type=int, help="size shuffles for this much input ...")
+    p.add_argument("--cores", type=int, help="... on this many cores")
     p.add_argument("--seconds", type=float, help="stream: run continuously this long (default: drain and stop)")
     p.add_argument("--master", help="Spark master (default: from the environment)")
     a = p.parse_args(argv)
 
     from stratum.operators.quality import QualityGateError, run_gate
 
-    spark = spark or get_session(a.master)
+    spark = spark or get_session(a.master, input_bytes=a.input_bytes, total_cores=a.cores)
     layout = Layout(a.base.rstrip("/"))
     if a.stage in ("ingest", "run") and not (a.sources and a.date):
         p.error("--sources and --date are required for this stage")
 
     if a.stage == "ingest":
         from stratum.plans.ingest import ingest
-        for m in ingest(spark, load_registry(a.sources), a.table, layout.bronze, a.date):
-            print(json.dumps(m.__dict__))
+        _done(ingest(spark, load_registry(a.sources), a.table, layout.bronze, a.date, metrics=layout.metrics))
     elif a.stage == "silver":
-        print(json.dumps(run_silver(spark, layout).__dict__))
+        _done([run_silver(spark, layout)])
     elif a.stage == "quality":
         try:
             run_gate(run_checks(spark, layout))
@@ -66,24 +79,23 @@ def main(argv: list[str] | None = None, spark=None) -> int:
             return 2
     elif a.stage == "gold":
         from stratum.plans.gold import build_gold
-        for m in build_gold(spark, layout.silver, layout.gold):
-            print(json.dumps(m.__dict__))
+        _done(build_gold(spark, layout.silver, layout.gold, metrics=layout.metrics))
     elif a.stage == "run":
         res = run_pipeline(spark, load_registry(a.sources), layout.base, a.date, raise_on_gate=False)
-        for m in res.metrics:
-            print(json.dumps(m.__dict__))
+        _done(res.metrics)
         return 0 if res.gate_passed else 2
     elif a.stage == "stream":
         if not a.landing:
             p.error("--landing is required for stream")
-        from stratum.streaming.events import StreamConfig, drain, run_for
+        from pyspark.sql import types as T
+
+        from stratum.plans.pipeline import run_stream
+        from stratum.streaming.events import StreamConfig
         cfg = StreamConfig(landing=a.landing, bronze=f"{layout.bronze}/eventos",
                            quarantine=f"{layout.bronze}/eventos_quarentena",
-                           checkpoint=f"{layout.base}/_checkpoints/eventos")
-        if a.seconds:
-            run_for(spark, cfg, a.seconds)
-        else:
-            print(json.dumps(drain(spark, cfg).__dict__))
+                           checkpoint=f"{layout.base}/_checkpoints/eventos",
+                           schema=T.StructType.fromDDL(a.schema) if a.schema else None)
+        print(json.dumps(run_stream(spark, layout, cfg, a.seconds).__dict__))
     elif a.stage == "report":
         # like the reference's dashboard: everything from the stored Gold marts
         from stratum.operators import reporting as rp
@@ -96,7 +108,7 @@ def main(argv: list[str] | None = None, spark=None) -> int:
         _print_rows("kpis", rp.kpi_summary_from_marts(ind, goal_vs))
         _print_rows("regions_latest", rp.region_vs_mean(evolution))
         _print_rows("national_evolution", rp.national_evolution(evolution))
-        _print_rows("distribution", rp.histogram(spark, ind, S.rate, S.period, mean_scale=S.rate_decimals))
+        _print_rows("distribution", rp.histogram(spark, ind, S.rate, S.period))
         _print_rows("worst_gaps", rp.worst_gap_topk(goal_vs))
     return 0
 

@@ -3,6 +3,7 @@
 from stratum.functions.columns import (
     entity_label,
     exact_mean,
+    number,
     goal_hit,
     normalized_region,
     out_of_range,
@@ -15,6 +16,7 @@ from stratum.functions.columns import (
 __all__ = [
     "entity_label",
     "exact_mean",
+    "number",
     "goal_hit",
     "normalized_region",
     "out_of_range",

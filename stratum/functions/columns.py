@@ -47,18 +47,24 @@ def share_pct(condition: Column, denominator_condition: Column | None = None,
     return F.round(F.try_divide(F.lit(100.0) * num, den), decimals)
 
 
-def exact_mean(c: str | Column, scale: int) -> Column:
-    """Aggregate: mean of a column whose values have at most ``scale``
-    decimals (e.g. rates already rounded to 4).
-
-    The sum is exact (decimal), so the result does not depend on how rows
-    are split over partitions or in what order partial sums merge -- reruns
-    give the same bits.  One division, as double; NULLs are skipped, no
-    rows gives NULL.
-    """
+def number(c: str | Column) -> Column:
+    """The value, NaN as NULL."""
     v = _col(c)
-    total = F.sum(v.cast(f"decimal(38,{scale})")).cast("double")
-    return F.try_divide(total, F.count(v))
+    return F.when(~F.isnan(v), v)
+
+
+def exact_mean(c: str | Column) -> Column:
+    """Aggregate: mean of the values, NULL and NaN skipped; no value: NULL.
+
+    Below a billion, the sum is one of decimals with 18 places -- more than a
+    double of 0.1 or above has -- so the result does not depend on how rows
+    are split over partitions or in what order partial sums merge: reruns
+    give the same bits.  One division, as double.  With a larger (or infinite)
+    value it is the plain mean.
+    """
+    v = number(c)
+    total = F.sum(v.try_cast("decimal(28,18)")).cast("double")
+    return F.when(F.max(F.abs(v)) < F.lit(1e9), F.try_divide(total, F.count(v))).otherwise(F.avg(v))
 
 
 def goal_hit(gap: str | Column) -> Column:

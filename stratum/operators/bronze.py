@@ -1,4 +1,4 @@
-"""Raw-layer operators: weighted indicator, audit columns, non-empty guard."""
+"""Raw-layer operators: weighted indicator and audit columns."""
 
 from __future__ import annotations
 
@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stratum.functions import weighted_share_pct
+from stratum.spec import DEFAULT_SPEC, IndicatorSpec
 
 
 def weighted_indicator(micro: DataFrame, keys: list[str], score: str, flag: str,
@@ -23,6 +24,13 @@ def weighted_indicator(micro: DataFrame, keys: list[str], score: str, flag: str,
     )
 
 
+def indicator_of(micro: DataFrame, spec: IndicatorSpec = DEFAULT_SPEC) -> DataFrame:
+    """The raw indicator table of microdata with the spec's column names."""
+    s = spec
+    return weighted_indicator(micro, [s.entity, s.period], s.score_raw, s.flag_raw, s.weight_raw,
+                              score_out=s.score, rate_out=s.rate, flag_yes=s.flag_yes, rate_decimals=s.rate_decimals)
+
+
 def with_audit(df: DataFrame, ingest_date: str, source: str, *,
                audit_date: str = "_dt_ingestao", audit_source: str = "_fonte",
                partition: str | None = "dt_ingestao") -> DataFrame:
@@ -35,15 +43,3 @@ def with_audit(df: DataFrame, ingest_date: str, source: str, *,
 
 class EmptySourceError(ValueError):
     """Raised when an extract has no rows; nothing is written."""
-
-
-def require_rows(df: DataFrame, table: str) -> DataFrame:
-    """Abort before any write when ``df`` is empty.
-
-    ``isEmpty`` runs a LIMIT-1 job that stops at the first non-empty
-    partition.  Call it on the scanned source rather than on an aggregate
-    of it: a grouped result is empty exactly when its input is.
-    """
-    if df.isEmpty():
-        raise EmptySourceError(f"table '{table}' is empty; write aborted")
-    return df

@@ -32,15 +32,17 @@ def clean(df: DataFrame, keys: Iterable[str]) -> DataFrame:
 
 def normalize_keys(df: DataFrame, *, entity: str | None = None, region: str | None = None,
                    period: str | None = None) -> DataFrame:
-    """entity -> string, region -> upper(trim()), period -> int (NULL if it
-    does not parse); each only when the column is present."""
+    """entity -> string, region -> upper(trim()), period -> int (fractions cut,
+    also in text: ``'2024.0'`` is 2024; NULL if it is no number or too large);
+    each only when the column is present."""
     cols = {}
     if entity and entity in df.columns:
         cols[entity] = F.col(entity).cast("string")
     if region and region in df.columns:
         cols[region] = normalized_region(region)
     if period and period in df.columns:
-        cols[period] = F.col(period).try_cast("int")
+        value = F.col(period)
+        cols[period] = F.coalesce(value.try_cast("int"), value.try_cast("decimal(38,18)").try_cast("int"))
     return df.withColumns(cols) if cols else df
 
 

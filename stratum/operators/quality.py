@@ -74,7 +74,7 @@ def _zero(c: Column) -> Column:
 
 def _duplicate_row(total: Column, dup: Column, keys: list[str]) -> Column:
     return _check_row(DUPLICATES, dup == 0, True,
-                      F.format_string(f"%d duplicate rows on {keys} (of %d)", dup, total),
+                      F.concat(dup.cast("string"), F.lit(f" duplicate rows on {keys} (of "), total.cast("string"), F.lit(")")),
                       {M_TOTAL: total, M_DUPLICATES: dup})
 
 
@@ -145,7 +145,7 @@ def orphan_keys(child: DataFrame, parent: DataFrame, keys: list[str]) -> DataFra
 
 def _orphan_row(n: Column, keys: list[str]) -> Column:
     return _check_row(ORPHANS, n == 0, True,
-                      F.format_string(f"%d keys {keys} without a parent row", n), {M_ORPHANS: n})
+                      F.concat(n.cast("string"), F.lit(f" keys {keys} without a parent row")), {M_ORPHANS: n})
 
 
 def orphan_check(child: DataFrame, parent: DataFrame, keys: list[str]) -> DataFrame:
@@ -155,7 +155,7 @@ def orphan_check(child: DataFrame, parent: DataFrame, keys: list[str]) -> DataFr
 
 def _range_row(col: str, invalid: Column, low: float, high: float) -> Column:
     return _check_row(f"{RANGE_PREFIX}{col}", invalid == 0, True,
-                      F.format_string(f"%d rows with '{col}' outside [{low:g}, {high:g}]", invalid),
+                      F.concat(invalid.cast("string"), F.lit(f" rows with '{col}' outside [{low:g}, {high:g}]")),
                       {M_INVALID: invalid})
 
 

@@ -13,8 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratum.functions import entity_label, exact_mean, goal_hit
-from stratum.operators.marts import REGION_DECIMALS, REGION_RATE
+from stratum.functions import entity_label, exact_mean, goal_hit, number
+from stratum.operators.marts import REGION_RATE
 from stratum.spec import DEFAULT_SPEC, IndicatorSpec
 
 # KPI and report column names of the reference's dashboard.
@@ -58,7 +58,7 @@ def national_means(ind: DataFrame, spec: IndicatorSpec = DEFAULT_SPEC) -> DataFr
     s = spec
     return at_latest(ind, s.period).agg(
         F.max(s.period).alias(LATEST),
-        exact_mean(s.rate, s.rate_decimals).alias(NATIONAL_RATE),
+        exact_mean(s.rate).alias(NATIONAL_RATE),
         F.avg(s.score).alias(NATIONAL_SCORE))
 
 
@@ -82,7 +82,7 @@ def kpi_summary(silver: DataFrame, spec: IndicatorSpec = DEFAULT_SPEC) -> DataFr
         F.count_distinct(s.entity).alias(TOTAL_ENTITIES),
         F.concat_ws(RANGE_SEPARATOR, F.min(s.period).cast("string"),
                     F.max(s.period).cast("string")).alias(PERIOD_RANGE),
-        exact_mean(F.when(now, F.col(s.rate)), s.rate_decimals).alias(NATIONAL_RATE),
+        exact_mean(F.when(now, F.col(s.rate))).alias(NATIONAL_RATE),
         F.avg(F.when(now, F.col(s.score))).alias(NATIONAL_SCORE),
         (F.lit(100.0) * F.avg(F.when(now, hit))).alias(HIT_SHARE),
         F.max(s.period).alias(LATEST))
@@ -100,7 +100,7 @@ def kpi_summary_from_marts(ind: DataFrame, goal_vs: DataFrame,
         F.count_distinct(s.entity).alias(TOTAL_ENTITIES),
         F.concat_ws(RANGE_SEPARATOR, F.min(s.period).cast("string"),
                     F.max(s.period).cast("string")).alias(PERIOD_RANGE),
-        exact_mean(F.when(now, F.col(s.rate)), s.rate_decimals).alias(NATIONAL_RATE),
+        exact_mean(F.when(now, F.col(s.rate))).alias(NATIONAL_RATE),
         F.avg(F.when(now, F.col(s.score))).alias(NATIONAL_SCORE),
         F.max(s.period).alias(LATEST))
     right = goal_vs.filter(now).agg(
@@ -120,7 +120,7 @@ def region_vs_mean(evolution: DataFrame, spec: IndicatorSpec = DEFAULT_SPEC,
     """
     s = spec
     now = at_latest(evolution, s.period)
-    mean = now.groupBy(s.period).agg(exact_mean(rate, REGION_DECIMALS).alias(MEAN_OF_REGIONS))
+    mean = now.groupBy(s.period).agg(exact_mean(rate).alias(MEAN_OF_REGIONS))
     return (now.join(F.broadcast(mean), s.period)
                .select(s.region, s.region_name, s.period, rate, MEAN_OF_REGIONS,
                        F.coalesce(F.col(rate) >= F.col(MEAN_OF_REGIONS), F.lit(False)).alias(ABOVE_MEAN))
@@ -131,18 +131,17 @@ def national_evolution(evolution: DataFrame, spec: IndicatorSpec = DEFAULT_SPEC,
                        rate: str = REGION_RATE) -> DataFrame:
     """Per period: mean of the (already rounded) region means."""
     s = spec
-    return (evolution.groupBy(s.period).agg(exact_mean(rate, REGION_DECIMALS).alias(rate))
+    return (evolution.groupBy(s.period).agg(exact_mean(rate).alias(rate))
                      .orderBy(s.period))
 
 
-def latest_stats(ind: DataFrame, value: str, period: str, mean_scale: int | None = None) -> DataFrame:
+def latest_stats(ind: DataFrame, value: str, period: str) -> DataFrame:
     """One row: the latest period with min / max / mean of ``value`` in it
-    (NULLs skipped).  Per-period partial aggregates, then ``max_by`` over the
-    handful of periods -- one pass, whatever the row count.  With
-    ``mean_scale`` the mean is exact (see ``exact_mean``)."""
-    mean = F.avg(value) if mean_scale is None else exact_mean(value, mean_scale)
-    per_period = ind.groupBy(period).agg(F.min(value).alias("lo"), F.max(value).alias("hi"),
-                                         mean.alias("mean"))
+    (NULL and NaN skipped).  Per-period partial aggregates, then ``max_by``
+    over the handful of periods -- one pass, whatever the row count."""
+    v = number(value)
+    per_period = ind.groupBy(period).agg(F.min(v).alias("lo"), F.max(v).alias("hi"),
+                                         exact_mean(value).alias("mean"))
     latest = per_period.agg(F.max_by(F.struct(period, "lo", "hi", "mean"), period).alias("s"))
     return latest.select("s.*")
 
@@ -167,9 +166,8 @@ def bin_index(v: Column, lo: Column, hi: Column, bins: int) -> Column:
     return i2 + 1
 
 
-def histogram(spark: SparkSession, ind: DataFrame, value: str, period: str, bins: int = 24,
-              mean_scale: int | None = None) -> DataFrame:
-    """Equal-width histogram of the latest period's non-NULL values.
+def histogram(spark: SparkSession, ind: DataFrame, value: str, period: str, bins: int = 24) -> DataFrame:
+    """Equal-width histogram of the latest period's values, NULL and NaN dropped.
 
     Edges span [min, max] (widened by 0.5 each side when min == max); a value
     on an inner edge goes to the upper bin and the last bin is closed.  Every
@@ -182,7 +180,7 @@ def histogram(spark: SparkSession, ind: DataFrame, value: str, period: str, bins
     per bin; the bin list is the same row exploded into ``bins`` rows.
     """
     now = at_latest(ind, period)
-    stats = latest_stats(now, value, period, mean_scale)
+    stats = latest_stats(now, value, period)
     same = F.col("lo") == F.col("hi")
     edges = stats.select(period,
                          F.when(same, F.col("lo") - F.lit(0.5)).otherwise(F.col("lo")).alias("_lo"),
@@ -190,7 +188,7 @@ def histogram(spark: SparkSession, ind: DataFrame, value: str, period: str, bins
                          "mean")
     lo, hi = F.col("_lo"), F.col("_hi")
     # the same one-row frame feeds both sides, so it is computed once
-    vals = now.select(period, value).filter(F.col(value).isNotNull()).join(F.broadcast(edges), period)
+    vals = now.select(period, value).filter(number(value).isNotNull()).join(F.broadcast(edges), period)
     counts = (vals.select(bin_index(F.col(value), lo, hi, bins).alias("bin"))
                   .groupBy("bin").agg(F.count(F.lit(1)).alias("count")))
     grid = edges.select(F.explode(F.sequence(F.lit(1), F.lit(bins))).alias("bin"), period, "_lo", "_hi", "mean")
@@ -204,11 +202,11 @@ def histogram(spark: SparkSession, ind: DataFrame, value: str, period: str, bins
 
 def worst_gap_topk(goal_vs: DataFrame, spec: IndicatorSpec = DEFAULT_SPEC, k: int = 10) -> DataFrame:
     """The ``k`` latest-period rows furthest below their goal (smallest gap),
-    NULL gaps dropped, ascending, ties broken by entity id.  Planned as a
+    NULL and NaN gaps dropped, ascending, ties broken by entity id.  Planned as a
     per-partition top-k plus a final merge (``TakeOrderedAndProject``), never
     a global sort."""
     s = spec
-    rows = at_latest(goal_vs, s.period).filter(F.col(s.gap).isNotNull())
+    rows = at_latest(goal_vs, s.period).filter(number(s.gap).isNotNull())
     return (rows.select(s.entity, s.entity_name, s.region, s.period, s.gap,
                         entity_label(s.entity_name, s.entity, s.region).alias(LABEL))
                 .orderBy(F.col(s.gap).asc(), F.col(s.entity).asc())

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
 from stratum.operators import marts
 from stratum.sources.layers import read_silver, write_gold
-from stratum.sources.metrics import RunMetric, observed_write
+from stratum.sources.metrics import RunMetric, append_metrics, observed_write
 from stratum.spec import DEFAULT_SPEC, IndicatorSpec
 
 # Names of the three marts.
@@ -24,20 +25,36 @@ def mart_path(base: str, name: str) -> str:
 
 
 def build_gold(spark: SparkSession, silver_path: str, gold_base: str,
-               spec: IndicatorSpec = DEFAULT_SPEC, *, processed_at: bool = True) -> list[RunMetric]:
-    """Write every mart; each is counted during its own write.
+               spec: IndicatorSpec = DEFAULT_SPEC, *, processed_at: bool = True,
+               metrics: str | None = None) -> list[RunMetric]:
+    """Write every mart; each is counted during its own write, and with
+    ``metrics`` its record stored there as it ends.
+
+    The marts are independent: their jobs are submitted side by side.
 
     Silver is a columnar table, so each mart scans only the columns it uses;
     caching the whole table for three narrow reads would cost more than it
     saves.
     """
     silver = read_silver(spark, silver_path, spec, processed_at=processed_at)
-    out = []
-    for name, build in MARTS.items():
-        path = mart_path(gold_base, name)
-        out.append(observed_write(build(silver, spec), lambda d, p=path: write_gold(d, p),
-                                  job=f"build_{name}", layer="gold"))
-    return out
+
+    def write(name: str) -> RunMetric:
+        metric = observed_write(MARTS[name](silver, spec), lambda d: write_gold(d, mart_path(gold_base, name)),
+                                job=f"build_{name}", layer="gold")
+        if metrics:
+            append_metrics(spark, [metric], metrics)
+        return metric
+
+    with ThreadPoolExecutor(max_workers=len(MARTS)) as pool:
+        return list(pool.map(write, MARTS))
+
+
+def written_marts(spark: SparkSession, gold_base: str) -> set[str]:
+    """Names of the marts whose write has been committed."""
+    jvm = spark.sparkContext._jvm
+    done = {name: jvm.org.apache.hadoop.fs.Path(f"{mart_path(gold_base, name)}/_SUCCESS") for name in MARTS}
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    return {name for name, path in done.items() if path.getFileSystem(conf).exists(path)}
 
 
 def read_marts(spark: SparkSession, gold_base: str) -> dict[str, DataFrame]:

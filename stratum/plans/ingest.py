@@ -9,7 +9,7 @@ from pyspark.sql import SparkSession
 
 from stratum.operators.bronze import EmptySourceError
 from stratum.sources.bronze import write_snapshot
-from stratum.sources.metrics import RunMetric, observed_write
+from stratum.sources.metrics import RunMetric, append_metrics, observed_write
 from stratum.sources.registry import SourceRegistry
 from stratum.spec import DEFAULT_SPEC, IndicatorSpec
 
@@ -18,8 +18,9 @@ BATCH_SOURCE = "batch"
 
 def ingest_table(spark: SparkSession, registry: SourceRegistry, key: str, base: str,
                  ingest_date: str, *, source: str = BATCH_SOURCE,
-                 spec: IndicatorSpec = DEFAULT_SPEC) -> RunMetric:
-    """One pass: the rows are counted while they are written.
+                 spec: IndicatorSpec = DEFAULT_SPEC, metrics: str | None = None) -> RunMetric:
+    """One pass: the rows are counted while they are written.  With
+    ``metrics``, the job's record is stored there as it ends.
 
     An empty source writes no partition (dynamic overwrite only replaces
     partitions present in the data) and then raises, so nothing of it lands.
@@ -29,6 +30,8 @@ def ingest_table(spark: SparkSession, registry: SourceRegistry, key: str, base:
                             job=f"ingest_batch_{key}", layer="bronze")
     if metric.rows_processed == 0:
         raise EmptySourceError(f"table '{key}' is empty; nothing ingested")
+    if metrics:
+        append_metrics(spark, [metric], metrics)
     return metric
 
 

@@ -99,8 +99,7 @@ orphans AS (
 
 
 def exact_mean(expr: str, scale: int) -> str:
-    """Mean from an exact decimal sum and one division (see
-    ``stratum.functions.exact_mean``)."""
+    """Mean of values that have ``scale`` decimals here, from an exact sum."""
     return f"CAST(SUM(CAST({expr} AS DECIMAL(38,{scale}))) AS DOUBLE) / NULLIF(COUNT({expr}), 0)"
 
 
@@ -136,20 +135,45 @@ UNION ALL SELECT 'gold_meta_vs_resultado', COUNT(*) FROM silver
 UNION ALL SELECT 'gold_evolucao_temporal_uf', COUNT(*)
   FROM (SELECT DISTINCT sigla_uf, nome_uf, ano FROM silver) g"""
 
+_CONTENT = {
+    "gold_indicador_por_municipio": ("silver", "id_municipio", {
+        "text": ("id_municipio", "nome_municipio", "sigla_uf", "nome_uf"),
+        "number": ("ano", "proficiencia_media", "percentual_alfabetizado")}),
+    "gold_meta_vs_resultado": ("gold_goal", "id_municipio", {
+        "text": ("id_municipio", "nome_municipio", "sigla_uf", "atingiu_meta"),
+        "number": ("ano", "percentual_alfabetizado", "meta_percentual", "gap_para_meta")}),
+    "gold_evolucao_temporal_uf": ("gold_region", "NULL", {
+        "text": ("sigla_uf", "nome_uf"),
+        "number": ("ano", "percentual_alfabetizado_medio", "proficiencia_media_uf", "qtd_municipios")}),
+}
+
+
+def _marts_content() -> str:
+    parts = []
+    for mart, (source, entity, columns) in _CONTENT.items():
+        for kind, names in columns.items():
+            for c in names:
+                text, number = (f"CAST({c} AS VARCHAR)", "NULL") if kind == "text" else ("NULL", f"CAST({c} AS DOUBLE)")
+                parts.append(f"SELECT '{mart}' AS mart, CAST({entity} AS VARCHAR) AS entity, sigla_uf AS region,"
+                             f" ano AS period, '{c}' AS column_name, CAST({text} AS VARCHAR) AS text_value,"
+                             f" CAST({number} AS DOUBLE) AS number_value FROM {source}")
+    return "\nUNION ALL ".join(parts)
+
+
 ORACLE: dict[str, str] = {
     "bronze_weighted_indicator": INDICATOR,
     "silver_goals_long": with_silver("SELECT * FROM goals_long"),
     "silver_integrated": with_silver("SELECT * FROM silver"),
-    "gold_indicator_by_entity": with_silver(
+    "gold_indicator_by_entity": with_silver_all(
         "SELECT id_municipio, nome_municipio, sigla_uf, nome_uf, ano, proficiencia_media,"
         " percentual_alfabetizado FROM silver ORDER BY ano, sigla_uf, nome_municipio"),
-    "gold_goal_vs_result": with_silver("SELECT * FROM gold_goal", GOLD_GOAL),
-    "gold_region_evolution": with_silver(
+    "gold_goal_vs_result": with_silver_all("SELECT * FROM gold_goal", GOLD_GOAL),
+    "gold_region_evolution": with_silver_all(
         "SELECT * FROM gold_region ORDER BY sigla_uf, ano", GOLD_REGION),
     "bronze_snapshot_audit": f"""
 SELECT DATE '2024-01-01' AS dt_ingestao, '2024-01-01' AS _dt_ingestao, 'batch' AS _fonte,
        COUNT(*) AS rows, 'indicador' AS tabela FROM ({INDICATOR}) a
-UNION ALL SELECT DATE '2024-01-01', '2024-01-01', 'batch', COUNT(*), 'municipio' FROM ({DIMENSION}) b
+UNION ALL SELECT DATE '2024-01-01', '2024-01-01', 'batch', COUNT(*), 'municipio' FROM ({DIMENSION_ALL}) b
 UNION ALL SELECT DATE '2024-01-01', '2024-01-01', 'batch', COUNT(*), 'meta_municipio' FROM ({GOALS_WIDE}) c""",
     "bronze_same_day_rerun": f"""
 SELECT DATE '2024-01-01' AS dt_ingestao, COUNT(*) AS rows FROM ({INDICATOR}) a
@@ -164,7 +188,7 @@ SELECT DISTINCT * FROM raw WHERE id_municipio IS NOT NULL OR ano IS NOT NULL""",
     "silver_normalize_keys": """
 SELECT l_orderkey, l_linenumber, CAST(l_suppkey AS VARCHAR) AS id_municipio,
        upper(trim('  ' || lower(l_returnflag) || ' ')) AS sigla_uf,
-       TRY_CAST(strftime(l_shipdate, '%Y') AS INTEGER) AS ano
+       CASE WHEN l_linenumber <> 7 THEN CAST(year(l_shipdate) AS INTEGER) END AS ano
 FROM lineitem""",
     "silver_missing_flags": f"""
 WITH raw AS (
@@ -179,7 +203,7 @@ SELECT id_municipio, ano,
        TRY_CAST(percentual_alfabetizado AS DOUBLE) IS NULL AS percentual_alfabetizado_era_nulo
 FROM raw""",
     "silver_partition_roundtrip": with_silver("SELECT * FROM silver"),
-    "gold_marts_roundtrip": with_silver(MARTS_ROWS),
+    "gold_marts_roundtrip": with_silver_all(MARTS_ROWS),
     "dq_duplicates": """
 SELECT 'verificacao_duplicidade' AS check_name, SUM(n) - COUNT(*) = 0 AS passed,
        CAST(SUM(n) AS BIGINT) AS total, CAST(SUM(n) - COUNT(*) AS BIGINT) AS duplicados
@@ -217,18 +241,18 @@ per_key AS (
   FROM silver GROUP BY id_municipio, ano),
 agg AS (SELECT SUM(n) AS t, SUM(n) - COUNT(*) AS dup, SUM(n0) AS n0, SUM(n1) AS n1, SUM(bad) AS bad FROM per_key)""",
         ORPHANS),
-    "kpi_coverage": with_silver("""
+    "kpi_coverage": with_silver_all("""
 SELECT COUNT(DISTINCT id_municipio) AS total_municipios, MIN(ano) AS primeiro_ano, MAX(ano) AS ultimo_ano,
        CAST(MIN(ano) AS VARCHAR) || '–' || CAST(MAX(ano) AS VARCHAR) AS anos_cobertos
 FROM silver"""),
-    "kpi_national_mean": with_silver(f"""
+    "kpi_national_mean": with_silver_all(f"""
 SELECT MAX(ano) AS ultimo_ano, {exact_mean('percentual_alfabetizado', 4)} AS percentual_medio_nacional,
        AVG(proficiencia_media) AS proficiencia_media_nacional
 FROM silver WHERE ano = (SELECT MAX(ano) FROM silver)"""),
-    "kpi_hit_share": with_silver("""
+    "kpi_hit_share": with_silver_all("""
 SELECT MAX(ano) AS ultimo_ano, 100.0 * AVG(CAST(atingiu_meta AS INTEGER)) AS pct_municipios_atingiu_meta
 FROM gold_goal WHERE ano = (SELECT MAX(ano) FROM gold_goal)""", GOLD_GOAL),
-    "kpi_summary": with_silver(f"""
+    "kpi_summary": with_silver_all(f"""
 SELECT COUNT(DISTINCT id_municipio) AS total_municipios,
        CAST(MIN(ano) AS VARCHAR) || '–' || CAST(MAX(ano) AS VARCHAR) AS anos_cobertos,
        {exact_mean('CASE WHEN ano = (SELECT MAX(ano) FROM silver) THEN percentual_alfabetizado END', 4)}
@@ -239,17 +263,17 @@ SELECT COUNT(DISTINCT id_municipio) AS total_municipios,
          AS pct_municipios_atingiu_meta,
        MAX(ano) AS ultimo_ano
 FROM silver"""),
-    "kpi_region_vs_mean": with_silver(f"""
+    "kpi_region_vs_mean": with_silver_all(f"""
 SELECT sigla_uf, nome_uf, ano, percentual_alfabetizado_medio,
        (SELECT {exact_mean('percentual_alfabetizado_medio', 2)} FROM now) AS media_nacional,
        COALESCE(percentual_alfabetizado_medio >= (SELECT {exact_mean('percentual_alfabetizado_medio', 2)} FROM now),
                 false) AS acima_media
 FROM now ORDER BY percentual_alfabetizado_medio ASC NULLS LAST, sigla_uf ASC NULLS LAST""", GOLD_REGION, """
 now AS (SELECT * FROM gold_region WHERE ano = (SELECT MAX(ano) FROM gold_region))"""),
-    "kpi_national_evolution": with_silver(f"""
+    "kpi_national_evolution": with_silver_all(f"""
 SELECT ano, {exact_mean('percentual_alfabetizado_medio', 2)} AS percentual_alfabetizado_medio
 FROM gold_region GROUP BY ano ORDER BY ano""", GOLD_REGION),
-    "kpi_distribution": with_silver(f"""
+    "kpi_distribution": with_silver_all(f"""
 SELECT g.bin, {_edge('g.bin - 1')} AS bin_start, {_edge('g.bin')} AS bin_end,
        CAST(COALESCE(c.n, 0) AS BIGINT) AS count, mean
 FROM grid g LEFT JOIN counts c ON g.bin = c.bin CROSS JOIN edges""", f"""
@@ -265,7 +289,7 @@ i1 AS (SELECT v, lo_e, hi_e, CASE WHEN v < {_edge('i')} THEN i - 1 ELSE i END AS
 i2 AS (SELECT CASE WHEN v >= {_edge('i + 1')} AND i <> 23 THEN i + 1 ELSE i END + 1 AS bin FROM i1),
 counts AS (SELECT bin, COUNT(*) AS n FROM i2 GROUP BY bin),
 grid AS (SELECT CAST(range AS INTEGER) AS bin FROM range(1, 25))"""),
-    "kpi_worst_gap_topk": with_silver("""
+    "kpi_worst_gap_topk": with_silver_all("""
 SELECT id_municipio, nome_municipio, sigla_uf, ano, gap_para_meta,
        COALESCE(nome_municipio, id_municipio) || ' (' || sigla_uf || ')' AS rotulo
 FROM gold_goal
@@ -301,4 +325,26 @@ UNION ALL SELECT 'build_gold_meta_vs_resultado', 'gold', COUNT(*) FROM silver
 UNION ALL SELECT 'build_gold_evolucao_temporal_uf', 'gold', COUNT(*)
   FROM (SELECT DISTINCT sigla_uf, nome_uf, ano FROM silver) g
 UNION ALL SELECT 'ingest_streaming', 'bronze', COUNT(*) FROM events"""),
+    "silver_latest_snapshot_new_column": with_silver("SELECT * FROM goals_long"),
+    "bronze_snapshot_content": f"""
+SELECT COALESCE(i.id_municipio, m.id_municipio) AS id_municipio, ano, proficiencia_media, percentual_alfabetizado,
+       nome, sigla_uf, nome_uf
+FROM ({INDICATOR}) i FULL JOIN ({DIMENSION_ALL}) m ON i.id_municipio = m.id_municipio""",
+    "gold_marts_content": with_silver_all(_marts_content(), GOLD_GOAL, GOLD_REGION),
+    "goals_union_of_sources": GOALS_WIDE,
+    "kpi_mean_many_decimals": """
+WITH r AS (SELECT CAST(year(l_shipdate) AS INTEGER) AS ano, l_quantity AS q,
+                  CASE WHEN l_linenumber <> 7 THEN l_extendedprice * (1.0::DOUBLE - l_discount) / 7e4::DOUBLE END AS x
+           FROM lineitem)
+SELECT MAX(ano) AS ultimo_ano, ROUND(AVG(x), 6) AS percentual_medio_nacional,
+       ROUND(AVG(q), 6) AS proficiencia_media_nacional
+FROM r WHERE ano = (SELECT MAX(ano) FROM r)""",
+    "stream_malformed_variants": """
+SELECT 'bronze' AS layer, 'event' AS kind, COUNT(*) AS rows FROM events
+UNION ALL SELECT 'quarantine', k, COUNT(*) * n
+  FROM events, (VALUES ('trailing', 1), ('twice', 1), ('list', 1), ('cut', 1), ('blank', 2)) x(k, n) GROUP BY k, n""",
+    "stream_two_checkpoints": "SELECT event_id, event_type FROM events",
+    "stream_many_batches": "SELECT COUNT(*) AS counted, COUNT(*) AS stored, true AS over_100_batches FROM events",
+    "pipeline_from_microdata": with_silver_all("SELECT * FROM gold_goal", GOLD_GOAL),
 }
+ORACLE["kpi_summary_from_gold"] = ORACLE["kpi_summary"]

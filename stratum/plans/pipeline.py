@@ -2,11 +2,13 @@
 ingest every source -> Silver (written) -> quality gate -> Gold.
 
 The gate runs after the Silver write and before Gold: a critical failure
-leaves the new Silver in place but does not rebuild Gold.
+leaves the new Silver in place but does not rebuild Gold.  Each job's metric is
+stored as the job ends, so a later failure loses none.
 """
 
 from __future__ import annotations
 
+import time
 from dataclasses import dataclass, field
 
 from pyspark.sql import SparkSession
@@ -16,16 +18,18 @@ from stratum.plans.gold import build_gold
 from stratum.plans.ingest import ingest
 from stratum.plans.silver import build_silver
 from stratum.sources.bronze import read_bronze
-from stratum.sources.layers import read_silver, write_silver
-from stratum.sources.metrics import RunMetric, append_metrics, observed_write
+from stratum.sources.layers import by_partition, read_silver, silver_partitions, write_silver
+from stratum.sources.metrics import RunMetric, append_metrics, observed_write, timed
 from stratum.sources.registry import SourceRegistry
 from stratum.spec import DEFAULT_SPEC, IndicatorSpec
+from stratum.streaming.events import DrainResult, StreamConfig, drain, run_for
 
 # Logical keys of the three sources Silver is built from.
 FACT, DIMENSION, GOALS = "indicador", "municipio", "meta_municipio"
 # Run-metric job names -- "ingest_batch_<key>", "transform_silver",
 # "build_<mart>", "ingest_streaming" -- and layers "bronze", "silver", "gold".
 SILVER_JOB = "transform_silver"
+STREAM_JOB = "ingest_streaming"
 
 
 @dataclass
@@ -61,12 +65,23 @@ class PipelineResult:
 
 
 def run_silver(spark: SparkSession, layout: Layout, spec: IndicatorSpec = DEFAULT_SPEC) -> RunMetric:
-    """Latest snapshot of each source -> Silver, counted during the write."""
+    """Latest snapshot of each source -> Silver, counted during the write
+    (after the shuffle that deals rows to the partitions' tasks)."""
     silver = build_silver(read_bronze(spark, layout.bronze, FACT, spec=spec),
                           read_bronze(spark, layout.bronze, DIMENSION, spec=spec),
                           read_bronze(spark, layout.bronze, GOALS, spec=spec), spec)
-    return observed_write(silver, lambda d: write_silver(d, layout.silver, spec),
-                          job=SILVER_JOB, layer="silver")
+    metric = observed_write(by_partition(silver, silver_partitions(spec)),
+                            lambda d: write_silver(d, layout.silver, spec, dealt=True), job=SILVER_JOB, layer="silver")
+    append_metrics(spark, [metric], layout.metrics)
+    return metric
+
+
+def run_stream(spark: SparkSession, layout: Layout, cfg: StreamConfig, seconds: float | None = None) -> DrainResult:
+    """Drain the event stream, or run it for some seconds, and store its record."""
+    began = time.perf_counter()
+    result = drain(spark, cfg) if seconds is None else run_for(spark, cfg, seconds)
+    append_metrics(spark, [timed(STREAM_JOB, "bronze", result.rows_in, began)], layout.metrics)
+    return result
 
 
 def run_checks(spark: SparkSession, layout: Layout, spec: IndicatorSpec = DEFAULT_SPEC):
@@ -86,7 +101,7 @@ def run_pipeline(spark: SparkSession, registry: SourceRegistry, base: str, inges
                  report=print) -> PipelineResult:
     layout = Layout(base.rstrip("/"))
     result = PipelineResult(layout)
-    result.metrics += ingest(spark, registry, "all", layout.bronze, ingest_date, spec=spec)
+    result.metrics += ingest(spark, registry, "all", layout.bronze, ingest_date, spec=spec, metrics=layout.metrics)
     result.metrics.append(run_silver(spark, layout, spec))
     try:
         result.checks = run_gate(run_checks(spark, layout, spec), report=report)
@@ -94,11 +109,9 @@ def run_pipeline(spark: SparkSession, registry: SourceRegistry, base: str, inges
     except QualityGateError as err:
         result.checks = err.results
         result.failed_checks = [r.name for r in err.failed]
-        append_metrics(spark, result.metrics, layout.metrics)
         if raise_on_gate:
             raise
         return result
-    result.metrics += build_gold(spark, layout.silver, layout.gold, spec)
+    result.metrics += build_gold(spark, layout.silver, layout.gold, spec, metrics=layout.metrics)
     result.gold_written = True
-    append_metrics(spark, result.metrics, layout.metrics)
     return result

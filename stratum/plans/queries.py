@@ -1,12 +1,15 @@
 """Registered queries over the test tables: ``name -> fn(spark, sf_dir)``.
 
-Each returns a lazy DataFrame whose column names match the oracle SQL of the
-same name in :mod:`stratum.plans.oracle`.
+Each returns a DataFrame whose column names match the oracle SQL of the same
+name in :mod:`stratum.plans.oracle`.  Queries about stored layers, reports over
+a Silver computed once, streams and whole runs write tables in the scratch
+folder while they are built; the others are lazy.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,14 +21,14 @@ from stratum.operators import reporting as rp
 from stratum.operators.cleaning import clean, flag_missing, normalize_keys
 from stratum.operators.reshape import goals_long
 from stratum.plans import testbed as tb
-from stratum.plans.gold import MARTS, build_gold, read_marts
+from stratum.plans.gold import MARTS, build_gold, read_marts, written_marts
 from stratum.plans.ingest import ingest
-from stratum.plans.pipeline import run_pipeline
+from stratum.plans.pipeline import run_pipeline, run_stream
 from stratum.plans.silver import build_silver, prepare
 from stratum.session import scratch_path
 from stratum.sources.bronze import read_bronze, write_snapshot
 from stratum.sources.layers import read_silver, write_silver
-from stratum.sources.metrics import RunMetric, append_metrics
+from stratum.sources.registry import SourceRegistry
 from stratum.spec import DEFAULT_SPEC as S
 from stratum.streaming.events import RAW, StreamConfig, drain, events_as_json, land
 
@@ -37,12 +40,14 @@ def register(fn):
     return fn
 
 
-def silver(spark: SparkSession, sf_dir: str, processed_at: bool = False) -> DataFrame:
-    return build_silver(tb.indicator(spark, sf_dir), tb.dimension(spark, sf_dir),
+def silver(spark: SparkSession, sf_dir: str, processed_at: bool = False, registered_only: bool = False) -> DataFrame:
+    """Silver over the whole dimension; ``registered_only`` where entities
+    without a dimension row are what is looked at."""
+    return build_silver(tb.indicator(spark, sf_dir), tb.dimension(spark, sf_dir, registered_only=registered_only),
                         tb.goals_wide(spark, sf_dir), S, processed_at=processed_at)
 
 
-def silver_once(spark: SparkSession, sf_dir: str, columns: list[str]) -> DataFrame:
+def silver_once(spark: SparkSession, sf_dir: str, columns: list[str], registered_only: bool = False) -> DataFrame:
     """The Silver columns a report needs, computed once and written as a
     Parquet table in the shared folder (``spark.checkpoint.dir``).
 
@@ -53,7 +58,7 @@ def silver_once(spark: SparkSession, sf_dir: str, columns: list[str]) -> DataFra
     holds only aggregated rows and only the listed columns, and the plan
     that produces it is pruned to them.
     """
-    df = silver(spark, sf_dir).select(*columns)
+    df = silver(spark, sf_dir, registered_only=registered_only).select(*columns)
     path = scratch_path(spark, "silver-once")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
@@ -72,7 +77,7 @@ def silver_goals_long(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def silver_integrated(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return silver(spark, sf_dir)
+    return silver(spark, sf_dir, registered_only=True)
 
 
 @register
@@ -113,7 +118,7 @@ def _snapshots(spark: SparkSession, sf_dir: str) -> str:
 def bronze_snapshot_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ingest every registered source for one date; rows per table read back."""
     base = scratch_path(spark, "bronze")
-    reg = tb.registry(sf_dir)
+    reg = tb.registry(sf_dir, registered_only=False)
     ingest(spark, reg, "all", base, EARLY_DATE)
     parts = [read_bronze(spark, base, k).groupBy(S.ingest_partition, S.audit_date, S.audit_source)
              .agg(F.count(F.lit(1)).alias("rows")).withColumn("tabela", F.lit(k))
@@ -147,12 +152,16 @@ def silver_dedup_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def silver_normalize_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw keys with the wrong types and padded lower-case codes."""
+    """Raw keys with the wrong types and padded lower-case codes; periods are
+    text, on odd lines with a fraction (``'1994.0'``), on every seventh line
+    no number."""
     raw = tb.table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber",
         F.col("l_suppkey").alias(S.entity),
         F.concat(F.lit("  "), F.lower("l_returnflag"), F.lit(" ")).alias(S.region),
-        F.date_format("l_shipdate", "yyyy").alias(S.period))
+        F.concat(F.date_format("l_shipdate", "yyyy"),
+                 F.when(F.col("l_linenumber") == 7, "?").when(F.col("l_linenumber") % 2 == 1, ".0").otherwise("")
+                 ).alias(S.period))
     return normalize_keys(raw, entity=S.entity, region=S.region, period=S.period)
 
 
@@ -176,7 +185,7 @@ def silver_missing_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
 def silver_partition_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Silver written partitioned by (period, region) and read back; entities
     without a dimension row come back with a NULL region."""
-    path = write_silver(silver(spark, sf_dir), scratch_path(spark, "silver"))
+    path = write_silver(silver(spark, sf_dir, registered_only=True), scratch_path(spark, "silver"))
     return read_silver(spark, path, processed_at=False)
 
 
@@ -191,6 +200,68 @@ def gold_marts_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
+@register
+def silver_latest_snapshot_new_column(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The later snapshot has a column that the earlier one doesn't: the latest
+    read has it."""
+    base = scratch_path(spark, "bronze")
+    wide = tb.goals_wide(spark, sf_dir)
+    newest = f"{S.goal_prefix}{tb.GOAL_YEARS[-1]}"
+    write_snapshot(wide.drop(newest), base, "meta_municipio", EARLY_DATE, "batch")
+    write_snapshot(wide, base, "meta_municipio", LATE_DATE, "batch")
+    return goals_long(prepare(read_bronze(spark, base, "meta_municipio")), S.entity, S.goal_prefix,
+                      period=S.period, value=S.goal)
+
+
+@register
+def bronze_snapshot_content(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every ingested row of the fact and the dimension as read back."""
+    base = scratch_path(spark, "bronze")
+    ingest(spark, tb.registry(sf_dir, registered_only=False), "all", base, EARLY_DATE)
+    fact, dim = (read_bronze(spark, base, k).drop(S.ingest_partition, S.audit_date, S.audit_source)
+                 for k in ("indicador", "municipio"))
+    return fact.join(dim, S.entity, "full")
+
+
+def _stored_gold(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The marts as read back from one stored Gold."""
+    silver_path = write_silver(silver(spark, sf_dir), scratch_path(spark, "silver"))
+    gold_base = scratch_path(spark, "gold")
+    build_gold(spark, silver_path, gold_base, processed_at=False)
+    return read_marts(spark, gold_base)
+
+
+@register
+def gold_marts_content(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row of every stored mart: mart, text and numbers by name."""
+    parts = []
+    for name, df in _stored_gold(spark, sf_dir).items():
+        value = [F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("text_value"),
+                          F.lit(None).cast("double").alias("number_value")) if t in ("string", "boolean") else
+                 F.struct(F.lit(c).alias("column_name"), F.lit(None).cast("string").alias("text_value"),
+                          F.col(c).cast("double").alias("number_value")) for c, t in df.dtypes]
+        key = [F.col(c).alias(a) if c in df.columns else F.lit(None).cast("string").alias(a)
+               for c, a in ((S.entity, "entity"), (S.region, "region"))]
+        parts.append(df.select(F.lit(name).alias("mart"), *key, F.col(S.period).alias("period"),
+                               F.inline(F.array(*value))))
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+@register
+def kpi_summary_from_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The headline values from the stored marts, as a dashboard reads them."""
+    gold = _stored_gold(spark, sf_dir)
+    return rp.kpi_summary_from_marts(gold["gold_indicador_por_municipio"], gold["gold_meta_vs_resultado"])
+
+
+@register
+def goals_union_of_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Goals from two sources, one for each network, as one table."""
+    reg = SourceRegistry({k: (lambda spark, k=k: tb.goals_wide(spark, sf_dir).filter(F.col(tb.NETWORK) == k))
+                          for k in ("F", "O")})
+    return reg.read_union(spark, ["F", "O"])
+
+
 # ---------------------------------------------------------------- quality
 
 # Fixed values of the quality scenarios over the test tables.
@@ -210,12 +281,12 @@ def dq_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def dq_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dq.missing_by_column(silver(spark, sf_dir), [S.score, S.rate, S.goal], S.missing_limit_pct)
+    return dq.missing_by_column(silver(spark, sf_dir, registered_only=True), [S.score, S.rate, S.goal], S.missing_limit_pct)
 
 
 @register
 def dq_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dq.orphan_check(silver(spark, sf_dir), tb.dimension(spark, sf_dir), [S.entity]).select(
+    return dq.orphan_check(silver(spark, sf_dir, registered_only=True), tb.dimension(spark, sf_dir), [S.entity]).select(
         "check_name", "passed", F.col("metrics")[dq.M_ORPHANS].cast("long").alias(dq.M_ORPHANS))
 
 
@@ -229,7 +300,7 @@ def dq_range(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _silver_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     # two jobs (fused aggregate, orphan keys) read Silver: compute it once
-    checked = silver_once(spark, sf_dir, [S.entity, S.period, *S.metrics])
+    checked = silver_once(spark, sf_dir, [S.entity, S.period, *S.metrics], registered_only=True)
     return dq.table_checks(
         checked, tb.dimension(spark, sf_dir), keys=S.keys_of("silver"),
         missing_cols=list(S.metrics), range_col=S.rate, orphan_keys_cols=S.keys_of("municipio"),
@@ -263,6 +334,18 @@ def kpi_national_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rp.national_means(silver_once(spark, sf_dir, [S.period, S.rate, S.score]))
 
 
+@register
+def kpi_mean_many_decimals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Means over the latest period of a rate with all the decimals a double
+    has (discounted price over quantity, a few lines NaN)."""
+    ratio = F.col("l_extendedprice") * (F.lit(1.0) - F.col("l_discount")) / F.lit(7e4)
+    rows = tb.table(spark, sf_dir, "lineitem").select(
+        F.year("l_shipdate").alias(S.period), F.col("l_quantity").alias(S.score),
+        F.when(F.col("l_linenumber") == 7, F.lit(float("nan"))).otherwise(ratio).alias(S.rate))
+    m = rp.national_means(rows)
+    return m.select(rp.LATEST, *[F.round(c, 6).alias(c) for c in (rp.NATIONAL_RATE, rp.NATIONAL_SCORE)])
+
+
 @register
 def kpi_hit_share(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rp.hit_share(marts.goal_vs_result(silver_once(spark, sf_dir, GOAL_COLS)))
@@ -286,7 +369,7 @@ def kpi_national_evolution(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def kpi_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rp.histogram(spark, silver_once(spark, sf_dir, [S.period, S.rate]), S.rate, S.period,
-                        bins=24, mean_scale=S.rate_decimals)
+                        bins=24)
 
 
 @register
@@ -351,24 +434,76 @@ def stream_rerun_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(counts, "run int, rows long")
 
 
+@register
+def stream_malformed_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each event also as four texts that are no single JSON object (text after
+    it, twice on a line, in a list, cut off), and blank lines: all in
+    quarantine, the events in Bronze with their raw text."""
+    cfg = _stream_cfg(spark)
+    good = events_as_json(tb.table(spark, sf_dir, "events"))
+    v = F.col("value")
+    bad = F.array(F.concat(v, F.lit(" junk")), F.concat(v, F.lit(" "), v), F.concat(F.lit("["), v, F.lit("]")),
+                  F.substring(v, 1, 20), F.lit(""), F.lit("   "))
+    land(good.unionByName(good.select(F.explode(bad).alias("value"))), cfg.landing, "batch-1")
+    drain(spark, cfg)
+    kinds = (F.when(F.trim(RAW) == "", "blank").when(F.col(RAW).startswith("["), "list")
+             .when(F.col(RAW).endswith(" junk"), "trailing").when(F.col(RAW).contains("} {"), "twice")
+             .when(F.col(RAW).endswith("}"), "event").otherwise("cut"))
+    stored = [spark.read.parquet(p).select(F.lit(n).alias("layer"), kinds.alias("kind"))
+              for n, p in (("bronze", cfg.bronze), ("quarantine", cfg.quarantine))]
+    return stored[0].unionByName(stored[1]).groupBy("layer", "kind").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@register
+def stream_two_checkpoints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second wave lands under a new checkpoint, whose batches count from 0
+    again: nothing of the first is lost."""
+    cfg = _stream_cfg(spark)
+    events = tb.table(spark, sf_dir, "events")
+    early = F.col("ts") < F.lit(SECOND_WAVE_FROM).cast("timestamp_ntz")
+    land(events_as_json(events.filter(early)), f"{cfg.landing}/a", "batch-1")
+    drain(spark, replace(cfg, landing=f"{cfg.landing}/a"))
+    land(events_as_json(events.filter(~early)), f"{cfg.landing}/b", "batch-1")
+    drain(spark, replace(cfg, landing=f"{cfg.landing}/b", checkpoint=f"{cfg.checkpoint}-2"))
+    return spark.read.parquet(cfg.bronze).select("event_id", "event_type")
+
+
+@register
+def stream_many_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A drain of over 100 micro-batches: rows counted while writing, and rows
+    that are there."""
+    cfg = _stream_cfg(spark)
+    land(events_as_json(tb.table(spark, sf_dir, "events")).repartition(102), cfg.landing, "batch-1")
+    d = drain(spark, replace(cfg, max_bytes_per_trigger=1))  # a file for each micro-batch
+    stored = spark.read.parquet(cfg.bronze).agg(
+        F.count(F.lit(1)).alias("stored"), (F.count_distinct("_lote") > 100).alias("over_100_batches"))
+    return stored.select(F.lit(d.rows_in).cast("long").alias("counted"), "stored", "over_100_batches")
+
+
 # ---------------------------------------------------------------- pipeline
 
+@register
+def pipeline_from_microdata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole run with single observations as the fact source: the
+    aggregate is built while they are ingested.  The goal mart as stored."""
+    micro = scratch_path(spark, "microdata")
+    tb.microdata(spark, sf_dir).write.parquet(micro)
+    reg = tb.registry(sf_dir, registered_only=False).add_microdata("indicador", micro)
+    res = run_pipeline(spark, reg, scratch_path(spark, "pipeline"), EARLY_DATE, report=lambda _msg: None)
+    return read_marts(spark, res.layout.gold)["gold_meta_vs_resultado"]
+
+
 @register
 def quality_gate_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole pipeline twice: with every supplier registered the gate passes
     and Gold is written; with only registered suppliers the orphan check
-    fails and Gold is not built.  Gold presence is read from storage (a
-    listing of the run folder)."""
+    fails and Gold is not built.  Gold presence is read from storage."""
     rows = []
     for scenario, registered_only in (("all_suppliers", False), ("registered_suppliers", True)):
         res = run_pipeline(spark, tb.registry(sf_dir, registered_only=registered_only),
                            scratch_path(spark, "pipeline"), EARLY_DATE, raise_on_gate=False,
                            report=lambda _msg: None)
-        files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-                 .load(res.layout.base).select("path")
-                 .filter(F.col("path").contains(f"{res.layout.gold}/") & F.col("path").endswith(".parquet")))
-        marts_found = {name for name in MARTS
-                       if files.filter(F.col("path").contains(f"/{name}/")).limit(1).count() > 0}
+        marts_found = written_marts(spark, res.layout.gold)
         rows.append((scenario, res.gate_passed, marts_found == set(MARTS), ",".join(res.failed_checks)))
     return spark.createDataFrame(rows, "scenario string, gate_passed boolean, gold_written boolean,"
                                        " failed_checks string")
@@ -382,6 +517,5 @@ def run_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
                        scratch_path(spark, "pipeline"), EARLY_DATE, report=lambda _msg: None)
     cfg = _stream_cfg(spark)
     land(events_as_json(tb.table(spark, sf_dir, "events")), cfg.landing, "batch-1")
-    d = drain(spark, cfg)
-    append_metrics(spark, [RunMetric("ingest_streaming", "bronze", d.rows_in, 0.0, "")], res.layout.metrics)
+    run_stream(spark, res.layout, cfg)
     return spark.read.parquet(res.layout.metrics).select("job", "layer", "rows_processed")

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stratum.functions import share_pct
-from stratum.operators.bronze import weighted_indicator
+from stratum.operators.bronze import indicator_of
 from stratum.spec import DEFAULT_SPEC, IndicatorSpec
 
 # Fixed values of the test mapping: goal years (one column each) and the
@@ -69,10 +69,7 @@ def microdata(spark: SparkSession, sf_dir: str, spec: IndicatorSpec = DEFAULT_SP
 
 def indicator(spark: SparkSession, sf_dir: str, spec: IndicatorSpec = DEFAULT_SPEC) -> DataFrame:
     """The raw indicator table: weighted aggregate of the microdata."""
-    s = spec
-    return weighted_indicator(microdata(spark, sf_dir, s), [s.entity, s.period], s.score_raw,
-                              s.flag_raw, s.weight_raw, score_out=s.score, rate_out=s.rate,
-                              flag_yes=s.flag_yes, rate_decimals=s.rate_decimals)
+    return indicator_of(microdata(spark, sf_dir, spec), spec)
 
 
 def dimension(spark: SparkSession, sf_dir: str, spec: IndicatorSpec = DEFAULT_SPEC, *,

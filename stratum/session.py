@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -21,16 +25,21 @@ DEFAULT_CONF = {
 
 
 def get_session(master: str | None = None, app: str = "stratum",
-                conf: dict[str, str] | None = None) -> SparkSession:
+                conf: dict[str, str] | None = None, *, input_bytes: int | None = None,
+                total_cores: int | None = None) -> SparkSession:
     """Builder with UTC session time, AQE and skew-join handling on.
 
+    With ``input_bytes`` and ``total_cores``, shuffles and splits are sized
+    for them (:func:`scale_conf`; ``conf`` still has the last word).
+
     ANSI mode stays at Spark's default (on); operators use ``try_cast`` /
     ``try_divide`` where the source semantics need NULL instead of an error.
     """
+    sized = scale_conf(input_bytes, total_cores) if input_bytes and total_cores else {}
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**DEFAULT_CONF, **(conf or {})}.items():
+    for key, value in {**DEFAULT_CONF, **sized, **(conf or {})}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -59,11 +68,26 @@ def scale_conf(input_bytes: int, total_cores: int, *, shuffle_fraction: float =
     }
 
 
+class NoSharedFolderError(RuntimeError):
+    def __init__(self):
+        super().__init__("set spark.checkpoint.dir to a folder that the driver and all executors share")
+
+
+def _local_folder(master: str) -> str:
+    if not re.fullmatch(r"local(\[.*\])?", master):
+        raise NoSharedFolderError()
+    path = tempfile.mkdtemp(prefix="stratum-ckpt-")
+    atexit.register(shutil.rmtree, path, ignore_errors=True)
+    return path
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-wide folder for written intermediates.
 
-    Uses the session's checkpoint directory (``spark.checkpoint.dir``).  Only
-    when none is configured -- local tests -- a fresh one is created.
+    Uses the session's checkpoint directory (``spark.checkpoint.dir``).  If
+    none is configured, a ``local`` master gets a fresh one (driver and
+    executors are one process there); a cluster raises, since a folder of the
+    driver's machine is not where its executors write.
     """
     try:
         sc = spark.sparkContext
@@ -71,15 +95,36 @@ def shared_dir(spark: SparkSession) -> str:
         sc = None
     if sc is None:
         configured = spark.conf.get("spark.checkpoint.dir", None)
-        return (configured or tempfile.mkdtemp(prefix="stratum-ckpt-")).rstrip("/")
+        if not configured:
+            raise NoSharedFolderError()
+        return configured.rstrip("/")
     current = sc.getCheckpointDir()
     if current is None:
         configured = sc.getConf().get("spark.checkpoint.dir", None)
-        sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="stratum-ckpt-"))
+        folder = configured or _local_folder(sc.master)
+        sc.setCheckpointDir(folder)
         current = sc.getCheckpointDir()
     return current.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new, unique location under :func:`shared_dir` for one run."""
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex[:12]}"
+    """A new, unique location under :func:`shared_dir` for one run.  What is
+    written there can be read until this process ends, which removes it."""
+    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex[:12]}"
+    if not _scratch:
+        atexit.register(remove_scratch)
+    _scratch.append(path)
+    return path
+
+
+_scratch: list[str] = []
+
+
+def remove_scratch() -> None:
+    """Delete this process's scratch locations, on whatever file system."""
+    from pyspark import SparkContext
+    jvm = SparkContext._jvm
+    while _scratch:
+        with contextlib.suppress(Exception):  # the JVM may be gone already
+            where = jvm.org.apache.hadoop.fs.Path(_scratch.pop())
+            where.getFileSystem(jvm.org.apache.hadoop.conf.Configuration()).delete(where, True)

@@ -46,5 +46,21 @@ def latest_snapshot(df: DataFrame, partition: str = "dt_ingestao") -> DataFrame:
 
 def read_bronze(spark: SparkSession, base: str, table: str, *, latest: bool = True,
                 spec: IndicatorSpec = DEFAULT_SPEC) -> DataFrame:
-    df = spark.read.parquet(table_path(base, table))
-    return latest_snapshot(df, spec.ingest_partition) if latest else df
+    """The latest date's rows with that date's own columns, or all dates with
+    the columns of any.
+
+    Without this the schema would be that of one file of the history, and
+    columns that came later would be missing.  The latest date comes from the
+    folder names (a job that reads no file); then only its folder is listed
+    and its footers read.
+    """
+    path, part = table_path(base, table), spec.ingest_partition
+    if not latest:
+        return spark.read.option("mergeSchema", "true").parquet(path)
+    df = spark.read.parquet(path)
+    if part not in df.columns:
+        return df
+    newest = df.agg(F.max(part)).first()[0]
+    if newest is None:
+        return df
+    return spark.read.option("basePath", path).parquet(f"{path}/{part}={newest}")

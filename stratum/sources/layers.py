@@ -32,20 +32,32 @@ def silver_schema(spec: IndicatorSpec = DEFAULT_SPEC, *, processed_at: bool = Tr
     return T.StructType(fields)
 
 
-def write_partitioned(df: DataFrame, path: str, partition_cols: list[str]) -> str:
-    """Full overwrite, Hive-style partitions.
+def by_partition(df: DataFrame, partition_cols: list[str]) -> DataFrame:
+    """Rows dealt to tasks for a partitioned write.
 
     The ``rebalance`` hint shuffles rows by the partition columns so each
     directory gets few files, and lets AQE split a hot partition value over
     several tasks (and merge tiny ones) instead of one task per value.
     """
-    (df.hint("rebalance", *partition_cols)
-       .write.mode("overwrite").partitionBy(*partition_cols).parquet(path))
+    return df.hint("rebalance", *partition_cols)
+
+
+def write_partitioned(df: DataFrame, path: str, partition_cols: list[str], *, dealt: bool = False) -> str:
+    """Full overwrite, Hive-style partitions, whatever the session's overwrite
+    mode: partitions of earlier runs go.  ``dealt``: the rows come from
+    :func:`by_partition` already."""
+    rows = df if dealt else by_partition(df, partition_cols)
+    (rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
+         .partitionBy(*partition_cols).parquet(path))
     return path
 
 
-def write_silver(df: DataFrame, path: str, spec: IndicatorSpec = DEFAULT_SPEC) -> str:
-    return write_partitioned(df, path, [spec.period, spec.region])
+def silver_partitions(spec: IndicatorSpec = DEFAULT_SPEC) -> list[str]:
+    return [spec.period, spec.region]
+
+
+def write_silver(df: DataFrame, path: str, spec: IndicatorSpec = DEFAULT_SPEC, *, dealt: bool = False) -> str:
+    return write_partitioned(df, path, silver_partitions(spec), dealt=dealt)
 
 
 def read_silver(spark: SparkSession, path: str, spec: IndicatorSpec = DEFAULT_SPEC, *,

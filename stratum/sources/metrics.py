@@ -6,6 +6,7 @@ plan runs once, instead of a ``count()`` followed by the write.
 
 from __future__ import annotations
 
+import threading
 import time
 from collections.abc import Callable
 from dataclasses import dataclass
@@ -24,6 +25,9 @@ METRIC_SCHEMA = T.StructType([
 ])
 
 
+_appending = threading.Lock()
+
+
 @dataclass
 class RunMetric:
     job: str
@@ -38,13 +42,13 @@ class RunMetric:
 
 def observed_write(df: DataFrame, write: Callable[[DataFrame], object], job: str,
                    layer: str) -> RunMetric:
-    """Run ``write(df)`` and count its rows in the same pass."""
+    """Run ``write(df)`` and count its rows in the same pass.  ``write`` adds
+    no shuffle: rows are counted in the tasks that write them, once each (of
+    a task that runs again only the last attempt counts)."""
     start = time.perf_counter()
     obs = Observation(f"{job}_metrics")
     write(df.observe(obs, F.count(F.lit(1)).alias("rows")))
-    rows = int(obs.get.get("rows", 0) or 0)
-    return RunMetric(job, layer, rows, round(time.perf_counter() - start, 2),
-                     datetime.now(timezone.utc).isoformat())
+    return timed(job, layer, int(obs.get.get("rows", 0) or 0), start)
 
 
 def metrics_frame(spark: SparkSession, metrics: list[RunMetric]) -> DataFrame:
@@ -53,6 +57,13 @@ def metrics_frame(spark: SparkSession, metrics: list[RunMetric]) -> DataFrame:
     return spark.createDataFrame([m.as_row() for m in metrics], METRIC_SCHEMA)
 
 
+def timed(job: str, layer: str, rows: int, start: float) -> RunMetric:
+    """The metric of a job that began at ``start`` (``time.perf_counter``)."""
+    return RunMetric(job, layer, rows, round(time.perf_counter() - start, 2), datetime.now(timezone.utc).isoformat())
+
+
 def append_metrics(spark: SparkSession, metrics: list[RunMetric], path: str) -> str:
-    metrics_frame(spark, metrics).coalesce(1).write.mode("append").parquet(path)
+    """Append the records; jobs that end side by side take turns."""
+    with _appending:
+        metrics_frame(spark, metrics).coalesce(1).write.mode("append").parquet(path)
     return path

@@ -7,6 +7,9 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
+from stratum.operators.bronze import indicator_of
+from stratum.spec import DEFAULT_SPEC, IndicatorSpec
+
 Loader = Callable[[SparkSession], DataFrame]
 
 
@@ -28,6 +31,12 @@ class SourceRegistry:
     def add_path(self, key: str, path: str, fmt: str = "parquet", **options) -> SourceRegistry:
         return self.add(key, lambda spark: spark.read.format(fmt).options(**options).load(path))
 
+    def add_microdata(self, key: str, path: str, fmt: str = "parquet", *,
+                      spec: IndicatorSpec = DEFAULT_SPEC, **options) -> SourceRegistry:
+        """A source of single observations: reading it builds the weighted
+        indicator per entity and period."""
+        return self.add(key, lambda spark: indicator_of(spark.read.format(fmt).options(**options).load(path), spec))
+
     def keys(self) -> list[str]:
         return list(self._loaders)
 

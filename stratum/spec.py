@@ -47,13 +47,8 @@ class IndicatorSpec:
     range_low: float = 0.0
     range_high: float = 100.0
     range_tolerance: float = 1e-6
-    # natural keys per logical table (used by cleaning and checks)
-    natural_keys: dict = field(default_factory=lambda: {
-        "indicador": ("id_municipio", "ano"),
-        "municipio": ("id_municipio",),
-        "meta_municipio": ("id_municipio",),
-        "silver": ("id_municipio", "ano"),
-    })
+    # natural keys per logical table, beside those that follow from the roles
+    natural_keys: dict = field(default_factory=dict)
 
     @property
     def metrics(self) -> tuple[str, str]:
@@ -65,8 +60,11 @@ class IndicatorSpec:
         return (self.entity, self.period)
 
     def keys_of(self, table: str) -> list[str]:
-        """Natural key of a logical table (drives the duplicate check)."""
-        return list(self.natural_keys[table])
+        """Natural key of a logical table (drives the checks): entity and
+        period, or for the dimension and the goals the entity."""
+        roles = {"indicador": (self.entity, self.period), "municipio": (self.entity,),
+                 "meta_municipio": (self.entity,), "silver": (self.entity, self.period)}
+        return list({**roles, **self.natural_keys}[table])
 
     def null_flag(self, metric: str) -> str:
         return f"{metric}{self.null_flag_suffix}"

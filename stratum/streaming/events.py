@@ -1,23 +1,24 @@
 """Event stream -> Bronze, with a quarantine for malformed messages.
 
-Source: newline-delimited JSON files landing in a directory (the file source;
-a Kafka-format source is the drop-in replacement at deployment -- only
-:func:`read_messages` changes).  Each message is parsed on the executors with
-``from_json`` in PERMISSIVE mode; rows that do not parse or do not fit the
-schema keep their raw text and go to the quarantine table instead of being
-dropped or redelivered forever.
+Source: newline-delimited JSON files landing in a directory, or a Kafka-format
+topic; only :func:`read_messages` differs.  Each message is parsed on the
+executors.  A message is an event if it is exactly one JSON object that fits
+the schema; everything else -- blank lines, NULL values, text after the object,
+several objects, other JSON values, fields of the wrong type -- goes to the
+quarantine with its raw text.  Events keep their raw text too, so fields the
+schema doesn't name are not lost; without a schema the fields are a map.
 
 One streaming query reads and parses each message once; per micro-batch,
 ``foreachBatch`` persists the parsed rows and writes both outputs.  Each
-output is partitioned by ingestion date and micro-batch id and written with
+output is partitioned by ingestion date and micro-batch and written with
 dynamic partition overwrite, so a micro-batch replayed after a failure
-replaces its own files instead of adding a second copy; with the offsets in
-the checkpoint every message lands exactly once, and a rerun with no new
-input adds nothing.  The ingestion timestamp is the micro-batch timestamp,
-which the checkpoint also keeps, so a replay lands in the same partition.
-Micro-batches are bounded by ``max_files_per_trigger`` (Kafka:
-``minOffsetsPerTrigger`` + ``maxTriggerDelay``) and driven by a
-processing-time trigger; ``available_now`` drains what is there and stops.
+replaces its own files instead of adding a second copy.  Micro-batches are
+named by an id kept beside the checkpoint and their number: a new checkpoint
+starts numbers again, but under another id, and replaces nothing.  The
+ingestion timestamp is the micro-batch timestamp, which the checkpoint also
+keeps, so a replay lands in the same partition.  Micro-batches are bounded by
+bytes (files) or offsets (Kafka); ``available_now`` drains what is there, in as
+many of them as it takes, and stops.
 """
 
 from __future__ import annotations
@@ -25,6 +26,7 @@ from __future__ import annotations
 import uuid
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,6 +34,7 @@ from pyspark.sql import types as T
 CORRUPT = "_corrupt_record"
 RAW = "_raw"
 BATCH = "_lote"
+FIELDS = "_campos"
 
 EVENT_SCHEMA = T.StructType([
     T.StructField("event_id", T.LongType()),
@@ -49,24 +52,29 @@ class StreamConfig:
     bronze: str
     quarantine: str
     checkpoint: str
-    schema: T.StructType = field(default_factory=lambda: EVENT_SCHEMA)
+    # fields of an event; None: any JSON object, its fields as a map (FIELDS)
+    schema: T.StructType | None = field(default_factory=lambda: EVENT_SCHEMA)
     source_tag: str = "streaming"
     partition: str = "dt_ingestao"
     audit_date: str = "_dt_ingestao"
     audit_source: str = "_fonte"
-    # Fixed values of the micro-batch bound: at most this many files per
-    # trigger, one trigger per interval when running continuously.
-    max_files_per_trigger: int = 500
+    # Bounds of a micro-batch of files (one persisted batch must fit the
+    # executors), and the trigger interval when running continuously.
+    max_bytes_per_trigger: int = 1 << 30
     trigger_interval: str = "60 seconds"
     # file source housekeeping: "archive" (to ``archive_dir``) or "delete"
     # processed files, so listing the landing folder stays cheap over time
     clean_source: str | None = None
     archive_dir: str | None = None
     # Kafka-format source (deployment): set ``kafka_servers`` and ``topic``;
-    # a batch closes at 500 messages or after 60 s, whichever comes first.
+    # a batch closes at 500 messages or after 60 s, whichever comes first, and
+    # takes at most ``max_offsets_per_trigger``.  The first run starts at
+    # ``starting_offsets``.
     kafka_servers: str | None = None
     topic: str | None = None
+    starting_offsets: str = "earliest"
     min_offsets_per_trigger: int = 500
+    max_offsets_per_trigger: int = 1_000_000
     max_trigger_delay: str = "60s"
 
 
@@ -81,12 +89,14 @@ def read_messages(spark: SparkSession, cfg: StreamConfig) -> DataFrame:
         return (spark.readStream.format("kafka")
                 .option("kafka.bootstrap.servers", cfg.kafka_servers)
                 .option("subscribe", cfg.topic)
+                .option("startingOffsets", cfg.starting_offsets)
+                .option("maxOffsetsPerTrigger", cfg.max_offsets_per_trigger)
                 .option("minOffsetsPerTrigger", cfg.min_offsets_per_trigger)
                 .option("maxTriggerDelay", cfg.max_trigger_delay)
                 .load()
                 .select(F.col("value").cast("string").alias(RAW)))
     reader = (spark.readStream.format("text")
-              .option("maxFilesPerTrigger", cfg.max_files_per_trigger)
+              .option("maxBytesPerTrigger", cfg.max_bytes_per_trigger)
               .option("recursiveFileLookup", "true"))
     if cfg.clean_source:
         reader = reader.option("cleanSource", cfg.clean_source)
@@ -95,11 +105,24 @@ def read_messages(spark: SparkSession, cfg: StreamConfig) -> DataFrame:
     return reader.load(cfg.landing).select(F.col("value").alias(RAW))
 
 
-def parse(messages: DataFrame, schema: T.StructType) -> DataFrame:
-    """Raw text + parsed fields + the raw text again when it did not parse."""
+def parse(messages: DataFrame, schema: T.StructType | None) -> DataFrame:
+    """Raw text, parsed fields, and ``CORRUPT``: whether it is no event.
+
+    ``from_json`` alone takes the first value of a text and ignores the rest;
+    read as the only element of an array, text after the value is an error
+    and a second value a second element.
+    """
+    strict = {"mode": "PERMISSIVE", "allowSingleQuotes": "false"}
+    values = F.from_json(F.concat(F.lit("["), RAW, F.lit("]")), T.ArrayType(T.StringType()), strict)
+    one = F.coalesce((F.size(values) == 1) & F.col(RAW).rlike(r"^\s*\{"), F.lit(False))
+    if schema is None:
+        parsed = F.from_json(RAW, T.MapType(T.StringType(), T.StringType()), strict)
+        return messages.select(RAW, parsed.alias(FIELDS), (~one | parsed.isNull()).alias(CORRUPT))
     with_corrupt = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
-    parsed = F.from_json(RAW, with_corrupt, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
-    return messages.select(RAW, parsed.alias("_m")).select(RAW, "_m.*")
+    parsed = F.from_json(RAW, with_corrupt, {**strict, "columnNameOfCorruptRecord": CORRUPT})
+    return (messages.select(RAW, parsed.alias("_m"), one.alias("_one"))
+            .select(RAW, *[F.col(f"_m.`{f.name}`").alias(f.name) for f in schema.fields],
+                    (~F.col("_one") | F.col("_m").isNull() | F.col(f"_m.{CORRUPT}").isNotNull()).alias(CORRUPT)))
 
 
 def _audit(cfg: StreamConfig) -> dict[str, Column]:
@@ -120,29 +143,51 @@ def _audit_cols(cfg: StreamConfig) -> list[str]:
 
 
 def valid_events(parsed: DataFrame, cfg: StreamConfig) -> DataFrame:
-    fields = [f.name for f in cfg.schema.fields]
-    return parsed.filter(F.col(CORRUPT).isNull()).select(*fields, *_audit_cols(cfg))
+    """Parsed fields and the raw text of the messages that are events."""
+    fields = [FIELDS] if cfg.schema is None else [f.name for f in cfg.schema.fields]
+    return parsed.filter(~F.col(CORRUPT)).select(*fields, RAW, *_audit_cols(cfg))
 
 
 def malformed_events(parsed: DataFrame, cfg: StreamConfig) -> DataFrame:
-    return parsed.filter(F.col(CORRUPT).isNotNull()).select(RAW, *_audit_cols(cfg))
+    return parsed.filter(CORRUPT).select(RAW, *_audit_cols(cfg))
+
+
+def writer_id(spark: SparkSession, cfg: StreamConfig) -> str:
+    """An id that stays with the checkpoint: made up on the first run and kept
+    in a file beside it (on the checkpoint's own file system)."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(f"{cfg.checkpoint.rstrip('/')}/writer-id")
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        out = fs.create(path, False)
+        out.write(bytearray(uuid.uuid4().hex[:12].encode()))
+        out.close()
+    source = fs.open(path)
+    try:
+        return bytes(source.readAllBytes()).decode()
+    finally:
+        source.close()
 
 
-def _write_idempotent(frame: DataFrame, path: str, cfg: StreamConfig, batch_id: int) -> int:
+def _write_idempotent(frame: DataFrame, path: str, cfg: StreamConfig, batch: str) -> int:
     obs = Observation(f"rows_{uuid.uuid4().hex}")
-    (frame.withColumn(BATCH, F.lit(batch_id).cast("long"))
+    (frame.withColumn(BATCH, F.lit(batch))
           .observe(obs, F.count(F.lit(1)).alias("rows"))
           .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
           .partitionBy(cfg.partition, BATCH).parquet(path))
     return int(obs.get.get("rows", 0) or 0)
 
 
-def _batch_writer(cfg: StreamConfig, counts: dict[int, tuple[int, int]]):
+Counts = dict[int, tuple[int, int]]
+
+
+def _batch_writer(cfg: StreamConfig, writer: str, counts: Counts):
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
+        batch.persist(StorageLevel.MEMORY_AND_DISK)
+        name = f"{writer}-{batch_id}"
         try:
-            counts[batch_id] = (_write_idempotent(valid_events(batch, cfg), cfg.bronze, cfg, batch_id),
-                                _write_idempotent(malformed_events(batch, cfg), cfg.quarantine, cfg, batch_id))
+            counts[batch_id] = (_write_idempotent(valid_events(batch, cfg), cfg.bronze, cfg, name),
+                                _write_idempotent(malformed_events(batch, cfg), cfg.quarantine, cfg, name))
         finally:
             batch.unpersist()
     return write
@@ -152,14 +197,13 @@ def _trigger(writer, available_now: bool, interval: str):
     return writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=interval)
 
 
-def start(spark: SparkSession, cfg: StreamConfig, *, available_now: bool = True,
-          counts: dict[int, tuple[int, int]] | None = None):
+def start(spark: SparkSession, cfg: StreamConfig, *, available_now: bool = True, counts: Counts | None = None):
     """Start the ingest query.  ``counts`` (if given) receives, per
     micro-batch id, the rows written to Bronze and to quarantine."""
     stream = with_audit(parse(read_messages(spark, cfg), cfg.schema), cfg)
     writer = (stream.writeStream
               .option("checkpointLocation", f"{cfg.checkpoint.rstrip('/')}/events")
-              .foreachBatch(_batch_writer(cfg, counts if counts is not None else {})))
+              .foreachBatch(_batch_writer(cfg, writer_id(spark, cfg), counts if counts is not None else {})))
     return _trigger(writer, available_now, cfg.trigger_interval).start()
 
 
@@ -169,36 +213,47 @@ class DrainResult:
     bronze_rows: int
     quarantine_rows: int
 
+    @classmethod
+    def of(cls, counts: Counts) -> DrainResult:
+        """Sums over all micro-batches: each message went to one of the two."""
+        bronze, quarantine = (sum(c[i] for c in counts.values()) for i in (0, 1))
+        return cls(bronze + quarantine, bronze, quarantine)
+
 
-def drain(spark: SparkSession, cfg: StreamConfig, timeout_s: float = 600.0) -> DrainResult:
-    """Process everything that has landed, then stop (bounded run).
+def drain(spark: SparkSession, cfg: StreamConfig, timeout_s: float | None = None) -> DrainResult:
+    """Process everything that has landed, however long it takes, then stop;
+    with ``timeout_s``, stop and raise after that time.
 
-    Row counts are taken while writing (one ``Observation`` per output and
-    micro-batch) and from the query's progress, not by re-reading output.
+    Rows are counted while they are written (one ``Observation`` per output
+    and micro-batch), not by re-reading output and not from the query's
+    progress, of which only the last updates are kept.
     """
-    counts: dict[int, tuple[int, int]] = {}
+    counts: Counts = {}
     q = start(spark, cfg, available_now=True, counts=counts)
     try:
-        if not q.awaitTermination(timeout_s):
+        if timeout_s is None:
+            q.awaitTermination()
+        elif not q.awaitTermination(timeout_s):
             raise TimeoutError(f"stream {q.id} still running after {timeout_s}s")
         if q.exception() is not None:
             raise RuntimeError(f"stream failed: {q.exception()}")
     finally:
         if q.isActive:
             q.stop()
-    rows_in = sum(int(p.numInputRows or 0) for p in q.recentProgress)
-    return DrainResult(rows_in, sum(c[0] for c in counts.values()), sum(c[1] for c in counts.values()))
+    return DrainResult.of(counts)
 
 
-def run_for(spark: SparkSession, cfg: StreamConfig, seconds: float) -> None:
+def run_for(spark: SparkSession, cfg: StreamConfig, seconds: float) -> DrainResult:
     """Continuous ingest on the processing-time trigger for at most
     ``seconds``, then a clean stop (the checkpoint keeps the position; the
-    next run resumes from it)."""
-    q = start(spark, cfg, available_now=False)
+    next run resumes from it).  The rows of the micro-batches that ended."""
+    counts: Counts = {}
+    q = start(spark, cfg, available_now=False, counts=counts)
     try:
         q.awaitTermination(seconds)
     finally:
         q.stop()
+    return DrainResult.of(counts)
 
 
 def events_as_json(events: DataFrame, schema: T.StructType = EVENT_SCHEMA) -> DataFrame:

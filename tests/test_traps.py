@@ -38,9 +38,12 @@ def test_t1_latest_snapshot_pruned_and_edge_cases(spark):
     base = scratch_path(spark, "t1b")
     a = spark.createDataFrame([("1", 2024)], "id_municipio string, ano int")
     write_snapshot(a, base, "t", "2024-01-01", "x")
+    write_snapshot(a, base, "t", "2024-01-02", "x")
+    files = read_bronze(spark, base, "t").inputFiles()
+    assert files and all("/dt_ingestao=2024-01-02/" in f for f in files)
     buf = io.StringIO()
     with contextlib.redirect_stdout(buf):
-        read_bronze(spark, base, "t").explain("formatted")
+        latest_snapshot(spark.read.parquet(f"{base}/t")).explain("formatted")
     assert "PartitionFilters: [isnotnull(dt_ingestao#" in buf.getvalue()
     assert "(dt_ingestao#" in buf.getvalue() and "= Subquery subquery#" in buf.getvalue()
     empty = spark.createDataFrame([], "k string, dt_ingestao date")
@@ -268,7 +271,7 @@ def test_stream_microbatch_replay_is_idempotent(spark):
     msgs = spark.createDataFrame([('{"event_id": 1}',), ('{"event_id": 2}',), ("oops",)], "value string")
     batch = with_audit(parse(msgs.select(F.col("value").alias(RAW)), cfg.schema), cfg)
     counts = {}
-    write = _batch_writer(cfg, counts)
+    write = _batch_writer(cfg, "w", counts)
     write(batch, 7)
     write(batch, 7)          # the same micro-batch delivered again after a failure
     write(batch, 8)          # a different micro-batch adds its own rows
