@@ -111,3 +111,37 @@ SELECT d.page_id, n::BIGINT AS payload_bytes, digest AS payload_digest,
        CASE WHEN original <> d.page_id THEN original END AS refers_to, coalesce(url, '') AS target_uri
 FROM d LEFT JOIN o USING (digest)
 """
+
+ORACLE["op7_temperature_mixing"] = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^ \t-\r]+'))::BIGINT AS tokens FROM documents),
+p AS (SELECT source, sum(tokens)::BIGINT AS t FROM d GROUP BY source),
+tot AS (SELECT sum(t)::DOUBLE AS total, min(t) FILTER (t > 0) AS least, max(t) AS most FROM p),
+halved(i, lo, hi) AS (
+  SELECT 0, 0::DOUBLE, 1::DOUBLE
+  UNION ALL
+  SELECT i + 1, CASE WHEN ok THEN lo ELSE mid END, CASE WHEN ok THEN mid ELSE hi END FROM (
+    SELECT i, lo, hi, (lo + hi) / 2 AS mid,
+           (1 - (lo + hi) / 2) * (ln(most::DOUBLE) - ln(least::DOUBLE)) <= ln(2::DOUBLE) AS ok FROM halved, tot)
+  WHERE i < 30),
+w AS (SELECT source, t, hi AS a, total, most, CASE WHEN t > 0 THEN pow(t / total, hi) ELSE 0 END AS raw
+      FROM p, tot, halved WHERE i = 30),
+q AS (SELECT source, t, round(raw / n * (most / (pow(most / total, a) / n)))::BIGINT AS quota
+      FROM w, (SELECT sum(raw) AS n FROM w)),
+s AS (SELECT source, CASE WHEN t > 0 THEN quota // t ELSE 1 END AS passes, CASE WHEN t > 0 THEN quota % t ELSE 0 END AS part,
+             greatest(1, least(65536, ceil(t / 1048576)))::BIGINT AS blocks FROM q),
+x AS (SELECT d.*, passes, part, md5('stratum mixture|doc|' || doc_id) || lpad(tokens::VARCHAR, 20, '0') AS place,
+             ('0x' || substr(md5('stratum mixture|block|' || doc_id), 1, 8))::BIGINT % blocks AS block
+      FROM d JOIN s ON d.source IS NOT DISTINCT FROM s.source),
+y AS (SELECT *, md5('stratum mixture|turn|' || coalesce(source, '') || '|' || block) AS turn FROM x),
+b AS (SELECT source, turn, block, part, sum(tokens) AS size FROM y WHERE part > 0 GROUP BY ALL),
+c AS (SELECT *, sum(size) OVER (PARTITION BY source ORDER BY turn, block ROWS UNBOUNDED PRECEDING) AS upto FROM b),
+cut AS (SELECT source, turn AS at_turn, block AS at_block, part - upto + size AS room FROM c
+        WHERE upto > part QUALIFY row_number() OVER (PARTITION BY source ORDER BY turn, block) = 1),
+inside AS (SELECT y.source, place, room, sum(tokens) OVER (PARTITION BY y.source ORDER BY place) AS upto
+           FROM y JOIN cut ON y.source IS NOT DISTINCT FROM cut.source AND block = at_block),
+last AS (SELECT source, max(place) AS last FROM inside WHERE upto <= room GROUP BY source),
+z AS (SELECT y.*, passes + CASE WHEN at_block IS NOT NULL AND ((turn, block) < (at_turn, at_block) OR block = at_block AND place <= last) THEN 1 ELSE 0 END AS times
+      FROM y LEFT JOIN cut ON y.source IS NOT DISTINCT FROM cut.source LEFT JOIN last ON y.source IS NOT DISTINCT FROM last.source)
+SELECT doc_id, source, unnest(range(1, times + 1)) AS pass, block, tokens FROM z
+"""
