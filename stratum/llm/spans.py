@@ -1,9 +1,11 @@
 """Removal of passages that repeat, by sliding runs of sentences.
 
-Every run of ``RUN`` consecutive sentences is hashed, hashes are joined over
+From every sentence on, the shortest run of at least ``RUN`` consecutive
+sentences with at least ``LEAST_WORDS`` words is hashed; hashes are joined over
 the whole corpus, and sentences covered by a run that has been seen before
 (smaller id, or earlier in the text) are removed.  Passages are found wherever
-they stand, as long as they hold a run of whole sentences.
+they stand, as long as they hold such a run of whole sentences; repeated single
+lines and short phrases stay.
 """
 
 from __future__ import annotations
@@ -21,12 +23,12 @@ from stratum.llm.common import fresh, materialize, slices
 
 #: Sentences of a run, and words that it must have at least (short sentences
 #: such as headings meet by chance).
-RUN = 3
-LEAST_WORDS = 12
+RUN = 2
+LEAST_WORDS = 20
 #: Longer sentences are cut after words whose hash is divisible by ``CUT``: at
 #: the same words in every copy, whatever stands before.
-LONG = 30
-CUT = 8
+LONG = 12
+CUT = 5
 
 _BREAK = re.compile(r"(?<=[.!?])\s+|\s*\n\s*")
 _WORD = re.compile(r"\S+\s*")
@@ -40,7 +42,7 @@ def sentences(text: str) -> list[tuple[int, int]]:
     ends = [m.end() for m in _BREAK.finditer(text) if 0 < m.end() < len(text)]
     out = []
     for a, b in zip([0, *ends], [*ends, len(text)]):
-        if b - a > 4 * LONG and len(words := _WORD.findall(text, a, b)) > LONG:
+        if b - a > 2 * LONG and len(words := _WORD.findall(text, a, b)) > LONG:
             at = a + (b - a - sum(map(len, words)))  # white space before the first word
             first = a
             for w in words:
@@ -54,31 +56,29 @@ def sentences(text: str) -> list[tuple[int, int]]:
     return out
 
 
-def runs(text: str | None, run: int = RUN, least_words: int = LEAST_WORDS) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the runs of sentences, without regard to case and kinds of
-    white space, and the number of each one's first sentence."""
+def runs(text: str | None, run: int = RUN, least_words: int = LEAST_WORDS
+         ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of the runs of sentences, the hashes (without regard to case and kinds
+    of white space), and the numbers of the first and after the last sentence."""
     marks = sentences(text or "")
-    if len(marks) < run:
-        return np.zeros(0, np.int64), np.zeros(0, np.int32)
     split = [text[a:b].lower().split() for a, b in marks]
-    words = np.fromiter(map(len, split), np.int64, len(split))
+    words = np.cumsum([0, *map(len, split)])
+    first = np.arange(len(marks))
+    end = np.maximum(np.searchsorted(words, words[:-1] + least_words), first + run)
+    first, end = first[end <= len(marks)], end[end <= len(marks)]
     hashes = np.fromiter((xxhash.xxh64_intdigest(" ".join(s)) for s in split), _U, len(split))
-    n = len(marks) - run + 1
-    total = np.zeros(n, _U)
-    for k in range(run):
-        total = (total ^ (total >> _U(29))) * _MIX[k % 4] + hashes[k:k + n]
+    total = np.zeros(len(first), _U)
+    for k in range(int((end - first).max(initial=0))):
+        on = first + k < end
+        mixed = (total ^ (total >> _U(29))) * _MIX[k % 4] + hashes[np.minimum(first + k, len(marks) - 1)]
+        total = np.where(on, mixed, total)
     total = (total ^ (total >> _U(32))) * _MIX[0]
-    ends = np.r_[0, np.cumsum(words)]
-    at = np.flatnonzero(ends[run:] - ends[:n] >= least_words)
-    return total[at].view(np.int64), at.astype(np.int32)
+    return total.view(np.int64), first.astype(np.int32), end.astype(np.int32)
 
 
-def without(text: str, starts: list[int], run: int) -> tuple[str, int]:
-    """The text without the sentences of the runs that start there, and the
-    number of those sentences."""
-    marks = sentences(text)
-    gone = {k for s in starts for k in range(s, s + run)}
-    return "".join(text[a:b] for k, (a, b) in enumerate(marks) if k not in gone), len(gone)
+def without(text: str, gone: set[int]) -> str:
+    """The text without these sentences."""
+    return "".join(text[a:b] for k, (a, b) in enumerate(sentences(text)) if k not in gone)
 
 
 def remove_repeats(spark: SparkSession, docs: DataFrame, run: int = RUN, least_words: int = LEAST_WORDS,
@@ -99,33 +99,30 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, run: int = RUN, least_w
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, 2):
             found = [runs(t, run, least_words) for t in b.column(2).to_pylist()]
-            size = [len(h) for h, _ in found]
-            row = np.repeat(np.arange(b.num_rows), size)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate([h for h, _ in found])), b.column(0).take(pa.array(row)),
-                 b.column(1).take(pa.array(row)), pa.array(np.concatenate([p for _, p in found]))],
-                ["h", "doc_id", "uid", "pos"])
-
-    spans = rows.select(F.col("doc_id").cast("long"), uid, text).mapInArrow(find, "h long, doc_id long, uid long, pos int")
+            row = pa.array(np.repeat(np.arange(b.num_rows), [len(x[0]) for x in found]))
+            h, first, end = (pa.array(np.concatenate(x)) for x in zip(*found))
+            yield pa.RecordBatch.from_arrays([h, b.column(0).take(row), b.column(1).take(row), first, end],
+                                             ["h", "doc_id", "uid", "pos", "stop"])
+
+    spans = rows.select(F.col("doc_id").cast("long"), uid, text).mapInArrow(find, "h long, doc_id long, uid long, pos int, stop int")
     spans = materialize(spark, spans, "spans-runs")
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "uid", "pos")
     twice = spans.groupBy("h").agg(F.count("*").alias("times"), F.min(order).alias("first")).where("times > 1").select(
         "h", F.col("first.uid").alias("u"), F.col("first.pos").alias("p"))
     twice = materialize(spark, twice, "spans-twice")
     again = spans.join(twice, "h").where("uid <> u OR pos <> p").groupBy("uid").agg(
-        F.collect_set("pos").alias(starts)).withColumnRenamed("uid", uid)
-    joined = rows.join(again, uid, "left").select(*docs.columns, F.coalesce(starts, F.expr("cast(array() AS array<int>)")).alias(starts))
+        F.collect_list(F.struct("pos", "stop")).alias(starts)).withColumnRenamed("uid", uid)
+    joined = rows.join(again, uid, "left").select(*docs.columns, starts)
     at = joined.columns.index(text)
     schema = docs.select("*", F.lit(0).cast("long").alias(n)).schema
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, at):
-            new = [(t, 0) if not s else without(t, s, run)
-                   for t, s in zip(b.column(at).to_pylist(), b.column(b.num_columns - 1).to_pylist())]
+            gone = [{k for r in x or () for k in range(r["pos"], r["stop"])} for x in b.column(b.num_columns - 1).to_pylist()]
+            new = [without(t, g) if g else t for t, g in zip(b.column(at).to_pylist(), gone)]
             columns = list(b.columns[:-1])
-            columns[at] = pa.array([t for t, _ in new], b.schema.field(at).type)
-            yield pa.RecordBatch.from_arrays([*columns, pa.array([k for _, k in new], pa.int64())],
-                                             [*b.schema.names[:-1], n])
+            columns[at] = pa.array(new, b.schema.field(at).type)
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(list(map(len, gone)), pa.int64())], [*b.schema.names[:-1], n])
 
     out = joined.mapInArrow(cut, schema)
     return out if count else out.drop(n)

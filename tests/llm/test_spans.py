@@ -18,12 +18,15 @@ def slow(rows, run=spans.RUN, least=spans.LEAST_WORDS):
         marks = spans.sentences(text or "")
         parts = [" ".join(text[a:b].lower().split()) for a, b in marks]
         gone = set()
-        for k in range(len(parts) - run + 1):
-            key = tuple(parts[k:k + run])
-            if sum(len(p.split()) for p in key) < least:
+        for k in range(len(parts)):
+            end = k + run
+            while end < len(parts) and sum(len(p.split()) for p in parts[k:end]) < least:
+                end += 1
+            key = tuple(parts[k:end])
+            if end > len(parts) or sum(len(p.split()) for p in key) < least:
                 continue
             if key in first:
-                gone.update(range(k, k + run))
+                gone.update(range(k, end))
             first.add(key)
         out[i] = (text if not gone else "".join(text[a:b] for k, (a, b) in enumerate(marks) if k not in gone), len(gone))
     return out
@@ -69,7 +72,8 @@ def test_passages_with_and_without_full_stops(spark):
 
 
 def test_edges(spark):
-    text = "One two three four five. Six seven eight nine ten. Eleven twelve thirteen fourteen.\nTail here"
+    text = ("One two three four five six seven. Eight nine ten eleven twelve thirteen fourteen. "
+            "Fifteen sixteen seventeen eighteen nineteen twenty.\nTail here")
     rows = [(1, None), (2, ""), (3, "A. B. C. D."), (4, "A. B. C. D."), (5, text), (5, text), (6, text.upper() + " x"),
             (None, text), (7, "word " * 40000), (8, "no repeat. at all. in this. document.")]
     df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 AS uid", "2 AS h", "3 AS starts", "4 AS pos")
