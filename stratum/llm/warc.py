@@ -33,6 +33,8 @@ LEAST_REVISIT = 1000
 BLOCK_LINES = 512
 #: Neighbouring records are fetched by one read up to this size.
 FETCH_BYTES = 8 << 20
+#: Archive bytes that a task reads back.
+TASK_BYTES = 64 << 20
 
 # WARC 1.1 names.
 VERSION = b"WARC/1.1"
@@ -280,8 +282,10 @@ def read_records(places: DataFrame, payloads: bool = False) -> DataFrame:
     digests checked.  Places are sorted by archive and offset, and
     neighbouring ones fetched by one read.  ``payload`` is null unless
     ``payloads``, and always for revisits."""
-    ordered = places.select("file", "offset", "length").repartitionByRange(F.col("file"), F.col("offset"))
-    ordered = ordered.sortWithinPartitions("file", "offset")
+    total = places.agg(F.sum("length")).first()[0] or 0  # by archive bytes: the rows themselves are tiny
+    ordered = (places.select("file", "offset", "length")
+               .repartitionByRange(max(1, -(-total // TASK_BYTES)), F.col("file"), F.col("offset"))
+               .sortWithinPartitions("file", "offset"))
 
     def rows(frames):
         run: list[tuple[str, int, int]] = []
