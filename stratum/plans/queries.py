@@ -47,21 +47,22 @@ def silver(spark: SparkSession, sf_dir: str, processed_at: bool = False, registe
                         tb.goals_wide(spark, sf_dir), S, processed_at=processed_at)
 
 
-def silver_once(spark: SparkSession, sf_dir: str, columns: list[str], registered_only: bool = False) -> DataFrame:
-    """The Silver columns a report needs, computed once and written as a
-    Parquet table in the shared folder (``spark.checkpoint.dir``).
-
-    Report queries read Silver more than once (the latest-period scalar
-    subquery plus the main pass); without this each pass would re-run the
-    aggregation over the full microdata.  The table cuts the lineage like a
-    checkpoint (it survives executor loss) but is columnar and compressed,
-    holds only aggregated rows and only the listed columns, and the plan
-    that produces it is pruned to them.
+_stored: dict[tuple, str] = {}
+
+
+def stored_silver(spark: SparkSession, sf_dir: str, registered_only: bool = False) -> DataFrame:
+    """Silver written once in this session, partitioned by (period, region),
+    and read back: what reports and checks read in a deployment.
+
+    A report reads Silver more than once (the latest period, then the rows);
+    without this every pass of every report would aggregate the whole
+    microdata again.  The latest period is a partition filter here.
     """
-    df = silver(spark, sf_dir, registered_only=registered_only).select(*columns)
-    path = scratch_path(spark, "silver-once")
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    key = (spark.sparkContext.applicationId, sf_dir, registered_only)
+    if key not in _stored:
+        _stored[key] = write_silver(silver(spark, sf_dir, registered_only=registered_only),
+                                    scratch_path(spark, "silver-stored"))
+    return read_silver(spark, _stored[key], processed_at=False)
 
 
 @register
@@ -299,8 +300,7 @@ def dq_range(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _silver_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # two jobs (fused aggregate, orphan keys) read Silver: compute it once
-    checked = silver_once(spark, sf_dir, [S.entity, S.period, *S.metrics], registered_only=True)
+    checked = stored_silver(spark, sf_dir, registered_only=True)
     return dq.table_checks(
         checked, tb.dimension(spark, sf_dir), keys=S.keys_of("silver"),
         missing_cols=list(S.metrics), range_col=S.rate, orphan_keys_cols=S.keys_of("municipio"),
@@ -315,23 +315,18 @@ def dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------------- reporting
 
-EVOLUTION_COLS = [S.entity, S.region, S.region_name, S.period, S.rate, S.score]
-GOAL_COLS = [S.entity, S.entity_name, S.region, S.period, S.rate, S.goal]
-
-
-def _evolution(spark, sf_dir, once=False):
-    base = silver_once(spark, sf_dir, EVOLUTION_COLS) if once else silver(spark, sf_dir)
-    return marts.region_evolution(base, ordered=False)
+def _evolution(spark, sf_dir):
+    return marts.region_evolution(stored_silver(spark, sf_dir), ordered=False)
 
 
 @register
 def kpi_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rp.coverage(marts.indicator_by_entity(silver(spark, sf_dir), ordered=False))
+    return rp.coverage(marts.indicator_by_entity(stored_silver(spark, sf_dir), ordered=False))
 
 
 @register
 def kpi_national_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rp.national_means(silver_once(spark, sf_dir, [S.period, S.rate, S.score]))
+    return rp.national_means(stored_silver(spark, sf_dir))
 
 
 @register
@@ -348,17 +343,17 @@ def kpi_mean_many_decimals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def kpi_hit_share(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rp.hit_share(marts.goal_vs_result(silver_once(spark, sf_dir, GOAL_COLS)))
+    return rp.hit_share(marts.goal_vs_result(stored_silver(spark, sf_dir)))
 
 
 @register
 def kpi_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rp.kpi_summary(silver_once(spark, sf_dir, [S.entity, S.period, S.rate, S.score, S.goal]))
+    return rp.kpi_summary(stored_silver(spark, sf_dir))
 
 
 @register
 def kpi_region_vs_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rp.region_vs_mean(_evolution(spark, sf_dir, once=True))
+    return rp.region_vs_mean(_evolution(spark, sf_dir))
 
 
 @register
@@ -368,13 +363,13 @@ def kpi_national_evolution(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def kpi_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rp.histogram(spark, silver_once(spark, sf_dir, [S.period, S.rate]), S.rate, S.period,
+    return rp.histogram(spark, stored_silver(spark, sf_dir), S.rate, S.period,
                         bins=24)
 
 
 @register
 def kpi_worst_gap_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rp.worst_gap_topk(marts.goal_vs_result(silver_once(spark, sf_dir, GOAL_COLS)), k=10)
+    return rp.worst_gap_topk(marts.goal_vs_result(stored_silver(spark, sf_dir)), k=10)
 
 
 # ---------------------------------------------------------------- streaming
