@@ -1,6 +1,6 @@
 """Exact top-k inner products by ball-tree branch and bound, shard by shard.
 
-Vectors are dealt to shards by a hash of their id.  Each shard is a ball tree
+Vectors are dealt to shards evenly.  Each shard is a ball tree
 in a file of the shared folder: leaves of neighbouring vectors, and for every
 node a centre and radius, which bound the inner product with a query q by
 ``q . centre + |q| * radius``.  A task takes a block of queries through all
@@ -76,8 +76,9 @@ def build(x: np.ndarray, leaf: int = LEAF) -> tuple[np.ndarray, dict[str, np.nda
 
 
 def write_shards(spark: SparkSession, vectors: DataFrame, label: str, make, size: int = SHARD) -> list[tuple[str, int]]:
-    """Deal (id, vector) to files of about ``size`` vectors; ``make(ids,
-    vectors)`` gives a shard's arrays.  (file, vectors) of each."""
+    """Deal (id, vector) rows to files of about ``size`` vectors; ``make(ids,
+    vectors)`` gives a shard's arrays.  (file, vectors) of each.  Rows are
+    dealt one by one, so a frequent id or vector fills no shard."""
     base = scratch_path(spark, label)
     shards = max(1, -(-vectors.count() // size))
 
@@ -87,7 +88,8 @@ def write_shards(spark: SparkSession, vectors: DataFrame, label: str, make, size
         save_arrays(path, make(ids, [np.array(v, np.float64) for v in values]))
         return pa.table({"path": [path], "n": [len(ids)]})
 
-    dealt = vectors.withColumn("shard", F.pmod(F.xxhash64("id"), F.lit(shards)))
+    dealt = vectors.withColumn("shard", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(shards)))
+    dealt = materialize(spark, dealt, f"{label}-rows")  # a task that runs again deals the same
     files = dealt.groupBy("shard").applyInArrow(write, "path string, n long")
     return [(r.path, r.n) for r in files.collect()]  # a name for each shard
 
@@ -265,7 +267,7 @@ def exact_top_k(spark: SparkSession, vectors: DataFrame, queries: DataFrame, k:
 def spread(queries: DataFrame, block: int) -> DataFrame:
     """Queries dealt evenly, about a block for each partition."""
     n = max(1, -(-queries.count() // block))
-    return queries.repartition(n, F.xxhash64("id"))
+    return queries.repartition(n)
 
 
 def blocks_of(frames: Iterator[pd.DataFrame], block: int) -> Iterator[pd.DataFrame]:

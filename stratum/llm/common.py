@@ -24,11 +24,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def fold(doc_id: Column | str, mod: int) -> Column:
+def fold(doc_id: str, mod: int) -> Column:
     """``crc32`` of the id's decimal text modulo ``mod``; a null id counts as
     the empty text (crc32 0, fold 0)."""
-    text = F.coalesce(F.col(doc_id) if isinstance(doc_id, str) else doc_id, F.lit(None).cast("long"))
-    return F.pmod(F.crc32(F.coalesce(text.cast("string"), F.lit("")).cast("binary")), F.lit(mod))
+    text = F.coalesce(F.col(doc_id).cast("string"), F.lit(""))
+    return F.pmod(F.crc32(text.cast("binary")), F.lit(mod))
 
 
 def materialize(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
@@ -139,7 +139,7 @@ def load_arrays(path: str) -> dict[str, np.ndarray]:
     return out
 
 
-# --- keys and counts as compact blocks ------------------------------------
+# --- links ---------------------------------------------------------------
 
 def spanning(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Links (node, smallest node reachable) that connect what the pairs

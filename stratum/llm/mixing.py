@@ -44,26 +44,25 @@ def n_tokens(text: Column | str) -> Column:
 def _bisect(sources: DataFrame, total: float, entropy: float | None, max_repeat: float, least: float,
             most: float) -> float:
     """The exponent, from below by ``HALVINGS`` halvings."""
-    if entropy is None:
-        def enough(values, a):  # repetition of the rarest against the commonest source
+    def enough(a: float, sums: tuple[float, float] | None) -> bool:
+        if entropy is None:  # repetition of the rarest source against the commonest
             return (1 - a) * (math.log(most) - math.log(least)) <= math.log(max(max_repeat, 1.0))
-    else:
-        def enough(values, a):  # entropy falls as the exponent grows
-            s, t = values
-            return math.log(s) - a * t / s <= entropy
+        s, t = sums  # of p ** a, and of p ** a * log(p); entropy falls as the exponent grows
+        return math.log(s) - a * t / s <= entropy
+
     low, high = 0.0, 1.0
     for _ in range(HALVINGS // PER_PASS):
         grid = [low + (high - low) * k / 2**PER_PASS for k in range(1, 2**PER_PASS)]
-        values: list = [None] * len(grid)
+        sums: list = [None] * len(grid)
         if entropy is not None:
             p = F.col("tokens") / F.lit(total)
             row = sources.where("tokens > 0").agg(*[x for a in grid for x in (
                 F.sum(F.pow(p, F.lit(a))), F.sum(F.pow(p, F.lit(a)) * F.log(p)))]).first()
-            values = list(zip(row[::2], row[1::2]))
+            sums = list(zip(row[::2], row[1::2]))
         at, step = 0, 2**PER_PASS
         while step > 1:  # grid point k stands for low + k/64 of the interval
             step //= 2
-            if not enough(values[at + step - 1], grid[at + step - 1]):
+            if not enough(grid[at + step - 1], sums[at + step - 1]):
                 at += step
         width = (high - low) / 2**PER_PASS
         low, high = low + at * width, low + (at + 1) * width
