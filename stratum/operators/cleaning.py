@@ -7,6 +7,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from stratum.functions import normalized_region, to_double_or_null
 
@@ -42,7 +43,9 @@ def normalize_keys(df: DataFrame, *, entity: str | None = None, region: str | No
         cols[region] = normalized_region(region)
     if period and period in df.columns:
         value = F.col(period)
-        cols[period] = F.coalesce(value.try_cast("int"), value.try_cast("decimal(38,18)").try_cast("int"))
+        cols[period] = value.try_cast("int")
+        if isinstance(df.schema[period].dataType, StringType):  # else the partitioning by the period stays known
+            cols[period] = F.coalesce(cols[period], value.try_cast("decimal(38,18)").try_cast("int"))
     return df.withColumns(cols) if cols else df
 
 
