@@ -8,9 +8,10 @@ return the columns of ``documents``.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from stratum.llm import mixing, packing, pii, simhash, toxicity
-from stratum.llm.common import table
+from stratum.llm.common import fresh, table
 from stratum.session import scratch_path
 
 
@@ -26,8 +27,11 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, personal data replaced by surrogates."""
-    return pii.replace(spark, docs)
+    """All documents, personal data replaced by surrogates, ``n_chars`` with it."""
+    n = fresh(docs, "replaced")
+    out = pii.replace(spark, docs, count=n)
+    chars = F.when(F.col(n) > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
+    return out.withColumn("n_chars", chars).select(*docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

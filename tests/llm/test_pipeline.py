@@ -49,6 +49,7 @@ def test_stages_against_brute_force(spark, tmp_path):
     for r in kept:
         assert word.split(r.text) == word.split(new[r.doc_id].text)
         assert not set(word.findall(r.text)) & set(word.findall(new[r.doc_id].text))
+        assert new[r.doc_id].n_chars == len(new[r.doc_id].text)
     # mixing: every document, as often as its source's passes say
     used = collections.Counter(r.doc_id for r in out["mixing"])
     assert used.keys() == new.keys() and all(new[r.doc_id] == r for r in out["mixing"])
