@@ -15,7 +15,6 @@ from __future__ import annotations
 
 import pickle
 import re
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -150,16 +149,18 @@ def marginals(emit: np.ndarray, lengths: np.ndarray, start: np.ndarray, moves: n
     return (out, expected, out[token_first[lengths > 0]]) if pairs else out
 
 
-def _toxic_features(docs: list[list[bytes]], labels: np.ndarray, least: int = 3, share: float = 0.015) -> set[bytes]:
-    """Words and prefixes that are found in at least ``least`` different toxic
-    documents and ``share`` of them and, as a smoothed share, 20 times as often
-    in toxic as in clean ones."""
-    seen = (Counter(), Counter())
-    for d, y in {(tuple(d), int(y)) for d, y in zip(docs, labels)}:
-        seen[y].update({f for w in set(d) for f in features(w)})
+def _toxic_features(docs: list[np.ndarray], labels: np.ndarray, of_word: np.ndarray, size: int, least: int = 3,
+                    share: float = 0.015) -> np.ndarray:
+    """Which of the ``size`` features (words and prefixes; ``of_word``: those of
+    each word) are found in at least ``least`` different toxic documents and
+    ``share`` of them and, as a smoothed share, 20 times as often in toxic as in
+    clean ones."""
+    seen = np.zeros((2, size))
+    for words, y in {(d.tobytes(), int(y)) for d, y in zip(docs, labels)}:
+        found = np.unique(of_word[np.unique(np.frombuffer(words, np.int32))])
+        seen[y, found] += 1
     n0, n1 = max(1, int((labels == 0).sum())), max(1, int((labels == 1).sum()))
-    return {f for f, k in seen[1].items()
-            if k >= max(least, share * n1) and k / n1 > 20 * (seen[0][f] + 0.5) / n0}
+    return (seen[1] >= max(least, share * n1)) & (seen[1] / n1 > 20 * (seen[0] + 0.5) / n0)
 
 
 def _link_inputs(post: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -195,26 +196,23 @@ def fit(texts: list[str | None], labels: list[int], prior: float | None = None,
     share = (y.sum() + 0.5) / (len(y) + 1) if prior is None else prior
     if not len(y) or y.min() == y.max():
         return Model(prior=float(share))
-    docs = [words_of(t) for t in texts]
-    toxic = _toxic_features(docs, y)
+    vocab: dict[bytes, int] = {}
+    docs = [np.array([vocab.setdefault(w, len(vocab)) for w in words_of(t)], np.int32) for t in texts]
     lengths = np.array([len(d) for d in docs])
-    tokens = [w for d in docs for w in d]
-    vocab = {w: i for i, w in enumerate(dict.fromkeys(tokens))}
-    token_word = np.fromiter((vocab[w] for w in tokens), np.int64, len(tokens))
-    counts = Counter()
-    for w, k in Counter(tokens).items():
-        counts.update({f: k for f in features(w)})
-    index = {f: i for i, f in enumerate(f for f, k in counts.items() if k >= 3)}
-    of_word = np.full((len(vocab), 4), len(index))
-    hit = np.zeros(len(vocab), bool)
-    for w, i in vocab.items():
-        fs = features(w)
-        of_word[i] = [index.get(f, len(index)) for f in fs]
-        hit[i] = any(f in toxic for f in fs)
+    token_word = np.concatenate(docs)
+    names: dict[bytes, int] = {}
+    of_word = np.array([names.setdefault(f, len(names)) for w in vocab for f in features(w)],
+                       np.int64).reshape(-1, 4)
+    hit = _toxic_features(docs, y, of_word, len(names))[of_word].any(axis=1)
+    counts = np.bincount(of_word.ravel(), np.repeat(np.bincount(token_word, minlength=len(vocab)), 4))
+    kept = counts >= 3  # rarer features share one place, without a weight
+    index = {f: i for f, i in zip((f for f, k in names.items() if kept[k]), range(len(names)))}
+    of_word = np.where(kept, np.cumsum(kept) - 1, len(index))[of_word]
+    del names, docs
     target = hit[token_word] & np.repeat(y == 1, lengths)
-    same_doc = np.ones(len(tokens), bool)
+    same_doc = np.ones(len(token_word), bool)
     same_doc[(np.cumsum(lengths) - lengths)[lengths > 0]] = False
-    t = target.astype(int)
+    t = target.astype(np.int8)
     seen = np.zeros((2, 2))
     np.add.at(seen, (t[:-1][same_doc[1:]], t[1:][same_doc[1:]]), 1)
     firsts = target[~same_doc]
@@ -247,8 +245,8 @@ def fit(texts: list[str | None], labels: list[int], prior: float | None = None,
         grad = x.T @ (rate * (y - mu)) - 0.05 * link
         curve = (x * (rate * mu * (1 - mu))[:, None]).T @ x + 0.05 * np.eye(3)
         link = link + np.clip(np.linalg.solve(curve, grad), -2, 2)
-    kept = {f: float(weights[i]) for f, i in index.items() if abs(weights[i]) > 1e-3}
-    return Model(kept, start, moves, link, float(share))
+    large = {f: float(weights[i]) for f, i in index.items() if abs(weights[i]) > 1e-3}
+    return Model(large, start, moves, link, float(share))
 
 
 def score_texts(model: Model, texts: list[str | None], cache: dict[bytes, float] | None = None,
