@@ -29,7 +29,7 @@ END_ID = 1
 TOKENIZER = "byte_bpe_50k.json"
 
 #: Chunks a worker process remembers.
-_CACHED = 800_000
+_CACHED = 400_000
 
 
 class Encoder:
