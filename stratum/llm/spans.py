@@ -27,8 +27,11 @@ RUN = 2
 LEAST_WORDS = 20
 #: Longer sentences are cut after words whose hash is divisible by ``CUT``: at
 #: the same words in every copy, whatever stands before.
-LONG = 12
-CUT = 5
+LONG = 20
+CUT = 7
+#: Runs that a task sorts at a time; bytes of text for each shard of hashes.
+CHUNK = 400_000
+SHARD_BYTES = 32_000_000
 
 _BREAK = re.compile(r"(?<=[.!?])\s+|\s*\n\s*")
 _WORD = re.compile(r"\S+\s*")
@@ -81,6 +84,98 @@ def without(text: str, gone: set[int]) -> str:
     return "".join(text[a:b] for k, (a, b) in enumerate(sentences(text)) if k not in gone)
 
 
+_FIELDS = (("h", np.uint64), ("none", np.uint8), ("doc_id", np.int64), ("uid", np.int64), ("pos", np.int32),
+           ("stop", np.int32))
+
+
+def _first_and_again(runs_: dict[str, np.ndarray]) -> tuple[dict[str, np.ndarray], np.ndarray]:
+    """The runs in the order of their hashes and, of equal ones, of the corpus;
+    and which of them are not the first of their hash."""
+    order = np.lexsort([runs_[n] for n in ("pos", "uid", "doc_id", "none", "h")])
+    in_order = {n: v[order] for n, v in runs_.items()}
+    return in_order, np.r_[False, in_order["h"][1:] == in_order["h"][:-1]]
+
+
+def _block(runs_: dict[str, np.ndarray]) -> bytes:
+    """Runs in the order of their hashes, as bytes: hash differences and the
+    other numbers, byte by byte, compressed."""
+    columns = [np.diff(runs_["h"], prepend=_U(0)), *(runs_[n] for n, _ in _FIELDS[1:])]
+    raw = b"".join(np.ascontiguousarray(c).view(np.uint8).reshape(len(c), -1).T.tobytes() for c in columns)
+    return len(columns[0]).to_bytes(4, "little") + pa.compress(raw, codec="zstd", asbytes=True)
+
+
+def _unblock(data: bytes) -> dict[str, np.ndarray]:
+    n, at, out = int.from_bytes(data[:4], "little"), 0, {}
+    raw = np.frombuffer(pa.decompress(data[4:], n * sum(np.dtype(t).itemsize for _, t in _FIELDS), codec="zstd",
+                                      asbytes=True), np.uint8)
+    for name, kind in _FIELDS:
+        size = np.dtype(kind).itemsize
+        out[name] = np.ascontiguousarray(raw[at:at + n * size].reshape(size, n).T).view(kind).ravel()
+        at += n * size
+    out["h"] = np.cumsum(out["h"], dtype=np.uint64)
+    return out
+
+
+_AGAIN = "uid long, pos int, stop int"
+
+
+def _places(runs_: dict[str, np.ndarray], which: np.ndarray) -> list[pa.Array]:
+    return [pa.array(runs_[n][which]) for n in ("uid", "pos", "stop")]
+
+
+def repeated(spark: SparkSession, rows: DataFrame, run: int = RUN, least_words: int = LEAST_WORDS) -> DataFrame:
+    """(uid, pos, stop): the runs of ``rows`` (doc_id, uid, text) that are not
+    the first of their hash.
+
+    A task sorts its runs, some hundred thousand at a time.  Of equal ones all
+    but the first are known to repeat then and there; only the first goes on,
+    in compressed blocks by ranges of hashes, so a passage in a third of all
+    documents costs a range one entry for each of these chunks.
+    """
+    size = rows.agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)))).first()[0] or 0
+    shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // SHARD_BYTES))
+
+    def split(found: list[dict[str, np.ndarray]]) -> pa.RecordBatch:
+        runs_, again = _first_and_again({n: np.concatenate([f[n] for f in found]) for n, _ in _FIELDS})
+        first = {n: v[~again] for n, v in runs_.items()}
+        shard = ((first["h"] >> _U(32)) * _U(shards) >> _U(32)).astype(np.int32)
+        cuts = np.flatnonzero(np.r_[True, shard[1:] != shard[:-1], True])
+        blocks = [_block({n: v[a:b] for n, v in first.items()}) for a, b in zip(cuts[:-1], cuts[1:])]
+        places, k, m = _places(runs_, again), len(blocks), int(again.sum())
+        return pa.RecordBatch.from_arrays(
+            [pa.concat_arrays([pa.array(shard[cuts[:-1]]), pa.nulls(m, pa.int32())]),
+             pa.concat_arrays([pa.array(blocks, pa.binary()), pa.nulls(m, pa.binary())]),
+             *[pa.concat_arrays([pa.nulls(k, p.type), p]) for p in places]], ["shard", "block", "uid", "pos", "stop"])
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
+        for b in slices(batches, 2):
+            for doc_id, uid, text in zip(*(c.to_pylist() for c in b.columns)):
+                h, pos, stop = runs(text, run, least_words)
+                if not len(h):
+                    continue
+                held.append({"h": h.view(np.uint64), "none": np.full(len(h), doc_id is None, np.uint8),
+                             "doc_id": np.full(len(h), doc_id or 0, np.int64), "uid": np.full(len(h), uid, np.int64),
+                             "pos": pos, "stop": stop})
+                n += len(h)
+                if n >= CHUNK:
+                    yield split(held)
+                    held, n = [], 0
+        if held:
+            yield split(held)
+
+    def merge(group: pa.Table) -> pa.Table:
+        parts = [_unblock(b) for b in group.column("block").to_pylist()]
+        runs_, again = _first_and_again({n: np.concatenate([p[n] for p in parts]) for n, _ in _FIELDS})
+        return pa.table(dict(zip(("uid", "pos", "stop"), _places(runs_, again))))
+
+    made = rows.select(F.col("doc_id").cast("long"), "uid", "text").mapInArrow(
+        find, "shard int, block binary, " + _AGAIN)
+    made = materialize(spark, made, "spans-runs")
+    over = made.where("block IS NOT NULL").select("shard", "block").groupBy("shard").applyInArrow(merge, _AGAIN)
+    return made.where("uid IS NOT NULL").select("uid", "pos", "stop").unionByName(over)
+
+
 def remove_repeats(spark: SparkSession, docs: DataFrame, run: int = RUN, least_words: int = LEAST_WORDS,
                    text: str = "text", count: str | None = None) -> DataFrame:
     """``docs`` with all columns, ``text`` without sentences of repeated runs.
@@ -88,31 +183,15 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, run: int = RUN, least_w
     The first of equal runs is that of the smallest ``doc_id`` (nulls last),
     of the first row with that id, and the earliest in its text; it stays.
     ``count``: name of an added column, the number of removed sentences.
-    Null and empty texts, and texts with fewer sentences than a run, stay as
-    they are; of repeated rows all but one lose their sentences, so a text can
-    become empty.  Frequent runs are combined before the shuffle, and joined
-    back as the side of an equi-join that AQE splits.
+    Null and empty texts, and texts without a run, stay as they are; of
+    repeated rows all but one lose their sentences, so a text can become
+    empty.
     """
-    uid, starts, n = fresh(docs, "uid"), fresh(docs, "starts"), count or fresh(docs, "removed")
+    uid, spots, n = fresh(docs, "uid"), fresh(docs, "spots"), count or fresh(docs, "removed")
     rows = materialize(spark, docs.withColumn(uid, F.monotonically_increasing_id()), "spans-docs")
-
-    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches, 2):
-            found = [runs(t, run, least_words) for t in b.column(2).to_pylist()]
-            row = pa.array(np.repeat(np.arange(b.num_rows), [len(x[0]) for x in found]))
-            h, first, end = (pa.array(np.concatenate(x)) for x in zip(*found))
-            yield pa.RecordBatch.from_arrays([h, b.column(0).take(row), b.column(1).take(row), first, end],
-                                             ["h", "doc_id", "uid", "pos", "stop"])
-
-    spans = rows.select(F.col("doc_id").cast("long"), uid, text).mapInArrow(find, "h long, doc_id long, uid long, pos int, stop int")
-    spans = materialize(spark, spans, "spans-runs")
-    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "uid", "pos")
-    twice = spans.groupBy("h").agg(F.count("*").alias("times"), F.min(order).alias("first")).where("times > 1").select(
-        "h", F.col("first.uid").alias("u"), F.col("first.pos").alias("p"))
-    twice = materialize(spark, twice, "spans-twice")
-    again = spans.join(twice, "h").where("uid <> u OR pos <> p").groupBy("uid").agg(
-        F.collect_list(F.struct("pos", "stop")).alias(starts)).withColumnRenamed("uid", uid)
-    joined = rows.join(again, uid, "left").select(*docs.columns, starts)
+    found = repeated(spark, rows.select("doc_id", F.col(uid).alias("uid"), F.col(text).alias("text")), run, least_words)
+    again = found.groupBy("uid").agg(F.collect_list(F.struct("pos", "stop")).alias(spots)).withColumnRenamed("uid", uid)
+    joined = rows.join(again, uid, "left").select(*docs.columns, spots)
     at = joined.columns.index(text)
     schema = docs.select("*", F.lit(0).cast("long").alias(n)).schema
 
