@@ -27,8 +27,8 @@ RUN = 2
 LEAST_WORDS = 20
 #: Longer sentences are cut after words whose hash is divisible by ``CUT``: at
 #: the same words in every copy, whatever stands before.
-LONG = 20
-CUT = 7
+LONG = 16
+CUT = 6
 #: Runs that a task sorts at a time; bytes of text for each shard of hashes.
 CHUNK = 400_000
 SHARD_BYTES = 32_000_000
