@@ -87,12 +87,12 @@ def op10_projected_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ORACLE["op9_ball_tree_top_k"] = """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, x -> floor(64 * x::DOUBLE)::BIGINT) AS x FROM embeddings
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS x FROM embeddings
   WHERE embedding IS NOT NULL AND vec_id IS NOT NULL AND len(embedding) > 0
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 p AS (
   SELECT q.vec_id AS query_id, c.vec_id,
-         list_sum(list_transform(list_zip(q.x, c.x), z -> z[1] * z[2]))::BIGINT AS score
+         list_sum(list_transform(list_zip(q.x, c.x), lambda z: z[1] * z[2]))::BIGINT AS score
   FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id)
 SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM p)

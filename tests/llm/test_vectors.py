@@ -2,11 +2,12 @@
 
 import math
 
+import duckdb
 import numpy as np
 import pytest
 
 from stratum.llm import balltree, projections
-from stratum.llm.queries import REGISTRY
+from stratum.llm.queries import ORACLE, REGISTRY
 
 SF = "/root/testdata/sf0.01"
 SCHEMA = "id long, vector array<double>"
@@ -53,6 +54,15 @@ def test_top_k_query(spark, embeddings):
     assert got == slow_products(embeddings, [x for x in embeddings if x[0] % 20 == 0], 20)
 
 
+def test_top_k_oracle(embeddings):
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM read_parquet('{SF}/embeddings.parquet')")
+    got = {}
+    for q, _, v, s in sorted(con.execute(ORACLE["op9_ball_tree_top_k"]).fetchall()):
+        got.setdefault(q, []).append((v, s))
+    assert got == slow_products(embeddings, [x for x in embeddings if x[0] % 20 == 0], 20)
+
+
 def test_neighbours_query(spark, embeddings):
     got = by_query(REGISTRY["op10_projected_neighbours"](spark, SF))
     want = slow_cosines(embeddings, [x for x in embeddings if x[0] % 50 == 0], 5)
