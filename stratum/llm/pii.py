@@ -5,7 +5,8 @@ surrogate: a keyed function of its kind and normal form, so that it is the same
 in all documents (coreference), of the same kind, script, letter case, length
 and punctuation, with the same gender for titled names and the same check-digit
 state for card numbers.  A surrogate that equals another entity's, or a real
-value of the corpus, is drawn again, so different entities stay different.
+value of the corpus, is drawn again, so different entities stay different; where
+a format has too few values, later draws are longer.
 
 Kinds: EMAIL, SECRET (the value after ``password=``, ``token = `` and the like),
 KEY (access keys known by their prefix, which stays), PHONE, CARD, SSN, IPV4,
@@ -22,8 +23,10 @@ from stratum.llm.common import fresh, materialize
 from stratum.session import scratch_path
 
 KEY = "stratum surrogates"
-#: Draws of a surrogate until none is equal to another.
+#: Draws of a surrogate until none is equal to another; those after ``SAME``
+#: add a letter or digit each, so that there is always a free one.
 ROUNDS = 64
+SAME = 8
 
 # Titles and given names by gender (and script).
 TITLES_M = "Mr|Herr|Monsieur|Señor|г-н"
@@ -36,13 +39,21 @@ GIVEN = {
     ("M", "greek"): "Αλέξης Γιάννης Δημήτρης Κώστας Λουκάς Μάριος Νίκος Πέτρος",
     ("F", "greek"): "Άννα Βάσω Δάφνη Ελένη Κατερίνα Μαρία Νίκη Σοφία",
 }
-#: Letters a family name's letters are replaced from: vowels, consonants.
+#: By script, the letters that replace its letters: vowels, consonants (scripts
+#: without the distinction have all in both).
 LETTERS = {"latin": ("aeiou", "bcdfghklmnprstvz"), "cyrillic": ("аеиоу", "бвгдзклмнпрст"),
-           "greek": ("αειου", "βγδζκλμνπρστ")}
+           "greek": ("αειου", "βγδζκλμνπρστ"), "armenian": ("աեէըիոօ", "բգդզթժլխկհձղմյնշչպջռսվտր"),
+           "georgian": ("აეიოუ", "ბგდვზთკლმნპრსტ"), "hebrew": ("אבגדהוזחטילמנסעפצקרשת",) * 2,
+           "arabic": ("ابتثجحخدذرزسشصضطعفقكلمنهوي",) * 2, "devanagari": ("कखगघचछजझटठडढतथदधनपफबभमयरलवशसह",) * 2,
+           "thai": ("กขคงจชซดตถทนบปผพฟมยรลวสหอ",) * 2, "hiragana": ("あいうえおかきくけこさしすせそたちつてとなにぬねの",) * 2,
+           "katakana": ("アイウエオカキクケコサシスセソタチツテトナニヌネノ",) * 2, "hangul": ("가나다라마바사아자차카타파하고노도로모보소오",) * 2,
+           "han": ("王李张刘陈杨赵黄周吴徐孙胡朱高林何郭马罗",) * 2}
+HEARD = {"latin": "[aeiouyà-æè-ïò-öø-ýāăąēĕėęěĩīĭįıōŏőœũūŭůűų]", "cyrillic": "[аеёиоуыэюя]",
+         "greek": "[αειουηωάέίόύήώ]", "armenian": "[աեէըիոօ]", "georgian": "[აეიოუ]"}
 
 _NAME = r"\p{Lu}[\p{L}'’-]{1,30}"
 SECRET = (r"(?i:(?<![a-z0-9])(?:password|passwd|pwd|token|secret|api[_-]?key|access[_-]?key))"
-          r"\s{0,3}[=:]\s{0,3}[\"']?[A-Za-z0-9+/_-]{8,200}[\"']?")
+          r"\s{0,3}[=:]\s{0,3}[\"']?(?=[+/_-]*[A-Za-z0-9])[A-Za-z0-9+/_-]{8,200}[\"']?")
 KEYS = (r"(?<![A-Za-z0-9])(?:(?:AKIA|ASIA)[A-Z0-9]{16}|gh[opsru]_[A-Za-z0-9]{20,80}|sk-[A-Za-z0-9_-]{20,80})"
         r"(?![A-Za-z0-9])")
 EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){1,8}"
@@ -97,13 +108,15 @@ def _from(letters: str, number: str) -> str:
     return f"substr({_lit(letters)}, {number} % {len(letters)} + 1, 1)"
 
 
-def _classes(text: str, seed: str) -> str:
-    """SQL: every ASCII letter or digit replaced by one of its class."""
+def _classes(text: str, seed: str, more: str = "") -> str:
+    """SQL: every ASCII letter or digit replaced by one of its class, others as
+    by the cases ``more``."""
     n = _number(seed, "i")
     return f"""array_join(transform(split({text}, ''), (c, i) -> CASE
         WHEN c BETWEEN '0' AND '9' THEN {_from("0123456789", n)}
         WHEN c BETWEEN 'a' AND 'z' THEN {_from("abcdefghijklmnopqrstuvwxyz", n)}
-        WHEN c BETWEEN 'A' AND 'Z' THEN {_from("ABCDEFGHIJKLMNOPQRSTUVWXYZ", n)} ELSE c END), '')"""
+        WHEN c BETWEEN 'A' AND 'Z' THEN {_from("ABCDEFGHIJKLMNOPQRSTUVWXYZ", n)}
+        {more} ELSE c END), '')"""
 
 
 def _luhn(digits: str) -> str:
@@ -112,62 +125,83 @@ def _luhn(digits: str) -> str:
         CASE WHEN i % 2 = 0 THEN cast(c AS int) ELSE cast(c AS int) * 2 - if(c > '4', 9, 0) END), 0, (a, x) -> a + x) % 10"""
 
 
-def _family(text: str, seed: str) -> str:
-    """SQL: a family name's letters replaced, vowels by vowels, in its script
-    and letter case."""
-    n = _number(seed, "i")
+def _letters(n: str) -> str:
+    """SQL: the cases that replace a letter or digit ``c``, vowels by vowels,
+    in its script and letter case; a script without letters here gets Latin
+    ones."""
     cases = []
     for script, (vowels, consonants) in LETTERS.items():
-        test = {"latin": "[a-zà-ÿ]", "cyrillic": r"\p{IsCyrillic}", "greek": r"\p{IsGreek}"}[script]
-        heard = {"latin": "[aeiouyà-æè-ïò-öù-ý]", "cyrillic": "[аеёиоуыэюя]", "greek": "[αειουηωάέίόύήώ]"}[script]
-        for more, letters in ((f" AND lower(c) RLIKE {_lit(heard)}", vowels), ("", consonants)):
-            new = _from(letters, n)
-            cases.append(f"WHEN lower(c) RLIKE {_lit(test)}{more} THEN if(c = lower(c), {new}, upper({new}))")
-    return f"array_join(transform(split({text}, ''), (c, i) -> CASE {' '.join(cases)} ELSE c END), '')"
+        letters = _lit(consonants)
+        if script in HEARD:
+            letters = f"if(lower(c) RLIKE {_lit(HEARD[script])}, {_lit(vowels)}, {letters})"
+        cases.append(f"WHEN c RLIKE {_lit(rf'\p{{Is{script.capitalize()}}}')} THEN {letters}")
+    alphabet = f"CASE {' '.join(cases)} ELSE {_lit(''.join(LETTERS['latin']))} END"
+    new = f"substr({alphabet}, {n} % length({alphabet}) + 1, 1)"
+    return (f"WHEN c RLIKE {_lit(r'\p{L}')} THEN if(c = lower(c), {new}, upper({new})) "
+            f"WHEN c RLIKE {_lit(r'\p{Nd}')} THEN {_from('0123456789', n)}")
+
+
+def _family(text: str, seed: str) -> str:
+    """SQL: a name's letters replaced."""
+    return f"array_join(transform(split({text}, ''), (c, i) -> CASE {_letters(_number(seed, 'i'))} ELSE c END), '')"
 
 
 def _given(gender: str) -> str:
-    """SQL: for name ``g``, a given name of the same script and case."""
+    """SQL: for name ``g``, a given name of the same script and case; in scripts
+    without given names here, its letters replaced."""
     cases = []
-    for script, test in (("cyrillic", r"\p{IsCyrillic}"), ("greek", r"\p{IsGreek}"), ("latin", "")):
+    for script, test in (("cyrillic", r"\p{IsCyrillic}"), ("greek", r"\p{IsGreek}"), ("latin", r"\p{IsLatin}")):
         names = GIVEN[gender, script].split()
         pick = f"element_at(array({', '.join(map(_lit, names))}), {_number('seed0', 'g')} % {len(names)} + 1)"
         cases.append(f"WHEN g RLIKE {_lit(test)} THEN {pick}")
-    pick = f"CASE {' '.join(cases)} END"
+    pick = f"CASE {' '.join(cases)} ELSE {_family('g', 'concat(seed0, g)')} END"
     return f"if(g = upper(g), upper({pick}), {pick})"
 
 
+#: SQL: the host of an e-mail address, without its last label.
+HOST = "regexp_replace(substring_index(norm, '@', -1), '[.][^.]*$', '')"
+
+
 def _surrogate(round_no: int, key: str) -> Column:
     """The surrogate of (kind, norm) in this draw.  ``seed0`` (the key and kind
     alone) serves parts that stay the same in all entities that have them."""
     seed0 = f"concat({_lit(key)}, '|', kind)"
-    seed = f"concat({seed0}, '|', norm, '|', '{round_no}')"
-    again = "''" if round_no == 0 else f"concat('|', norm, '|', '{round_no}')"  # else one family, one surrogate
+    seed = f"concat({seed0}, '|', digest, '|', '{round_no}')"
+    again = "''" if round_no == 0 else f"concat('|', digest, '|', '{round_no}')"  # else one family, one surrogate
+    more = max(0, round_no + 1 - SAME)
+
+    def longer(text: str, by: str) -> str:
+        return f"concat({text}, repeat({by}, {more}))" if more else text
+
     family = "element_at(split(norm, ' '), -1)"
     person = "concat_ws(' ', transform(slice(split(norm, ' '), 1, size(split(norm, ' ')) - 1), g -> {0}), {1})"
-    last = f"concat({_lit(key)}, '|family|', lower({family}), {again})"
-    names = {g: person.format(_given(g).replace("seed0", seed0), _family(family, last)) for g in "MF"}
-    hexa = "array_join(transform(split(norm, ''), (c, i) -> {0}), '')".format(
-        _from("0123456789abcdef", _number(seed, "i")))
+    last = f"concat({_lit(key)}, '|family|', part, {again})"
+    initial = f"if({family} = upper({family}), left({family}, 1), lower(left({family}, 1)))"
+    names = {g: person.format(_given(g).replace("seed0", seed0), _family(longer(family, initial), last)) for g in "MF"}
+    secret = longer("norm", "'a'")
+    hexa = "array_join(transform(split({1}, ''), (c, i) -> {0}), '')".format(
+        _from("0123456789abcdef", _number(seed, "i")), secret)
     top = "regexp_extract(norm, '([.][^.@]*)$', 1)"
-    host = "regexp_replace(substring_index(norm, '@', -1), '[.][^.]*$', '')"
-    email = (f"concat({_classes(chr(39).join(['substring_index(norm, ', '@', ', 1)']), seed)}, '@', "
-             f"{_classes(host, f'concat({seed0}, {chr(39)}|{chr(39)}, {host})')}, {top})")
-    body = f"concat(substr(norm, 1, 1), {_classes('substr(norm, 2, length(norm) - 2)', seed)})"
+    email = (f"concat({_classes(longer(chr(39).join(['substring_index(norm, ', '@', ', 1)']), chr(39) + 'a' + chr(39)), seed)}, '@', "
+             f"{_classes(HOST, f'concat({seed0}, {chr(39)}|{chr(39)}, part)')}, {top})")
+    middle = longer("substr(norm, 2, length(norm) - 2)", "'0'")
+    body = f"concat(substr(norm, 1, 1), {_classes(middle, seed)})"
     # the last digit restores the Luhn sum of the original
     card = f"concat({body}, cast(pmod({_luhn('norm')} - {_luhn(f'concat({body}, {chr(39)}0{chr(39)})')}, 10) AS string))"
-    ip = f"concat_ws('.', transform(split(norm, '[.]'), (o, i) -> cast({_number(seed, 'i')} % 254 + 1 AS string)))"
+    ip = (f"concat_ws('.', transform(split({longer('norm', chr(39) + '.0' + chr(39))}, '[.]'), "
+          f"(o, i) -> cast({_number(seed, 'i')} % 254 + 1 AS string)))")
+    digits = longer("norm", "'0'")
     return F.expr(f"""CASE kind
         WHEN 'EMAIL' THEN {email}
-        WHEN 'SECRET' THEN if(norm RLIKE '^[0-9a-f]+$', {hexa}, {_classes("norm", seed)})
+        WHEN 'SECRET' THEN if(norm RLIKE '^[0-9a-f]+$', {hexa}, {_classes(secret, seed)})
         WHEN 'CARD' THEN {card}
         WHEN 'IPV4' THEN {ip}
-        WHEN 'PHONE' THEN concat(substr(norm, 1, 1), {_classes("substr(norm, 2)", seed)})
-        WHEN 'KEY' THEN concat(substr(norm, 1, 4), {_classes("substr(norm, 5)", seed)})
-        WHEN 'IBAN' THEN concat(substr(norm, 1, 2), {_classes("substr(norm, 3)", seed)})
+        WHEN 'PHONE' THEN concat(substr(norm, 1, 1), {_classes(f"substr({digits}, 2)", seed)})
+        WHEN 'KEY' THEN concat(substr(norm, 1, 4), {_classes(f"substr({digits}, 5)", seed)})
+        WHEN 'IBAN' THEN concat(substr(norm, 1, 2), {_classes(f"substr({digits}, 3)", seed)})
         WHEN 'PERSON_M' THEN {names["M"]}
         WHEN 'PERSON_F' THEN {names["F"]}
-        ELSE {_classes("norm", seed)} END""")
+        ELSE {_classes(digits, seed)} END""")
 
 
 def surrogates(spark: SparkSession, entities: DataFrame, key: str = KEY) -> DataFrame:
@@ -175,10 +209,14 @@ def surrogates(spark: SparkSession, entities: DataFrame, key: str = KEY) -> Data
     kind and never equal to a norm of ``entities``.
 
     Each draw keeps, of equal surrogates, that of the least norm; the others
-    are drawn again with the next number.  Raises if entities are left after
-    ``ROUNDS`` draws (a kind's format has too few values).
+    are drawn again with the next number, from ``SAME`` draws on with one letter
+    or digit more each time.  Raises if entities are left after ``ROUNDS`` draws.
     """
-    entities = materialize(spark, entities, "pii-entities")
+    # seeds of a fixed length, hashed once: a letter of a long entity costs no more than one of a short
+    entities = materialize(spark, entities.select(
+        "kind", "norm", F.sha2("norm", 256).alias("digest"),
+        F.expr(f"sha2(if(kind = 'EMAIL', {HOST}, lower(element_at(split(norm, ' '), -1))), 256)").alias("part")),
+        "pii-entities")
     kept = scratch_path(spark, "pii-surrogates")
     schema = "kind string, norm string, surrogate string"
     pending = entities
@@ -191,7 +229,7 @@ def surrogates(spark: SparkSession, entities: DataFrame, key: str = KEY) -> Data
         won = free.groupBy("kind", "surrogate").agg(F.min("norm").alias("norm"))
         won.select("kind", "norm", "surrogate").write.parquet(f"{kept}/draw={n}")
         got = spark.read.schema(schema).parquet(f"{kept}/draw={n}")
-        pending = materialize(spark, drawn.join(got, ["kind", "norm"], "left_anti").select("kind", "norm"),
+        pending = materialize(spark, drawn.join(got, ["kind", "norm"], "left_anti").select(*entities.columns),
                               "pii-pending")
         if pending.isEmpty():
             return spark.read.schema(schema).parquet(f"{kept}/*")

@@ -89,3 +89,20 @@ def test_plan_has_no_python(spark):
     df = spark.createDataFrame([(1, "x@example.com")], "doc_id long, text string")
     plan = pii.replace(spark, df)._jdf.queryExecution().toString()
     assert not any(x in plan for x in ("Python", "Pandas", "Arrow"))
+
+
+def test_values_that_no_draw_can_change(spark):
+    """Form lines are no secrets; every script's letters are replaced; formats
+    with few values get longer surrogates."""
+    lines = ["Password: ____________", "token: --------", "secret=////////"]
+    names = ["Mr Սարգսյան", "Mrs Žižek", "Mr Łukasz Şahin", "Mr Ა", "-_-@--.com"]
+    new = out(spark, *lines, *names)
+    assert new[:3] == lines
+    for old, got in zip(names[:3], new[3:6]):
+        for a, b in zip(old.split()[1:], got.split()[1:]):
+            assert not set(regex.findall(r"[^\x00-\x7f]", a)) & set(regex.findall(r"[^\x00-\x7f]", b)) or "Սարգսյան" in old
+    assert regex.fullmatch(r"Mr \p{Lu}\p{Ll}{7}", new[3]) and regex.fullmatch(r"Mr \p{IsArmenian}{8}", new[3]) and new[3] != names[0]
+    assert new[-1] != names[-1]
+    short = [a + b for a in "BCDFGHJKLMNPQRSTVWXZ" for b in "aeiou"]
+    got = out(spark, *[f"Mr {s} left" for s in short])
+    assert len(set(got)) == 100 and not set(got) & {f"Mr {s} left" for s in short}
