@@ -10,8 +10,8 @@ a format has too few values, later draws are longer.
 
 Kinds: EMAIL, SECRET (the value after ``password=``, ``token = `` and the like),
 KEY (access keys known by their prefix, which stays), PHONE, CARD, SSN, IPV4,
-IBAN (without recomputed check digits), PERSON_M and PERSON_F (names after a
-title).
+IBAN (without recomputed check digits), PERSON_M, PERSON_F and PERSON_N (names
+after a title; N: after one without gender).
 """
 
 from __future__ import annotations
@@ -30,7 +30,9 @@ SAME = 8
 
 # Titles and given names by gender (and script).
 TITLES_M = "Mr|Herr|Monsieur|Señor|г-н"
-TITLES_F = "Mrs|Miss|Frau|Madame|Mme|Señora|г-жа"
+TITLES_F = "Mrs|Miss|Ms|Frau|Madame|Mme|Señora|г-жа"
+TITLES_N = "Dr|Prof"
+TITLES = f"{TITLES_M}|{TITLES_F}|{TITLES_N}"
 GIVEN = {
     ("M", "latin"): "Adam Bruno Carl David Emil Felix Georg Henry Ivan Jonas Karl Louis Martin Noel Oscar Paul",
     ("F", "latin"): "Alice Bella Clara Diana Emma Flora Greta Helena Irene Julia Karin Laura Maria Nora Olga Paula",
@@ -51,12 +53,20 @@ LETTERS = {"latin": ("aeiou", "bcdfghklmnprstvz"), "cyrillic": ("аеиоу", "
 HEARD = {"latin": "[aeiouyà-æè-ïò-öø-ýāăąēĕėęěĩīĭįıōŏőœũūŭůűų]", "cyrillic": "[аеёиоуыэюя]",
          "greek": "[αειουηωάέίόύήώ]", "armenian": "[աեէըիոօ]", "georgian": "[აეიოუ]"}
 
-_NAME = r"\p{Lu}[\p{L}'’-]{1,30}"
-SECRET = (r"(?i:(?<![a-z0-9])(?:password|passwd|pwd|token|secret|api[_-]?key|access[_-]?key))"
-          r"\s{0,3}[=:]\s{0,3}[\"']?(?=[+/_-]*[A-Za-z0-9])[A-Za-z0-9+/_-]{8,200}[\"']?")
-KEYS = (r"(?<![A-Za-z0-9])(?:(?:AKIA|ASIA)[A-Z0-9]{16}|gh[opsru]_[A-Za-z0-9]{20,80}|sk-[A-Za-z0-9_-]{20,80})"
+GIVEN |= {("N", script): f"{GIVEN['M', script]} {GIVEN['F', script]}" for script in ("latin", "cyrillic", "greek")}
+
+_NAME = r"\p{Lu}[\p{L}\p{M}'’-]++"
+# Values are open-ended; of one without quotes, punctuation at its end stays outside.
+_END = r".,;:!?)\]}>\"'"
+_HEAD = (r"(?i:(?<![a-z0-9])(?:password|passwd|pwd|token|secret|api[_-]?key|access[_-]?key))"
+         r"[\"']?\s{0,3}[=:]\s{0,3}")
+SECRET = _HEAD + (r"(?:\"(?=[^\s\p{Z}\"]*?[\p{L}\p{Nd}])[^\s\p{Z}\"]{8,}+\"?"
+                  r"|'(?=[^\s\p{Z}']*?[\p{L}\p{Nd}])[^\s\p{Z}']{8,}+'?"
+                  r"|(?![\"'])(?=[^\s\p{Z}]{8})(?=[^\s\p{Z}]*?[\p{L}\p{Nd}])"
+                  rf"(?:[^\s\p{{Z}}{_END}]++|[{_END}]++(?=[^\s\p{{Z}}{_END}]))++)")
+KEYS = (r"(?<![A-Za-z0-9])(?:(?:AKIA|ASIA)[A-Z0-9]{16}|gh[opsru]_[A-Za-z0-9]{20,}+|sk-[A-Za-z0-9_-]{20,}+)"
         r"(?![A-Za-z0-9])")
-EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){1,8}"
+EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
 IPV4 = r"(?<![\d.])\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?!\.?\d)"
 SSN = r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"
 CARD = r"(?<![\w.+-])[3-6]\d{3}(?:[ -]?\d{4}){2}[ -]?\d{1,7}(?!\d)"
@@ -64,7 +74,7 @@ PHONE = (r"(?<![\w+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})[ .-]?\d{2,4}(?:[.-]\
          r"|(?<![\w+])\+\d{1,3} ?(?:\(\d{1,4}\)|\d{1,4})(?: ?\d{2,4}){1,4}(?!\d)"
          r"|(?<![\w(])\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\d)|(?<![\d.-])\d{3}[.-]\d{3}[.-]\d{4}(?![\d-])")
 IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
-PERSON = rf"(?<!\p{{L}})(?:{TITLES_M}|{TITLES_F})\.? {_NAME}(?: {_NAME}){{0,2}}"
+PERSON = rf"(?<!\p{{L}})(?:(?:{TITLES})\.? )+{_NAME}(?: {_NAME})*+"
 PATTERN = "|".join([SECRET, KEYS, EMAIL, IPV4, SSN, CARD, PHONE, IBAN, PERSON])
 
 
@@ -80,19 +90,20 @@ def found(text: str) -> Column:
 
 def _parts(hit: Column) -> Column:
     """An entity as (kind, prefix, core, suffix, norm)."""
-    kind = (F.when(hit.contains("@"), "EMAIL")
-            .when(hit.rlike(rf"^(?:{TITLES_M})\.? "), "PERSON_M")
-            .when(hit.rlike(rf"^(?:{TITLES_F})\.? "), "PERSON_F")
-            .when(hit.rlike(f"^(?:{SECRET})$"), "SECRET")
+    kind = (F.when(hit.rlike(f"^{_HEAD}"), "SECRET")
+            .when(hit.contains("@"), "EMAIL")
+            .when(hit.rlike(rf"^(?:(?:{TITLES})\.? )*(?:{TITLES_M})\.? "), "PERSON_M")
+            .when(hit.rlike(rf"^(?:(?:{TITLES})\.? )*(?:{TITLES_F})\.? "), "PERSON_F")
+            .when(hit.rlike(rf"^(?:{TITLES_N})\.? "), "PERSON_N")
             .when(hit.rlike(f"^(?:{KEYS})$"), "KEY")
             .when(hit.rlike(f"^(?:{IPV4})$"), "IPV4")
             .when(hit.rlike(f"^(?:{SSN})$"), "SSN")
             .when(hit.rlike(f"^(?:{CARD})$"), "CARD")
             .when(hit.rlike(f"^(?:{PHONE})$"), "PHONE").otherwise("IBAN"))
     cut = F.when(kind == "SECRET", F.regexp_extract(hit, r"^(.*?[=:]\s{0,3}[\"']?)", 1)).when(
-        kind.startswith("PERSON"), F.regexp_extract(hit, r"^(\S+ )", 1)).otherwise("")
+        kind.startswith("PERSON"), F.regexp_extract(hit, rf"^((?:(?:{TITLES})\.? )+)\p{{Lu}}", 1)).otherwise("")
     rest = F.substr(hit, F.length(cut) + 1)
-    core = F.when(kind == "SECRET", F.regexp_extract(rest, r"^([A-Za-z0-9+/_-]*)", 1)).otherwise(rest)
+    core = F.when(kind == "SECRET", F.regexp_replace(rest, r"[\"']$", "")).otherwise(rest)
     norm = (F.when(kind == "EMAIL", F.lower(core))
             .when(kind.isin("PHONE", "CARD", "SSN"), F.regexp_replace(core, r"[^0-9]", "")).otherwise(core))
     return F.struct(kind.alias("kind"), cut.alias("prefix"), core.alias("core"),
@@ -177,7 +188,7 @@ def _surrogate(round_no: int, key: str) -> Column:
     person = "concat_ws(' ', transform(slice(split(norm, ' '), 1, size(split(norm, ' ')) - 1), g -> {0}), {1})"
     last = f"concat({_lit(key)}, '|family|', part, {again})"
     initial = f"if({family} = upper({family}), left({family}, 1), lower(left({family}, 1)))"
-    names = {g: person.format(_given(g).replace("seed0", seed0), _family(longer(family, initial), last)) for g in "MF"}
+    names = {g: person.format(_given(g).replace("seed0", seed0), _family(longer(family, initial), last)) for g in "MFN"}
     secret = longer("norm", "'a'")
     hexa = "array_join(transform(split({1}, ''), (c, i) -> {0}), '')".format(
         _from("0123456789abcdef", _number(seed, "i")), secret)
@@ -193,7 +204,7 @@ def _surrogate(round_no: int, key: str) -> Column:
     digits = longer("norm", "'0'")
     return F.expr(f"""CASE kind
         WHEN 'EMAIL' THEN {email}
-        WHEN 'SECRET' THEN if(norm RLIKE '^[0-9a-f]+$', {hexa}, {_classes(secret, seed)})
+        WHEN 'SECRET' THEN if(norm RLIKE '^[0-9a-f]+$', {hexa}, {_classes(secret, seed, _letters(_number(seed, "i")))})
         WHEN 'CARD' THEN {card}
         WHEN 'IPV4' THEN {ip}
         WHEN 'PHONE' THEN concat(substr(norm, 1, 1), {_classes(f"substr({digits}, 2)", seed)})
@@ -201,6 +212,7 @@ def _surrogate(round_no: int, key: str) -> Column:
         WHEN 'IBAN' THEN concat(substr(norm, 1, 2), {_classes(f"substr({digits}, 3)", seed)})
         WHEN 'PERSON_M' THEN {names["M"]}
         WHEN 'PERSON_F' THEN {names["F"]}
+        WHEN 'PERSON_N' THEN {names["N"]}
         ELSE {_classes(digits, seed)} END""")
 
 

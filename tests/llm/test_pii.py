@@ -106,3 +106,22 @@ def test_values_that_no_draw_can_change(spark):
     short = [a + b for a in "BCDFGHJKLMNPQRSTVWXZ" for b in "aeiou"]
     got = out(spark, *[f"Mr {s} left" for s in short])
     assert len(set(got)) == 100 and not set(got) & {f"Mr {s} left" for s in short}
+
+
+def test_entities_are_replaced_to_their_end(spark):
+    """Values written by hand, none of which may stay in part."""
+    value = "Zq9" * 100
+    cases = {"token={}": value, "use {} now": "sk-" + "Xy7" * 50, "push ghp_{} now": "Kd4" * 50, "password={} x": "a.b!c$d@9Zq",
+             "password: \"{}\" x": "!$p@ss.W0rd", "{{\"password\": \"{}\"}}": "h.u,n;ter22", "secret='{}'": "пароль77!x",
+             "mail {}, ok": "joe@" + ".".join(f"zq{i}x" for i in range(12)) + ".org",
+             "Dr {} left": "Quentin Zappa", "Prof. Dr. {} left": "Quentin Zappa", "Ms {} left": "Zappa",
+             "Mr {} left": "Quentin Xaver Yorick Zappa Quist", "Mrs {} left": "Z" + "appa" * 20}
+    texts = [k.format(v) for k, v in cases.items()]
+    for form, text, new in zip(cases, texts, out(spark, *texts)):
+        head, tail = form.replace("{{", "{").replace("}}", "}").split("{}")
+        assert new.startswith(head) and new.endswith(tail), (text, new)
+        old, made = cases[form], new[len(head):len(new) - len(tail)]
+        parts = regex.findall(r"[\p{L}]{3,}|[\p{L}\d]{3,}", old.removeprefix("sk-").removesuffix(".org"))
+        assert made != old and not any(p in made for p in parts), (text, new)
+    a, b = out(spark, "password=abcd.1234, or", "password: 'abcd.1234'")
+    assert a[9:18] == b[11:20] != "abcd.1234"
