@@ -1,7 +1,8 @@
 """Removal of passages that repeat, by sliding runs of sentences.
 
-From every sentence on, the shortest run of at least ``RUN`` consecutive
-sentences with at least ``LEAST_WORDS`` words is hashed; hashes are joined over
+From every sentence on, and up to every sentence, the shortest run of at least
+``RUN`` consecutive sentences with at least ``LEAST_WORDS`` words is hashed, so
+a passage is covered to its last sentence; hashes are joined over
 the whole corpus, and sentences covered by a run that has been seen before
 (smaller id, or earlier in the text) are removed.  Passages are found wherever
 they stand, as long as they hold such a run of whole sentences; repeated single
@@ -66,9 +67,12 @@ def runs(text: str | None, run: int = RUN, least_words: int = LEAST_WORDS
     marks = sentences(text or "")
     split = [text[a:b].lower().split() for a, b in marks]
     words = np.cumsum([0, *map(len, split)])
-    first = np.arange(len(marks))
-    end = np.maximum(np.searchsorted(words, words[:-1] + least_words), first + run)
-    first, end = first[end <= len(marks)], end[end <= len(marks)]
+    k = np.arange(len(marks))
+    end = np.maximum(np.searchsorted(words, words[:-1] + least_words), k + run)
+    first = np.minimum(np.searchsorted(words, words[1:] - least_words, "right") - 1, k + 1 - run)
+    pairs = np.r_[k[end <= len(marks)] * (len(marks) + 1) + end[end <= len(marks)],
+                  first[first >= 0] * (len(marks) + 1) + k[first >= 0] + 1]
+    first, end = np.divmod(np.unique(pairs), len(marks) + 1)
     hashes = np.fromiter((xxhash.xxh64_intdigest(" ".join(s)) for s in split), _U, len(split))
     total = np.zeros(len(first), _U)
     for k in range(int((end - first).max(initial=0))):
