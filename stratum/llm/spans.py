@@ -28,14 +28,19 @@ RUN = 2
 LEAST_WORDS = 20
 #: Longer sentences are cut after words whose hash is divisible by ``CUT``: at
 #: the same words in every copy, whatever stands before.
-LONG = 16
-CUT = 6
+LONG = 12
+CUT = 5
 #: Runs that a task sorts at a time; bytes of text for each shard of hashes.
 CHUNK = 400_000
 SHARD_BYTES = 32_000_000
 
-_BREAK = re.compile(r"(?<=[.!?])\s+|\s*\n\s*")
+_BREAK = re.compile(r"(?<=[.!?])\s+|(?<=[。！？])(?![。！？」』”’）])\s*|\s*\n\s*")
 _WORD = re.compile(r"\S+\s*")
+#: Scripts without spaces between words (Thai to Tibetan, Burmese, Khmer, kana,
+#: Chinese characters): each character counts as a word.
+_SOLID = "\u0e00-\u0fff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
+_ANY_SOLID = re.compile(f"[{_SOLID}]")
+_CHARACTER = re.compile(rf"[{_SOLID}]\s*|[^\s{_SOLID}]+\s*")
 _U = np.uint64
 _MIX = (_U(0x9E3779B97F4A7C15), _U(0xC2B2AE3D27D4EB4F), _U(0x165667B19E3779F9), _U(0xD6E8FEB86659FD93))
 
@@ -43,10 +48,12 @@ _MIX = (_U(0x9E3779B97F4A7C15), _U(0xC2B2AE3D27D4EB4F), _U(0x165667B19E3779F9),
 def sentences(text: str) -> list[tuple[int, int]]:
     """(start, end) of the sentences; they lie end to end, each with the white
     space after it, and hold all of the text."""
+    solid = not text.isascii() and _ANY_SOLID.search(text)
+    word, least = (_CHARACTER, LONG) if solid else (_WORD, 2 * LONG)
     ends = [m.end() for m in _BREAK.finditer(text) if 0 < m.end() < len(text)]
     out = []
     for a, b in zip([0, *ends], [*ends, len(text)]):
-        if b - a > 2 * LONG and len(words := _WORD.findall(text, a, b)) > LONG:
+        if b - a > least and len(words := word.findall(text, a, b)) > LONG:
             at = a + (b - a - sum(map(len, words)))  # white space before the first word
             first = a
             for w in words:
@@ -66,7 +73,10 @@ def runs(text: str | None, run: int = RUN, least_words: int = LEAST_WORDS
     of white space), and the numbers of the first and after the last sentence."""
     marks = sentences(text or "")
     split = [text[a:b].lower().split() for a, b in marks]
-    words = np.cumsum([0, *map(len, split)])
+    sizes = map(len, split)
+    if text and not text.isascii() and _ANY_SOLID.search(text):
+        sizes = (len(_CHARACTER.findall(text, a, b)) for a, b in marks)
+    words = np.cumsum([0, *sizes])
     k = np.arange(len(marks))
     end = np.maximum(np.searchsorted(words, words[:-1] + least_words), k + run)
     first = np.minimum(np.searchsorted(words, words[1:] - least_words, "right") - 1, k + 1 - run)

@@ -42,3 +42,32 @@ def test_runs_match_trying_all():
         text = said(rnd, *[rnd.randrange(1, 30) for _ in range(rnd.randrange(0, 12))]) if rnd.random() < .95 else ""
         _, first, end = spans.runs(text)
         assert sorted(zip(first.tolist(), end.tolist())) == sorted(every_run(text))
+
+
+def test_scripts_without_spaces(spark):
+    rnd = random.Random(7)
+    for low, high in ((0x4e00, 0x9000), (0xe01, 0xe2e), (0x3041, 0x3090)):
+        solid = lambda n: "".join(chr(rnd.randrange(low, high)) for _ in range(n))
+        marked = "".join(solid(15) + "。" for _ in range(4))
+        long = solid(300)
+        own = [solid(40) + "。" for _ in range(4)]
+        got = removed(spark, own[0] + marked, own[1] + marked, own[2] + long, own[3] + long)
+        assert got[0] == own[0] + marked and got[1].rstrip("。") == own[1].rstrip("。") and got[2] == own[2] + long
+        assert got[3].startswith(own[3]) and len(got[3]) - len(own[3]) <= 30
+
+
+def test_few_words_of_unpunctuated_passages_stay():
+    """Passages of 51 words within unpunctuated text: whole misses and what stays."""
+    rnd = random.Random(8)
+    word = lambda n: [f"w{rnd.randrange(10**6)}" for _ in range(n)]
+    missed = stay = 0
+    for _ in range(1000):
+        planted, texts = word(51), []
+        for _ in range(2):
+            texts.append(" ".join(word(60) + planted + word(60)))
+        seen = set(spans.runs(texts[0])[0].tolist())
+        h, first, end = spans.runs(texts[1])
+        gone = {k for x, i, j in zip(h.tolist(), first, end) if x in seen for k in range(i, j)}
+        left = len(set(planted) & set(spans.without(texts[1], gone).split()))
+        missed, stay = missed + (left == 51), stay + left
+    assert missed <= 15 and stay / 1000 <= 11, (missed, stay)
