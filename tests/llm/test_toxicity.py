@@ -77,3 +77,18 @@ def test_edges(spark):
     empty = toxicity.train(spark, docs, labels.limit(0))  # no label: every score is the prior
     assert {r.score for r in toxicity.with_scores(docs.drop("score"), empty).collect()} == {0.5}
     assert toxicity.with_scores(docs.drop("score").limit(0), model).count() == 0
+
+
+def test_rare_toxic_words_and_copies():
+    """A word in 12 of 1,500 toxic texts is learnt, with most others copies of one text too."""
+    rnd = np.random.default_rng(3)
+    clean = [" ".join(f"c{k}" for k in rnd.integers(0, 300, 12)) for _ in range(1500)]
+    toxic = [" ".join(f"c{k}" for k in rnd.integers(0, 300, 12)) + f" slur{chr(97 + i % 19) * 4}" for i in range(228)]
+    for copies in (0, 1272):
+        texts = clean + toxic + ["vile text of one bot"] * copies
+        model = toxicity.fit(texts, [0] * 1500 + [1] * (228 + copies))
+        assert all(model.emission(f"slur{chr(97 + i) * 4}".encode()) > 1 for i in range(19))
+    # 12 of 1,500 toxic texts hold each of 125 words, no clean one does
+    docs = [np.array([i % 125, 200 + i], np.int32) for i in range(1500)] + [np.array([1700 + i], np.int32) for i in range(1500)]
+    found = toxicity._toxic_features(docs, np.array([1] * 1500 + [0] * 1500), np.arange(3200)[:, None], 3200)
+    assert found[:125].all() and not found[125:].any()
