@@ -74,7 +74,9 @@ PHONE = (r"(?<![\w+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})[ .-]?\d{2,4}(?:[.-]\
          r"|(?<![\w+])\+\d{1,3} ?(?:\(\d{1,4}\)|\d{1,4})(?: ?\d{2,4}){1,4}(?!\d)"
          r"|(?<![\w(])\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\d)|(?<![\d.-])\d{3}[.-]\d{3}[.-]\d{4}(?![\d-])")
 IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
-PERSON = rf"(?<!\p{{L}})(?:(?:{TITLES})\.? )+{_NAME}(?: {_NAME})*+"
+# Possessive: a long row of titles neither recurses nor is tried again; a match starts at the row's first title.
+_TITLES = rf"(?:(?:{TITLES})\.? )++"
+PERSON = rf"(?<!\p{{L}})(?<!(?<!\p{{L}})(?:{TITLES})\.? ){_TITLES}{_NAME}(?: {_NAME})*+"
 PATTERN = "|".join([SECRET, KEYS, EMAIL, IPV4, SSN, CARD, PHONE, IBAN, PERSON])
 
 
@@ -90,18 +92,19 @@ def found(text: str) -> Column:
 
 def _parts(hit: Column) -> Column:
     """An entity as (kind, prefix, core, suffix, norm)."""
+    titles = F.regexp_extract(hit, f"^({_TITLES})", 1)
     kind = (F.when(hit.rlike(f"^{_HEAD}"), "SECRET")
             .when(hit.contains("@"), "EMAIL")
-            .when(hit.rlike(rf"^(?:(?:{TITLES})\.? )*(?:{TITLES_M})\.? "), "PERSON_M")
-            .when(hit.rlike(rf"^(?:(?:{TITLES})\.? )*(?:{TITLES_F})\.? "), "PERSON_F")
-            .when(hit.rlike(rf"^(?:{TITLES_N})\.? "), "PERSON_N")
+            .when(titles.rlike(rf"(?:^| )(?:{TITLES_M})\.? "), "PERSON_M")
+            .when(titles.rlike(rf"(?:^| )(?:{TITLES_F})\.? "), "PERSON_F")
+            .when(titles != "", "PERSON_N")
             .when(hit.rlike(f"^(?:{KEYS})$"), "KEY")
             .when(hit.rlike(f"^(?:{IPV4})$"), "IPV4")
             .when(hit.rlike(f"^(?:{SSN})$"), "SSN")
             .when(hit.rlike(f"^(?:{CARD})$"), "CARD")
             .when(hit.rlike(f"^(?:{PHONE})$"), "PHONE").otherwise("IBAN"))
     cut = F.when(kind == "SECRET", F.regexp_extract(hit, r"^(.*?[=:]\s{0,3}[\"']?)", 1)).when(
-        kind.startswith("PERSON"), F.regexp_extract(hit, rf"^((?:(?:{TITLES})\.? )+)\p{{Lu}}", 1)).otherwise("")
+        kind.startswith("PERSON"), titles).otherwise("")
     rest = F.substr(hit, F.length(cut) + 1)
     core = F.when(kind == "SECRET", F.regexp_replace(rest, r"[\"']$", "")).otherwise(rest)
     norm = (F.when(kind == "EMAIL", F.lower(core))

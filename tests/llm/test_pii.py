@@ -125,3 +125,26 @@ def test_entities_are_replaced_to_their_end(spark):
         assert made != old and not any(p in made for p in parts), (text, new)
     a, b = out(spark, "password=abcd.1234, or", "password: 'abcd.1234'")
     assert a[9:18] == b[11:20] != "abcd.1234"
+
+
+def test_long_rows_of_each_repeatable_part(spark):
+    """A hundred thousand repeats of every open group: no recursion, whole entities."""
+    n = 100_000
+    texts = ["Dr " * n + "Smith went", "Dr. " * n + "went home", "Mr " + "Abc " * n, "a@" + "b." * n + "c",
+             "password=" + "x." * n + "y", "sk-" + "a" * n, "+49 " + "12 " * n, "token=\"" + "z" * n + "\""]
+    got = out(spark, *texts)
+    for text, new, whole in zip(texts, got, (0, None, 1, 1, 1, 1, 0, 1)):
+        if whole is None:
+            assert new == text
+        else:
+            assert new != text and (not whole or text[-400:] != new[-400:])
+    assert got[0].startswith("Dr " * n) and got[0].endswith(" went") and "Smith" not in got[0]
+
+
+def test_titles_in_a_row(spark):
+    got = out(spark, "see Mr. Dr Adam Smith and Mrs Berta", "xHerr Dr Smith", "Dr Prof went", "Dr. Frau Xenia Yps")
+    assert got[0].startswith("see Mr. Dr ") and " and Mrs " in got[0]
+    assert not {"Adam", "Smith", "Berta"} & set(got[0].split())
+    assert got[1].startswith("xHerr Dr ") and "Smith" not in got[1]
+    assert got[2] == "Dr Prof went"
+    assert got[3].startswith("Dr. Frau ") and got[3].split()[2] in pii.GIVEN["F", "latin"].split()
