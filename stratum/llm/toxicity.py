@@ -314,8 +314,8 @@ def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, sample_docs:
         for r in different.select("h", "r.*").orderBy("h").limit(sample_docs).collect():
             if r.n <= left:
                 left -= r.n
-                picked.append((r.doc_id, y))
-    ids = F.broadcast(spark.createDataFrame(sorted(set(picked)), "doc_id long, toxic int"))  # at most 2 * sample_docs
+                picked.append((r.doc_id, r.h, y))
+    ids = F.broadcast(spark.createDataFrame(picked, "doc_id long, h long, toxic int"))  # at most 2 * sample_docs
     prior = n[1] / sum(n.values())
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -324,7 +324,9 @@ def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, sample_docs:
         yield pd.DataFrame({"model": [pickle.dumps(model)]})
 
     # the sample is bounded, so one task can fit it; the driver sees weights only
-    rows = docs.select("doc_id", "text").join(ids, "doc_id").limit(4 * sample_docs).repartition(1)
+    # by id and text: ids with several texts bring in those of the sample only, repeated rows count once
+    rows = (docs.select("doc_id", F.xxhash64("text").alias("h"), "text").join(ids, ["doc_id", "h"])
+            .dropDuplicates(["doc_id", "h", "toxic"]).select("doc_id", "text", "toxic").repartition(1))
     return pickle.loads(rows.mapInPandas(run, "model binary").first().model)
 
 
