@@ -12,22 +12,26 @@ SF = "/root/testdata/sf0.001"
 
 
 def slow(rows, run=spans.RUN, least=spans.LEAST_WORDS):
-    """(doc_id, text) in the order of ids -> texts without repeats."""
+    """(doc_id, text) in the order of ids -> texts without repeats: from every
+    sentence on, and up to every sentence, the shortest run that is long enough."""
     first, out = set(), {}
     for i, text in rows:
         marks = spans.sentences(text or "")
         parts = [" ".join(text[a:b].lower().split()) for a, b in marks]
-        gone = set()
+        words = [len(p.split()) for p in parts]
+
+        def enough(a, b):
+            return b - a >= run and sum(words[a:b]) >= least
+
+        spots = set()
         for k in range(len(parts)):
-            end = k + run
-            while end < len(parts) and sum(len(p.split()) for p in parts[k:end]) < least:
-                end += 1
-            key = tuple(parts[k:end])
-            if end > len(parts) or sum(len(p.split()) for p in key) < least:
-                continue
-            if key in first:
-                gone.update(range(k, end))
-            first.add(key)
+            spots |= {(k, b) for b in range(k + 1, len(parts) + 1) if enough(k, b) and not enough(k, b - 1)}
+            spots |= {(a, k + 1) for a in range(k + 1) if enough(a, k + 1) and not enough(a + 1, k + 1)}
+        gone = set()
+        for a, b in sorted(spots):
+            if tuple(parts[a:b]) in first:
+                gone.update(range(a, b))
+            first.add(tuple(parts[a:b]))
         out[i] = (text if not gone else "".join(text[a:b] for k, (a, b) in enumerate(marks) if k not in gone), len(gone))
     return out
 
@@ -83,7 +87,8 @@ def test_edges(spark):
     for r in out.collect():
         got.setdefault(r.doc_id, []).append(r.text)
     assert got[1] == [None] and got[2] == [""] and got[3] == got[4] == ["A. B. C. D."]
-    assert sorted(got[5]) == [text, "Tail here"] and got[6] == ["TAIL HERE x"] and got[None] == ["Tail here"]
+    # copies go to their last sentence; of a copy with another last word that sentence stays
+    assert sorted(got[5]) == ["", text] and got[6] == ["TAIL HERE x"] and got[None] == [""]
     assert got[7] == ["word " * 40000] and got[8] == ["no repeat. at all. in this. document."]
     twice = spark.createDataFrame([(1, text + ". " + text)], "doc_id long, text string")
     assert spans.remove_repeats(spark, twice, count="n").first() == (1, text + ". Tail here", 3)
