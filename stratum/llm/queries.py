@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratum.llm import balltree, lm, mixing, packing, pii, projections, simhash, spans, toxicity, warc
+from stratum.llm import balltree, lm, mixing, packing, periodic, pii, projections, simhash, spans, toxicity, warc
 from stratum.llm.common import fold, table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -85,6 +85,12 @@ def op10_projected_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return projections.nearest(spark, vectors, vectors.where("id % 50 = 0"))
 
 
+@query
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A tenth of the documents get a periodic tail first."""
+    return periodic.periodic_runs(table(spark, sf_dir, "documents").select("doc_id", "text"), plant=True).drop("text")
+
+
 ORACLE["op9_ball_tree_top_k"] = """
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS x FROM embeddings
