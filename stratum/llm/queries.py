@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratum.llm import balltree, lm, mixing, packing, periodic, pii, projections, simhash, spans, toxicity, warc
+from stratum.llm import balltree, lm, mixing, negatives, packing, periodic, pii, projections, simhash, spans, toxicity, warc
 from stratum.llm.common import fold, table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -85,6 +85,15 @@ def op10_projected_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return projections.nearest(spark, vectors, vectors.where("id % 50 = 0"))
 
 
+@query
+def op11_shared_list_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every seventh row carries the next label; anchors are every hundredth."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, sf_dir, "embeddings").select(
+        F.col("vec_id").alias("id"), label.alias("label"), F.col("embedding").alias("vector"))
+    return negatives.mine(spark, rows, rows.where("id % 100 = 0"))
+
+
 @query
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A tenth of the documents get a periodic tail first."""
@@ -105,6 +114,27 @@ SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM (
 WHERE rank <= 20
 """
 
+ORACLE["op11_shared_list_negatives"] = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS x FROM embeddings
+  WHERE embedding IS NOT NULL AND vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same,
+         list_sum(list_transform(list_zip(a.x, c.x), lambda z: z[1] * z[2]))::BIGINT AS score
+  FROM v a JOIN v c ON a.vec_id % 100 = 0 AND a.vec_id <> c.vec_id),
+p AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id,
+       row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)::INTEGER AS rank,
+       vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id)
+WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY rank <= 10
+"""
+
 ORACLE["op1_warc_capture_index"] = """
 WITH p AS (
   SELECT page_id, url, encode(coalesce(html, '')) AS payload FROM pages),
