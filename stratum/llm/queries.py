@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratum.llm import balltree, lm, mixing, negatives, packing, periodic, pii, projections, simhash, spans, toxicity, warc
+from stratum.llm import balltree, lm, mixing, negatives, packing, periodic, pii, projections, simhash, spans, suffixes, toxicity, warc
 from stratum.llm.common import fold, table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -100,6 +100,13 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic.periodic_runs(table(spark, sf_dir, "documents").select("doc_id", "text"), plant=True).drop("text")
 
 
+@query
+def op13_blockwise_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What stays of every document without bytes of repeated 100-byte strings."""
+    docs = suffixes.file_rows(table(spark, sf_dir, "documents").select("doc_id", "text"), "file", "row")
+    return suffixes.remove_repeats(spark, docs, numbers=("file", "row")).drop("text")
+
+
 ORACLE["op9_ball_tree_top_k"] = """
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS x FROM embeddings
@@ -135,6 +142,24 @@ WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * po
 QUALIFY rank <= 10
 """
 
+ORACLE["op13_blockwise_suffix_dedup"] = """
+WITH d AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, octet_length(encode(coalesce(text, '')))::BIGINT AS n FROM documents),
+w AS (SELECT doc_id, p, substr(h, 2 * p + 1, 200) AS s FROM (SELECT doc_id, h, unnest(range(n - 99)) AS p FROM d)),
+r AS (SELECT doc_id, p FROM w QUALIFY row_number() OVER (PARTITION BY s ORDER BY doc_id, p) > 1),
+g AS (SELECT doc_id, p, coalesce(p - lag(p) OVER (PARTITION BY doc_id ORDER BY p) > 100, true)::INT AS new FROM r),
+i AS (SELECT doc_id, p, sum(new) OVER (PARTITION BY doc_id ORDER BY p) AS k FROM g),
+s AS (SELECT doc_id, min(p) AS a, max(p) + 100 AS b FROM i GROUP BY doc_id, k),
+t AS (SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS before FROM s),
+k AS (
+  SELECT doc_id, sum(b - a)::BIGINT AS n_removed, count(*) AS n_spans, max(b) AS last,
+         string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) AS kept
+  FROM t JOIN d USING (doc_id) GROUP BY doc_id)
+SELECT d.doc_id, n AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(kept || substr(h, 2 * last + 1), h))) AS kept_sha256
+FROM d LEFT JOIN k USING (doc_id)
+"""
+
 ORACLE["op1_warc_capture_index"] = """
 WITH p AS (
   SELECT page_id, url, encode(coalesce(html, '')) AS payload FROM pages),
