@@ -47,6 +47,19 @@ def fresh(df: DataFrame, base: str) -> str:
     return base
 
 
+def file_rows(scan: DataFrame, file: str, row: str) -> DataFrame:
+    """The rows of a Parquet scan with numbers that their files give them."""
+    return scan.withColumn(file, F.xxhash64("_metadata.file_path")).withColumn(row, F.col("_metadata.row_index"))
+
+
+def numbered(spark: SparkSession, docs: DataFrame) -> tuple[DataFrame, tuple[str, str]]:
+    """``docs`` written once with two columns that number its rows, and their
+    names: the same numbers each time it is read."""
+    file, row = fresh(docs, "file"), fresh(docs, "row")
+    return materialize(spark, docs.withColumn(file, F.lit(0).cast("long"))
+                       .withColumn(row, F.monotonically_increasing_id()), "numbered"), (file, row)
+
+
 def binaries(column: pa.Array) -> list[bytes | None]:
     """A string column's values as UTF-8 bytes (no decoding)."""
     if isinstance(column, pa.ChunkedArray):

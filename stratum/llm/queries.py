@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratum.llm import balltree, lm, mixing, negatives, packing, periodic, pii, projections, simhash, spans, suffixes, toxicity, warc
-from stratum.llm.common import fold, table
+from stratum.llm.common import file_rows, fold, table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 #: DuckDB SQL of the queries that SQL can express.
@@ -51,8 +51,8 @@ def op4_histogram_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_sentence_span_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without sentences of repeated runs, and how many those were."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return spans.remove_repeats(spark, docs, count="n_removed")
+    docs = file_rows(table(spark, sf_dir, "documents").select("doc_id", "text"), "file", "row")
+    return spans.remove_repeats(spark, docs, count="n_removed", numbers=("file", "row"))
 
 
 @query
@@ -103,7 +103,7 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op13_blockwise_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What stays of every document without bytes of repeated 100-byte strings."""
-    docs = suffixes.file_rows(table(spark, sf_dir, "documents").select("doc_id", "text"), "file", "row")
+    docs = file_rows(table(spark, sf_dir, "documents").select("doc_id", "text"), "file", "row")
     return suffixes.remove_repeats(spark, docs, numbers=("file", "row")).drop("text")
 
 

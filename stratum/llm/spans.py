@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratum.llm.common import fresh, materialize, slices
+from stratum.llm.common import fresh, materialize, numbered, slices
 
 #: Sentences of a run, and words that it must have at least (short sentences
 #: such as headings meet by chance).
@@ -98,14 +98,14 @@ def without(text: str, gone: set[int]) -> str:
     return "".join(text[a:b] for k, (a, b) in enumerate(sentences(text)) if k not in gone)
 
 
-_FIELDS = (("h", np.uint64), ("none", np.uint8), ("doc_id", np.int64), ("uid", np.int64), ("pos", np.int32),
-           ("stop", np.int32))
+_FIELDS = (("h", np.uint64), ("none", np.uint8), ("doc_id", np.int64), ("file", np.int64), ("row", np.int64),
+           ("pos", np.int32), ("stop", np.int32))
 
 
 def _first_and_again(runs_: dict[str, np.ndarray]) -> tuple[dict[str, np.ndarray], np.ndarray]:
     """The runs in the order of their hashes and, of equal ones, of the corpus;
     and which of them are not the first of their hash."""
-    order = np.lexsort([runs_[n] for n in ("pos", "uid", "doc_id", "none", "h")])
+    order = np.lexsort([runs_[n] for n in ("pos", "row", "file", "doc_id", "none", "h")])
     in_order = {n: v[order] for n, v in runs_.items()}
     return in_order, np.r_[False, in_order["h"][1:] == in_order["h"][:-1]]
 
@@ -130,16 +130,17 @@ def _unblock(data: bytes) -> dict[str, np.ndarray]:
     return out
 
 
-_AGAIN = "uid long, pos int, stop int"
+_PLACE = ("file", "row", "pos", "stop")
+_AGAIN = "file long, row long, pos int, stop int"
 
 
 def _places(runs_: dict[str, np.ndarray], which: np.ndarray) -> list[pa.Array]:
-    return [pa.array(runs_[n][which]) for n in ("uid", "pos", "stop")]
+    return [pa.array(runs_[n][which]) for n in _PLACE]
 
 
 def repeated(spark: SparkSession, rows: DataFrame, run: int = RUN, least_words: int = LEAST_WORDS) -> DataFrame:
-    """(uid, pos, stop): the runs of ``rows`` (doc_id, uid, text) that are not
-    the first of their hash.
+    """(file, row, pos, stop): the runs of ``rows`` (doc_id, file, row, text)
+    that are not the first of their hash.  (file, row) must number the rows.
 
     A task sorts its runs, some hundred thousand at a time.  Of equal ones all
     but the first are known to repeat then and there; only the first goes on,
@@ -159,18 +160,18 @@ def repeated(spark: SparkSession, rows: DataFrame, run: int = RUN, least_words:
         return pa.RecordBatch.from_arrays(
             [pa.concat_arrays([pa.array(shard[cuts[:-1]]), pa.nulls(m, pa.int32())]),
              pa.concat_arrays([pa.array(blocks, pa.binary()), pa.nulls(m, pa.binary())]),
-             *[pa.concat_arrays([pa.nulls(k, p.type), p]) for p in places]], ["shard", "block", "uid", "pos", "stop"])
+             *[pa.concat_arrays([pa.nulls(k, p.type), p]) for p in places]], ["shard", "block", *_PLACE])
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = [], 0
-        for b in slices(batches, 2):
-            for doc_id, uid, text in zip(*(c.to_pylist() for c in b.columns)):
+        for b in slices(batches, 3):
+            for doc_id, file, row, text in zip(*(c.to_pylist() for c in b.columns)):
                 h, pos, stop = runs(text, run, least_words)
                 if not len(h):
                     continue
                 held.append({"h": h.view(np.uint64), "none": np.full(len(h), doc_id is None, np.uint8),
-                             "doc_id": np.full(len(h), doc_id or 0, np.int64), "uid": np.full(len(h), uid, np.int64),
-                             "pos": pos, "stop": stop})
+                             "doc_id": np.full(len(h), doc_id or 0, np.int64), "file": np.full(len(h), file, np.int64),
+                             "row": np.full(len(h), row, np.int64), "pos": pos, "stop": stop})
                 n += len(h)
                 if n >= CHUNK:
                     yield split(held)
@@ -181,19 +182,23 @@ def repeated(spark: SparkSession, rows: DataFrame, run: int = RUN, least_words:
     def merge(group: pa.Table) -> pa.Table:
         parts = [_unblock(b) for b in group.column("block").to_pylist()]
         runs_, again = _first_and_again({n: np.concatenate([p[n] for p in parts]) for n, _ in _FIELDS})
-        return pa.table(dict(zip(("uid", "pos", "stop"), _places(runs_, again))))
+        return pa.table(dict(zip(_PLACE, _places(runs_, again))))
 
-    made = rows.select(F.col("doc_id").cast("long"), "uid", "text").mapInArrow(
+    made = rows.select(F.col("doc_id").cast("long"), "file", "row", "text").mapInArrow(
         find, "shard int, block binary, " + _AGAIN)
     made = materialize(spark, made, "spans-runs")
     over = made.where("block IS NOT NULL").select("shard", "block").groupBy("shard").applyInArrow(merge, _AGAIN)
-    return made.where("uid IS NOT NULL").select("uid", "pos", "stop").unionByName(over)
+    return made.where("row IS NOT NULL").select(*_PLACE).unionByName(over)
 
 
 def remove_repeats(spark: SparkSession, docs: DataFrame, run: int = RUN, least_words: int = LEAST_WORDS,
-                   text: str = "text", count: str | None = None) -> DataFrame:
-    """``docs`` with all columns, ``text`` without sentences of repeated runs.
+                   text: str = "text", count: str | None = None,
+                   numbers: tuple[str, str] | None = None) -> DataFrame:
+    """``docs`` with all columns but ``numbers``, ``text`` without sentences of
+    repeated runs.
 
+    ``numbers``: columns that number the rows (:func:`common.file_rows`);
+    without them ``docs`` is written once, to have such numbers.
     The first of equal runs is that of the smallest ``doc_id`` (nulls last),
     of the first row with that id, and the earliest in its text; it stays.
     ``count``: name of an added column, the number of removed sentences.
@@ -201,13 +206,18 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, run: int = RUN, least_w
     repeated rows all but one lose their sentences, so a text can become
     empty.
     """
-    uid, spots, n = fresh(docs, "uid"), fresh(docs, "spots"), count or fresh(docs, "removed")
-    rows = materialize(spark, docs.withColumn(uid, F.monotonically_increasing_id()), "spans-docs")
-    found = repeated(spark, rows.select("doc_id", F.col(uid).alias("uid"), F.col(text).alias("text")), run, least_words)
-    again = found.groupBy("uid").agg(F.collect_list(F.struct("pos", "stop")).alias(spots)).withColumnRenamed("uid", uid)
-    joined = rows.join(again, uid, "left").select(*docs.columns, spots)
+    wanted = [c for c in docs.columns if c not in (numbers or ())]
+    if numbers is None:
+        docs, numbers = numbered(spark, docs)
+    file, row = numbers
+    spots, n = fresh(docs, "spots"), count or fresh(docs, "removed")
+    rows = docs.select("doc_id", F.col(file).alias("file"), F.col(row).alias("row"), F.col(text).alias("text"))
+    found = repeated(spark, rows, run, least_words)
+    again = found.groupBy(F.col("file").alias(file), F.col("row").alias(row)).agg(
+        F.collect_list(F.struct("pos", "stop")).alias(spots))
+    joined = docs.join(again, [file, row], "left").select(*wanted, spots)
     at = joined.columns.index(text)
-    schema = docs.select("*", F.lit(0).cast("long").alias(n)).schema
+    schema = docs.select(*wanted, F.lit(0).cast("long").alias(n)).schema
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, at):

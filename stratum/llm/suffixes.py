@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratum.llm.common import binaries, filesystem, fresh, materialize
+from stratum.llm.common import binaries, filesystem, fresh, materialize, numbered
 from stratum.session import scratch_path
 
 LENGTH = 100
@@ -486,11 +486,6 @@ def _shard_spans(block: pa.Table, length: int, bucket: int) -> pa.Table:
     return pa.table({"file": file[of[owner]], "row": row[of[owner]], "start": start, "stop": stop})
 
 
-def file_rows(scan: DataFrame, file: str, row: str) -> DataFrame:
-    """The rows of a Parquet scan with numbers that their files give them."""
-    return scan.withColumn(file, F.xxhash64("_metadata.file_path")).withColumn(row, F.col("_metadata.row_index"))
-
-
 def remove_repeats(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text: str = "text",
                    length: int = LENGTH, numbers: tuple[str, str] | None = None, kept: str | None = None,
                    chunk: int = CHUNK, shard_bytes: int = SHARD_BYTES, bucket: int = BUCKET) -> DataFrame:
@@ -499,7 +494,7 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id",
     names that ``docs`` has.  ``kept``: name of one more column, the remaining
     bytes.
 
-    ``numbers``: columns that number the rows (:func:`file_rows`); without them
+    ``numbers``: columns that number the rows (:func:`common.file_rows`); without them
     ``docs`` is written once, to have such numbers.  Earlier is the smaller id
     (nulls last), of one id the smaller number, in a row the earlier place; so
     of repeated rows one keeps its bytes.  Matches never cross texts.  Null and
@@ -507,9 +502,7 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id",
     """
     wanted = [c for c in docs.columns if c not in (numbers or ())]
     if numbers is None:
-        numbers = (fresh(docs, "file"), fresh(docs, "row"))
-        docs = materialize(spark, docs.withColumn(numbers[0], F.lit(0).cast("long"))
-                           .withColumn(numbers[1], F.monotonically_increasing_id()), "suffixes-docs")
+        docs, numbers = numbered(spark, docs)
     file, row = numbers
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(file).alias("file"), F.col(row).alias("row"),
                        F.col(text).alias("text"))
