@@ -68,9 +68,10 @@ def sentences(text: str) -> list[tuple[int, int]]:
 
 
 def runs(text: str | None, run: int = RUN, least_words: int = LEAST_WORDS
-         ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+         ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Of the runs of sentences, the hashes (without regard to case and kinds
-    of white space), and the numbers of the first and after the last sentence."""
+    of white space; 64 bits and 32 more), and the numbers of the first and after
+    the last sentence."""
     marks = sentences(text or "")
     split = [text[a:b].lower().split() for a, b in marks]
     sizes = map(len, split)
@@ -83,14 +84,15 @@ def runs(text: str | None, run: int = RUN, least_words: int = LEAST_WORDS
     pairs = np.r_[k[end <= len(marks)] * (len(marks) + 1) + end[end <= len(marks)],
                   first[first >= 0] * (len(marks) + 1) + k[first >= 0] + 1]
     first, end = np.divmod(np.unique(pairs), len(marks) + 1)
-    hashes = np.fromiter((xxhash.xxh64_intdigest(" ".join(s)) for s in split), _U, len(split))
-    total = np.zeros(len(first), _U)
+    digests = b"".join([xxhash.xxh3_128_digest(" ".join(s)) for s in split])
+    hashes = np.frombuffer(digests, _U).reshape(-1, 2)
+    total = np.zeros((len(first), 2), _U)
     for k in range(int((end - first).max(initial=0))):
         on = first + k < end
         mixed = (total ^ (total >> _U(29))) * _MIX[k % 4] + hashes[np.minimum(first + k, len(marks) - 1)]
-        total = np.where(on, mixed, total)
+        total = np.where(on[:, None], mixed, total)
     total = (total ^ (total >> _U(32))) * _MIX[0]
-    return total.view(np.int64), first.astype(np.int32), end.astype(np.int32)
+    return total[:, 0], (total[:, 1] >> _U(32)).astype(np.uint32), first.astype(np.int32), end.astype(np.int32)
 
 
 def without(text: str, gone: set[int]) -> str:
@@ -98,16 +100,17 @@ def without(text: str, gone: set[int]) -> str:
     return "".join(text[a:b] for k, (a, b) in enumerate(sentences(text)) if k not in gone)
 
 
-_FIELDS = (("h", np.uint64), ("none", np.uint8), ("doc_id", np.int64), ("file", np.int64), ("row", np.int64),
+_FIELDS = (("h", np.uint64), ("more", np.uint32), ("none", np.uint8), ("doc_id", np.int64), ("file", np.int64), ("row", np.int64),
            ("pos", np.int32), ("stop", np.int32))
 
 
 def _first_and_again(runs_: dict[str, np.ndarray]) -> tuple[dict[str, np.ndarray], np.ndarray]:
     """The runs in the order of their hashes and, of equal ones, of the corpus;
     and which of them are not the first of their hash."""
-    order = np.lexsort([runs_[n] for n in ("pos", "row", "file", "doc_id", "none", "h")])
+    order = np.lexsort([runs_[n] for n in ("pos", "row", "file", "doc_id", "none", "more", "h")])
     in_order = {n: v[order] for n, v in runs_.items()}
-    return in_order, np.r_[False, in_order["h"][1:] == in_order["h"][:-1]]
+    h, more = in_order["h"], in_order["more"]
+    return in_order, np.r_[False, (h[1:] == h[:-1]) & (more[1:] == more[:-1])]
 
 
 def _block(runs_: dict[str, np.ndarray]) -> bytes:
@@ -166,10 +169,10 @@ def repeated(spark: SparkSession, rows: DataFrame, run: int = RUN, least_words:
         held, n = [], 0
         for b in slices(batches, 3):
             for doc_id, file, row, text in zip(*(c.to_pylist() for c in b.columns)):
-                h, pos, stop = runs(text, run, least_words)
+                h, more, pos, stop = runs(text, run, least_words)
                 if not len(h):
                     continue
-                held.append({"h": h.view(np.uint64), "none": np.full(len(h), doc_id is None, np.uint8),
+                held.append({"h": h, "more": more, "none": np.full(len(h), doc_id is None, np.uint8),
                              "doc_id": np.full(len(h), doc_id or 0, np.int64), "file": np.full(len(h), file, np.int64),
                              "row": np.full(len(h), row, np.int64), "pos": pos, "stop": stop})
                 n += len(h)
