@@ -76,7 +76,7 @@ PHONE = (r"(?<![\w+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})[ .-]?\d{2,4}(?:[.-]\
 IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
 # Possessive: a long row of titles neither recurses nor is tried again; a match starts at the row's first title.
 _TITLES = rf"(?:(?:{TITLES})\.? )++"
-PERSON = rf"(?<!\p{{L}})(?<!(?<!\p{{L}})(?:{TITLES})\.? ){_TITLES}{_NAME}(?: {_NAME})*+"
+PERSON = rf"(?<!\p{{L}})(?=(?:{TITLES})\.? )(?<!(?<!\p{{L}})(?:{TITLES})\.? ){_TITLES}{_NAME}(?: {_NAME})*+"
 PATTERN = "|".join([SECRET, KEYS, EMAIL, IPV4, SSN, CARD, PHONE, IBAN, PERSON])
 
 
