@@ -11,8 +11,7 @@ running sum, also monotone, discounted probabilities and back-off weights as
 16-bit logarithms.
 
 Smoothing is interpolated absolute discounting down to add-0.1 unigrams, with
-one place for unknown words; n-grams seen once give their mass to the lower
-order.  Every level is counted, cut and written by Spark: tasks send sorted
+one place for unknown words; every n-gram seen is kept.  Every level is counted, cut and written by Spark: tasks send sorted
 blocks of numbers with counts for each shard, a shard merges its blocks.
 """
 
@@ -35,8 +34,8 @@ from stratum.session import scratch_path
 
 ORDER = 3
 ADD = 0.1
-#: n-grams of order 2 and more are kept from this count on.
-LEAST = 2
+#: n-grams of order 2 and more are kept from this count on: all of them.
+LEAST = 1
 #: Tokens that a task counts, or scores, at a time; tokens for each shard of a level.
 CHUNK = 1 << 19
 SHARD = 1 << 21
@@ -223,18 +222,36 @@ class Level:
         return restored(self._gather(ranks, lambda s, i: _mapped(self.probs[s])["prob"][i], np.uint16))
 
 
-def _unique(values: np.ndarray, valid: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    different, inverse = np.unique(values[valid], return_inverse=True)
-    return different, inverse
+class Looked:
+    """What is known of the n-grams at some places: the different ones looked up
+    once, in ascending order, for all that is asked about them."""
+
+    def __init__(self, values: np.ndarray, valid: np.ndarray, find: Callable[[np.ndarray], np.ndarray] | None = None):
+        self.valid = valid
+        different, self.inverse = np.unique(values[valid], return_inverse=True)
+        self.ranks = find(different) if find else different
+        self.known = self.ranks >= 0
+        self.rank = self.of(lambda r: r, -1, np.int64)
+
+    def of(self, fn: Callable[[np.ndarray], np.ndarray], fill, dtype) -> np.ndarray:
+        """``fn`` of the ranks, by place; ``fill`` where there is none."""
+        own = np.full(len(self.ranks), fill, dtype)
+        if self.known.any():
+            own[self.known] = fn(self.ranks[self.known])
+        out = np.full(len(self.valid), fill, dtype)
+        out[self.valid] = own[self.inverse]
+        return out
 
 
-def _apply(values: np.ndarray, valid: np.ndarray, fn, fill, dtype) -> np.ndarray:
-    """``fn`` of the different values, ascending; ``fill`` where not valid."""
-    out = np.full(len(values), fill, dtype)
-    different, inverse = _unique(values, valid)
-    if len(different):
-        out[valid] = fn(different)[inverse]
-    return out
+def _ascending(values: np.ndarray, fn: Callable[[np.ndarray], np.ndarray]) -> np.ndarray:
+    """``fn`` of each of some ascending values."""
+    new = np.r_[True, values[1:] != values[:-1]]
+    return fn(values[new])[np.cumsum(new) - 1]
+
+
+def _shifted(values: np.ndarray, fill) -> np.ndarray:
+    """Each place's value at the next one."""
+    return np.r_[np.array([fill], values.dtype), values[:-1]]
 
 
 @dataclass
@@ -250,49 +267,45 @@ class Model:
     def unigram(self, counts: np.ndarray) -> np.ndarray:
         return (counts + ADD) / (self.tokens + ADD * (self.words + 1))
 
-    def keys(self, n: int, ranks: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    def keys(self, n: int, below: list[Looked]) -> tuple[np.ndarray, np.ndarray]:
         """The number of the n-gram that ends at each place, and where there
-        can be one.  ``ranks[k]``: rank of the (k+1)-gram ending there, or -1.
-        Texts follow one another; each starts after an end, which is the only
-        context of its first word."""
-        level = self.levels[n - 1]
-        context = np.r_[-1, ranks[n - 2][:-1]]
-        if n > 2:
-            context[np.r_[True, ranks[0][:-1] == self.end]] = -1
-        last = ranks[n - 2]
+        can be one.  ``below[k]``: the (k+1)-grams that end there.  Texts follow
+        one another; each starts after an end, which is the only context of its
+        first word."""
+        level, last = self.levels[n - 1], below[n - 2].rank
+        context = self.context(n, below)
         valid = (context >= 0) & (last >= 0)
         relative = last
         if n > 2:
-            middle = np.r_[-1, ranks[n - 3][:-1]]
-            below = self.levels[n - 3]
-            relative = last - _apply(middle, valid, below.pointers, 0, np.int64)
+            relative = last - _shifted(below[n - 3].of(self.levels[n - 3].pointers, 0, np.int64), 0)
         keys = np.zeros(len(last), _U)
         keys[valid] = context[valid].astype(_U) * _U(level.width) + relative[valid].astype(_U)
         return keys, valid
 
-    def ranks(self, ids: np.ndarray, upto: int) -> list[np.ndarray]:
-        """For orders 1 to ``upto`` the ranks of the n-grams at each place."""
-        out = [ids]
+    def context(self, n: int, below: list[Looked]) -> np.ndarray:
+        """Rank of the n-1 words before each place, -1 without."""
+        out = _shifted(below[n - 2].rank, -1)
+        if n > 2:
+            out[np.r_[True, below[0].rank[:-1] == self.end]] = -1
+        return out
+
+    def look(self, ids: np.ndarray, upto: int) -> list[Looked]:
+        """For orders 1 to ``upto`` the n-grams at each place."""
+        out = [Looked(ids, ids >= 0)]
         for n in range(2, upto + 1):
-            keys, valid = self.keys(n, out)
-            out.append(_apply(keys, valid, self.levels[n - 1].find, -1, np.int64))
+            out.append(Looked(*self.keys(n, out), self.levels[n - 1].find))
         return out
 
     def probabilities(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(model, base) probability of each place of texts laid end to end,
         the first place being an end before the first text."""
-        known = ids >= 0
-        counts = _apply(ids, known, self.levels[0].counts, 0, np.int64)
-        base = self.unigram(counts)
+        grams = self.look(ids, len(self.levels))
+        base = self.unigram(grams[0].of(self.levels[0].counts, 0, np.int64))
         p = base.copy()
-        ranks = self.ranks(ids, len(self.levels))
         for n in range(2, len(self.levels) + 1):
-            context = np.r_[-1, ranks[n - 2][:-1]]
-            if n > 2:
-                context[np.r_[True, ids[:-1] == self.end]] = -1
-            back = _apply(context, context >= 0, self.levels[n - 2].backoffs, 1.0, float)
-            own = _apply(ranks[n - 1], ranks[n - 1] >= 0, self.levels[n - 1].discounted, 0.0, float)
-            p = own + back * p
+            back = _shifted(grams[n - 2].of(self.levels[n - 2].backoffs, 1.0, float), 1.0)
+            back[self.context(n, grams) < 0] = 1.0
+            p = grams[n - 1].of(self.levels[n - 1].discounted, 0.0, float) + back * p
         return p, base
 
 
@@ -340,7 +353,7 @@ def _identified(docs: DataFrame, level: Level) -> DataFrame:
         for b in slices(batches, 2):
             texts = [hashes(t) for t in binaries(b.column(2))]
             all_ = np.concatenate(texts)
-            ids = _apply(all_, np.ones(len(all_), bool), level.find, -1, np.int64).astype(np.int32)
+            ids = Looked(all_, np.ones(len(all_), bool), level.find).rank.astype(np.int32)
             parts = np.split(ids, np.cumsum([len(t) for t in texts])[:-1])
             yield pa.RecordBatch.from_arrays([*b.columns[:2], pa.array([p.tobytes() for p in parts], pa.binary())],
                                              ["doc_id", "held_out", "ids"])
@@ -357,8 +370,7 @@ def _count_level(spark: SparkSession, ids: DataFrame, model: Model, n: int, base
 
     def shard_of(keys):
         context, relative = (keys // _U(width)).astype(np.int64), keys % _U(width)
-        start = _apply(context, np.ones(len(keys), bool), below.totals, 0, np.int64)
-        count = _apply(context, np.ones(len(keys), bool), below.counts, 0, np.int64)
+        start, count = _ascending(context, below.totals), _ascending(context, below.counts)
         place = start + count * (relative / float(width))
         return np.minimum((place * (shards / share)).astype(np.int64), shards - 1)
 
@@ -366,7 +378,7 @@ def _count_level(spark: SparkSession, ids: DataFrame, model: Model, n: int, base
         texts = (x for b in batches for x in _arrays(b.column(0)))
         for chunk in _chunks(texts):
             rows: list = []
-            keys, valid = model.keys(n, model.ranks(np.r_[model.end, chunk].astype(np.int64), n - 1))
+            keys, valid = model.keys(n, model.look(np.r_[model.end, chunk].astype(np.int64), n - 1))
             _counted(keys[valid], shard_of, rows)
             if rows:
                 yield _blocks(rows)
@@ -389,7 +401,7 @@ def _finish(spark: SparkSession, model: Model, n: int, base: str) -> None:
         ranks = np.arange(size) + upper.starts[shard]
         keys = _sequence(path, "keys").access(np.arange(size)) + upper.firsts[shard]
         context = (keys // _U(upper.width)).astype(np.int64)
-        own = (upper.counts(ranks) - upper.discount) / _apply(context, np.ones(size, bool), lower.counts, 1, np.int64)
+        own = (upper.counts(ranks) - upper.discount) / _ascending(context, lower.counts)
         out = unique_file(base, f"probs{n}", ".bin")
         save_arrays(out, {"prob": quantised(own)})
         return out, 0

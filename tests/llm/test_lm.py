@@ -21,7 +21,7 @@ def tokens(text):
 
 
 class Slow:
-    def __init__(self, texts, order=3, least=2):
+    def __init__(self, texts, order=3, least=1):
         grams = [Counter() for _ in range(order + 1)]
         for t in texts:
             w = [None, *tokens(t)]
