@@ -7,16 +7,19 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stratum.operators import marts
-from stratum.sources.layers import read_silver, write_gold
+from stratum.operators.marts import goal_vs_result, indicator_by_entity, region_evolution
+from stratum.sources.layers import read_gold, read_silver, write_gold
 from stratum.sources.metrics import RunMetric, append_metrics, observed_write
+from stratum.sources.versions import current, is_published, publish
 from stratum.spec import DEFAULT_SPEC, IndicatorSpec
 
+Mart = Callable[[DataFrame, IndicatorSpec], DataFrame]
+
 # Names of the three marts.
-MARTS: dict[str, Callable[[DataFrame, IndicatorSpec], DataFrame]] = {
-    "gold_indicador_por_municipio": marts.indicator_by_entity,
-    "gold_meta_vs_resultado": marts.goal_vs_result,
-    "gold_evolucao_temporal_uf": marts.region_evolution,
+MARTS: dict[str, Mart] = {
+    "gold_indicador_por_municipio": indicator_by_entity,
+    "gold_meta_vs_resultado": goal_vs_result,
+    "gold_evolucao_temporal_uf": region_evolution,
 }
 
 
@@ -26,9 +29,11 @@ def mart_path(base: str, name: str) -> str:
 
 def build_gold(spark: SparkSession, silver_path: str, gold_base: str,
                spec: IndicatorSpec = DEFAULT_SPEC, *, processed_at: bool = True,
-               metrics: str | None = None) -> list[RunMetric]:
-    """Write every mart; each is counted during its own write, and with
-    ``metrics`` its record stored there as it ends.
+               metrics: str | None = None, marts: dict[str, Mart] = MARTS) -> list[RunMetric]:
+    """Write every mart of a new version of ``gold_base``; each is counted
+    during its own write, and with ``metrics`` its record stored there as it
+    ends.  The version is published when all are written: marts are always read
+    as one run left them.
 
     The marts are independent: their jobs are submitted side by side.
 
@@ -38,24 +43,26 @@ def build_gold(spark: SparkSession, silver_path: str, gold_base: str,
     """
     silver = read_silver(spark, silver_path, spec, processed_at=processed_at)
 
-    def write(name: str) -> RunMetric:
-        metric = observed_write(MARTS[name](silver, spec), lambda d: write_gold(d, mart_path(gold_base, name)),
+    def write(folder: str, name: str) -> RunMetric:
+        metric = observed_write(marts[name](silver, spec), lambda d: write_gold(d, mart_path(folder, name)),
                                 job=f"build_{name}", layer="gold")
         if metrics:
             append_metrics(spark, [metric], metrics)
         return metric
 
-    with ThreadPoolExecutor(max_workers=len(MARTS)) as pool:
-        return list(pool.map(write, MARTS))
+    def write_all(folder: str) -> list[RunMetric]:
+        with ThreadPoolExecutor(max_workers=len(marts)) as pool:
+            return list(pool.map(lambda name: write(folder, name), marts))
+
+    return publish(spark, gold_base, write_all)
 
 
 def written_marts(spark: SparkSession, gold_base: str) -> set[str]:
-    """Names of the marts whose write has been committed."""
-    jvm = spark.sparkContext._jvm
-    done = {name: jvm.org.apache.hadoop.fs.Path(f"{mart_path(gold_base, name)}/_SUCCESS") for name in MARTS}
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    return {name for name, path in done.items() if path.getFileSystem(conf).exists(path)}
+    """Names of the marts that can be read: all once a version is published."""
+    return set(MARTS) if is_published(spark, gold_base) else set()
 
 
 def read_marts(spark: SparkSession, gold_base: str) -> dict[str, DataFrame]:
-    return {name: spark.read.parquet(mart_path(gold_base, name)) for name in MARTS}
+    """The marts of the current version, all of one run."""
+    folder = current(spark, gold_base)
+    return {name: read_gold(spark, mart_path(folder, name)) for name in MARTS}

@@ -203,6 +203,17 @@ SELECT id_municipio, ano,
        TRY_CAST(percentual_alfabetizado AS DOUBLE) IS NULL AS percentual_alfabetizado_era_nulo
 FROM raw""",
     "silver_partition_roundtrip": with_silver("SELECT * FROM silver"),
+    "silver_read_during_write": with_silver_all("SELECT * FROM silver"),
+    "gold_marts_of_one_run": with_silver_all("""
+SELECT run, mart, rows FROM (
+  SELECT 'after a broken rebuild' AS run, 'gold_indicador_por_municipio' AS mart, COUNT(*) AS rows FROM silver
+  UNION ALL SELECT 'after a broken rebuild', 'gold_meta_vs_resultado', COUNT(*) FROM silver
+  UNION ALL SELECT 'after a broken rebuild', 'gold_evolucao_temporal_uf', COUNT(*)
+    FROM (SELECT DISTINCT sigla_uf, nome_uf, ano FROM silver)
+  UNION ALL SELECT 'after a rebuild', 'gold_indicador_por_municipio', COUNT(*) FROM silver WHERE ano >= 1997
+  UNION ALL SELECT 'after a rebuild', 'gold_meta_vs_resultado', COUNT(*) FROM silver WHERE ano >= 1997
+  UNION ALL SELECT 'after a rebuild', 'gold_evolucao_temporal_uf', COUNT(*)
+    FROM (SELECT DISTINCT sigla_uf, nome_uf, ano FROM silver WHERE ano >= 1997)) r"""),
     "gold_marts_roundtrip": with_silver_all(MARTS_ROWS),
     "dq_duplicates": """
 SELECT 'verificacao_duplicidade' AS check_name, SUM(n) - COUNT(*) = 0 AS passed,

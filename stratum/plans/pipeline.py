@@ -2,7 +2,9 @@
 ingest every source -> Silver (written) -> quality gate -> Gold.
 
 The gate runs after the Silver write and before Gold: a critical failure
-leaves the new Silver in place but does not rebuild Gold.  Each job's metric is
+leaves the new Silver in place but does not rebuild Gold.  Silver and Gold are
+published by version: while one is rebuilt, or after a build that died, readers
+have the version before.  Each job's metric is
 stored as the job ends, so a later failure loses none.
 """
 

@@ -190,6 +190,57 @@ def silver_partition_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_silver(spark, path, processed_at=False)
 
 
+def _breaking(df: DataFrame) -> DataFrame:
+    """The rows of ``df``; those of the last period raise when they are computed."""
+    last = df.agg(F.max(S.period).alias("last"))
+    broken = F.when(F.col(S.period) == F.col("last"), F.raise_error(F.lit("lost"))).otherwise(F.col(S.rate))
+    return df.join(F.broadcast(last)).withColumn(S.rate, broken.cast("double")).drop("last")  # one row
+
+
+@register
+def silver_read_during_write(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A second Silver dies half-way, its first periods written: readers still
+    have all rows of the first one."""
+    rows = silver(spark, sf_dir)
+    path = write_silver(rows, scratch_path(spark, "silver"))
+    try:
+        write_silver(_breaking(rows), path)
+    except Exception as err:  # noqa: BLE001 - the planted failure, whatever the task wraps it in
+        if "lost" not in str(err):
+            raise
+    else:
+        raise AssertionError("the second write should have failed")
+    return read_silver(spark, path, processed_at=False)
+
+
+@register
+def gold_marts_of_one_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gold of one Silver, then a rebuild from another one that dies after two
+    of three marts: rows per mart are still those of the first run, and after a
+    rebuild that ends, those of the second."""
+    gold_base = scratch_path(spark, "gold")
+    rows = silver(spark, sf_dir)
+    first = write_silver(rows, scratch_path(spark, "silver"))
+    second = write_silver(rows.where(F.col(S.period) >= LATER_FROM_PERIOD), scratch_path(spark, "silver"))
+
+    def found(run: str) -> list[DataFrame]:
+        return [df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(run).alias("run"), F.lit(name).alias("mart"), "rows")
+                for name, df in read_marts(spark, gold_base).items()]
+
+    def die(df: DataFrame, spec) -> DataFrame:
+        raise RuntimeError("lost")
+
+    build_gold(spark, first, gold_base, processed_at=False)
+    try:
+        build_gold(spark, second, gold_base, processed_at=False,
+                   marts={**MARTS, "gold_evolucao_temporal_uf": die})
+    except RuntimeError:
+        pass
+    parts = found("after a broken rebuild")
+    build_gold(spark, second, gold_base, processed_at=False)
+    return reduce(lambda a, b: a.unionByName(b), parts + found("after a rebuild"))
+
+
 @register
 def gold_marts_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All marts built from one written Silver; rows per mart read back."""

@@ -2,7 +2,9 @@
 
 Silver is partitioned by (period, region) and read back with an explicit
 schema, so partition columns keep their types (a numeric-looking region code
-stays a string) and a NULL region comes back as NULL.
+stays a string) and a NULL region comes back as NULL.  Both layers are published by
+version (:mod:`stratum.sources.versions`): a path here is the layer's base, and
+readers resolve its current version.
 """
 
 from __future__ import annotations
@@ -10,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from stratum.sources.versions import current, publish
 from stratum.spec import DEFAULT_SPEC, IndicatorSpec
 
 
@@ -57,12 +60,17 @@ def silver_partitions(spec: IndicatorSpec = DEFAULT_SPEC) -> list[str]:
 
 
 def write_silver(df: DataFrame, path: str, spec: IndicatorSpec = DEFAULT_SPEC, *, dealt: bool = False) -> str:
-    return write_partitioned(df, path, silver_partitions(spec), dealt=dealt)
+    """A new version of the whole table, current once it is written; a reader
+    meanwhile, or after a write that failed, has the version before."""
+    publish(df.sparkSession, path, lambda folder: write_partitioned(df, folder, silver_partitions(spec), dealt=dealt))
+    return path
 
 
 def read_silver(spark: SparkSession, path: str, spec: IndicatorSpec = DEFAULT_SPEC, *,
                 processed_at: bool = True) -> DataFrame:
-    return spark.read.schema(silver_schema(spec, processed_at=processed_at)).parquet(path)
+    """The current version; the DataFrame goes on reading it when another one
+    is published."""
+    return spark.read.schema(silver_schema(spec, processed_at=processed_at)).parquet(current(spark, path))
 
 
 def write_gold(df: DataFrame, path: str) -> str:

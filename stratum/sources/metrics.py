@@ -6,15 +6,21 @@ plan runs once, instead of a ``count()`` followed by the write.
 
 from __future__ import annotations
 
-import threading
+import io
 import time
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
+
+from stratum.sources.files import write_file
 
 METRIC_SCHEMA = T.StructType([
     T.StructField("job", T.StringType()),
@@ -25,9 +31,6 @@ METRIC_SCHEMA = T.StructType([
 ])
 
 
-_appending = threading.Lock()
-
-
 @dataclass
 class RunMetric:
     job: str
@@ -63,7 +66,13 @@ def timed(job: str, layer: str, rows: int, start: float) -> RunMetric:
 
 
 def append_metrics(spark: SparkSession, metrics: list[RunMetric], path: str) -> str:
-    """Append the records; jobs that end side by side take turns."""
-    with _appending:
-        metrics_frame(spark, metrics).coalesce(1).write.mode("append").parquet(path)
+    """One more file of the metrics table: a few records go straight to the
+    file system, without a Spark job, and jobs that end side by side don't wait
+    for each other."""
+    columns = list(zip(*(m.as_row() for m in metrics))) or [()] * len(METRIC_SCHEMA)
+    schema = to_arrow_schema(METRIC_SCHEMA)
+    table = pa.table([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+    out = io.BytesIO()
+    pq.write_table(table, out, compression="snappy")
+    write_file(spark, f"{path.rstrip('/')}/part-{uuid.uuid4().hex}.snappy.parquet", out.getvalue())
     return path

@@ -23,6 +23,7 @@ many of them as it takes, and stops.
 
 from __future__ import annotations
 
+import contextlib
 import uuid
 from dataclasses import dataclass, field
 
@@ -31,6 +32,8 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stratum.sources.files import FileTakenError, read_file, write_file
+
 CORRUPT = "_corrupt_record"
 RAW = "_raw"
 BATCH = "_lote"
@@ -155,18 +158,11 @@ def malformed_events(parsed: DataFrame, cfg: StreamConfig) -> DataFrame:
 def writer_id(spark: SparkSession, cfg: StreamConfig) -> str:
     """An id that stays with the checkpoint: made up on the first run and kept
     in a file beside it (on the checkpoint's own file system)."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(f"{cfg.checkpoint.rstrip('/')}/writer-id")
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(path):
-        out = fs.create(path, False)
-        out.write(bytearray(uuid.uuid4().hex[:12].encode()))
-        out.close()
-    source = fs.open(path)
-    try:
-        return bytes(source.readAllBytes()).decode()
-    finally:
-        source.close()
+    path = f"{cfg.checkpoint.rstrip('/')}/writer-id"
+    with contextlib.suppress(FileTakenError):
+        if read_file(spark, path) is None:
+            write_file(spark, path, uuid.uuid4().hex[:12].encode())
+    return read_file(spark, path).decode()
 
 
 def _write_idempotent(frame: DataFrame, path: str, cfg: StreamConfig, batch: str) -> int:

@@ -17,6 +17,7 @@ from stratum.operators import reporting as rp
 from stratum.operators.cleaning import normalize_keys
 from stratum.plans import pipeline as pl
 from stratum.plans import testbed as tb
+from stratum.plans.gold import read_marts
 from stratum.session import scratch_path
 from stratum.sources.layers import write_partitioned
 from stratum.sources.registry import SourceRegistry
@@ -45,7 +46,7 @@ def test_whole_pipeline_under_other_names(spark):
         "meta_municipio": lambda s: s.createDataFrame([("1", 40.0), ("2", 70.0)], "store string, target_2024 double")})
     res = pl.run_pipeline(spark, reg, scratch_path(spark, "named"), "2024-01-01", spec, report=lambda _m: None)
     assert res.gate_passed and res.gold_written
-    mart = spark.read.parquet(f"{res.layout.gold}/gold_meta_vs_resultado")
+    mart = read_marts(spark, res.layout.gold)["gold_meta_vs_resultado"]
     assert sorted((r.store, r.yr, r.gap, r.hit) for r in mart.collect()) == [("1", 2024, 10.0, True), ("2", 2024, -10.0, False)]
 
 
