@@ -54,6 +54,8 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     p.add_argument("--date", help="ingestion date YYYY-MM-DD (ingest, run)")
     p.add_argument("--landing", help="stream: folder of incoming JSON lines")
     p.add_argument("--schema", help="stream: fields of an event as DDL (default: any JSON object, fields as a map)")
+    p.add_argument("--max-messages", type=int, help="stream: end a micro-batch at so many messages ...")
+    p.add_argument("--max-seconds", type=float, default=60.0, help="... or so long after its first one")
     p.add_argument("--input-bytes", type=int, help="size shuffles for this much input ...")
     p.add_argument("--cores", type=int, help="... on this many cores")
     p.add_argument("--seconds", type=float, help="stream: run continuously this long (default: drain and stop)")
@@ -94,7 +96,8 @@ def main(argv: list[str] | None = None, spark=None) -> int:
         cfg = StreamConfig(landing=a.landing, bronze=f"{layout.bronze}/eventos",
                            quarantine=f"{layout.bronze}/eventos_quarentena",
                            checkpoint=f"{layout.base}/_checkpoints/eventos",
-                           schema=T.StructType.fromDDL(a.schema) if a.schema else None)
+                           schema=T.StructType.fromDDL(a.schema) if a.schema else None,
+                           max_messages=a.max_messages, max_seconds=a.max_seconds)
         print(json.dumps(run_stream(spark, layout, cfg, a.seconds).__dict__))
     elif a.stage == "report":
         # like the reference's dashboard: everything from the stored Gold marts

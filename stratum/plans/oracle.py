@@ -354,6 +354,12 @@ FROM r WHERE ano = (SELECT MAX(ano) FROM r)""",
 SELECT 'bronze' AS layer, 'event' AS kind, COUNT(*) AS rows FROM events
 UNION ALL SELECT 'quarantine', k, COUNT(*) * n
   FROM events, (VALUES ('trailing', 1), ('twice', 1), ('list', 1), ('cut', 1), ('blank', 2)) x(k, n) GROUP BY k, n""",
+    "stream_count_bound": """
+WITH w AS (SELECT COUNT(*) FILTER (WHERE ts < TIMESTAMP '2024-01-16') AS a, COUNT(*) AS n FROM events),
+r AS (SELECT 1 AS run, a AS rows, CAST(ceil(a / 500) AS BIGINT) AS batches, least(a, 500) AS largest FROM w
+      UNION ALL SELECT 2, a, CAST(ceil(a / 500) AS BIGINT), least(a, 500) FROM w
+      UNION ALL SELECT 3, n, CAST(ceil(a / 500) + ceil((n - a) / 500) AS BIGINT), greatest(least(a, 500), least(n - a, 500)) FROM w)
+SELECT run, rows, batches, largest FROM r""",
     "stream_two_checkpoints": "SELECT event_id, event_type FROM events",
     "stream_many_batches": "SELECT COUNT(*) AS counted, COUNT(*) AS stored, true AS over_100_batches FROM events",
     "pipeline_from_microdata": with_silver_all("SELECT * FROM gold_goal", GOLD_GOAL),

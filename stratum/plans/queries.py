@@ -30,7 +30,7 @@ from stratum.sources.bronze import read_bronze, write_snapshot
 from stratum.sources.layers import read_silver, write_silver
 from stratum.sources.registry import SourceRegistry
 from stratum.spec import DEFAULT_SPEC as S
-from stratum.streaming.events import RAW, StreamConfig, drain, events_as_json, land
+from stratum.streaming.events import BATCH, RAW, StreamConfig, drain, events_as_json, land
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -526,6 +526,26 @@ def stream_many_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored.select(F.lit(d.rows_in).cast("long").alias("counted"), "stored", "over_100_batches")
 
 
+@register
+def stream_count_bound(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Micro-batches of at most 500 messages: stored rows, batches and the
+    largest one after a drain, after a rerun that finds nothing, and after a
+    second wave."""
+    cfg = replace(_stream_cfg(spark), max_messages=500)
+    events = tb.table(spark, sf_dir, "events")
+    early = F.col("ts") < F.lit(SECOND_WAVE_FROM).cast("timestamp_ntz")
+    parts = []
+    for run, wave in ((1, events.filter(early)), (2, None), (3, events.filter(~early))):
+        if wave is not None:
+            land(events_as_json(wave), cfg.landing, f"batch-{run}")
+        drain(spark, cfg)
+        sizes = spark.read.parquet(cfg.bronze).groupBy(BATCH).agg(F.count(F.lit(1)).alias("n"))
+        parts.append(sizes.agg(F.sum("n").alias("rows"), F.count(F.lit(1)).alias("batches"),
+                               F.max("n").alias("largest")).first())
+    return spark.createDataFrame([(i + 1, *p) for i, p in enumerate(parts)],
+                                 "run int, rows long, batches long, largest long")
+
+
 # ---------------------------------------------------------------- pipeline
 
 @register

@@ -60,7 +60,7 @@ class _Arrow:
 
     def _path(self, path: str) -> str:
         from pyarrow import fs
-        return "/" + path.removeprefix("file:").lstrip("/") if self.local else fs.FileSystem.from_uri(path)[1]
+        return "/" + path.removeprefix("file:").strip("/") if self.local else fs.FileSystem.from_uri(path)[1]
 
     def _kind(self, path: str) -> str:
         return self.fs.get_file_info(self._path(path)).type.name
@@ -76,6 +76,25 @@ class _Arrow:
         self.fs.move(self._path(source), self._path(target))
         return True
 
+    def replace(self, source: str, target: str) -> None:
+        self.fs.create_dir(self._path(target.rsplit("/", 1)[0]), recursive=True)
+        if not self.local and self._kind(target) == "File":
+            self.fs.delete_file(self._path(target))
+        self.fs.move(self._path(source), self._path(target))
+
+    def size(self, path: str) -> int:
+        return self.fs.get_file_info(self._path(path)).size
+
+    def files_below(self, folder: str) -> list[str]:
+        """Paths of the files in a folder and its subfolders, without hidden ones."""
+        from pyarrow import fs
+        if self._kind(folder) != "Directory":
+            return []
+        root, base = folder.rstrip("/"), self._path(folder).rstrip("/")
+        below = [i.path[len(base) + 1:] for i in self.fs.get_file_info(fs.FileSelector(self._path(folder), recursive=True))
+                 if i.type.name == "File"]
+        return [f"{root}/{b}" for b in below if not any(part.startswith((".", "_")) for part in b.split("/"))]
+
     def read(self, path: str) -> bytes | None:
         if self._kind(path) != "File":
             return None

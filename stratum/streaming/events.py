@@ -17,15 +17,16 @@ named by an id kept beside the checkpoint and their number: a new checkpoint
 starts numbers again, but under another id, and replaces nothing.  The
 ingestion timestamp is the micro-batch timestamp, which the checkpoint also
 keeps, so a replay lands in the same partition.  Micro-batches are bounded by
-bytes (files) or offsets (Kafka); ``available_now`` drains what is there, in as
-many of them as it takes, and stops.
+bytes or messages (files) or offsets (Kafka); ``available_now`` drains what is
+there, in as many of them as it takes, and stops.
 """
 
 from __future__ import annotations
 
 import contextlib
+import threading
 import uuid
-from dataclasses import dataclass, field
+from dataclasses import astuple, dataclass, field, replace
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -33,6 +34,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stratum.sources.files import FileTakenError, read_file, write_file
+from stratum.streaming.landing import NAME as LANDED_LINES
+from stratum.streaming.landing import LandedLines
 
 CORRUPT = "_corrupt_record"
 RAW = "_raw"
@@ -65,6 +68,10 @@ class StreamConfig:
     # executors), and the trigger interval when running continuously.
     max_bytes_per_trigger: int = 1 << 30
     trigger_interval: str = "60 seconds"
+    # With ``max_messages``, landed files are read by the line instead: a
+    # micro-batch ends at so many messages, or ``max_seconds`` after its first.
+    max_messages: int | None = None
+    max_seconds: float = 60.0
     # file source housekeeping: "archive" (to ``archive_dir``) or "delete"
     # processed files, so listing the landing folder stays cheap over time
     clean_source: str | None = None
@@ -98,6 +105,13 @@ def read_messages(spark: SparkSession, cfg: StreamConfig) -> DataFrame:
                 .option("maxTriggerDelay", cfg.max_trigger_delay)
                 .load()
                 .select(F.col("value").cast("string").alias(RAW)))
+    if cfg.max_messages:
+        spark.dataSource.register(LandedLines)
+        return (spark.readStream.format(LANDED_LINES)
+                .option("log", f"{cfg.checkpoint.rstrip('/')}/landed")
+                .option("max_messages", cfg.max_messages)
+                .option("max_seconds", cfg.max_seconds)
+                .load(cfg.landing).select(F.col("value").alias(RAW)))
     reader = (spark.readStream.format("text")
               .option("maxBytesPerTrigger", cfg.max_bytes_per_trigger)
               .option("recursiveFileLookup", "true"))
@@ -189,18 +203,29 @@ def _batch_writer(cfg: StreamConfig, writer: str, counts: Counts):
     return write
 
 
-def _trigger(writer, available_now: bool, interval: str):
-    return writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=interval)
+#: How often a source that is bounded by messages looks for more.
+POLL = "1 second"
+
+
+def _trigger(writer, available_now: bool, cfg: StreamConfig):
+    """Drained by the message, a batch follows the other at once until there is
+    none left (:func:`drain` stops the query)."""
+    if available_now and not cfg.max_messages:
+        return writer.trigger(availableNow=True)
+    interval = cfg.trigger_interval if not cfg.max_messages else "0 seconds" if available_now else POLL
+    return writer.trigger(processingTime=interval)
 
 
 def start(spark: SparkSession, cfg: StreamConfig, *, available_now: bool = True, counts: Counts | None = None):
     """Start the ingest query.  ``counts`` (if given) receives, per
     micro-batch id, the rows written to Bronze and to quarantine."""
+    if available_now:
+        cfg = replace(cfg, max_seconds=0)  # what is there doesn't wait for more
     stream = with_audit(parse(read_messages(spark, cfg), cfg.schema), cfg)
     writer = (stream.writeStream
               .option("checkpointLocation", f"{cfg.checkpoint.rstrip('/')}/events")
               .foreachBatch(_batch_writer(cfg, writer_id(spark, cfg), counts if counts is not None else {})))
-    return _trigger(writer, available_now, cfg.trigger_interval).start()
+    return _trigger(writer, available_now, cfg).start()
 
 
 @dataclass
@@ -216,6 +241,22 @@ class DrainResult:
         return cls(bronze + quarantine, bronze, quarantine)
 
 
+def _until_idle(q, timeout_s: float | None) -> None:
+    """Wait until a trigger finds no more messages, then stop."""
+    late = threading.Event()
+    if timeout_s is not None:
+        timer = threading.Timer(timeout_s, lambda: (late.set(), q.stop()))
+        timer.start()
+    try:
+        q.processAllAvailable()
+    finally:
+        if timeout_s is not None:
+            timer.cancel()
+        q.stop()
+    if late.is_set():
+        raise TimeoutError(f"stream {q.id} still running after {timeout_s}s")
+
+
 def drain(spark: SparkSession, cfg: StreamConfig, timeout_s: float | None = None) -> DrainResult:
     """Process everything that has landed, however long it takes, then stop;
     with ``timeout_s``, stop and raise after that time.
@@ -227,7 +268,9 @@ def drain(spark: SparkSession, cfg: StreamConfig, timeout_s: float | None = None
     counts: Counts = {}
     q = start(spark, cfg, available_now=True, counts=counts)
     try:
-        if timeout_s is None:
+        if cfg.max_messages:
+            _until_idle(q, timeout_s)
+        elif timeout_s is None:
             q.awaitTermination()
         elif not q.awaitTermination(timeout_s):
             raise TimeoutError(f"stream {q.id} still running after {timeout_s}s")
@@ -242,14 +285,20 @@ def drain(spark: SparkSession, cfg: StreamConfig, timeout_s: float | None = None
 def run_for(spark: SparkSession, cfg: StreamConfig, seconds: float) -> DrainResult:
     """Continuous ingest on the processing-time trigger for at most
     ``seconds``, then a clean stop (the checkpoint keeps the position; the
-    next run resumes from it).  The rows of the micro-batches that ended."""
+    next run resumes from it).  The rows of the micro-batches that ended.
+    Messages that were still waiting for more (``max_messages``) are written at
+    the end."""
     counts: Counts = {}
     q = start(spark, cfg, available_now=False, counts=counts)
     try:
         q.awaitTermination(seconds)
     finally:
         q.stop()
-    return DrainResult.of(counts)
+    done = DrainResult.of(counts)
+    if cfg.max_messages:
+        last = drain(spark, cfg)
+        done = DrainResult(*(a + b for a, b in zip(astuple(done), astuple(last))))
+    return done
 
 
 def events_as_json(events: DataFrame, schema: T.StructType = EVENT_SCHEMA) -> DataFrame:
