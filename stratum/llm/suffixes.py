@@ -41,7 +41,7 @@ COVER = 32
 SEGMENT = 256
 PIECE = 1 << 18
 CHUNK = 16_000_000
-SHARD_BYTES = 16_000_000
+SHARD_BYTES = 8_000_000
 BUCKET = 1_000_000
 
 _U = np.uint64
@@ -392,7 +392,7 @@ def _repeated_anchors(spark: SparkSession, rows: DataFrame, length: int, shards:
         return pa.table({"n": [len(tags)]})
 
     told = rows.mapInArrow(tell, "shard long, chunk string, tags binary")
-    back = told.groupBy("shard").applyInArrow(join, "chunk string, tags binary")
+    back = told.repartition(shards, "shard").groupBy("shard").applyInArrow(join, "chunk string, tags binary")
     back.groupBy("chunk").applyInArrow(write, "n long").agg(F.sum("n")).collect()
     return base
 
@@ -451,7 +451,7 @@ def repeated_spans(spark: SparkSession, rows: DataFrame, length: int = LENGTH, c
         return pa.concat_tables(out)
 
     sent = rows.mapInArrow(send, "shard long, block binary, spans binary")
-    return sent.groupBy("shard").applyInArrow(sort, _SPANS)
+    return sent.repartition(shards, "shard").groupBy("shard").applyInArrow(sort, _SPANS)
 
 
 def _shard_spans(block: pa.Table, length: int, bucket: int) -> pa.Table:
