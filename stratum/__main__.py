@@ -53,7 +53,7 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     p.add_argument("--table", default="all", help="ingest: one logical key or 'all'")
     p.add_argument("--date", help="ingestion date YYYY-MM-DD (ingest, run)")
     p.add_argument("--landing", help="stream: folder of incoming JSON lines")
-    p.add_argument("--schema", help="stream: fields of an event as DDL (default: any JSON object, fields as a map)")
+    p.add_argument("--schema", help="stream: fields of an event as DDL (default: any JSON object, fields as a VARIANT)")
     p.add_argument("--max-messages", type=int, help="stream: end a micro-batch at so many messages ...")
     p.add_argument("--max-seconds", type=float, default=60.0, help="... or so long after its first one")
     p.add_argument("--input-bytes", type=int, help="size shuffles for this much input ...")

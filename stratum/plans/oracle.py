@@ -360,6 +360,9 @@ r AS (SELECT 1 AS run, a AS rows, CAST(ceil(a / 500) AS BIGINT) AS batches, leas
       UNION ALL SELECT 2, a, CAST(ceil(a / 500) AS BIGINT), least(a, 500) FROM w
       UNION ALL SELECT 3, n, CAST(ceil(a / 500) + ceil((n - a) / 500) AS BIGINT), greatest(least(a, 500), least(n - a, 500)) FROM w)
 SELECT run, rows, batches, largest FROM r""",
+    "stream_nested_events": """
+SELECT event_id, user_id, event_type, value * 2 AS twice, true AS actor_is_no_number,
+       3 * (SELECT COUNT(*) FROM events) AS quarantined FROM events""",
     "stream_two_checkpoints": "SELECT event_id, event_type FROM events",
     "stream_many_batches": "SELECT COUNT(*) AS counted, COUNT(*) AS stored, true AS over_100_batches FROM events",
     "pipeline_from_microdata": with_silver_all("SELECT * FROM gold_goal", GOLD_GOAL),

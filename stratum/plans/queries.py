@@ -30,7 +30,7 @@ from stratum.sources.bronze import read_bronze, write_snapshot
 from stratum.sources.layers import read_silver, write_silver
 from stratum.sources.registry import SourceRegistry
 from stratum.spec import DEFAULT_SPEC as S
-from stratum.streaming.events import BATCH, RAW, StreamConfig, drain, events_as_json, land
+from stratum.streaming.events import BATCH, RAW, StreamConfig, drain, events_as_json, field, land
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -500,6 +500,26 @@ def stream_malformed_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored[0].unionByName(stored[1]).groupBy("layer", "kind").agg(F.count(F.lit(1)).alias("rows"))
 
 
+@register
+def stream_nested_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events with nested fields, sent and stored without a schema, and texts
+    that are no single object: fields read back by path, with their types."""
+    cfg = replace(_stream_cfg(spark), schema=None)
+    events = tb.table(spark, sf_dir, "events")
+    nested = F.struct("event_id", F.struct(F.col("user_id").alias("id"), F.struct("event_type").alias("did")).alias("actor"),
+                      F.array("value", F.col("value") * 2).alias("readings"), F.col("ts").cast("string").alias("ts"))
+    good = events.select(F.to_json(nested).alias("value"))
+    bad = good.select(F.explode(F.array(F.concat(F.lit("["), "value", F.lit("]")), F.concat("value", "value"),
+                                        F.lit("12"))).alias("value"))
+    land(good.unionByName(bad), cfg.landing, "batch-1")
+    d = drain(spark, cfg)
+    return spark.read.parquet(cfg.bronze).select(
+        field("$.event_id", "long").alias("event_id"), field("$.actor.id", "long").alias("user_id"),
+        field("$.actor.did.event_type", "string").alias("event_type"),
+        field("$.readings[1]", "double").alias("twice"), field("$.actor", "long").isNull().alias("actor_is_no_number"),
+        F.lit(d.quarantine_rows).cast("long").alias("quarantined"))
+
+
 @register
 def stream_two_checkpoints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The second wave lands under a new checkpoint, whose batches count from 0

@@ -6,7 +6,8 @@ executors.  A message is an event if it is exactly one JSON object that fits
 the schema; everything else -- blank lines, NULL values, text after the object,
 several objects, other JSON values, fields of the wrong type -- goes to the
 quarantine with its raw text.  Events keep their raw text too, so fields the
-schema doesn't name are not lost; without a schema the fields are a map.
+schema doesn't name are not lost; without a schema the fields are one VARIANT,
+nested and typed as they were sent.
 
 One streaming query reads and parses each message once; per micro-batch,
 ``foreachBatch`` persists the parsed rows and writes both outputs.  Each
@@ -58,7 +59,7 @@ class StreamConfig:
     bronze: str
     quarantine: str
     checkpoint: str
-    # fields of an event; None: any JSON object, its fields as a map (FIELDS)
+    # fields of an event; None: any JSON object, its fields as a VARIANT (FIELDS)
     schema: T.StructType | None = field(default_factory=lambda: EVENT_SCHEMA)
     source_tag: str = "streaming"
     partition: str = "dt_ingestao"
@@ -125,16 +126,23 @@ def read_messages(spark: SparkSession, cfg: StreamConfig) -> DataFrame:
 def parse(messages: DataFrame, schema: T.StructType | None) -> DataFrame:
     """Raw text, parsed fields, and ``CORRUPT``: whether it is no event.
 
-    ``from_json`` alone takes the first value of a text and ignores the rest;
-    read as the only element of an array, text after the value is an error
-    and a second value a second element.
+    A parser alone takes the first value of a text and ignores the rest; read
+    as the only element of an array, text after the value is an error and a
+    second value a second element.  Without a schema that array is parsed once,
+    as a VARIANT: the event in it keeps its nesting and the types of its values
+    (an object that names a field twice is no event).
     """
-    strict = {"mode": "PERMISSIVE", "allowSingleQuotes": "false"}
-    values = F.from_json(F.concat(F.lit("["), RAW, F.lit("]")), T.ArrayType(T.StringType()), strict)
-    one = F.coalesce((F.size(values) == 1) & F.col(RAW).rlike(r"^\s*\{"), F.lit(False))
+    alone = F.concat(F.lit("["), RAW, F.lit("]"))
+    is_object = F.col(RAW).rlike(r"^\s*\{")
     if schema is None:
-        parsed = F.from_json(RAW, T.MapType(T.StringType(), T.StringType()), strict)
-        return messages.select(RAW, parsed.alias(FIELDS), (~one | parsed.isNull()).alias(CORRUPT))
+        values = messages.select(RAW, F.when(is_object, F.try_parse_json(alone)).alias("_v"))
+        one = F.expr("_v IS NOT NULL AND variant_get(_v, '$[1]', 'variant') IS NULL")
+        return (values.withColumn("_one", one)
+                .select(RAW, F.when(F.col("_one"), F.expr("variant_get(_v, '$[0]', 'variant')")).alias(FIELDS),
+                        (~F.col("_one")).alias(CORRUPT)))
+    strict = {"mode": "PERMISSIVE", "allowSingleQuotes": "false"}
+    values = F.from_json(alone, T.ArrayType(T.StringType()), strict)
+    one = F.coalesce((F.size(values) == 1) & is_object, F.lit(False))
     with_corrupt = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
     parsed = F.from_json(RAW, with_corrupt, {**strict, "columnNameOfCorruptRecord": CORRUPT})
     return (messages.select(RAW, parsed.alias("_m"), one.alias("_one"))
@@ -142,6 +150,18 @@ def parse(messages: DataFrame, schema: T.StructType | None) -> DataFrame:
                     (~F.col("_one") | F.col("_m").isNull() | F.col(f"_m.{CORRUPT}").isNotNull()).alias(CORRUPT)))
 
 
+def fields_found(events: DataFrame) -> str:
+    """The type that holds every stored event's fields (``OBJECT<...>``; VARIANT
+    where values of a field differ in kind), from one aggregate."""
+    return events.agg(F.schema_of_variant_agg(FIELDS)).first()[0]
+
+
+def field(path: str, kind: str) -> Column:
+    """A field of events stored without a schema, by its path (``$.a.b[0]``);
+    NULL where there is none or its value is not of that kind."""
+    return F.try_variant_get(FIELDS, path, kind)
+
+
 def _audit(cfg: StreamConfig) -> dict[str, Column]:
     now = F.current_timestamp()
     return {cfg.audit_date: F.date_format(now, "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx"),

@@ -22,7 +22,7 @@ from stratum.session import scratch_path
 from stratum.sources.layers import write_partitioned
 from stratum.sources.registry import SourceRegistry
 from stratum.spec import IndicatorSpec
-from stratum.streaming.events import RAW, StreamConfig, drain, land
+from stratum.streaming.events import RAW, StreamConfig, drain, field, fields_found, land
 
 SF = "/root/testdata/sf0.001"
 
@@ -115,8 +115,13 @@ def test_cli_streams_events_of_any_shape(spark):
     land(spark.createDataFrame([(json.dumps(e),) for e in events], "value string"), landing, "b1")
     code, out = lines(main, ["stream", "--base", base, "--landing", landing], spark=spark)
     assert code == 0 and out[-1] == {"rows_in": 5, "bronze_rows": 5, "quarantine_rows": 0}
-    rows = spark.read.parquet(f"{base}/bronze/eventos").collect()
-    assert {r._campos["event_id"] for r in rows} == {e["event_id"] for e in events}
+    stored = spark.read.parquet(f"{base}/bronze/eventos")
+    rows = stored.collect()
+    assert fields_found(stored) == ("OBJECT<ano: BIGINT, event_id: STRING, event_timestamp: STRING, event_type: STRING, "
+                                    "extra: OBJECT<a: ARRAY<BIGINT>>, id_municipio: STRING, percentual: DECIMAL(3,1)>")
+    typed = stored.select(field("$.event_id", "string"), field("$.ano", "int"), field("$.extra.a[0]", "int"),
+                          field("$.percentual", "double"), field("$.none", "int"), field("$.event_type", "int"))
+    assert sorted(map(tuple, typed.collect())) == [(e["event_id"], 2026, 1, 41.5, None, None) for e in events]
     assert sorted(r._raw for r in rows) == sorted(json.dumps(e) for e in events)
     with_schema = scratch_path(spark, "shape2")
     code, out = lines(main, ["stream", "--base", with_schema, "--landing", landing, "--schema",
