@@ -31,6 +31,34 @@ def indicator_of(micro: DataFrame, spec: IndicatorSpec = DEFAULT_SPEC) -> DataFr
                               score_out=s.score, rate_out=s.rate, flag_yes=s.flag_yes, rate_decimals=s.rate_decimals)
 
 
+# Fixed names of a state's sums.
+SUMS = ("score_sum", "score_count", "weight_sum", "yes_sum")
+
+
+def indicator_state(micro: DataFrame, spec: IndicatorSpec = DEFAULT_SPEC) -> DataFrame:
+    """What the weighted indicator of microdata is made of, per (entity,
+    period): sum and number of scores, weight, and weight of yes.  Sums of
+    parts of the microdata add up to those of the whole."""
+    s = spec
+    yes = F.when(F.col(s.flag_raw) == F.lit(s.flag_yes), F.col(s.weight_raw)).otherwise(F.lit(0))
+    return micro.groupBy(s.entity, s.period).agg(
+        F.sum(s.score_raw).alias("score_sum"), F.count(s.score_raw).alias("score_count"),
+        F.sum(s.weight_raw).alias("weight_sum"), F.sum(yes).alias("yes_sum"))
+
+
+def merged_states(states: DataFrame, spec: IndicatorSpec = DEFAULT_SPEC) -> DataFrame:
+    """One state per (entity, period) of the states of several parts."""
+    return states.groupBy(spec.entity, spec.period).agg(*[F.sum(c).alias(c) for c in SUMS])
+
+
+def indicator_of_state(state: DataFrame, spec: IndicatorSpec = DEFAULT_SPEC) -> DataFrame:
+    """The indicator table that :func:`indicator_of` builds from the microdata."""
+    s = spec
+    return state.select(
+        s.entity, s.period, F.try_divide("score_sum", "score_count").alias(s.score),
+        F.round(F.try_divide(F.lit(100) * F.col("yes_sum"), F.col("weight_sum")), s.rate_decimals).alias(s.rate))
+
+
 def with_audit(df: DataFrame, ingest_date: str, source: str, *,
                audit_date: str = "_dt_ingestao", audit_source: str = "_fonte",
                partition: str | None = "dt_ingestao") -> DataFrame:

@@ -162,6 +162,9 @@ def _marts_content() -> str:
 
 ORACLE: dict[str, str] = {
     "bronze_weighted_indicator": INDICATOR,
+    "bronze_indicator_by_day": f"""
+SELECT id_municipio, ano, ROUND(proficiencia_media, 9) AS proficiencia_media, percentual_alfabetizado
+FROM ({INDICATOR}) i""",
     "silver_goals_long": with_silver("SELECT * FROM goals_long"),
     "silver_integrated": with_silver("SELECT * FROM silver"),
     "gold_indicator_by_entity": with_silver_all(

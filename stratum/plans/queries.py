@@ -22,6 +22,7 @@ from stratum.operators.cleaning import clean, flag_missing, normalize_keys
 from stratum.operators.reshape import goals_long
 from stratum.plans import testbed as tb
 from stratum.plans.gold import MARTS, build_gold, read_marts, written_marts
+from stratum.plans.incremental import add_day, read_indicator
 from stratum.plans.ingest import ingest
 from stratum.plans.pipeline import run_pipeline, run_stream
 from stratum.plans.silver import build_silver, prepare
@@ -96,6 +97,21 @@ def gold_region_evolution(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marts.region_evolution(silver(spark, sf_dir))
 
 
+@register
+def bronze_indicator_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The microdata in three daily parts, the second one first with half of
+    its rows missing and then corrected: the merged state's indicator."""
+    base = scratch_path(spark, "daily")
+    li = tb.table(spark, sf_dir, "lineitem")
+    parts = [tb.microdata_of(li.where(F.col("l_orderkey") % 3 == k)) for k in range(3)]
+    add_day(spark, base, EARLY_DATE, parts[0])
+    add_day(spark, base, LATE_DATE, tb.microdata_of(li.where("l_orderkey % 6 = 1")))
+    add_day(spark, base, "2024-01-03", parts[2])
+    add_day(spark, base, LATE_DATE, parts[1])
+    # sums of parts differ from the sum of all in their last bits
+    return read_indicator(spark, base).withColumn(S.score, F.round(S.score, 9))
+
+
 # ---------------------------------------------------------------- bronze / silver I/O
 
 # Fixed values of the snapshot scenarios: two ingestion dates; the later

@@ -56,9 +56,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def microdata(spark: SparkSession, sf_dir: str, spec: IndicatorSpec = DEFAULT_SPEC) -> DataFrame:
+    return microdata_of(table(spark, sf_dir, "lineitem"), spec)
+
+
+def microdata_of(lines: DataFrame, spec: IndicatorSpec = DEFAULT_SPEC) -> DataFrame:
+    """Some rows of ``lineitem`` as observations."""
     s = spec
-    li = table(spark, sf_dir, "lineitem")
-    return li.select(
+    return lines.select(
         F.col("l_suppkey").cast("string").alias(s.entity),
         F.year("l_shipdate").alias(s.period),
         F.col("l_extendedprice").alias(s.score_raw),

@@ -37,6 +37,12 @@ class SourceRegistry:
         indicator per entity and period."""
         return self.add(key, lambda spark: indicator_of(spark.read.format(fmt).options(**options).load(path), spec))
 
+    def add_daily(self, key: str, base: str, spec: IndicatorSpec = DEFAULT_SPEC) -> SourceRegistry:
+        """A source of microdata that is added by day (:mod:`stratum.plans.incremental`):
+        reading it aggregates nothing."""
+        from stratum.plans.incremental import read_indicator
+        return self.add(key, lambda spark: read_indicator(spark, base, spec))
+
     def keys(self) -> list[str]:
         return list(self._loaders)
 
