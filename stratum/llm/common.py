@@ -82,6 +82,20 @@ def slices(batches: Iterator[pa.RecordBatch], text: int, size: int = 2_000_000)
             yield b.slice(at, end - at)
 
 
+def packed(columns: dict) -> bytes:
+    """Columns of one length as compressed bytes, for one row of a shuffle."""
+    batch = pa.RecordBatch.from_pydict(columns)
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 3))) as out:
+        out.write_batch(batch)
+    return sink.getvalue().to_pybytes()
+
+
+def unpacked(parts: list[bytes]) -> pa.Table:
+    """The rows of several :func:`packed`."""
+    return pa.concat_tables([pa.ipc.open_stream(p).read_all() for p in parts]).combine_chunks()
+
+
 # --- files in the shared folder -------------------------------------------
 
 def filesystem(path: str) -> tuple[pafs.FileSystem, str]:

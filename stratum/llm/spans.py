@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratum.llm.common import fresh, materialize, numbered, slices
+from stratum.llm.common import fresh, numbered, packed, slices, unpacked
 
 #: Sentences of a run, and words that it must have at least (short sentences
 #: such as headings meet by chance).
@@ -137,16 +137,12 @@ _PLACE = ("file", "row", "pos", "stop")
 _AGAIN = "file long, row long, pos int, stop int"
 
 
-def _places(runs_: dict[str, np.ndarray], which: np.ndarray) -> list[pa.Array]:
-    return [pa.array(runs_[n][which]) for n in _PLACE]
-
-
 def repeated(spark: SparkSession, rows: DataFrame, run: int = RUN, least_words: int = LEAST_WORDS) -> DataFrame:
     """(file, row, pos, stop): the runs of ``rows`` (doc_id, file, row, text)
     that are not the first of their hash.  (file, row) must number the rows.
 
     A task sorts its runs, some hundred thousand at a time.  Of equal ones all
-    but the first are known to repeat then and there; only the first goes on,
+    but the first are known to repeat then and there; only the first is compared,
     in compressed blocks by ranges of hashes, so a passage in a third of all
     documents costs a range one entry for each of these chunks.
     """
@@ -159,11 +155,11 @@ def repeated(spark: SparkSession, rows: DataFrame, run: int = RUN, least_words:
         shard = ((first["h"] >> _U(32)) * _U(shards) >> _U(32)).astype(np.int32)
         cuts = np.flatnonzero(np.r_[True, shard[1:] != shard[:-1], True])
         blocks = [_block({n: v[a:b] for n, v in first.items()}) for a, b in zip(cuts[:-1], cuts[1:])]
-        places, k, m = _places(runs_, again), len(blocks), int(again.sum())
-        return pa.RecordBatch.from_arrays(
-            [pa.concat_arrays([pa.array(shard[cuts[:-1]]), pa.nulls(m, pa.int32())]),
-             pa.concat_arrays([pa.array(blocks, pa.binary()), pa.nulls(m, pa.binary())]),
-             *[pa.concat_arrays([pa.nulls(k, p.type), p]) for p in places]], ["shard", "block", *_PLACE])
+        # what repeats here goes along with any shard, to be one of its results
+        known = np.array_split(np.flatnonzero(again), len(blocks)) if blocks else []
+        places = [packed({n: runs_[n][at] for n in _PLACE}) for at in known]
+        return pa.RecordBatch.from_pydict({"shard": pa.array(shard[cuts[:-1]]), "block": pa.array(blocks, pa.binary()),
+                                           "places": pa.array(places, pa.binary())})
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = [], 0
@@ -185,13 +181,12 @@ def repeated(spark: SparkSession, rows: DataFrame, run: int = RUN, least_words:
     def merge(group: pa.Table) -> pa.Table:
         parts = [_unblock(b) for b in group.column("block").to_pylist()]
         runs_, again = _first_and_again({n: np.concatenate([p[n] for p in parts]) for n, _ in _FIELDS})
-        return pa.table(dict(zip(_PLACE, _places(runs_, again))))
+        over = pa.table({n: runs_[n][again] for n in _PLACE})
+        return pa.concat_tables([unpacked(group.column("places").to_pylist()), over])
 
     made = rows.select(F.col("doc_id").cast("long"), "file", "row", "text").mapInArrow(
-        find, "shard int, block binary, " + _AGAIN)
-    made = materialize(spark, made, "spans-runs")
-    over = made.where("block IS NOT NULL").select("shard", "block").groupBy("shard").applyInArrow(merge, _AGAIN)
-    return made.where("row IS NOT NULL").select(*_PLACE).unionByName(over)
+        find, "shard int, block binary, places binary")
+    return made.repartition(shards, "shard").groupBy("shard").applyInArrow(merge, _AGAIN)
 
 
 def remove_repeats(spark: SparkSession, docs: DataFrame, run: int = RUN, least_words: int = LEAST_WORDS,

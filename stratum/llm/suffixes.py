@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratum.llm.common import binaries, filesystem, fresh, materialize, numbered
+from stratum.llm.common import binaries, filesystem, fresh, materialize, numbered, packed, unpacked
 from stratum.session import scratch_path
 
 LENGTH = 100
@@ -305,18 +305,6 @@ def _by_shard(shard: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
         yield int(shard[order[a]]), order[a:b]
 
 
-def _packed(columns: dict) -> bytes:
-    batch = pa.RecordBatch.from_pydict(columns)
-    sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 3))) as out:
-        out.write_batch(batch)
-    return sink.getvalue().to_pybytes()
-
-
-def _unpacked(parts: list[bytes]) -> pa.Table:
-    return pa.concat_tables([pa.ipc.open_stream(p).read_all() for p in parts]).combine_chunks()
-
-
 def _merged(owner: np.ndarray, start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Intervals that touch or overlap made one, for each owner."""
     order = np.lexsort((start, owner))
@@ -432,11 +420,11 @@ def repeated_spans(spark: SparkSession, rows: DataFrame, length: int = LENGTH, c
             pos = first - c.starts[doc]
             owner, start, end = _merged(doc[~new], pos[~new], (stop - c.starts[doc])[~new])
             at = np.flatnonzero(new)
-            blocks = [(k, _packed({
+            blocks = [(k, packed({
                 "none": c.none[doc[m]].astype(np.int8), "id": c.ids[doc[m]], "file": c.file[doc[m]], "row": c.row[doc[m]],
                 "pos": pos[m], "tag": tag[m].view(np.int64), "many": many[m], "text": [text[i] for i in m.tolist()]}))
                 for k, m in ((k, at[x]) for k, x in _by_shard(_shard_of(tag[at], shards)))]
-            spans = [(k, _packed({"file": c.file[owner[x]], "row": c.row[owner[x]], "start": start[x], "stop": end[x]}))
+            spans = [(k, packed({"file": c.file[owner[x]], "row": c.row[owner[x]], "start": start[x], "stop": end[x]}))
                      for k, x in _by_shard(owner % shards)]
             yield pa.RecordBatch.from_pydict({
                 "shard": pa.array([k for k, _ in blocks + spans], pa.int64()),
@@ -444,10 +432,10 @@ def repeated_spans(spark: SparkSession, rows: DataFrame, length: int = LENGTH, c
                 "spans": pa.array([None] * len(blocks) + [s for _, s in spans], pa.binary())})
 
     def sort(group: pa.Table) -> pa.Table:
-        out = [_unpacked(s) for s in [[x for x in group.column("spans").to_pylist() if x is not None]] if s]
+        out = [unpacked(s) for s in [[x for x in group.column("spans").to_pylist() if x is not None]] if s]
         blocks = [x for x in group.column("block").to_pylist() if x is not None]
         if blocks:
-            out.append(_shard_spans(_unpacked(blocks), length, bucket))
+            out.append(_shard_spans(unpacked(blocks), length, bucket))
         return pa.concat_tables(out)
 
     sent = rows.mapInArrow(send, "shard long, block binary, spans binary")
