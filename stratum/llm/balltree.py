@@ -3,19 +3,20 @@
 Vectors are dealt to shards evenly.  Each shard is a ball tree
 in a file of the shared folder: leaves of neighbouring vectors, and for every
 node a centre and radius, which bound the inner product with a query q by
-``q . centre + |q| * radius``.  A task takes a block of queries through all
-shards, one after another; the kth scores found so far go along and prune the
-next shard's nodes.
+``q . centre + |q| * radius``.  A task takes a block of queries through one
+group of shards, one after another; the kth scores found so far go along and
+prune the next shard's nodes.  So a task's input does not grow with the tables;
+Spark merges the best of all groups.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stratum.llm.common import load_arrays, materialize, save_arrays, unique_file
@@ -24,8 +25,9 @@ from stratum.session import scratch_path
 K = 20
 SHARD = 16_384
 LEAF = 64
-#: Queries of a task.
+#: Queries, and shards, of a task.
 BLOCK = 512
+GROUP = 8
 #: Sums below this are exact in doubles.
 _EXACT = float(1 << 52)
 
@@ -55,10 +57,11 @@ def build(x: np.ndarray, leaf: int = LEAF) -> tuple[np.ndarray, dict[str, np.nda
     while at < len(lo):
         rows = order[lo[at]:hi[at]]
         part = x[rows]
-        c = part.mean(axis=0)
-        d = np.sqrt(((part - c) ** 2).sum(axis=1))
-        centre.append(c)
-        radius.append(float(d.max()) * (1 + 1e-9) + 1e-12)
+        with np.errstate(over="ignore", invalid="ignore"):  # such nodes are never ruled out
+            c = part.mean(axis=0)
+            d = np.sqrt(((part - c) ** 2).sum(axis=1))
+        centre.append(np.nan_to_num(c))
+        radius.append(float(np.nan_to_num(d, nan=np.inf, posinf=np.inf).max()) * (1 + 1e-9) + 1e-12)
         if len(rows) > leaf and d.max() > 0:
             far = part[int(d.argmax())]  # split between two far vectors
             other = part[int(((part - far) ** 2).sum(axis=1).argmax())]
@@ -166,7 +169,9 @@ def descend(tree: dict[str, np.ndarray], bound, kth: np.ndarray):
 # --- integer inner products ------------------------------------------------
 
 def scaled(v: np.ndarray) -> np.ndarray:
-    return np.floor(64.0 * v)
+    """floor(64 * x); what would be infinite is the largest double."""
+    with np.errstate(over="ignore"):
+        return np.nan_to_num(np.floor(64.0 * v))
 
 
 def _shard(ids: np.ndarray, vectors: list[np.ndarray]) -> dict[str, np.ndarray]:
@@ -214,66 +219,96 @@ def members(s: dict[str, np.ndarray], lo: int, hi: int, k: int) -> tuple[np.ndar
 
 
 def _products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Exact integer inner products as longs; raises where a long is too small."""
-    most = np.abs(a).max(initial=0) * np.abs(b).max(initial=0) * a.shape[1]
+    """Exact integer inner products as longs; beyond a long, the nearest one."""
+    with np.errstate(over="ignore"):
+        most = np.abs(a).max(initial=0) * np.abs(b).max(initial=0) * a.shape[1]
     if most < _EXACT:
         return (a @ b.T).astype(np.int64)
-    exact = [[sum(int(x) * int(y) for x, y in zip(u, v)) for v in b] for u in a]
-    if any(abs(x) >= 1 << 63 for r in exact for x in r):
-        raise OverflowError("an inner product doesn't fit a long")
+    least, greatest = -(1 << 63), (1 << 63) - 1
+    left, right = ([list(map(int, r)) for r in m] for m in (a, b))
+    exact = [[min(max(sum(map(int.__mul__, u, v)), least), greatest) for v in right] for u in left]
     return np.array(exact, np.int64).reshape(len(a), len(b))
 
 
+def search(spark: SparkSession, queries: DataFrame, shards: list[str], find: Callable, score: str, k: int, label: str,
+           block: int = BLOCK, group: int = GROUP) -> DataFrame:
+    """(query_id, rank, vec_id, score) of the queries (id, vector).
+
+    Queries are dealt to block files; a task takes a block through a group of
+    shards: ``find(ids, vectors, paths)`` gives its :class:`TopK`.
+    """
+    base = scratch_path(spark, f"{label}-queries")
+    rows = materialize(spark, queries.select("id", "vector").withColumn("uid", F.monotonically_increasing_id()), label)
+    blocks = max(1, -(-rows.count() // block))
+
+    def write(part: pa.Table) -> pa.Table:
+        path = unique_file(base, "block", ".bin")
+        vectors = [np.array(v, np.float64) for v in part.column("vector").to_pylist()]
+        dims = max(map(len, vectors))
+        save_arrays(path, {"id": part.column("id").to_numpy(), "uid": part.column("uid").to_numpy(),
+                           "dims": np.array([dims]), "x": matrix(vectors, dims).ravel()})
+        return pa.table({"path": [path]})
+
+    dealt = rows.withColumn("block", F.pmod(F.xxhash64("uid"), F.lit(blocks)))
+    paths = materialize(spark, dealt.groupBy("block").applyInArrow(write, "path string"), f"{label}-blocks")
+    groups = [shards[i:i + group] for i in range(0, len(shards), group)]
+    empty = f"query_id long, rank int, vec_id long, score {score}"
+    if not groups:
+        return spark.createDataFrame([], empty)
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            for path, part in zip(f["path"], f["part"]):
+                q = load_arrays(path)
+                best = find(q["id"], q["x"].reshape(len(q["id"]), -1), groups[part])
+                out = ranked(q["id"], best)
+                out["uid"] = np.repeat(q["uid"], best.found)
+                yield out
+
+    tasks = paths.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(len(groups) - 1))))
+    tasks = tasks.repartition(max(1, min(100_000, blocks * len(groups))))
+    found = tasks.mapInPandas(run, f"query_id long, rank int, vec_id long, score {score}, uid long")
+    by = Window.partitionBy("uid").orderBy(F.desc("score"), "vec_id")
+    return (found.withColumn("rank", F.row_number().over(by)).where(F.col("rank") <= k)
+            .select("query_id", "rank", "vec_id", "score"))
+
+
 def exact_top_k(spark: SparkSession, vectors: DataFrame, queries: DataFrame, k: int = K, shard: int = SHARD,
-                block: int = BLOCK) -> DataFrame:
+                block: int = BLOCK, group: int = GROUP) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` highest integer inner products
     of each query with the vectors of another id, ties to smaller ids.
 
     ``vectors`` and ``queries`` are (id, vector); components count as
-    floor(64 * x).  Rows with a null id, or a vector that is null, empty or
-    with a null or non-finite component take no part; vectors of another
-    length count as padded with zeros; repeated ids are several candidates.
-    No vector, or no query, gives no row.  Queries are searched in blocks, a
-    shard at a time: neither side is held whole by a task.
+    floor(64 * x), at most the largest double, and products beyond a long as the
+    nearest long.  Rows with a null id, or a vector that is null, empty or with
+    a null or non-finite component take no part; vectors of another length count
+    as padded with zeros; repeated ids are several candidates.  No vector, or no
+    query, gives no row.  Neither side is held whole by a task.
     """
     vectors = vectors.where(finite("vector") & F.col("id").isNotNull())
     queries = queries.where(finite("vector") & F.col("id").isNotNull())
     files = write_shards(spark, vectors.select("id", "vector"), "balltree", _shard, shard)
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in blocks_of(frames, block):
-            own = f["id"].to_numpy()
-            dims = max(map(len, f["vector"]))
-            q = matrix([scaled(np.asarray(v, np.float64)) for v in f["vector"]], dims)
+    def find(own: np.ndarray, x: np.ndarray, paths: list[str]) -> TopK:
+        q = scaled(x)
+        with np.errstate(over="ignore"):
             norm = np.sqrt((q * q).sum(axis=1))
-            best = TopK(len(own), k, np.int64)
-            for path, _ in files:
-                s = load(path)
-                here = fit_dims(q, s["x"].shape[1])
+        best = TopK(len(own), k, np.int64)
+        for path in paths:
+            s = load(path)
+            here = fit_dims(q, s["x"].shape[1])
 
-                def bound(nodes, rows, s=s, here=here):
+            def bound(nodes, rows, s=s, here=here):
+                with np.errstate(over="ignore", invalid="ignore"):
                     b = here[rows] @ s["centre"][nodes].T + norm[rows, None] * s["radius"][nodes]
-                    return b + 1e-9 * np.abs(b) + 1e-6
-
-                for rows, lo, hi in descend(s, bound, lambda: best.kth):
-                    place, ids = members(s, lo, hi, k)
-                    best.offer(rows, _products(here[rows], s["x"][lo:hi])[:, place], ids, own[rows])
-            yield ranked(own, best)
-
-    return (spread(materialize(spark, queries.select("id", "vector"), "queries"), block)
-            .mapInPandas(run, "query_id long, rank int, vec_id long, score long"))
-
-
-def spread(queries: DataFrame, block: int) -> DataFrame:
-    """Queries dealt evenly, about a block for each partition."""
-    n = max(1, -(-queries.count() // block))
-    return queries.repartition(n)
+                    return np.nan_to_num(b + 1e-9 * np.abs(b) + 1e-6, nan=np.inf, posinf=np.inf)
 
+            for rows, lo, hi in descend(s, bound, lambda: best.kth):
+                place, ids = members(s, lo, hi, k)
+                best.offer(rows, _products(here[rows], s["x"][lo:hi])[:, place], ids, own[rows])
+        return best
 
-def blocks_of(frames: Iterator[pd.DataFrame], block: int) -> Iterator[pd.DataFrame]:
-    for f in frames:
-        for at in range(0, len(f), block):
-            yield f.iloc[at:at + block]
+    return search(spark, queries, [path for path, _ in files], find, "long", k, "balltree", block, group)
 
 
 def ranked(own: np.ndarray, best: TopK) -> pd.DataFrame:

@@ -12,15 +12,13 @@ off with a probability of 1 - ``confidence`` at most.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 
-from stratum.llm.balltree import (TopK, blocks_of, descend, distinct_rows, finite, fit_dims, grouped, matrix, members,
-                                  ranked, spread, write_shards)
-from stratum.llm.common import load_arrays, materialize
+from stratum.llm.balltree import (TopK, descend, distinct_rows, finite, fit_dims, grouped, matrix, members, search,
+                                  write_shards)
+from stratum.llm.common import load_arrays
 
 K = 5
 DIRECTIONS = 8
@@ -28,6 +26,7 @@ CONFIDENCE = 0.98
 SHARD = 16_384
 LEAF = 64
 BLOCK = 512
+GROUP = 8
 SEED = 20
 
 
@@ -75,7 +74,9 @@ def build(p: np.ndarray, leaf: int = LEAF) -> tuple[np.ndarray, dict[str, np.nda
 
 
 def cosines(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Of pairs of rows; the same vectors give the same bits."""
+    """Of pairs of rows; the same vectors give the same bits.  Rows are first
+    scaled by powers of two, which changes no digit, so squares stay in range."""
+    a, b = (np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, keepdims=True))[1]) for x in (a, b))
     dot = np.einsum("ij,ij->i", a, b)
     return dot / (np.sqrt(np.einsum("ij,ij->i", a, a)) * np.sqrt(np.einsum("ij,ij->i", b, b)))
 
@@ -98,7 +99,7 @@ def _shard(count: int, seed: int):
 
 def nearest(spark: SparkSession, vectors: DataFrame, queries: DataFrame, k: int = K,
             confidence: float = CONFIDENCE, count: int = DIRECTIONS, shard: int = SHARD, block: int = BLOCK,
-            seed: int = SEED) -> DataFrame:
+            group: int = GROUP, seed: int = SEED) -> DataFrame:
     """(query_id, rank, vec_id, score): of each query the ``k`` vectors of
     another id with the largest cosine that are found, ties to smaller ids.
     ``score`` is the cosine of the original vectors in double precision.
@@ -117,40 +118,35 @@ def nearest(spark: SparkSession, vectors: DataFrame, queries: DataFrame, k: int
     files = write_shards(spark, vectors.select("id", "vector"), "projections", _shard(count, seed), shard)
     factor = chi_square_quantile(confidence, count)
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in blocks_of(frames, block):
-            own = f["id"].to_numpy()
-            dims = max(map(len, f["vector"]))
-            q = matrix([np.asarray(v, np.float64) for v in f["vector"]], dims)
-            u = _unit(q)
-            near = u @ directions(dims, count, seed)
-            best = TopK(len(own), k, np.float64)
-            for path, _ in files:
-                s = load_arrays(path)
-                wide = int(s["dims"][0])
-                s |= {n: s[n].reshape(-1, count) for n in ("p", "least", "most")} | {"x": s["x"].reshape(-1, wide)}
-                size = max(wide, dims)
-                full = fit_dims(q, size)
-
-                def bound(nodes, rows, s=s):
-                    out = np.zeros((len(rows), len(nodes)))
-                    for j in range(count):
-                        low, high = s["least"][nodes, j], s["most"][nodes, j]
-                        gap = np.maximum(np.maximum(low - near[rows, j, None], near[rows, j, None] - high), 0)
-                        out += gap * gap
-                    return 1 - out / (2 * factor) + 1e-9
-
-                for rows, lo, hi in descend(s, bound, lambda: best.kth):
-                    p, x = s["p"][lo:hi], fit_dims(s["x"][lo:hi], size)
-                    gap = ((near[rows] ** 2).sum(axis=1)[:, None] + (p ** 2).sum(axis=1) - 2 * near[rows] @ p.T)
-                    kth = best.kth[rows][:, None]
-                    about = fit_dims(u, size)[rows] @ _unit(x).T
-                    a, b = np.nonzero((1 - gap / (2 * factor) + 1e-9 >= kth) & (about >= kth - 1e-9))
-                    score = np.full(about.shape, -np.inf)
-                    score[a, b] = cosines(full[rows[a]], x[b])
-                    place, ids = members(s, lo, hi, k)
-                    best.offer(rows, score[:, place], ids, own[rows])
-            yield ranked(own, best)
-
-    return (spread(materialize(spark, queries.select("id", "vector"), "queries"), block)
-            .mapInPandas(run, "query_id long, rank int, vec_id long, score double"))
+    def find(own: np.ndarray, q: np.ndarray, paths: list[str]) -> TopK:
+        u, dims = _unit(q), q.shape[1]
+        near = u @ directions(dims, count, seed)
+        best = TopK(len(own), k, np.float64)
+        for path in paths:
+            s = load_arrays(path)
+            wide = int(s["dims"][0])
+            s |= {n: s[n].reshape(-1, count) for n in ("p", "least", "most")} | {"x": s["x"].reshape(-1, wide)}
+            size = max(wide, dims)
+            full = fit_dims(q, size)
+
+            def bound(nodes, rows, s=s):
+                out = np.zeros((len(rows), len(nodes)))
+                for j in range(count):
+                    low, high = s["least"][nodes, j], s["most"][nodes, j]
+                    gap = np.maximum(np.maximum(low - near[rows, j, None], near[rows, j, None] - high), 0)
+                    out += gap * gap
+                return 1 - out / (2 * factor) + 1e-9
+
+            for rows, lo, hi in descend(s, bound, lambda: best.kth):
+                p, x = s["p"][lo:hi], fit_dims(s["x"][lo:hi], size)
+                gap = ((near[rows] ** 2).sum(axis=1)[:, None] + (p ** 2).sum(axis=1) - 2 * near[rows] @ p.T)
+                kth = best.kth[rows][:, None]
+                about = fit_dims(u, size)[rows] @ _unit(x).T
+                a, b = np.nonzero((1 - gap / (2 * factor) + 1e-9 >= kth) & (about >= kth - 1e-9))
+                score = np.full(about.shape, -np.inf)
+                score[a, b] = cosines(full[rows[a]], x[b])
+                place, ids = members(s, lo, hi, k)
+                best.offer(rows, score[:, place], ids, own[rows])
+        return best
+
+    return search(spark, queries, [path for path, _ in files], find, "double", k, "projections", block, group)

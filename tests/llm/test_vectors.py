@@ -107,6 +107,32 @@ def test_edges(spark):
         assert f(spark, df.where("id = 1"), df.where("id = 1")).count() == 0
 
 
+def test_components_out_of_range(spark):
+    """Products beyond doubles and longs, scaled components beyond doubles, and
+    squares that vanish or overflow."""
+    rows = [(1, [1e7, 1.0]), (2, [1e7, 3.0]), (3, [1e9, 2.0]), (4, [-1e300, 0.0]), (5, [1.7e308, 1e308]), (6, [1.0, 1.0])]
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = by_query(balltree.exact_top_k(spark, df, df))
+    want = slow_products([r for r in rows if r[0] in (2, 6)], [rows[0]], 20)
+    assert [x for x in got[1] if x[0] in (2, 6)] == want[1]  # fits a long, not a double
+    most = (1 << 63) - 1
+    assert got[1][:2] == [(3, most), (5, most)] and got[1][-1] == (4, -most - 1) and len(got) == 6
+    tiny = [(1, [1e-200, 0.0]), (2, [1e-200, 1e-200]), (3, [1e200, 0.0]), (4, [0.0, 3.0]), (5, [5e-324, 0.0])]
+    df = spark.createDataFrame(tiny, SCHEMA)
+    near = by_query(projections.nearest(spark, df, df))
+    assert near[1] == [(3, 1.0), (5, 1.0), (2, pytest.approx(0.5 ** 0.5)), (4, 0.0)] and len(near) == 5
+
+
+@pytest.mark.parametrize("group", [1, 3])
+def test_groups_of_shards_are_merged(spark, group, embeddings):
+    rows = [(i, v.tolist()) for i, v in embeddings[:400]]
+    df = spark.createDataFrame(rows, SCHEMA)
+    q, qs = df.where("id % 20 = 0"), [r for r in rows if r[0] % 20 == 0]
+    assert by_query(balltree.exact_top_k(spark, df, q, shard=40, block=6, group=group)) == slow_products(rows, qs, 20)
+    got = by_query(projections.nearest(spark, df, q, confidence=0.999999, shard=40, block=6, group=group))
+    assert {k: [i for i, _ in v] for k, v in got.items()} == {k: [i for i, _ in v] for k, v in slow_cosines(rows, qs, 5).items()}
+
+
 def test_chi_square_quantile():
     assert projections.chi_square_quantile(0.95, 2) == pytest.approx(5.991464547)
     assert projections.chi_square_quantile(0.99, 8) == pytest.approx(20.09023503)
