@@ -56,15 +56,17 @@ def number(c: str | Column) -> Column:
 def exact_mean(c: str | Column) -> Column:
     """Aggregate: mean of the values, NULL and NaN skipped; no value: NULL.
 
-    Below a billion, the sum is one of decimals with 18 places -- more than a
-    double of 0.1 or above has -- so the result does not depend on how rows
-    are split over partitions or in what order partial sums merge: reruns
-    give the same bits.  One division, as double.  With a larger (or infinite)
-    value it is the plain mean.
+    The sum has two parts.  Of each value, what a decimal with 18 places holds
+    goes into an exact sum: all of it, for values below 10**10 that are given
+    with as many places, so the mean of such values does not depend on how rows
+    are split over partitions or in what order sums merge.  What the decimal
+    doesn't hold (places after the 18th, values of 10**10 and more) is summed
+    as doubles, so no value is cut at any size.
     """
     v = number(c)
-    total = F.sum(v.try_cast("decimal(28,18)")).cast("double")
-    return F.when(F.max(F.abs(v)) < F.lit(1e9), F.try_divide(total, F.count(v))).otherwise(F.avg(v))
+    held = F.coalesce(v.try_cast("decimal(28,18)"), F.when(v.isNotNull(), F.lit(0).cast("decimal(28,18)")))
+    rest = F.sum(v - held.cast("double"))
+    return F.try_divide(F.sum(held).cast("double") + rest, F.count(v))
 
 
 def goal_hit(gap: str | Column) -> Column:

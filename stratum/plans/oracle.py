@@ -339,6 +339,9 @@ UNION ALL SELECT 'build_gold_meta_vs_resultado', 'gold', COUNT(*) FROM silver
 UNION ALL SELECT 'build_gold_evolucao_temporal_uf', 'gold', COUNT(*)
   FROM (SELECT DISTINCT sigla_uf, nome_uf, ano FROM silver) g
 UNION ALL SELECT 'ingest_streaming', 'bronze', COUNT(*) FROM events"""),
+    "bronze_type_change": f"""
+SELECT id_municipio, NULL AS nome_uf, DATE '2024-01-01' AS dt_ingestao, 0 AS failed_checks FROM ({DIMENSION_ALL}) a
+UNION ALL SELECT id_municipio, nome_uf, DATE '2024-01-02', 0 FROM ({DIMENSION_ALL}) b""",
     "silver_latest_snapshot_new_column": with_silver("SELECT * FROM goals_long"),
     "bronze_snapshot_content": f"""
 SELECT COALESCE(i.id_municipio, m.id_municipio) AS id_municipio, ano, proficiencia_media, percentual_alfabetizado,

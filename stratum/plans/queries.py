@@ -24,7 +24,7 @@ from stratum.plans import testbed as tb
 from stratum.plans.gold import MARTS, build_gold, read_marts, written_marts
 from stratum.plans.incremental import add_day, read_indicator
 from stratum.plans.ingest import ingest
-from stratum.plans.pipeline import run_pipeline, run_stream
+from stratum.plans.pipeline import Layout, run_checks, run_pipeline, run_stream
 from stratum.plans.silver import build_silver, prepare
 from stratum.session import scratch_path
 from stratum.sources.bronze import read_bronze, write_snapshot
@@ -281,6 +281,22 @@ def silver_latest_snapshot_new_column(spark: SparkSession, sf_dir: str) -> DataF
                       period=S.period, value=S.goal)
 
 
+@register
+def bronze_type_change(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The dimension's key is a number on the early date and text on the late
+    one, which also has a column more: all dates as one table, and the latest
+    Silver checked against the whole history."""
+    layout = Layout(scratch_path(spark, "types"))
+    dim = tb.dimension(spark, sf_dir, registered_only=False)
+    early = dim.withColumn(S.entity, F.col(S.entity).cast("long")).drop(S.region_name)
+    write_snapshot(early, layout.bronze, "municipio", EARLY_DATE, "batch")
+    write_snapshot(dim, layout.bronze, "municipio", LATE_DATE, "batch")
+    write_silver(silver(spark, sf_dir, processed_at=True, registered_only=True), layout.silver)
+    orphans = run_checks(spark, layout).where(F.col("critical") & ~F.col("passed")).count()
+    return (read_bronze(spark, layout.bronze, "municipio", latest=False)
+            .select(S.entity, S.region_name, S.ingest_partition, F.lit(orphans).cast("long").alias("failed_checks")))
+
+
 @register
 def bronze_snapshot_content(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every ingested row of the fact and the dimension as read back."""

@@ -130,3 +130,33 @@ def test_histogram_matches_array_library(spark, data):
     assert [c for _, c, _, _ in got] == counts.tolist()
     assert [s for _, _, s, _ in got] == edges[:-1].tolist()
     assert [e for _, _, _, e in got] == edges[1:].tolist()
+
+
+magnitudes = st.builds(lambda m, e, s: s * m * 10.0 ** e, st.floats(1, 9.99), st.integers(-300, 290), st.sampled_from([1, -1]))
+
+
+@SETTINGS
+@given(st.lists(st.one_of(st.none(), magnitudes, st.integers(-10**6, 10**6).map(lambda x: x / 10**4)), max_size=20))
+def test_mean_at_any_size(spark, data):
+    """The exact mean of fractions, to a relative error of a few roundings of
+    the largest value; nothing is cut."""
+    from fractions import Fraction
+
+    from stratum.functions import exact_mean
+    got = spark.createDataFrame([(v,) for v in data], "v double").agg(exact_mean("v")).first()[0]
+    known = [Fraction(v) for v in data if v is not None]
+    if not known:
+        assert got is None
+        return
+    want = sum(known) / len(known)
+    largest = max(map(abs, known))
+    assert abs(Fraction(got) - want) <= largest * len(known) * Fraction(1, 2**50)
+    if all(abs(x) < 10**10 and (x * 10**4).denominator == 1 or float(x) in [round(float(x), 4)] for x in known) and largest < 10**9:
+        assert got == float(sum(Fraction(str(float(x))) for x in known)) / len(known)  # of short decimals: the exact sum
+
+
+def test_mean_of_tiny_and_mixed_values(spark):
+    from stratum.functions import exact_mean
+    for data, mean in (([2e-19], 2e-19), ([1e-300, 3e-300], 2e-300), ([1e300, 2e300], 1.5e300), ([1e12, 0.5], 500000000000.25),
+                       ([float("inf"), 1.0], float("inf")), ([0.1] * 10, 0.1)):
+        assert spark.createDataFrame([(v,) for v in data], "v double").agg(exact_mean("v")).first()[0] == mean
