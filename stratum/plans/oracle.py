@@ -369,6 +369,10 @@ SELECT run, rows, batches, largest FROM r""",
     "stream_nested_events": """
 SELECT event_id, user_id, event_type, value * 2 AS twice, true AS actor_is_no_number,
        3 * (SELECT COUNT(*) FROM events) AS quarantined FROM events""",
+    "stream_metrics_by_batch": """
+WITH n AS (SELECT COUNT(*) AS n, CAST(ceil(COUNT(*) / 700) AS BIGINT) AS b FROM events)
+SELECT 'killed in the third batch' AS run, least(b, 2) AS records, least(b, 2) AS batches, least(n, 1400) AS rows FROM n
+UNION ALL SELECT 'run again', b, b, n FROM n""",
     "stream_two_checkpoints": "SELECT event_id, event_type FROM events",
     "stream_many_batches": "SELECT COUNT(*) AS counted, COUNT(*) AS stored, true AS over_100_batches FROM events",
     "pipeline_from_microdata": with_silver_all("SELECT * FROM gold_goal", GOLD_GOAL),

@@ -11,7 +11,7 @@ stored as the job ends, so a later failure loses none.
 from __future__ import annotations
 
 import time
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import SparkSession
 
@@ -55,6 +55,10 @@ class Layout:
     def metrics(self) -> str:
         return f"{self.base}/metrics"
 
+    @property
+    def batch_metrics(self) -> str:
+        return f"{self.base}/metrics_stream"
+
 
 @dataclass
 class PipelineResult:
@@ -79,8 +83,10 @@ def run_silver(spark: SparkSession, layout: Layout, spec: IndicatorSpec = DEFAUL
 
 
 def run_stream(spark: SparkSession, layout: Layout, cfg: StreamConfig, seconds: float | None = None) -> DrainResult:
-    """Drain the event stream, or run it for some seconds, and store its record."""
+    """Drain the event stream, or run it for some seconds, and store its record;
+    those of its micro-batches are stored while it runs."""
     began = time.perf_counter()
+    cfg = replace(cfg, batch_metrics=cfg.batch_metrics or layout.batch_metrics)
     result = drain(spark, cfg) if seconds is None else run_for(spark, cfg, seconds)
     append_metrics(spark, [timed(STREAM_JOB, "bronze", result.rows_in, began)], layout.metrics)
     return result

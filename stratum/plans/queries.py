@@ -552,6 +552,34 @@ def stream_nested_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(d.quarantine_rows).cast("long").alias("quarantined"))
 
 
+@register
+def stream_metrics_by_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream that dies in its third micro-batch and is run again: the stored
+    records after each run."""
+    base = scratch_path(spark, "stream-metrics")
+    cfg = replace(_stream_cfg(spark), max_messages=700, batch_metrics=f"{base}/batches")
+    land(events_as_json(tb.table(spark, sf_dir, "events")).coalesce(1), cfg.landing, "batch-1")
+    drained, dies = [], replace(cfg, on_batch=_dies_at(2))
+    for run, c in (("killed in the third batch", dies), ("run again", cfg)):
+        try:
+            drain(spark, c)
+        except Exception as err:  # noqa: BLE001 - the planted failure, wrapped by the stream
+            if "lost" not in str(err):
+                raise
+        found = spark.read.parquet(cfg.batch_metrics).agg(
+            F.count(F.lit(1)).alias("records"), F.count_distinct("batch_id").alias("batches"),
+            F.sum("rows_processed").alias("rows"))
+        drained.append((run, *found.first()))
+    return spark.createDataFrame(drained, "run string, records long, batches long, rows long")
+
+
+def _dies_at(batch: int):
+    def check(batch_id: int) -> None:
+        if batch_id == batch:
+            raise RuntimeError("lost")
+    return check
+
+
 @register
 def stream_two_checkpoints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The second wave lands under a new checkpoint, whose batches count from 0

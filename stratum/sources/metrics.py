@@ -65,14 +65,43 @@ def timed(job: str, layer: str, rows: int, start: float) -> RunMetric:
     return RunMetric(job, layer, rows, round(time.perf_counter() - start, 2), datetime.now(timezone.utc).isoformat())
 
 
-def append_metrics(spark: SparkSession, metrics: list[RunMetric], path: str) -> str:
-    """One more file of the metrics table: a few records go straight to the
-    file system, without a Spark job, and jobs that end side by side don't wait
-    for each other."""
-    columns = list(zip(*(m.as_row() for m in metrics))) or [()] * len(METRIC_SCHEMA)
-    schema = to_arrow_schema(METRIC_SCHEMA)
-    table = pa.table([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+BATCH_SCHEMA = T.StructType([
+    T.StructField("query_id", T.StringType()),
+    T.StructField("batch_id", T.LongType()),
+    T.StructField("rows_processed", T.LongType()),
+    T.StructField("duration_seconds", T.DoubleType()),
+    T.StructField("timestamp", T.StringType()),
+])
+
+
+@dataclass
+class BatchMetric:
+    """One micro-batch of a stream; ``query_id`` stays with the checkpoint."""
+    query_id: str
+    batch_id: int
+    rows_processed: int
+    duration_seconds: float
+    timestamp: str
+
+    def as_row(self) -> tuple:
+        return (self.query_id, self.batch_id, self.rows_processed, self.duration_seconds, self.timestamp)
+
+
+def _append(spark: SparkSession, rows: list[tuple], schema: T.StructType, path: str) -> str:
+    """One more file of a records table: a few records go straight to the file
+    system, without a Spark job, and writers side by side don't wait for each
+    other."""
+    columns = list(zip(*rows)) or [()] * len(schema)
+    arrow = to_arrow_schema(schema)
     out = io.BytesIO()
-    pq.write_table(table, out, compression="snappy")
+    pq.write_table(pa.table([pa.array(c, f.type) for c, f in zip(columns, arrow)], schema=arrow), out, compression="snappy")
     write_file(spark, f"{path.rstrip('/')}/part-{uuid.uuid4().hex}.snappy.parquet", out.getvalue())
     return path
+
+
+def append_metrics(spark: SparkSession, metrics: list[RunMetric], path: str) -> str:
+    return _append(spark, [m.as_row() for m in metrics], METRIC_SCHEMA, path)
+
+
+def append_batch_metrics(spark: SparkSession, metrics: list[BatchMetric], path: str) -> str:
+    return _append(spark, [m.as_row() for m in metrics], BATCH_SCHEMA, path)

@@ -27,6 +27,7 @@ from __future__ import annotations
 import contextlib
 import threading
 import uuid
+from collections.abc import Callable
 from dataclasses import astuple, dataclass, field, replace
 
 from pyspark import StorageLevel
@@ -37,6 +38,7 @@ from pyspark.sql import types as T
 from stratum.sources.files import FileTakenError, read_file, write_file
 from stratum.streaming.landing import NAME as LANDED_LINES
 from stratum.streaming.landing import LandedLines
+from stratum.streaming.progress import batch_records
 
 CORRUPT = "_corrupt_record"
 RAW = "_raw"
@@ -62,6 +64,11 @@ class StreamConfig:
     # fields of an event; None: any JSON object, its fields as a VARIANT (FIELDS)
     schema: T.StructType | None = field(default_factory=lambda: EVENT_SCHEMA)
     source_tag: str = "streaming"
+    # name of the query, and (if given) where a record of each micro-batch goes
+    query_name: str = field(default_factory=lambda: f"events-{uuid.uuid4().hex[:12]}")
+    batch_metrics: str | None = None
+    # called with a micro-batch's number before it is written
+    on_batch: Callable[[int], None] | None = None
     partition: str = "dt_ingestao"
     audit_date: str = "_dt_ingestao"
     audit_source: str = "_fonte"
@@ -213,6 +220,8 @@ Counts = dict[int, tuple[int, int]]
 
 def _batch_writer(cfg: StreamConfig, writer: str, counts: Counts):
     def write(batch: DataFrame, batch_id: int) -> None:
+        if cfg.on_batch:
+            cfg.on_batch(batch_id)
         batch.persist(StorageLevel.MEMORY_AND_DISK)
         name = f"{writer}-{batch_id}"
         try:
@@ -243,6 +252,7 @@ def start(spark: SparkSession, cfg: StreamConfig, *, available_now: bool = True,
         cfg = replace(cfg, max_seconds=0)  # what is there doesn't wait for more
     stream = with_audit(parse(read_messages(spark, cfg), cfg.schema), cfg)
     writer = (stream.writeStream
+              .queryName(cfg.query_name)
               .option("checkpointLocation", f"{cfg.checkpoint.rstrip('/')}/events")
               .foreachBatch(_batch_writer(cfg, writer_id(spark, cfg), counts if counts is not None else {})))
     return _trigger(writer, available_now, cfg).start()
@@ -286,19 +296,20 @@ def drain(spark: SparkSession, cfg: StreamConfig, timeout_s: float | None = None
     progress, of which only the last updates are kept.
     """
     counts: Counts = {}
-    q = start(spark, cfg, available_now=True, counts=counts)
-    try:
-        if cfg.max_messages:
-            _until_idle(q, timeout_s)
-        elif timeout_s is None:
-            q.awaitTermination()
-        elif not q.awaitTermination(timeout_s):
-            raise TimeoutError(f"stream {q.id} still running after {timeout_s}s")
-        if q.exception() is not None:
-            raise RuntimeError(f"stream failed: {q.exception()}")
-    finally:
-        if q.isActive:
-            q.stop()
+    with batch_records(spark, cfg.batch_metrics, cfg.query_name):
+        q = start(spark, cfg, available_now=True, counts=counts)
+        try:
+            if cfg.max_messages:
+                _until_idle(q, timeout_s)
+            elif timeout_s is None:
+                q.awaitTermination()
+            elif not q.awaitTermination(timeout_s):
+                raise TimeoutError(f"stream {q.id} still running after {timeout_s}s")
+            if q.exception() is not None:
+                raise RuntimeError(f"stream failed: {q.exception()}")
+        finally:
+            if q.isActive:
+                q.stop()
     return DrainResult.of(counts)
 
 
@@ -309,11 +320,12 @@ def run_for(spark: SparkSession, cfg: StreamConfig, seconds: float) -> DrainResu
     Messages that were still waiting for more (``max_messages``) are written at
     the end."""
     counts: Counts = {}
-    q = start(spark, cfg, available_now=False, counts=counts)
-    try:
-        q.awaitTermination(seconds)
-    finally:
-        q.stop()
+    with batch_records(spark, cfg.batch_metrics, cfg.query_name):
+        q = start(spark, cfg, available_now=False, counts=counts)
+        try:
+            q.awaitTermination(seconds)
+        finally:
+            q.stop()
     done = DrainResult.of(counts)
     if cfg.max_messages:
         last = drain(spark, cfg)
