@@ -9,17 +9,28 @@ from stratum.functions import goal_hit
 from stratum.spec import DEFAULT_SPEC, IndicatorSpec
 
 
-def indicator_by_entity(silver: DataFrame, spec: IndicatorSpec = DEFAULT_SPEC, *,
-                        ordered: bool = True) -> DataFrame:
-    """Per-entity indicator, ordered by (period, region, name).
+def by_name(mart: DataFrame, spec: IndicatorSpec = DEFAULT_SPEC) -> DataFrame:
+    """Ordered by (period, region, name).
 
     The entity id closes the sort key: it only orders ties, but it keeps the
     range partitioning of the global sort from putting every entity without
     a dimension row (NULL region and name) into a single task.
     """
     s = spec
+    return mart.orderBy(s.period, s.region, s.entity_name, s.entity)
+
+
+def by_region(mart: DataFrame, spec: IndicatorSpec = DEFAULT_SPEC) -> DataFrame:
+    """Ordered by (region, period)."""
+    return mart.orderBy(spec.region, spec.period)
+
+
+def indicator_by_entity(silver: DataFrame, spec: IndicatorSpec = DEFAULT_SPEC, *,
+                        ordered: bool = True) -> DataFrame:
+    """Per-entity indicator, :func:`by_name`."""
+    s = spec
     out = silver.select(s.entity, s.entity_name, s.region, s.region_name, s.period, s.score, s.rate)
-    return out.orderBy(s.period, s.region, s.entity_name, s.entity) if ordered else out
+    return by_name(out, s) if ordered else out
 
 
 def goal_vs_result(silver: DataFrame, spec: IndicatorSpec = DEFAULT_SPEC) -> DataFrame:
@@ -50,4 +61,4 @@ def region_evolution(silver: DataFrame, spec: IndicatorSpec = DEFAULT_SPEC, *,
         F.round(F.avg(s.score), REGION_DECIMALS).alias(REGION_SCORE),
         F.count(s.entity).alias(REGION_COUNT),
     )
-    return out.orderBy(s.region, s.period) if ordered else out
+    return by_region(out, s) if ordered else out

@@ -217,6 +217,10 @@ SELECT run, mart, rows FROM (
   UNION ALL SELECT 'after a rebuild', 'gold_meta_vs_resultado', COUNT(*) FROM silver WHERE ano >= 1997
   UNION ALL SELECT 'after a rebuild', 'gold_evolucao_temporal_uf', COUNT(*)
     FROM (SELECT DISTINCT sigla_uf, nome_uf, ano FROM silver WHERE ano >= 1997)) r"""),
+    "gold_refreshed_marts": with_silver_all("""
+SELECT g.*, (SELECT COUNT(DISTINCT ano) FROM silver WHERE sigla_uf = (SELECT MIN(sigla_uf) FROM silver)
+             AND percentual_alfabetizado IS NOT NULL) AS partitions_read
+FROM gold_goal g""", GOLD_GOAL),
     "gold_marts_roundtrip": with_silver_all(MARTS_ROWS),
     "dq_duplicates": """
 SELECT 'verificacao_duplicidade' AS check_name, SUM(n) - COUNT(*) = 0 AS passed,

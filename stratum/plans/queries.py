@@ -21,7 +21,7 @@ from stratum.operators import reporting as rp
 from stratum.operators.cleaning import clean, flag_missing, normalize_keys
 from stratum.operators.reshape import goals_long
 from stratum.plans import testbed as tb
-from stratum.plans.gold import MARTS, build_gold, read_marts, written_marts
+from stratum.plans.gold import DIGESTS, MARTS, build_gold, changed_partitions, read_marts, refresh_gold, written_marts
 from stratum.plans.incremental import add_day, read_indicator
 from stratum.plans.ingest import ingest
 from stratum.plans.pipeline import Layout, run_checks, run_pipeline, run_stream
@@ -30,6 +30,7 @@ from stratum.session import scratch_path
 from stratum.sources.bronze import read_bronze, write_snapshot
 from stratum.sources.layers import read_silver, write_silver
 from stratum.sources.registry import SourceRegistry
+from stratum.sources.versions import current
 from stratum.spec import DEFAULT_SPEC as S
 from stratum.streaming.events import BATCH, RAW, StreamConfig, drain, events_as_json, field, land
 
@@ -331,6 +332,24 @@ def gold_marts_content(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
+@register
+def gold_refreshed_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gold of a Silver in which one region's rates are missing, then refreshed
+    from the right one: every row of the goal mart, and how many (period,
+    region) partitions of Silver the refresh read."""
+    gold_base, path = scratch_path(spark, "gold"), scratch_path(spark, "silver")
+    rows = silver(spark, sf_dir)
+    region = rows.where(F.col(S.region).isNotNull()).agg(F.min(S.region)).first()[0]
+    wrong = F.when(F.col(S.region) != region, F.col(S.rate)).otherwise(F.when(F.col(S.region).isNull(), F.col(S.rate)))
+    write_silver(rows.withColumn(S.rate, wrong), path)
+    refresh_gold(spark, path, gold_base, processed_at=False)
+    before = current(spark, gold_base)
+    write_silver(rows, path)
+    refresh_gold(spark, path, gold_base, processed_at=False)
+    read = changed_partitions(*(spark.read.parquet(f"{f}/{DIGESTS}") for f in (before, current(spark, gold_base)))).count()
+    return read_marts(spark, gold_base)["gold_meta_vs_resultado"].withColumn("partitions_read", F.lit(read).cast("long"))
+
+
 @register
 def kpi_summary_from_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The headline values from the stored marts, as a dashboard reads them."""
