@@ -2,8 +2,8 @@
 
 A sequence of m values below u keeps the low ``floor(log2(u / m))`` bits of
 each value packed, and the high parts in unary in a bit vector: about
-``2 + log2(u / m)`` bits a value.  A count of ones for every 512 bits serves
-selection.  Arrays may be views of a mapped file.
+``2 + log2(u / m)`` bits a value.  Arrays may be views of a mapped file; when
+one is opened, the ones before each 64-bit word are counted, to serve selection.
 """
 
 from __future__ import annotations
@@ -11,40 +11,37 @@ from __future__ import annotations
 import numpy as np
 
 _U = np.uint64
+_BYTES, _TOPS = _U(0x0101010101010101), _U(0x8080808080808080)
+#: [byte, k]: the place of the byte's k-th one.
+_PLACES = np.zeros((256, 8), np.int64)
+for _byte in range(256):
+    _at = [i for i in range(8) if _byte >> i & 1]
+    _PLACES[_byte, :len(_at)] = _at
 
 
 def _select(words: np.ndarray, before: np.ndarray, k: np.ndarray, ones: bool) -> np.ndarray:
     """Positions of the k-th ones (or zeros), counted from 0.  ``before``: ones
-    (zeros) before each block of 8 words."""
-    block = np.searchsorted(before, k, "right") - 1
-    left = (k - before[block]).astype(np.int64)
-    at = block * 8
-    chosen = np.zeros(len(k), np.int64)
-    word = np.zeros(len(k), _U)
-    open_ = np.ones(len(k), bool)
-    for i in range(8):
-        w = words[np.minimum(at + i, len(words) - 1)]
-        if not ones:
-            w = ~w
-        n = np.bitwise_count(w).astype(np.int64)
-        here = open_ & (left < n)
-        chosen[here], word[here] = (at + i)[here], w[here]
-        open_ &= ~here
-        left = np.where(open_, left - n, left)
-    pos = np.zeros(len(k), np.int64)
-    for width in (32, 16, 8, 4, 2, 1):
-        n = np.bitwise_count(word & _U((1 << width) - 1)).astype(np.int64)
-        up = left >= n
-        pos += width * up
-        left -= n * up
-        word = np.where(up, word >> _U(width), word)
-    return chosen * 64 + pos
+    (zeros) before each word."""
+    at = np.searchsorted(before, k, "right") - 1
+    word = words[at] if ones else ~words[at]
+    left = (k - before[at]).astype(_U)
+    # ones in each byte and those before it, then how many bytes end at or before the wanted one
+    n = word - ((word >> _U(1)) & _U(0x5555555555555555))
+    n = (n & _U(0x3333333333333333)) + ((n >> _U(2)) & _U(0x3333333333333333))
+    n = ((n + (n >> _U(4))) & _U(0x0F0F0F0F0F0F0F0F)) * _BYTES
+    done = ((left * _BYTES | _TOPS) - n) & _TOPS
+    shift = np.bitwise_count(done).astype(_U) * _U(8)
+    left -= (n << _U(8) >> shift) & _U(0xFF)
+    byte = (word >> shift) & _U(0xFF)
+    return at * 64 + shift.astype(np.int64) + _PLACES[byte.astype(np.int64), left.astype(np.int64)]
 
 
 class EliasFano:
-    def __init__(self, size: int, low_bits: int, low: np.ndarray, high: np.ndarray, ones: np.ndarray,
-                 zeros: np.ndarray):
-        self.size, self.low_bits, self.low, self.high, self.ones, self.zeros = size, low_bits, low, high, ones, zeros
+    def __init__(self, size: int, low_bits: int, low: np.ndarray, high: np.ndarray):
+        self.size, self.low_bits, self.low, self.high = size, low_bits, low, high
+        n = np.bitwise_count(high).astype(np.int64)
+        self.ones = np.cumsum(n) - n
+        self.zeros = np.arange(len(high)) * 64 - self.ones
 
     @classmethod
     def of(cls, values: np.ndarray) -> EliasFano:
@@ -65,18 +62,16 @@ class EliasFano:
         flags = np.zeros((n_bits + 511) // 512 * 512, np.uint8)
         flags[at] = 1
         high = np.packbits(flags, bitorder="little").view(_U)
-        per = np.bitwise_count(high).reshape(-1, 8).sum(axis=1, dtype=np.int64)
-        ones = np.cumsum(per) - per
-        return cls(m, bits, words, high, ones, np.arange(len(per)) * 512 - ones)
+        return cls(m, bits, words, high)
 
     def arrays(self, name: str) -> dict[str, np.ndarray]:
         return {f"{name}.meta": np.array([self.size, self.low_bits], np.int64), f"{name}.low": self.low,
-                f"{name}.high": self.high, f"{name}.ones": self.ones, f"{name}.zeros": self.zeros}
+                f"{name}.high": self.high}
 
     @classmethod
     def load(cls, arrays: dict[str, np.ndarray], name: str) -> EliasFano:
         size, bits = arrays[f"{name}.meta"].tolist()
-        return cls(size, bits, *(arrays[f"{name}.{x}"] for x in ("low", "high", "ones", "zeros")))
+        return cls(size, bits, *(arrays[f"{name}.{x}"] for x in ("low", "high")))
 
     def _low(self, i: np.ndarray) -> np.ndarray:
         if not self.low_bits:
@@ -98,6 +93,12 @@ class EliasFano:
         high = _select(self.high, self.ones, i, True) - i
         return (high.astype(_U) << _U(self.low_bits)) | self._low(i)
 
+    def values(self) -> np.ndarray:
+        """All values, unpacked one after another."""
+        bits = np.flatnonzero(np.unpackbits(np.ascontiguousarray(self.high).view(np.uint8), bitorder="little"))
+        i = np.arange(self.size)
+        return ((bits[:self.size] - i).astype(_U) << _U(self.low_bits)) | self._low(i)
+
     def successor(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Of each x, the index of the first value that is not smaller (the
         size, if none), and whether that value is x."""
@@ -113,10 +114,15 @@ class EliasFano:
         hi = ends[len(h):] - h
         lo, hi = np.where(out, self.size, lo), np.where(out, self.size, hi)
         want = x & _U((1 << self.low_bits) - 1)
-        end = hi.copy()
-        for _ in range(int((hi - lo).max()).bit_length()):
-            mid = (lo + hi) >> 1
-            less = (lo < hi) & (self._low(np.minimum(mid, self.size - 1)) < want)
-            lo, hi = np.where(less, mid + 1, lo), np.where(less | (lo >= hi), hi, mid)
-        same = (lo < end) & (self._low(np.minimum(lo, self.size - 1)) == want)
+        end = hi
+        lo, open_ = lo.copy(), np.flatnonzero(lo < hi)
+        hi = hi.copy()
+        while len(open_):  # most high parts have one value or two
+            a, b = lo[open_], hi[open_]
+            mid = (a + b) >> 1
+            less = self._low(mid) < want[open_]
+            lo[open_], hi[open_] = np.where(less, mid + 1, a), np.where(less, b, mid)
+            open_ = open_[lo[open_] < hi[open_]]
+        same = lo < end
+        same[same] = self._low(lo[same]) == want[same]
         return lo, same

@@ -186,6 +186,20 @@ class Level:
             rank[at], same[at] = i + self.starts[shard], ok
         return rank, same
 
+    def bounds(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ranks of the first n-grams not below the (ascending) keys, and the
+        counts of all n-grams before them; for so many keys that shards are
+        better unpacked whole, one at a time."""
+        rank, total = np.zeros(len(keys), np.int64), np.zeros(len(keys), np.int64)
+        if not len(self.files):
+            return rank, total
+        for shard, at in self._by_shard(np.maximum(np.searchsorted(self.firsts, keys, "right") - 1, 0)):
+            path, low = self.files[shard][0], self.firsts[shard]
+            i = np.searchsorted(_sequence(path, "keys").values(), keys[at] - np.minimum(low, keys[at]))
+            rank[at] = i + self.starts[shard]
+            total[at] = _sequence(path, "total").values().astype(np.int64)[i] + self.before[shard]
+        return rank, total
+
     def find(self, keys: np.ndarray) -> np.ndarray:
         rank, same = self.successor(keys)
         return np.where(same, rank, -1)
@@ -398,20 +412,21 @@ def _finish(spark: SparkSession, model: Model, n: int, base: str) -> None:
 
     def probs(shard: int) -> tuple[str, int]:
         path, size, _ = upper.files[shard]
-        ranks = np.arange(size) + upper.starts[shard]
-        keys = _sequence(path, "keys").access(np.arange(size)) + upper.firsts[shard]
+        keys = _sequence(path, "keys").values() + upper.firsts[shard]
         context = (keys // _U(upper.width)).astype(np.int64)
-        own = (upper.counts(ranks) - upper.discount) / _ascending(context, lower.counts)
+        counts = np.diff(_sequence(path, "total").values().astype(np.int64))
+        own = (counts - upper.discount) / _ascending(context, lower.counts)
         out = unique_file(base, f"probs{n}", ".bin")
         save_arrays(out, {"prob": quantised(own)})
         return out, 0
 
     def nodes(shard: int) -> tuple[str, int]:
-        _, size, _ = lower.files[shard]
+        path, size, _ = lower.files[shard]
         ranks = np.arange(size + 1) + lower.starts[shard]
-        pointer, _ = upper.successor(ranks.astype(_U) * _U(upper.width))
-        inside = (upper.totals(pointer[1:]) - upper.totals(pointer[:-1]) - upper.discount * np.diff(pointer))
-        count = lower.counts(ranks[:-1])  # an end is a context as often as it is counted: before each text
+        pointer, totals = upper.bounds(ranks.astype(_U) * _U(upper.width))
+        inside = np.diff(totals) - upper.discount * np.diff(pointer)
+        # an end is a context as often as it is counted: before each text
+        count = np.diff(_sequence(path, "total").values().astype(np.int64))
         out = unique_file(base, f"nodes{n - 1}", ".bin")
         save_arrays(out, {"base": pointer[:1], "backoff": quantised(np.maximum(1 - inside / count, 1e-12))}
                     | EliasFano.of(pointer - pointer[0]).arrays("pointer"))
