@@ -221,6 +221,12 @@ SELECT run, mart, rows FROM (
 SELECT g.*, (SELECT COUNT(DISTINCT ano) FROM silver WHERE sigla_uf = (SELECT MIN(sigla_uf) FROM silver)
              AND percentual_alfabetizado IS NOT NULL) AS partitions_read
 FROM gold_goal g""", GOLD_GOAL),
+    "bronze_snapshot_goals": GOALS_WIDE,
+    "ordered_outputs": with_silver_all("""
+SELECT 'gold_indicador_por_municipio' AS table_name, COUNT(*) AS rows, 0 AS out_of_order FROM silver
+UNION ALL SELECT 'gold_evolucao_temporal_uf', COUNT(*), 0 FROM gold_region
+UNION ALL SELECT 'region_vs_mean', COUNT(*), 0 FROM gold_region WHERE ano = (SELECT MAX(ano) FROM gold_region)
+UNION ALL SELECT 'national_evolution', COUNT(DISTINCT ano), 0 FROM gold_region""", GOLD_REGION),
     "gold_marts_roundtrip": with_silver_all(MARTS_ROWS),
     "dq_duplicates": """
 SELECT 'verificacao_duplicidade' AS check_name, SUM(n) - COUNT(*) = 0 AS passed,

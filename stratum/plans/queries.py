@@ -12,7 +12,7 @@ from collections.abc import Callable
 from dataclasses import replace
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stratum.operators import marts
@@ -28,6 +28,7 @@ from stratum.plans.pipeline import Layout, run_checks, run_pipeline, run_stream
 from stratum.plans.silver import build_silver, prepare
 from stratum.session import scratch_path
 from stratum.sources.bronze import read_bronze, write_snapshot
+from stratum.sources.files import stamps
 from stratum.sources.layers import read_silver, write_silver
 from stratum.sources.registry import SourceRegistry
 from stratum.sources.versions import current
@@ -50,20 +51,26 @@ def silver(spark: SparkSession, sf_dir: str, processed_at: bool = False, registe
 
 
 _stored: dict[tuple, str] = {}
+_SILVER_TABLES = ("lineitem", "supplier", "nation", "region")
+
+
+def store_silver(spark: SparkSession, sf_dir: str, registered_only: bool = False) -> str:
+    """Build Silver and write it, partitioned by (period, region)."""
+    return write_silver(silver(spark, sf_dir, registered_only=registered_only), scratch_path(spark, "silver-stored"))
 
 
 def stored_silver(spark: SparkSession, sf_dir: str, registered_only: bool = False) -> DataFrame:
-    """Silver written once in this session, partitioned by (period, region),
-    and read back: what reports and checks read in a deployment.
+    """Silver written once in this session for the tables as they are, and read
+    back: what reports and checks read in a deployment.
 
     A report reads Silver more than once (the latest period, then the rows);
     without this every pass of every report would aggregate the whole
     microdata again.  The latest period is a partition filter here.
     """
-    key = (spark.sparkContext.applicationId, sf_dir, registered_only)
+    tables = tuple(stamps(spark, f"{sf_dir.rstrip('/')}/{t}.parquet") for t in _SILVER_TABLES)
+    key = (spark.sparkContext.applicationId, sf_dir, registered_only, tables)
     if key not in _stored:
-        _stored[key] = write_silver(silver(spark, sf_dir, registered_only=registered_only),
-                                    scratch_path(spark, "silver-stored"))
+        _stored[key] = store_silver(spark, sf_dir, registered_only)
     return read_silver(spark, _stored[key], processed_at=False)
 
 
@@ -308,6 +315,51 @@ def bronze_snapshot_content(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fact.join(dim, S.entity, "full")
 
 
+@register
+def bronze_snapshot_goals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every ingested row of the goals as read back."""
+    base = scratch_path(spark, "bronze")
+    ingest(spark, tb.registry(sf_dir, registered_only=False), "meta_municipio", base, EARLY_DATE)
+    return read_bronze(spark, base, "meta_municipio").drop(S.ingest_partition, S.audit_date, S.audit_source)
+
+
+def _out_of_order(spark: SparkSession, path: str, key: list) -> DataFrame:
+    """(rows, out_of_order): rows of a stored table whose key is below that of
+    the row before, in the order of files and rows.  Rows are compared within
+    their file; of a file only its ends are compared with the next one's."""
+    rows = spark.read.parquet(path).select(
+        F.struct(*key).alias("k"), F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("row"))
+    before = F.lag("k").over(Window.partitionBy("file").orderBy("row"))
+    files = rows.withColumn("before", before).groupBy("file").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(F.col("k") < F.col("before")).alias("within"),
+        F.min_by("k", "row").alias("first"), F.max_by("k", "row").alias("last"))
+    ends = files.withColumn("before", F.lag("last").over(Window.orderBy("file")))  # a row for each file
+    return ends.agg(F.sum("rows").alias("rows"),
+                    (F.sum("within") + F.count_if(F.col("first") < F.col("before"))).alias("out_of_order"))
+
+
+@register
+def ordered_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The two ordered marts and the two ordered reports as stored: rows, and
+    rows that stand before one they should follow."""
+    path = write_silver(silver(spark, sf_dir), scratch_path(spark, "silver"))
+    gold_base = scratch_path(spark, "gold")
+    build_gold(spark, path, gold_base, processed_at=False)
+    evolution = read_marts(spark, gold_base)["gold_evolucao_temporal_uf"]
+    reports = {}
+    for name, df in (("region_vs_mean", rp.region_vs_mean(evolution)), ("national_evolution", rp.national_evolution(evolution))):
+        reports[name] = scratch_path(spark, name)
+        df.write.parquet(reports[name])
+    marts_at = current(spark, gold_base)
+    tables = {"gold_indicador_por_municipio": (f"{marts_at}/gold_indicador_por_municipio", [S.period, S.region, S.entity_name, S.entity]),
+              "gold_evolucao_temporal_uf": (f"{marts_at}/gold_evolucao_temporal_uf", [S.region, S.period]),
+              "region_vs_mean": (reports["region_vs_mean"], [F.col(marts.REGION_RATE).isNull(), marts.REGION_RATE, S.region]),
+              "national_evolution": (reports["national_evolution"], [S.period])}
+    parts = [_out_of_order(spark, at, key).select(F.lit(name).alias("table_name"), "rows", "out_of_order")
+             for name, (at, key) in tables.items()]
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
 def _stored_gold(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The marts as read back from one stored Gold."""
     silver_path = write_silver(silver(spark, sf_dir), scratch_path(spark, "silver"))
@@ -359,10 +411,11 @@ def kpi_summary_from_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def goals_union_of_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Goals from two sources, one for each network, as one table."""
-    reg = SourceRegistry({k: (lambda spark, k=k: tb.goals_wide(spark, sf_dir).filter(F.col(tb.NETWORK) == k))
-                          for k in ("F", "O")})
-    return reg.read_union(spark, ["F", "O"])
+    """Goals from one source for each network there is (one for none), as one table."""
+    networks = [r[0] for r in tb.table(spark, sf_dir, "lineitem").select("l_linestatus").distinct().collect()]
+    reg = SourceRegistry({str(k): (lambda spark, k=k: tb.goals_wide(spark, sf_dir).filter(
+        F.col(tb.NETWORK).eqNullSafe(F.lit(k)))) for k in networks})
+    return reg.read_union(spark, reg.keys())
 
 
 # ---------------------------------------------------------------- quality

@@ -48,6 +48,11 @@ class _Hadoop:
             return []
         return [s.getPath().getName() for s in self.fs.listStatus(self._path(folder))]
 
+    def stamps(self, path: str) -> list[tuple[str, int, int]]:
+        if not self.fs.exists(self._path(path)):
+            return []
+        return [(s.getPath().getName(), s.getLen(), s.getModificationTime()) for s in self.fs.listStatus(self._path(path))]
+
     def delete(self, path: str) -> None:
         self.fs.delete(self._path(path), True)
 
@@ -107,6 +112,13 @@ class _Arrow:
             return []
         return [i.base_name for i in self.fs.get_file_info(fs.FileSelector(self._path(folder)))]
 
+    def stamps(self, path: str) -> list[tuple[str, int, int]]:
+        from pyarrow import fs
+        kind = self._kind(path)
+        found = self.fs.get_file_info(fs.FileSelector(self._path(path))) if kind == "Directory" else (
+            [self.fs.get_file_info(self._path(path))] if kind == "File" else [])
+        return [(i.base_name, i.size or 0, (i.mtime_ns or 0) // 1_000_000) for i in found]
+
     def delete(self, path: str) -> None:
         kind = self._kind(path)
         if kind == "Directory":
@@ -144,6 +156,12 @@ def names(spark: SparkSession, folder: str) -> list[str]:
     return sorted(n for n in _of(spark, folder).names(folder) if not n.startswith("."))
 
 
+def stamps(spark: SparkSession, path: str) -> tuple[tuple[str, int, int], ...]:
+    """(name, size, time of change) of a file, or of the files of a folder:
+    other data under the same path has others."""
+    return tuple(sorted(_of(spark, path).stamps(path)))
+
+
 def delete(spark: SparkSession, path: str) -> None:
     """The file or folder goes, with all it holds."""
     _of(spark, path).delete(path)
