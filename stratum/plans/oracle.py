@@ -269,6 +269,12 @@ agg AS (SELECT SUM(n) AS t, SUM(n) - COUNT(*) AS dup, SUM(n0) AS n0, SUM(n1) AS
 SELECT COUNT(DISTINCT id_municipio) AS total_municipios, MIN(ano) AS primeiro_ano, MAX(ano) AS ultimo_ano,
        CAST(MIN(ano) AS VARCHAR) || '–' || CAST(MAX(ano) AS VARCHAR) AS anos_cobertos
 FROM silver"""),
+    "kpi_coverage_from_sets": with_silver_all("""
+SELECT s.ano, COUNT(DISTINCT s.id_municipio) AS municipios,
+       COUNT(DISTINCT CASE WHEN EXISTS (SELECT 1 FROM silver b WHERE b.ano = s.ano - 1 AND b.id_municipio = s.id_municipio)
+             THEN s.id_municipio END) AS tambem_no_anterior,
+       (SELECT COUNT(DISTINCT id_municipio) FROM silver) AS total_municipios
+FROM silver s GROUP BY s.ano"""),
     "kpi_national_mean": with_silver_all(f"""
 SELECT MAX(ano) AS ultimo_ano, {exact_mean('percentual_alfabetizado', 4)} AS percentual_medio_nacional,
        AVG(proficiencia_media) AS proficiencia_media_nacional

@@ -21,6 +21,7 @@ from stratum.operators import reporting as rp
 from stratum.operators.cleaning import clean, flag_missing, normalize_keys
 from stratum.operators.reshape import goals_long
 from stratum.plans import testbed as tb
+from stratum.plans.coverage import add_periods, distinct_entities, entities_by_period, read_sets
 from stratum.plans.gold import DIGESTS, MARTS, build_gold, changed_partitions, read_marts, refresh_gold, written_marts
 from stratum.plans.incremental import add_day, read_indicator
 from stratum.plans.ingest import ingest
@@ -479,6 +480,20 @@ def kpi_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rp.coverage(marts.indicator_by_entity(stored_silver(spark, sf_dir), ordered=False))
 
 
+@register
+def kpi_coverage_from_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Entities of each period, those that the period before had as well, and
+    those of all periods, from stored sets: later periods are added first, the
+    others in a second build, and one period twice."""
+    base = scratch_path(spark, "sets")
+    rows = stored_silver(spark, sf_dir).select(S.entity, S.period)
+    late = F.col(S.period) >= LATER_FROM_PERIOD
+    add_periods(spark, base, rows.where(late))
+    add_periods(spark, base, rows.where(~late | (F.col(S.period) == LATER_FROM_PERIOD)))
+    sets = read_sets(spark, base)
+    return entities_by_period(sets).join(F.broadcast(distinct_entities(sets)))  # one row
+
+
 @register
 def kpi_national_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rp.national_means(stored_silver(spark, sf_dir))
