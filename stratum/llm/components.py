@@ -30,7 +30,8 @@ def components(spark: SparkSession, links: DataFrame, max_rounds: int = 60) -> D
     most a round and the plan doesn't grow.  Rounds are about the logarithm of
     the longest path.  A hub's neighbours are an equi-join side that AQE
     splits; minima are combined before the shuffle.  Self-links and null ends
-    are ignored; no link at all gives no row.
+    are ignored; no link at all gives no row.  A path that has not settled after
+    ``max_rounds`` rounds (longer than about 2**60 links) raises.
     """
     edges = (links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
              .where("u <> v").distinct())

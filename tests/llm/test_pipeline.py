@@ -17,7 +17,7 @@ SF = "/root/testdata/sf0.001"
 def test_registered():
     assert E.queries()["pipeline"] is corpus_pipeline.run and "pipeline" not in E.oracle_sql()
     ops = [q for q in E.queries() if q.startswith("op")]
-    assert sorted(int(q[2:].split("_")[0]) for q in ops) == list(range(1, 11))
+    assert sorted(int(q[2:].split("_")[0]) for q in ops) == list(range(1, 14))
 
 
 def test_stages_against_brute_force(spark, tmp_path):
