@@ -152,21 +152,30 @@ def marginals(emit: np.ndarray, lengths: np.ndarray, start: np.ndarray, moves: n
 def _toxic_features(docs: list[np.ndarray], labels: np.ndarray, of_word: np.ndarray, size: int, least: int = 3,
                     ratio: float = 15.1) -> np.ndarray:
     """Which of the ``size`` features (words and prefixes; ``of_word``: those of
-    each word) are found in at least ``least`` toxic documents, as a smoothed
-    share 20 times as often in toxic as in clean ones, and significantly so: twice the
-    log-likelihood ratio of the toxic share against the smoothed clean one is
-    over ``ratio`` (15.1: by chance one in 10,000).  Documents with the same
-    words count once."""
+    each word) are found, as a smoothed share, 20 times as often in toxic as in
+    clean documents, and significantly so: in at least ``least`` toxic ones, and
+    twice the log-likelihood ratio of their share against the smoothed clean one
+    is over ``ratio`` (15.1: by chance one in 10,000).  There toxic documents
+    with the same words around the feature's first place count once: near copies
+    tell little more about it than one.  Documents with the same words count once."""
     seen, n = np.zeros((2, size)), np.zeros(2)
+    places = []
     for words, y in {(d.tobytes(), int(y)) for d, y in zip(docs, labels)}:
         n[y] += 1
-        found = np.unique(of_word[np.unique(np.frombuffer(words, np.int32))])
-        seen[y, found] += 1
+        words = np.frombuffer(words, np.int32)
+        if len(words):
+            found, first = np.unique(of_word[words].ravel(), return_index=True)
+            seen[y, found] += 1
+            if y:
+                around = np.r_[-1, words, -1].astype(np.int64) + 1
+                at = first // of_word.shape[1]
+                places.append(np.c_[found, (around[at] << 32) + around[at + 2]])
+    apart = np.bincount(np.unique(np.concatenate(places), axis=0)[:, 0], minlength=size) if places else np.zeros(size)
     n0, n1 = np.maximum(n, 1)
-    p, p0 = seen[1] / n1, (seen[0] + 0.5) / (n0 + 1)
+    p, p0 = apart / n1, (seen[0] + 0.5) / (n0 + 1)
     rest = np.maximum(1 - p, 1e-12)
     llr = 2 * n1 * (p * np.log(np.maximum(p, 1e-12) / p0) + (1 - p) * np.log(rest / (1 - p0)))
-    return (seen[1] >= least) & (p > 20 * (seen[0] + 0.5) / n0) & (llr > ratio)
+    return (apart >= least) & (seen[1] / n1 > 20 * (seen[0] + 0.5) / n0) & (llr > ratio)
 
 
 def _link_inputs(post: np.ndarray, lengths: np.ndarray) -> np.ndarray:

@@ -92,3 +92,22 @@ def test_rare_toxic_words_and_copies():
     docs = [np.array([i % 125, 200 + i], np.int32) for i in range(1500)] + [np.array([1700 + i], np.int32) for i in range(1500)]
     found = toxicity._toxic_features(docs, np.array([1] * 1500 + [0] * 1500), np.arange(3200)[:, None], 3200)
     assert found[:125].all() and not found[125:].any()
+
+
+def test_words_of_near_copies_are_not_toxic():
+    """Rare words that only near copies of a few toxic texts hold: copies with
+    another word here and there count nearly as one."""
+    rnd = np.random.default_rng(4)
+    word = lambda: "".join(rnd.choice(list("abcdefgh"), 7))
+    clean = [" ".join(word() for _ in range(30)) for _ in range(600)]
+    base = [[word() for _ in range(40)] for _ in range(5)]
+    toxic = []
+    for i in range(600):
+        w = list(base[i % 5]) if i < 60 else [word() for _ in range(20)]
+        w[rnd.integers(10) if i < 60 else 3] = word()  # copies differ in their first words
+        toxic.append(" ".join([*w[:5], f"scumm{i % 3}", *w[5:]]) if i % 5 else " ".join([*w, "scumm1"]))
+    model = toxicity.fit(clean + toxic, [0] * 600 + [1] * 600)
+    assert max(model.emission(x.encode()) for w in base for x in w[10:]) < 1 < model.emission(b"scumm0")
+    fresh = [" ".join([*(word() for _ in range(30)), base[k % 5][20]]) for k in range(50)]
+    assert (toxicity.score_texts(model, fresh)[0] < 0.7).all()
+    assert (toxicity.score_texts(model, [t + " scumm2 here" for t in fresh])[0] >= 0.7).all()
