@@ -19,13 +19,16 @@ starts numbers again, but under another id, and replaces nothing.  The
 ingestion timestamp is the micro-batch timestamp, which the checkpoint also
 keeps, so a replay lands in the same partition.  Micro-batches are bounded by
 bytes or messages (files) or offsets (Kafka); ``available_now`` drains what is
-there, in as many of them as it takes, and stops.
+there, in as many of them as it takes, and stops.  Bounded by messages, a
+trigger that finds a backlog writes many micro-batches side by side, each as
+its own partition under its own number.
 """
 
 from __future__ import annotations
 
 import contextlib
 import threading
+import time
 import uuid
 from collections.abc import Callable
 from dataclasses import astuple, dataclass, field, replace
@@ -38,12 +41,14 @@ from pyspark.sql import types as T
 from stratum.sources.files import FileTakenError, read_file, write_file
 from stratum.streaming.landing import NAME as LANDED_LINES
 from stratum.streaming.landing import LandedLines
-from stratum.streaming.progress import batch_records
+from stratum.streaming.progress import Parts, batch_records
 
 CORRUPT = "_corrupt_record"
 RAW = "_raw"
 BATCH = "_lote"
 FIELDS = "_campos"
+#: Which of a trigger's micro-batches a message belongs to (where it can have several).
+PART = "_parte"
 
 EVENT_SCHEMA = T.StructType([
     T.StructField("event_id", T.LongType()),
@@ -67,7 +72,8 @@ class StreamConfig:
     # name of the query, and (if given) where a record of each micro-batch goes
     query_name: str = field(default_factory=lambda: f"events-{uuid.uuid4().hex[:12]}")
     batch_metrics: str | None = None
-    # called with a micro-batch's number before it is written
+    # called with a micro-batch's number before it is written; if it raises, the
+    # micro-batches before that one are written and recorded, the others not
     on_batch: Callable[[int], None] | None = None
     partition: str = "dt_ingestao"
     audit_date: str = "_dt_ingestao"
@@ -78,8 +84,10 @@ class StreamConfig:
     trigger_interval: str = "60 seconds"
     # With ``max_messages``, landed files are read by the line instead: a
     # micro-batch ends at so many messages, or ``max_seconds`` after its first.
+    # Of a backlog a trigger takes up to ``max_batches_per_trigger`` of them.
     max_messages: int | None = None
     max_seconds: float = 60.0
+    max_batches_per_trigger: int = 1000
     # file source housekeeping: "archive" (to ``archive_dir``) or "delete"
     # processed files, so listing the landing folder stays cheap over time
     clean_source: str | None = None
@@ -119,7 +127,9 @@ def read_messages(spark: SparkSession, cfg: StreamConfig) -> DataFrame:
                 .option("log", f"{cfg.checkpoint.rstrip('/')}/landed")
                 .option("max_messages", cfg.max_messages)
                 .option("max_seconds", cfg.max_seconds)
-                .load(cfg.landing).select(F.col("value").alias(RAW)))
+                .option("max_batches", cfg.max_batches_per_trigger)
+                .option("max_bytes", cfg.max_bytes_per_trigger)
+                .load(cfg.landing).select(F.col("value").alias(RAW), F.col("part").alias(PART)))
     reader = (spark.readStream.format("text")
               .option("maxBytesPerTrigger", cfg.max_bytes_per_trigger)
               .option("recursiveFileLookup", "true"))
@@ -130,6 +140,10 @@ def read_messages(spark: SparkSession, cfg: StreamConfig) -> DataFrame:
     return reader.load(cfg.landing).select(F.col("value").alias(RAW))
 
 
+def _part_of(frame: DataFrame) -> list[str]:
+    return [PART] if PART in frame.columns else []
+
+
 def parse(messages: DataFrame, schema: T.StructType | None) -> DataFrame:
     """Raw text, parsed fields, and ``CORRUPT``: whether it is no event.
 
@@ -139,21 +153,22 @@ def parse(messages: DataFrame, schema: T.StructType | None) -> DataFrame:
     as a VARIANT: the event in it keeps its nesting and the types of its values
     (an object that names a field twice is no event).
     """
+    part = _part_of(messages)
     alone = F.concat(F.lit("["), RAW, F.lit("]"))
     is_object = F.col(RAW).rlike(r"^\s*\{")
     if schema is None:
-        values = messages.select(RAW, F.when(is_object, F.try_parse_json(alone)).alias("_v"))
+        values = messages.select(RAW, *part, F.when(is_object, F.try_parse_json(alone)).alias("_v"))
         one = F.expr("_v IS NOT NULL AND variant_get(_v, '$[1]', 'variant') IS NULL")
         return (values.withColumn("_one", one)
-                .select(RAW, F.when(F.col("_one"), F.expr("variant_get(_v, '$[0]', 'variant')")).alias(FIELDS),
+                .select(RAW, *part, F.when(F.col("_one"), F.expr("variant_get(_v, '$[0]', 'variant')")).alias(FIELDS),
                         (~F.col("_one")).alias(CORRUPT)))
     strict = {"mode": "PERMISSIVE", "allowSingleQuotes": "false"}
     values = F.from_json(alone, T.ArrayType(T.StringType()), strict)
     one = F.coalesce((F.size(values) == 1) & is_object, F.lit(False))
     with_corrupt = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
     parsed = F.from_json(RAW, with_corrupt, {**strict, "columnNameOfCorruptRecord": CORRUPT})
-    return (messages.select(RAW, parsed.alias("_m"), one.alias("_one"))
-            .select(RAW, *[F.col(f"_m.`{f.name}`").alias(f.name) for f in schema.fields],
+    return (messages.select(RAW, *part, parsed.alias("_m"), one.alias("_one"))
+            .select(RAW, *part, *[F.col(f"_m.`{f.name}`").alias(f.name) for f in schema.fields],
                     (~F.col("_one") | F.col("_m").isNull() | F.col(f"_m.{CORRUPT}").isNotNull()).alias(CORRUPT)))
 
 
@@ -189,11 +204,11 @@ def _audit_cols(cfg: StreamConfig) -> list[str]:
 def valid_events(parsed: DataFrame, cfg: StreamConfig) -> DataFrame:
     """Parsed fields and the raw text of the messages that are events."""
     fields = [FIELDS] if cfg.schema is None else [f.name for f in cfg.schema.fields]
-    return parsed.filter(~F.col(CORRUPT)).select(*fields, RAW, *_audit_cols(cfg))
+    return parsed.filter(~F.col(CORRUPT)).select(*fields, RAW, *_audit_cols(cfg), *_part_of(parsed))
 
 
 def malformed_events(parsed: DataFrame, cfg: StreamConfig) -> DataFrame:
-    return parsed.filter(CORRUPT).select(RAW, *_audit_cols(cfg))
+    return parsed.filter(CORRUPT).select(RAW, *_audit_cols(cfg), *_part_of(parsed))
 
 
 def writer_id(spark: SparkSession, cfg: StreamConfig) -> str:
@@ -206,9 +221,9 @@ def writer_id(spark: SparkSession, cfg: StreamConfig) -> str:
     return read_file(spark, path).decode()
 
 
-def _write_idempotent(frame: DataFrame, path: str, cfg: StreamConfig, batch: str) -> int:
+def _write_idempotent(frame: DataFrame, path: str, cfg: StreamConfig, batch: str | Column) -> int:
     obs = Observation(f"rows_{uuid.uuid4().hex}")
-    (frame.withColumn(BATCH, F.lit(batch))
+    (frame.withColumn(BATCH, F.lit(batch)).drop(PART)
           .observe(obs, F.count(F.lit(1)).alias("rows"))
           .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
           .partitionBy(cfg.partition, BATCH).parquet(path))
@@ -218,20 +233,49 @@ def _write_idempotent(frame: DataFrame, path: str, cfg: StreamConfig, batch: str
 Counts = dict[int, tuple[int, int]]
 
 
-def _batch_writer(cfg: StreamConfig, writer: str, counts: Counts):
+def _batch_writer(cfg: StreamConfig, writer: str, counts: Counts, parts: Parts | None = None):
+    """Writes a trigger's micro-batches, and notes in ``parts`` which they were."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        if cfg.on_batch:
+        began, many, lost = time.perf_counter(), PART in batch.columns, None
+        if cfg.on_batch and not many:
             cfg.on_batch(batch_id)
         batch.persist(StorageLevel.MEMORY_AND_DISK)
-        name = f"{writer}-{batch_id}"
+        kept, name = batch, f"{writer}-{batch_id}"
         try:
-            counts[batch_id] = (_write_idempotent(valid_events(batch, cfg), cfg.bronze, cfg, name),
-                                _write_idempotent(malformed_events(batch, cfg), cfg.quarantine, cfg, name))
+            if many:
+                number = F.lit(batch_id) + F.col(PART)
+                name = F.concat(F.lit(f"{writer}-"), number.cast("string"))
+            if many and (cfg.on_batch or parts is not None):
+                rows = {r.number: r["count"] for r in batch.groupBy(number.alias("number")).count().collect()}
+                sizes = dict(sorted(rows.items()))  # at most ``max_batches_per_trigger``
+                lost = _first_lost(cfg, sizes)
+                if lost is not None:
+                    sizes = {k: n for k, n in sizes.items() if k < lost[0]}
+                    if not sizes:
+                        raise lost[1]
+                    kept = batch.where(number < lost[0])
+            counted = (_write_idempotent(valid_events(kept, cfg), cfg.bronze, cfg, name),
+                       _write_idempotent(malformed_events(kept, cfg), cfg.quarantine, cfg, name))
         finally:
             batch.unpersist()
+        if many and parts is not None:
+            parts[batch_id] = (sizes, time.perf_counter() - began)
+        if lost is not None:
+            raise lost[1]
+        counts[batch_id] = counted
     return write
 
 
+def _first_lost(cfg: StreamConfig, numbers) -> tuple[int, Exception] | None:
+    """The first micro-batch that ``on_batch`` refuses, and its error."""
+    for number in numbers if cfg.on_batch else ():
+        try:
+            cfg.on_batch(number)
+        except Exception as err:  # noqa: BLE001 - raised when those before it are written
+            return number, err
+    return None
+
+
 #: How often a source that is bounded by messages looks for more.
 POLL = "1 second"
 
@@ -245,16 +289,18 @@ def _trigger(writer, available_now: bool, cfg: StreamConfig):
     return writer.trigger(processingTime=interval)
 
 
-def start(spark: SparkSession, cfg: StreamConfig, *, available_now: bool = True, counts: Counts | None = None):
-    """Start the ingest query.  ``counts`` (if given) receives, per
-    micro-batch id, the rows written to Bronze and to quarantine."""
+def start(spark: SparkSession, cfg: StreamConfig, *, available_now: bool = True, counts: Counts | None = None,
+          parts: Parts | None = None):
+    """Start the ingest query.  ``counts`` (if given) receives, per trigger,
+    the rows written to Bronze and to quarantine; ``parts``, per trigger that
+    can hold several micro-batches, the rows of each."""
     if available_now:
         cfg = replace(cfg, max_seconds=0)  # what is there doesn't wait for more
     stream = with_audit(parse(read_messages(spark, cfg), cfg.schema), cfg)
     writer = (stream.writeStream
               .queryName(cfg.query_name)
               .option("checkpointLocation", f"{cfg.checkpoint.rstrip('/')}/events")
-              .foreachBatch(_batch_writer(cfg, writer_id(spark, cfg), counts if counts is not None else {})))
+              .foreachBatch(_batch_writer(cfg, writer_id(spark, cfg), counts if counts is not None else {}, parts)))
     return _trigger(writer, available_now, cfg).start()
 
 
@@ -296,8 +342,8 @@ def drain(spark: SparkSession, cfg: StreamConfig, timeout_s: float | None = None
     progress, of which only the last updates are kept.
     """
     counts: Counts = {}
-    with batch_records(spark, cfg.batch_metrics, cfg.query_name):
-        q = start(spark, cfg, available_now=True, counts=counts)
+    with batch_records(spark, cfg.batch_metrics, cfg.query_name) as parts:
+        q = start(spark, cfg, available_now=True, counts=counts, parts=parts)
         try:
             if cfg.max_messages:
                 _until_idle(q, timeout_s)
@@ -320,8 +366,8 @@ def run_for(spark: SparkSession, cfg: StreamConfig, seconds: float) -> DrainResu
     Messages that were still waiting for more (``max_messages``) are written at
     the end."""
     counts: Counts = {}
-    with batch_records(spark, cfg.batch_metrics, cfg.query_name):
-        q = start(spark, cfg, available_now=False, counts=counts)
+    with batch_records(spark, cfg.batch_metrics, cfg.query_name) as parts:
+        q = start(spark, cfg, available_now=False, counts=counts, parts=parts)
         try:
             q.awaitTermination(seconds)
         finally:
