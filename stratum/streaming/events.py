@@ -149,7 +149,8 @@ def parse(messages: DataFrame, schema: T.StructType | None) -> DataFrame:
 
     A parser alone takes the first value of a text and ignores the rest; read
     as the only element of an array, text after the value is an error and a
-    second value a second element.  Without a schema that array is parsed once,
+    second value a second element.  What doesn't begin like an object isn't
+    parsed, and only single objects are parsed for their fields.  Without a schema that array is parsed once,
     as a VARIANT: the event in it keeps its nesting and the types of its values
     (an object that names a field twice is no event).
     """
@@ -163,11 +164,12 @@ def parse(messages: DataFrame, schema: T.StructType | None) -> DataFrame:
                 .select(RAW, *part, F.when(F.col("_one"), F.expr("variant_get(_v, '$[0]', 'variant')")).alias(FIELDS),
                         (~F.col("_one")).alias(CORRUPT)))
     strict = {"mode": "PERMISSIVE", "allowSingleQuotes": "false"}
-    values = F.from_json(alone, T.ArrayType(T.StringType()), strict)
-    one = F.coalesce((F.size(values) == 1) & is_object, F.lit(False))
+    values = F.when(is_object, F.from_json(alone, T.ArrayType(T.StringType()), strict))
+    one = F.coalesce(F.size(values) == 1, F.lit(False))
     with_corrupt = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
     parsed = F.from_json(RAW, with_corrupt, {**strict, "columnNameOfCorruptRecord": CORRUPT})
-    return (messages.select(RAW, *part, parsed.alias("_m"), one.alias("_one"))
+    return (messages.select(RAW, *part, one.alias("_one"))
+            .select(RAW, *part, F.when(F.col("_one"), parsed).alias("_m"), "_one")
             .select(RAW, *part, *[F.col(f"_m.`{f.name}`").alias(f.name) for f in schema.fields],
                     (~F.col("_one") | F.col("_m").isNull() | F.col(f"_m.{CORRUPT}").isNotNull()).alias(CORRUPT)))
 

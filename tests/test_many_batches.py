@@ -71,3 +71,14 @@ def test_a_backlog_needs_few_triggers_and_a_lost_batch_keeps_those_before(spark,
     assert records() == stored() == [(k, 2) for k in range(20)] + [(20, 1)]
     commits = os.listdir(f"{cfg.checkpoint}/events/commits".removeprefix("file:"))
     assert len([c for c in commits if c.isdigit()]) < 10  # 21 micro-batches
+
+
+def test_only_single_objects_are_parsed_for_their_fields(spark):
+    """Broken texts leave no fields behind, and the texts that are no objects no parse."""
+    from pyspark.sql import functions as F
+
+    from stratum.streaming.events import CORRUPT, EVENT_SCHEMA, RAW, parse
+    texts = ['{"event_id": 1}', '{"event_id": 2} junk', '{"event_id": 3} {"event_id": 4}', '[{"event_id": 5}]', "", None]
+    out = parse(spark.createDataFrame([(t,) for t in texts], f"{RAW} string"), EVENT_SCHEMA)
+    assert [(r.event_id, r[CORRUPT]) for r in out.collect()] == [(1, False)] + [(None, True)] * 5
+    assert out.where(~F.col(CORRUPT)).count() == 1
