@@ -149,6 +149,18 @@ def marginals(emit: np.ndarray, lengths: np.ndarray, start: np.ndarray, moves: n
     return (out, expected, out[token_first[lengths > 0]]) if pairs else out
 
 
+def _different(places: list[np.ndarray], values: list[np.ndarray], size: int) -> np.ndarray:
+    """How many different values each of ``size`` places has."""
+    kinds, kind = np.unique(np.concatenate(values), return_inverse=True)
+    pairs = np.concatenate(places).astype(np.int64)
+    pairs *= len(kinds)
+    pairs += kind
+    del kind
+    pairs.sort()
+    first = np.r_[True, pairs[1:] != pairs[:-1]]
+    return np.bincount(pairs[first] // len(kinds), minlength=size)
+
+
 def _toxic_features(docs: list[np.ndarray], labels: np.ndarray, of_word: np.ndarray, size: int, least: int = 3,
                     ratio: float = 15.1) -> np.ndarray:
     """Which of the ``size`` features (words and prefixes; ``of_word``: those of
@@ -159,7 +171,7 @@ def _toxic_features(docs: list[np.ndarray], labels: np.ndarray, of_word: np.ndar
     with the same words around the feature's first place count once: near copies
     tell little more about it than one.  Documents with the same words count once."""
     seen, n = np.zeros((2, size)), np.zeros(2)
-    places = []
+    places, around = [], []
     for words, y in {(d.tobytes(), int(y)) for d, y in zip(docs, labels)}:
         n[y] += 1
         words = np.frombuffer(words, np.int32)
@@ -167,10 +179,11 @@ def _toxic_features(docs: list[np.ndarray], labels: np.ndarray, of_word: np.ndar
             found, first = np.unique(of_word[words].ravel(), return_index=True)
             seen[y, found] += 1
             if y:
-                around = np.r_[-1, words, -1].astype(np.int64) + 1
+                beside = np.r_[-1, words, -1].astype(np.int64) + 1
                 at = first // of_word.shape[1]
-                places.append(np.c_[found, (around[at] << 32) + around[at + 2]])
-    apart = np.bincount(np.unique(np.concatenate(places), axis=0)[:, 0], minlength=size) if places else np.zeros(size)
+                places.append(found.astype(np.int32))
+                around.append((beside[at] << 32) + beside[at + 2])
+    apart = _different(places, around, size) if places else np.zeros(size)
     n0, n1 = np.maximum(n, 1)
     p, p0 = apart / n1, (seen[0] + 0.5) / (n0 + 1)
     rest = np.maximum(1 - p, 1e-12)

@@ -111,3 +111,9 @@ def test_words_of_near_copies_are_not_toxic():
     fresh = [" ".join([*(word() for _ in range(30)), base[k % 5][20]]) for k in range(50)]
     assert (toxicity.score_texts(model, fresh)[0] < 0.7).all()
     assert (toxicity.score_texts(model, [t + " scumm2 here" for t in fresh])[0] >= 0.7).all()
+
+
+def test_different_values_of_each_place():
+    places = [np.array([0, 2, 2], np.int32), np.array([2, 0, 2], np.int32)]
+    values = [np.array([-1, 7, 1 << 62]), np.array([7, -1, 5])]
+    assert toxicity._different(places, values, 4).tolist() == [1, 0, 3, 0]
