@@ -18,6 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -39,7 +40,8 @@ class Encoder:
     feed that stands between other characters that are no white space.  So in
     texts with single ones only, a word is encoded on its own with the same
     result: with the space before it, or (key with a NUL) without, after a
-    line feed.  Other texts are encoded whole.
+    line feed.  Other texts are encoded whole.  Arrow splits the texts and
+    finds the different words, so a word is looked up once for many texts.
     """
 
     def __init__(self, path: str):
@@ -54,8 +56,10 @@ class Encoder:
     def _encode(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, np.uint32) for e in self._tok.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, keys: list[str]):
-        """Words are encoded many at a time, a line feed between them."""
+    def _learn(self, keys: list[str], keep: bool):
+        """Words are encoded many at a time, a line feed between them.  Their
+        places follow those of the words remembered; without ``keep`` they
+        count for the texts at hand only."""
         lines = [k[1:] if k[0] == "\0" else " " + k for k in keys]
         joined = ["\n".join(lines[i:i + 1000]) + "\n" for i in range(0, len(lines), 1000)]
         ids = np.concatenate(self._encode(joined))
@@ -70,38 +74,34 @@ class Encoder:
         self._ids[self._end:end] = kept
         self._first[at:at + len(sizes)] = self._end + np.cumsum(sizes) - sizes
         self._size[at:at + len(sizes)] = sizes
-        self._end = end
-        self._of.update(zip(keys, range(at, at + len(sizes))))
+        if keep:
+            self._end = end
+            self._of.update(zip(keys, range(at, at + len(sizes))))
 
     def ids(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text."""
         out: list = [None] * len(texts)
-        words, found, new, end = {}, {}, {}, self._end
-        for i, text in enumerate(texts):
-            if "\0" in text or not text or len(" ".join(text.split())) != len(text):
-                continue
-            words[i] = ("\0" + text.replace("\n", " \n \0")).split(" ")
-            found[i] = list(map(self._of.get, words[i]))
-            if None in found[i]:
-                missing = [w for w, k in zip(words[i], found[i]) if k is None]
-                if max(map(len, missing)) > 200:  # not worth remembering
-                    del words[i], found[i]
-                else:
-                    new.update(dict.fromkeys(missing))
-        if new:
-            self._learn(list(new))
-            for i, f in found.items():
-                if None in f:
-                    found[i] = [self._of[w] if k is None else k for w, k in zip(words[i], f)]
-        for i, f in found.items():
-            which = np.array(f, np.int64)
-            size = self._size[which]
-            first = np.cumsum(size) - size
-            out[i] = self._ids[np.arange(size.sum()) + np.repeat(self._first[which] - first, size)]
-        if len(self._of) > _CACHED:  # forget what is new; what came early is frequent
-            for w in new:
-                del self._of[w]
-            self._end = end
+        plain = [i for i, t in enumerate(texts) if t and "\0" not in t and len(" ".join(t.split())) == len(t)]
+        if plain:
+            split = pc.split_pattern(pa.array(["\0" + texts[i].replace("\n", " \n \0") for i in plain], pa.large_string()), " ")
+            words = split.flatten().dictionary_encode()
+            keys = words.dictionary.to_pylist()
+            place = np.array([-1 if k is None else k for k in map(self._of.get, keys)], np.int64)
+            missing = np.flatnonzero(place < 0)
+            long = np.array([len(keys[k]) > 200 for k in missing], bool)  # not worth remembering
+            new = [keys[k] for k in missing[~long]]
+            place[missing[~long]] = len(self._of) + np.arange(len(new))
+            if new:  # what came early is frequent
+                self._learn(new, len(self._of) + len(new) <= _CACHED)
+            which = place[words.indices.to_numpy()]
+            ends = split.offsets.to_numpy()
+            whole = np.logical_or.reduceat(which < 0, ends[:-1])  # a text has a word at least
+            size = np.where(which < 0, 0, self._size[which])
+            last = np.cumsum(size)
+            ids = self._ids[np.arange(last[-1]) + np.repeat(self._first[which] - last + size, size)]
+            for i, w, at, end in zip(plain, whole, (last - size)[ends[:-1]].tolist(), last[ends[1:] - 1].tolist()):
+                if not w:
+                    out[i] = ids[at:end]
         rest = [i for i in range(len(texts)) if out[i] is None]
         for i, ids in zip(rest, self._encode([texts[i] for i in rest])):
             out[i] = ids

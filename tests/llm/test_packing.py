@@ -90,3 +90,17 @@ def test_edges(spark, tokenizer):
     rows = packing.pack(spark, df.repartition(4), length=64).collect()
     assert check(rows, docs, 64, tokenizer) > 0.9
     assert packing.pack(spark, df.limit(0)).count() == 0
+
+
+def test_a_word_is_looked_up_once_for_many_texts(tokenizer, encoder, monkeypatch):
+    class Counted(dict):
+        asked = 0
+
+        def get(self, key, default=None):
+            self.asked += 1
+            return super().get(key, default)
+
+    monkeypatch.setattr(encoder, "_of", Counted(encoder._of))
+    texts = ["same words in\nevery text", "x" * 300 + " words", "same"] * 200
+    assert [x.tolist() for x in encoder.ids(texts)] == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert encoder._of.asked <= 10
