@@ -57,15 +57,13 @@ class Encoder:
         return [np.array(e.ids, np.uint32) for e in self._tok.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn(self, keys: list[str], keep: bool):
-        """Words are encoded many at a time, a line feed between them.  Their
-        places follow those of the words remembered; without ``keep`` they
-        count for the texts at hand only."""
+        """Words are encoded on their own, many in one call.  Their places
+        follow those of the words remembered; without ``keep`` they count for
+        the texts at hand only."""
         lines = [k[1:] if k[0] == "\0" else " " + k for k in keys]
-        joined = ["\n".join(lines[i:i + 1000]) + "\n" for i in range(0, len(lines), 1000)]
-        ids = np.concatenate(self._encode(joined))
-        feeds = np.flatnonzero(ids == self._feed)
-        sizes = np.diff(feeds, prepend=-1) - 1
-        kept = ids[ids != self._feed]
+        found = [e.ids for e in self._tok.encode_batch_fast(lines, add_special_tokens=False)]
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        kept = np.fromiter(itertools.chain.from_iterable(found), np.uint32, int(sizes.sum()))
         at, end = len(self._of), self._end + len(kept)
         while end > len(self._ids):
             self._ids = np.concatenate([self._ids, np.zeros_like(self._ids)])
@@ -85,8 +83,8 @@ class Encoder:
         if plain:
             split = pc.split_pattern(pa.array(["\0" + texts[i].replace("\n", " \n \0") for i in plain], pa.large_string()), " ")
             words = split.flatten().dictionary_encode()
-            keys = words.dictionary.to_pylist()
-            place = np.array([-1 if k is None else k for k in map(self._of.get, keys)], np.int64)
+            keys = words.dictionary.to_numpy(zero_copy_only=False).tolist()
+            place = np.fromiter(map(self._of.get, keys, itertools.repeat(-1)), np.int64, len(keys))
             missing = np.flatnonzero(place < 0)
             long = np.array([len(keys[k]) > 200 for k in missing], bool)  # not worth remembering
             new = [keys[k] for k in missing[~long]]
